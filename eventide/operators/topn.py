@@ -31,13 +31,14 @@ def top_n_per_window(df: DataFrame, ts: str, size, key: str, n: int, slide=None,
     return ranked.select("window_start", "window_end", "rank", key, "cnt")
 
 
-def buffer_flush(df: DataFrame, keys: list[str], ts: str, every, order: list[str]) -> DataFrame:
+def buffer_flush(df: DataFrame, keys: list[str], ts: str, every, order: list[str],
+                 **seq_kw) -> DataFrame:
     """Rows of a key are buffered and flushed at the next multiple of
     ``every`` (an event-time timer); the buffer is cleared at each flush.
 
     Result in long form — one row per buffered element with its flush time
-    and position — so no buffer is ever materialised as one value."""
-    win = W.tumbling(ts, every)
-    return (df.withColumn("flush_ts", win.end)
-            .withColumn("position", F.row_number().over(
-                Window.partitionBy(*keys, "flush_ts").orderBy(*order))))
+    and 1-based position — so no buffer is ever materialised as one value,
+    and a hot key's buffer is numbered by a chunked scan."""
+    from .aggregates import running_count
+    d = df.withColumn("flush_ts", W.tumbling(ts, every).end)
+    return running_count(d, [*keys, "flush_ts"], order, name="position", **seq_kw)

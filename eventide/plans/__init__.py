@@ -1,6 +1,6 @@
 """Registered queries over the stored tables (with DuckDB oracles)."""
 
-from . import joined, windowed  # noqa: F401  (registers queries)
+from . import joined, patterns, windowed  # noqa: F401  (registers queries)
 from .registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
