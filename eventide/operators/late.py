@@ -26,12 +26,15 @@ ON_TIME, LATE, TOO_LATE = "on_time", "late", "too_late"
 
 
 def late_split(df: DataFrame, ts: str, arrival: list[str], size, slide=None, offset=None,
-               delay=0, lateness=0, **seq_kw) -> DataFrame:
+               delay=0, lateness=0, initial_max=None, **seq_kw) -> DataFrame:
     """Add ``watermark``, ``window_start``/``window_end`` (tumbling) or the
-    last window's bounds (sliding), and ``route``."""
+    last window's bounds (sliding), and ``route``.  ``initial_max`` is the
+    highest event time seen before ``df`` (a stream's earlier batches)."""
     seq = KeyedSequence([], list(arrival), **seq_kw)
-    d = seq.running(seq.prepare(df), {"_m": ("max", F.col(ts))}, inclusive=False)
-    d = seq.finish(d).withColumn("watermark", F.col("_m") - W.interval(delay)).drop("_m")
+    d = seq.finish(seq.running(seq.prepare(df), {"_m": ("max", F.col(ts))}, inclusive=False))
+    if initial_max is not None:
+        d = d.withColumn("_m", F.greatest(F.col("_m"), initial_max))
+    d = d.withColumn("watermark", F.col("_m") - W.interval(delay)).drop("_m")
     step = slide if slide is not None else size
     last = W.tumbling(ts, step, offset)
     d = d.withColumns({"window_start": last.start - W.interval(W.seconds(size) - W.seconds(step)),
