@@ -118,44 +118,73 @@ class StateMachine:
         return p
 
 
+def _segmented_prefix(p: np.ndarray, seg: np.ndarray) -> np.ndarray:
+    """Prefix composition of state maps restarted at every segment start."""
+    k = 1
+    while k < len(p):
+        same = seg[k:] == seg[:-k]
+        if not same.any():
+            break
+        comp = np.take_along_axis(p[k:], p[:-k], axis=1)
+        p[k:][same] = comp[same]
+        k *= 2
+    return p
+
+
 def run_state_machine(df: DataFrame, keys: list[str], order: list[str], event_col: str,
                       fsm: StateMachine, **seq_kw) -> DataFrame:
     """The state of each key's machine after every row (``state``), and
     ``accepted`` when that state is accepting.
 
-    Chunked like the other scans: each (key, chunk) computes, with numpy, the
-    composed state map after each of its rows (an array of |states| ints);
-    the entry state of a chunk is folded over the chunk summaries of the
-    same key (at most #chunks small arrays), and a row's state is its map
-    applied to the entry state."""
+    Rows are hash-partitioned by (key, chunk) and sorted; ``mapInPandas``
+    then streams each partition's Arrow batches once, composing the per-row
+    state maps with a segmented doubling scan and carrying the open key's map
+    from one batch to the next, so memory is bounded by the batch size.
+    Hot keys are chunked like the other scans: a chunk's entry state is folded
+    over the summaries of the key's earlier chunks (at most #chunks small
+    arrays) and applied to each row's map."""
     seq = KeyedSequence(list(keys), list(order), **seq_kw)
     d = seq.prepare(df.withColumn("_ev", fsm.event_index(event_col)))
-    n_states = len(fsm.states)
-    schema = T.StructType(d.schema.fields + [T.StructField("_pf", T.ArrayType(T.IntegerType()))])
-    sort_cols = list(order)
-
-    def per_group(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(sort_cols, kind="mergesort").reset_index(drop=True)
-        pf = fsm.prefix_functions(pdf["_ev"].to_numpy(dtype=np.int64))
-        pdf["_pf"] = list(pf.astype(np.int32))
-        return pdf
-
-    d = d.groupBy(*seq.parts).applyInPandas(per_group, schema)
+    parts = seq.parts
     start = fsm.sid[fsm.start]
-    if seq.chunked:
-        last = (d.groupBy(*seq.parts)
-                .agg(F.max_by("_pf", F.struct(*[F.col(c) for c in order])).alias("_tot")))
+    emit_maps = seq.chunked
+    extra = (T.StructField("_pf", T.ArrayType(T.IntegerType())) if emit_maps
+             else T.StructField("_si", T.IntegerType()))
+    schema = T.StructType(d.schema.fields + [extra])
+    table = fsm.table
+
+    def scan(batches):
+        carry_key, carry_pf = None, None
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            key_cols = pdf[parts]
+            changed = (key_cols != key_cols.shift()).any(axis=1).to_numpy()
+            seg = np.cumsum(changed)
+            p = _segmented_prefix(table[pdf["_ev"].to_numpy(dtype=np.int64)].copy(), seg)
+            first_key = tuple(key_cols.iloc[0])
+            if carry_key is not None and first_key == carry_key:
+                head = seg == seg[0]
+                p[head] = p[head][:, carry_pf]
+            carry_key, carry_pf = tuple(key_cols.iloc[-1]), p[-1].copy()
+            if emit_maps:
+                pdf["_pf"] = list(p.astype(np.int32))
+            else:
+                pdf["_si"] = p[:, start].astype(np.int32)
+            yield pdf
+
+    d = d.repartition(*parts).sortWithinPartitions(*parts, *order).mapInPandas(scan, schema)
+    if emit_maps:
         from pyspark.sql import Window
+        last = (d.groupBy(*parts)
+                .agg(F.max_by("_pf", F.struct(*[F.col(c) for c in order])).alias("_tot")))
         cw = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-        entry = last.select(*seq.parts, F.aggregate(
+        entry = last.select(*parts, F.aggregate(
             F.collect_list("_tot").over(cw), F.lit(start),
             lambda s, f: F.element_at(f, s + 1)).alias("_entry"))
-        d = d.join(entry, on=seq.parts, how="left")
-    else:
-        d = d.withColumn("_entry", F.lit(start))
-    names = F.array(*[F.lit(s) for s in fsm.states])
-    state_idx = F.element_at("_pf", F.col("_entry") + 1)
-    out = d.withColumn("state", F.element_at(names, state_idx + 1))
+        d = (d.join(entry, on=parts, how="left")
+             .withColumn("_si", F.element_at("_pf", F.col("_entry") + 1)))
+    names = F.array(*[F.lit(x) for x in fsm.states])
+    out = d.withColumn("state", F.element_at(names, F.col("_si") + 1))
     out = out.withColumn("accepted", F.col("state").isin(list(fsm.accept)))
-    del n_states
-    return seq.finish(out).drop("_ev", "_pf", "_entry")
+    return seq.finish(out).drop("_ev", "_pf", "_entry", "_si")

@@ -118,8 +118,8 @@ RULES = [("2024-01-01 00:00:00", "view", "purchase"),
 
 
 def rules_frame(spark):
-    return (spark.createDataFrame(RULES, "t string, rule_prev string, rule_next string")
-            .select(F.to_timestamp_ntz("t").alias("rule_ts"), "rule_prev", "rule_next"))
+    values = ", ".join(f"(TIMESTAMP_NTZ'{t}', '{a}', '{b}')" for t, a, b in RULES)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS r(rule_ts, rule_prev, rule_next)")
 
 
 @query("prev_event_rule", """
