@@ -71,3 +71,14 @@ def register_sql_functions(spark: SparkSession) -> None:
     spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION selftablefunc(s STRING) "
               "RETURNS TABLE (nam STRING, ag INT, ti TIMESTAMP) "
               "RETURN SELECT substr(s, 1, 1), length(substr(s, 1, 1)), current_timestamp()")
+
+
+def message(fmt: str, *cols: str | Column) -> Column:
+    """A printable message column from typed columns (``printf`` format),
+    for console sinks; keep the typed columns for everything else."""
+    return F.format_string(fmt, *[_c(c) for c in cols])
+
+
+def from_epoch_millis(col: str | Column) -> Column:
+    """Epoch milliseconds (the reference's time fields) to a timestamp."""
+    return F.timestamp_millis(_c(col))

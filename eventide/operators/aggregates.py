@@ -40,10 +40,9 @@ def pv_uv(df: DataFrame, ts: str, uv_col: str, size, slide=None, offset=None,
     the form to use on streams, where exact distinct counts are refused.
     """
     uv = F.countDistinct(uv_col) if exact else F.approx_count_distinct(uv_col)
-    return (df.groupBy(*keys, W.assign(ts, size, slide, offset).alias("window"))
-            .agg(F.count(F.lit(1)).alias("pv"), uv.alias("uv"))
-            .select(*W.bounds(), *keys, "pv", "uv",
-                    F.expr("pv div uv").cast("double").alias("ratio")))
+    acc = UserAggregate({"pv": F.count(F.lit(1)), "uv": uv}, F.expr("pv div uv").cast("double"), "ratio")
+    return (acc.apply(df, [*keys, W.assign(ts, size, slide, offset).alias("window")])
+            .select(*W.bounds(), *keys, "pv", "uv", "ratio"))
 
 
 def distinct_per_window(df: DataFrame, ts: str, col: str, size, slide=None, offset=None,
@@ -83,3 +82,24 @@ def update_log(running: DataFrame, keys: list[str], cnt: str = "running_count")
             .select(*[c for c in running.columns if c != cnt],
                     F.col("_ch.op").alias("op"), F.col("_ch.cnt").cast("bigint").alias("cnt"),
                     F.col("_ch.seq").alias("seq")))
+
+
+class UserAggregate:
+    """A user-defined aggregate kept mergeable.
+
+    The accumulator is a set of built-in aggregate columns (each one has
+    Spark's partial / merge / final phases, so hot keys are combined in
+    parallel — the reference left ``merge`` unimplemented) and ``result`` is
+    an expression over the accumulator fields (the ``getResult`` step).
+
+    >>> pvuv = UserAggregate({"pv": F.count(F.lit(1)), "uv": F.countDistinct("user_id")},
+    ...                      F.expr("pv div uv").cast("double"))
+    """
+
+    def __init__(self, accumulator: dict[str, Column], result: Column | None = None,
+                 name: str = "result"):
+        self.accumulator, self.result, self.name = accumulator, result, name
+
+    def apply(self, df: DataFrame, keys: list) -> DataFrame:
+        out = df.groupBy(*keys).agg(*[c.alias(n) for n, c in self.accumulator.items()])
+        return out if self.result is None else out.withColumn(self.name, self.result)

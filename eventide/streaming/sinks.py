@@ -142,3 +142,18 @@ class LateRouter:
             self._write(spark, batch_id, m)
         finally:
             routed.unpersist()
+
+
+def to_table(df: DataFrame, table: str, name: str | None = None, output_mode: str = "append",
+             trigger: dict | None = None, checkpoint: str | None = None):
+    """K2: insert a stream into a catalog table (``toTable``); for a batch
+    frame this is ``saveAsTable`` in append mode."""
+    if not df.isStreaming:
+        df.write.mode("append").saveAsTable(table)
+        return None
+    spark = df.sparkSession
+    w = (df.writeStream.outputMode(output_mode)
+         .option("checkpointLocation", checkpoint or state_location(spark, name or table)))
+    if trigger:
+        w = w.trigger(**trigger)
+    return w.toTable(table)
