@@ -14,6 +14,18 @@ from ..operators.sequence import order_micros
 from ..session import state_location
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
+
+
+def use_rocksdb_state(spark) -> None:
+    """Keyed state processors (transformWithState) need the RocksDB state
+    store; switch to it unless the session chose another non-default one."""
+    current = spark.conf.get(PROVIDER_CONF, None)
+    if not current or current.endswith("HDFSBackedStateStoreProvider"):
+        spark.conf.set(PROVIDER_CONF, ROCKSDB)
+
+
 def start(df: DataFrame, fmt: str, name: str, output_mode: str = "append", trigger: dict | None = None,
           checkpoint: str | None = None, label: str | None = None, **options):
     """K1/K3/K5/K6: start a streaming query on a built-in sink.
@@ -24,6 +36,7 @@ def start(df: DataFrame, fmt: str, name: str, output_mode: str = "append", trigg
     ``json``; give ``path`` and optionally ``maxRecordsPerFile``).  The
     checkpoint defaults to a fresh folder under ``spark.checkpoint.dir``."""
     spark = df.sparkSession
+    use_rocksdb_state(spark)
     if label is not None:
         df = df.select(F.lit(label).alias("label"), "*")
     w = (df.writeStream.format(fmt).outputMode(output_mode)
@@ -41,6 +54,7 @@ def start_batches(df: DataFrame, fn, name: str, output_mode: str = "append",
                   trigger: dict | None = None, checkpoint: str | None = None):
     """K5: a custom sink — ``fn(batch_df, batch_id)`` per micro-batch."""
     spark = df.sparkSession
+    use_rocksdb_state(spark)
     w = (df.writeStream.foreachBatch(fn).outputMode(output_mode)
          .option("checkpointLocation", checkpoint or state_location(spark, name)))
     if trigger:
@@ -152,6 +166,7 @@ def to_table(df: DataFrame, table: str, name: str | None = None, output_mode: st
         df.write.mode("append").saveAsTable(table)
         return None
     spark = df.sparkSession
+    use_rocksdb_state(spark)
     w = (df.writeStream.outputMode(output_mode)
          .option("checkpointLocation", checkpoint or state_location(spark, name or table)))
     if trigger:

@@ -127,12 +127,26 @@ class ReconcileProcessor(StatefulProcessor):
         else:
             self.wait[side].clear()
 
+    @staticmethod
+    def _alone(key, side, vid, vts) -> dict:
+        row = {"key": key[0], "l_id": None, "l_ts": None, "r_id": None, "r_ts": None,
+               "status": f"{side}_only"}
+        row["l_id" if side == "left" else "r_id"] = vid
+        row["l_ts" if side == "left" else "r_ts"] = vts
+        return row
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _sorted(rows, ["ts", "id"])
         waiting = {"left": self._load("left"), "right": self._load("right")}
         out = []
         for r in pdf.itertuples(index=False):
             me, other = r.side, ("right" if r.side == "left" else "left")
+            # Deadlines that passed before this row in event time fail first,
+            # so the result does not depend on micro-batch boundaries.
+            for side in ("left", "right"):
+                while waiting[side] and waiting[side][0][1] + self.within < int(r.ts):
+                    vid, vts = waiting[side].pop(0)
+                    out.append(self._alone(key, side, vid, vts))
             if waiting[other]:
                 oid, ots = waiting[other].pop(0)
                 pair = {me: (int(r.id), int(r.ts)), other: (oid, ots)}
@@ -153,11 +167,7 @@ class ReconcileProcessor(StatefulProcessor):
             keep = []
             for vid, vts in self._load(side):
                 if vts + self.within <= t_us:
-                    row = {"key": key[0], "l_id": None, "l_ts": None, "r_id": None, "r_ts": None,
-                           "status": f"{side}_only"}
-                    row["l_id" if side == "left" else "r_id"] = vid
-                    row["l_ts" if side == "left" else "r_ts"] = vts
-                    out.append(row)
+                    out.append(self._alone(key, side, vid, vts))
                 else:
                     keep.append((vid, vts))
             self._store(side, keep)
