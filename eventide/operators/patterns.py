@@ -175,6 +175,9 @@ def run_state_machine(df: DataFrame, keys: list[str], order: list[str], event_co
 
     d = d.repartition(*parts).sortWithinPartitions(*parts, *order).mapInPandas(scan, schema)
     if emit_maps:
+        # Read twice below (chunk summaries, rows): cut the lineage once
+        # instead of running the Python scan twice.
+        d = d.checkpoint(eager=True)
         from pyspark.sql import Window
         last = (d.groupBy(*parts)
                 .agg(F.max_by("_pf", F.struct(*[F.col(c) for c in order])).alias("_tot")))

@@ -58,18 +58,25 @@ class KeyedSequence:
     Call :meth:`prepare` once; every scan method then takes and returns a
     DataFrame that still carries the chunk column, so several scans share one
     chunking (and one partitioning).  :meth:`finish` drops the helper column.
+    Set ``materialize`` when the input is itself the result of shuffles.
     """
 
     keys: list[str]
     order: list[str]
     hot_rows: int | None = None
     chunk_rows: int | None = None
+    materialize: bool = False
     chunked: bool = field(default=False, init=False)
     hot_filter: Column | None = field(default=None, init=False)
 
     # ------------------------------------------------------------------ setup
     def prepare(self, df: DataFrame) -> DataFrame:
+        """Add the chunk column.  ``materialize`` first writes a derived input
+        to ``spark.checkpoint.dir`` (lineage cut), so the counting, split-point
+        and scan passes read it instead of recomputing its shuffles."""
         spark = df.sparkSession
+        if self.materialize:
+            df = df.checkpoint(eager=True)
         hot_rows = int(self.hot_rows or spark.conf.get(HOT_ROWS_CONF, str(DEFAULT_HOT_ROWS)))
         chunk_rows = int(self.chunk_rows or spark.conf.get(CHUNK_ROWS_CONF, str(DEFAULT_CHUNK_ROWS)))
         if not self.keys:

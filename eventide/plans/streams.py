@@ -240,3 +240,93 @@ def stream_reconcile(spark, sf_dir):
     return out.select(F.col("key").alias("user_id"), F.col("l_id").alias("l_event_id"),
                       _ts("l_ts").alias("l_ts"), F.col("r_id").alias("r_event_id"),
                       _ts("r_ts").alias("r_ts"), "status")
+
+
+@query("stream_window_join", ORACLE["window_join"])
+def stream_window_join(spark, sf_dir):
+    """J2 on streams: view x purchase pairs in the same 1-day window."""
+    ev = events(spark, sf_dir).select("event_id", "user_id", "ts", "event_type")
+
+    def build(s):
+        s = with_event_time(s)
+        left = s.filter("event_type = 'view'").select(
+            "user_id", F.col("event_id").alias("l_event_id"), F.col("et").alias("l_et"))
+        right = s.filter("event_type = 'purchase'").select(
+            "user_id", F.col("event_id").alias("r_event_id"), F.col("et").alias("r_et"))
+        return S.window_join(left, right, ["user_id"], "l_et", "r_et", "1 day")
+    out = _run(spark, "window_join", ev, ORDER, build)
+    return out.select("user_id", F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                      F.col("window_end").cast("timestamp_ntz").alias("window_end"), "l_event_id",
+                      _ts("l_et_us").alias("l_ts"), "r_event_id",
+                      _ts("r_et_us").alias("r_ts"))
+
+
+@query("stream_window_cogroup", _closed(ORACLE["window_cogroup"], "window_end"))
+def stream_window_cogroup(spark, sf_dir):
+    """J3 on streams: views and purchases co-grouped per (user, day)."""
+    ev = events(spark, sf_dir).select("event_id", "user_id", "ts", "event_type")
+
+    def build(s):
+        s = with_event_time(s)
+        return S.window_cogroup(s.filter("event_type = 'view'"), s.filter("event_type = 'purchase'"),
+                                ["user_id"], "et", "et", "event_id", "event_id", "1 day")
+    out = _run(spark, "cogroup", ev, ORDER, build)
+    return out.withColumns({"window_start": F.col("window_start").cast("timestamp_ntz"),
+                            "window_end": F.col("window_end").cast("timestamp_ntz")})
+
+
+@query("stream_route_split", ORACLE["route_split"])
+def stream_route_split(spark, sf_dir):
+    """O1 on a stream: every route of a micro-batch written to its own sink
+    (the batch is persisted once)."""
+    ev = events(spark, sf_dir).select("event_id", "ts", "value")
+    routes = ["low", "mid", "high"]
+
+    def writers(path):
+        def one(route):
+            return lambda df, i: df.drop("route").write.mode("overwrite").parquet(
+                os.path.join(path, f"route={route}", f"batch={i}"))
+        return K.routed_writer("route", {r: one(r) for r in routes})
+    from ..operators import routing as R
+    out = _run(spark, "route_split", ev, ORDER,
+               lambda s: R.route_split(s, "value", [("low", 20), ("mid", 50)], "high"),
+               batch_fn=writers)
+    return out.select("event_id", "value", "route")
+
+
+@query("stream_update_log", ORACLE["update_log"])
+def stream_update_log(spark, sf_dir):
+    """A8 on a stream: the +I / -U / +U log of the exact running count."""
+    from ..operators import aggregates as A
+    ev = events(spark, sf_dir).select("event_id", "user_id", "ts")
+
+    def build(s):
+        rc = ST.running_count_exact(with_event_time(s), "user_id", "event_id", "et")
+        rc = rc.select(F.col("id").alias("event_id"), F.col("key").alias("user_id"),
+                       F.col("ts").alias("ts_us"), "running_count")
+        return A.update_log(rc, ["user_id"])
+    out = _run(spark, "update_log", ev, ORDER, build)
+    return out.select("event_id", "user_id", _ts("ts_us").alias("ts"), "op", "cnt", "seq")
+
+
+def _sequence(spark, sf_dir, name, conds):
+    ev = events(spark, sf_dir).select("event_id", "user_id", "ts", "value")
+    out = _run(spark, name, ev, ORDER, lambda s: ST.strict_sequence_exact(
+        with_event_time(s), "user_id", "event_id", "et", conds))
+    cols = [F.col("key").alias("user_id")]
+    for j in range(1, len(conds) + 1):
+        cols += [F.col(f"e{j}_id").alias(f"e{j}_event_id"), _ts(f"e{j}_ts").alias(f"e{j}_ts")]
+    return out.select(*cols)
+
+
+@query("stream_consecutive", ORACLE["cep_consecutive"])
+def stream_consecutive(spark, sf_dir):
+    """C2 exact on a stream: value > 40 three times in a row."""
+    return _sequence(spark, sf_dir, "consecutive", [F.col("value") > 40] * 3)
+
+
+@query("stream_strict_sequence", ORACLE["cep_strict_sequence"])
+def stream_strict_sequence(spark, sf_dir):
+    """C3 exact on a stream: value > 40, > 60, > 80 on consecutive rows."""
+    return _sequence(spark, sf_dir, "strict_sequence",
+                     [F.col("value") > 40, F.col("value") > 60, F.col("value") > 80])

@@ -101,7 +101,7 @@ FROM ({_RUNNING})
 def running_max_count(spark, sf_dir):
     """A2: global running max over A1's output (bucketed prefix max)."""
     rc = running_count(spark, sf_dir)
-    return A.running_max(rc, "running_count", ORDER, name="max_count")
+    return A.running_max(rc, "running_count", ORDER, name="max_count", materialize=True)
 
 
 @query("update_log", f"""

@@ -82,15 +82,17 @@ def interval_join(left: DataFrame, right: DataFrame, keys: list[str], l_et: str,
 
 def window_join(left: DataFrame, right: DataFrame, keys: list[str], l_et: str, r_et: str,
                 size, l_delay=0, r_delay=0) -> DataFrame:
-    """J2 stream: join on keys and the same tumbling window.  Spark needs a
-    single event-time column to survive the join, so the right side keeps
-    its raw time as microseconds.  Append mode."""
-    l = watermarked(left, l_et, l_delay).withColumn("window", W.tumbling(l_et, size))
-    r = (watermarked(right, r_et, r_delay).withColumn("window", W.tumbling(r_et, size))
-         .withColumn(f"{r_et}_us", F.unix_micros(F.col(r_et))).drop(r_et))
+    """J2 stream: join on keys and the same tumbling window.  Spark allows one
+    event-time column per stream, so ``window`` stays the event time and both
+    raw times are carried as epoch microseconds (``{col}_us``).  Append mode."""
+    def side(df, et, delay):
+        return (watermarked(df, et, delay).withColumn("window", W.tumbling(et, size))
+                .withColumn(f"{et}_us", F.unix_micros(F.col(et))).drop(et))
+    l, r = side(left, l_et, l_delay), side(right, r_et, r_delay)
+    rename = {l_et: f"{l_et}_us", r_et: f"{r_et}_us"}
     return l.join(r, on=[*keys, "window"], how="inner").select(
-        *keys, *W.bounds(), *[c for c in left.columns if c not in keys],
-        *[c if c != r_et else f"{r_et}_us" for c in right.columns if c not in keys])
+        *keys, *W.bounds(), *[rename.get(c, c) for c in left.columns if c not in keys],
+        *[rename.get(c, c) for c in right.columns if c not in keys])
 
 
 def top_n_sink(out_writer, window_cols: list[str], key: str, n: int, ascending: bool = False):
@@ -101,3 +103,23 @@ def top_n_sink(out_writer, window_cols: list[str], key: str, n: int, ascending:
         ranked = N.rank_within(batch, window_cols, "cnt", [key], n, ascending)
         out_writer(ranked, batch_id)
     return write
+
+
+def window_cogroup(left: DataFrame, right: DataFrame, keys: list[str], l_et: str, r_et: str,
+                   l_id: str, r_id: str, size, delay=0) -> DataFrame:
+    """J3 stream: both sides tagged and unioned, one aggregate per
+    (key, window) with the group sizes and first / last ids; append mode."""
+    def side(df, et, idc, tag):
+        return df.select(*keys, F.col(et).alias("et"), F.lit(tag).alias("side"),
+                         F.col(idc).alias("element_id"))
+    u = watermarked(side(left, l_et, l_id, "left").unionByName(side(right, r_et, r_id, "right")),
+                    "et", delay)
+    is_l, is_r = F.col("side") == "left", F.col("side") == "right"
+    return (u.groupBy(*keys, W.tumbling("et", size).alias("window"))
+            .agg(F.count(F.when(is_l, 1)).alias("n_left"), F.count(F.when(is_r, 1)).alias("n_right"),
+                 F.min(F.when(is_l, F.col("element_id"))).alias("left_first"),
+                 F.max(F.when(is_l, F.col("element_id"))).alias("left_last"),
+                 F.min(F.when(is_r, F.col("element_id"))).alias("right_first"),
+                 F.max(F.when(is_r, F.col("element_id"))).alias("right_last"))
+            .select(*keys, *W.bounds(), "n_left", "n_right", "left_first", "left_last",
+                    "right_first", "right_last"))

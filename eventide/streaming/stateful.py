@@ -384,3 +384,52 @@ def ttl_previous(stream: DataFrame, key: str, id_col: str, et: str, ttl) -> Data
     ttl_ms = int(round(W.seconds(ttl) * 1000))
     return src.groupBy("key").transformWithStateInPandas(
         TtlValueProcessor(ttl_ms), "key long, id long, alive_id long", "Append", "ProcessingTime")
+
+
+# ------------------------------------------------------------------ C2/C3
+class StrictSequenceProcessor(StatefulProcessor):
+    """C2/C3 exact: the last ``n - 1`` rows of the key (list state, bounded)
+    and, per new row, whether it ends ``cond_0 .. cond_{n-1}`` on consecutive
+    rows."""
+
+    def __init__(self, n: int):
+        self.n = n
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        fields = ", ".join(f"c{j} boolean" for j in range(self.n))
+        self.hist = handle.getListState("hist", f"id long, ts long, {fields}")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        n = self.n
+        pdf = _sorted(rows, ["ts", "id"])
+        hist = [tuple(v) for v in self.hist.get()] if self.hist.exists() else []
+        out = []
+        for r in pdf.itertuples(index=False):
+            cur = (int(r.id), int(r.ts), *[bool(getattr(r, f"c{j}")) for j in range(n)])
+            window = (hist + [cur])[-n:]
+            if len(window) == n and all(window[j][2 + j] for j in range(n)):
+                row = {"key": key[0]}
+                for j, w in enumerate(window):
+                    row[f"e{j + 1}_id"], row[f"e{j + 1}_ts"] = w[0], w[1]
+                out.append(row)
+            hist = window[-(n - 1):] if n > 1 else []
+        if hist:
+            self.hist.put(hist)
+        else:
+            self.hist.clear()
+        cols = ["key"] + [f"e{j + 1}_{c}" for j in range(n) for c in ("id", "ts")]
+        yield _frame(out, cols, cols[1:])
+
+    def close(self) -> None:
+        pass
+
+
+def strict_sequence_exact(stream: DataFrame, key: str, id_col: str, et: str, conds) -> DataFrame:
+    """C2/C3 on a stream (append mode): one row per match, ``e{j}_id`` and
+    ``e{j}_ts`` for the j-th row of the match."""
+    n = len(conds)
+    src = stream.select(F.col(key).alias("key"), F.col(id_col).alias("id"), _us(et).alias("ts"),
+                        *[c.alias(f"c{j}") for j, c in enumerate(conds)])
+    cols = ", ".join(f"e{j + 1}_id long, e{j + 1}_ts long" for j in range(n))
+    return src.groupBy("key").transformWithStateInPandas(
+        StrictSequenceProcessor(n), f"key long, {cols}", "Append", "None")
