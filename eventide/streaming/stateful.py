@@ -43,6 +43,33 @@ def _sorted(rows: Iterator[pd.DataFrame], by: list[str]) -> pd.DataFrame:
     return pd.concat(list(rows), ignore_index=True).sort_values(by, kind="mergesort")
 
 
+class _SingleTimer:
+    """At most one registered event-time timer per key, at the earliest
+    pending deadline: a firing handles every deadline the watermark has
+    passed and re-arms for the next one (instead of one timer per row)."""
+
+    def _init_timer(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.armed = handle.getValueState("timer", "t long")
+
+    def _arm(self, deadline_us: int | None, fired: bool = False) -> None:
+        cur = None if fired or not self.armed.exists() else self.armed.get()[0]
+        want = None if deadline_us is None else _timer_ms(deadline_us)
+        if cur == want and not fired:
+            return
+        if cur is not None:
+            self.handle.deleteTimer(cur)
+        if want is None:
+            self.armed.clear()
+        else:
+            self.handle.registerTimer(want)
+            self.armed.update((want,))
+
+    @staticmethod
+    def _due_us(timerValues, expiredTimerInfo) -> int:
+        return max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs()) * 1000
+
+
 # ------------------------------------------------------------------ A1
 class RunningCountProcessor(StatefulProcessor):
     """A1 exact: one output row per input row with the key's running count."""
@@ -102,7 +129,7 @@ def previous_event(stream: DataFrame, key: str, id_col: str, et: str, type_col:
 
 
 # ------------------------------------------------------------------ J4
-class ReconcileProcessor(StatefulProcessor):
+class ReconcileProcessor(_SingleTimer, StatefulProcessor):
     """J4 exact, one-to-one: an arriving row takes the oldest waiting row of
     the other side; otherwise it waits until the watermark passes
     ``ts + within`` and is then reported as ``left_only`` / ``right_only``.
@@ -114,7 +141,7 @@ class ReconcileProcessor(StatefulProcessor):
         self.within = within_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
+        self._init_timer(handle)
         self.wait = {"left": handle.getListState("left", "id long, ts long"),
                      "right": handle.getListState("right", "id long, ts long")}
 
@@ -154,15 +181,19 @@ class ReconcileProcessor(StatefulProcessor):
                             "r_id": pair["right"][0], "r_ts": pair["right"][1], "status": "matched"})
             else:
                 waiting[me].append((int(r.id), int(r.ts)))
-                self.handle.registerTimer(_timer_ms(int(r.ts) + self.within))
         for side in ("left", "right"):
             self._store(side, waiting[side])
+        self._arm(self._next_deadline(waiting))
         yield _frame(out, ["key", "l_id", "l_ts", "r_id", "r_ts", "status"],
                      ["l_id", "l_ts", "r_id", "r_ts"])
 
+    def _next_deadline(self, waiting) -> int | None:
+        heads = [v[0][1] for v in waiting.values() if v]
+        return min(heads) + self.within if heads else None
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        t_us = expiredTimerInfo.getExpiryTimeInMs() * 1000
-        out = []
+        t_us = self._due_us(timerValues, expiredTimerInfo)
+        out, waiting = [], {}
         for side in ("left", "right"):
             keep = []
             for vid, vts in self._load(side):
@@ -171,6 +202,8 @@ class ReconcileProcessor(StatefulProcessor):
                 else:
                     keep.append((vid, vts))
             self._store(side, keep)
+            waiting[side] = keep
+        self._arm(self._next_deadline(waiting), fired=True)
         yield _frame(out, ["key", "l_id", "l_ts", "r_id", "r_ts", "status"],
                      ["l_id", "l_ts", "r_id", "r_ts"])
 
@@ -194,7 +227,7 @@ def reconcile_exact(left: DataFrame, right: DataFrame, key: str, id_col: str, et
 
 
 # ------------------------------------------------------------------ C1/C4
-class FollowedByProcessor(StatefulProcessor):
+class FollowedByProcessor(_SingleTimer, StatefulProcessor):
     """C1/C4 exact: open ``first`` rows wait for a ``then`` row; a ``then``
     row completes every open ``first`` row less than ``within`` before it (no
     skip).  A ``first`` row still open at ``ts + within`` times out."""
@@ -203,7 +236,7 @@ class FollowedByProcessor(StatefulProcessor):
         self.within = within_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
+        self._init_timer(handle)
         self.open = handle.getListState("open", "id long, ts long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
@@ -224,16 +257,16 @@ class FollowedByProcessor(StatefulProcessor):
                 opened = still
             if r.is_first:
                 opened.append((int(r.id), ts))
-                self.handle.registerTimer(_timer_ms(ts + self.within))
         if opened:
             self.open.put(opened)
         else:
             self.open.clear()
+        self._arm(min(t for _, t in opened) + self.within if opened else None)
         yield _frame(out, ["key", "first_id", "first_ts", "then_id", "then_ts", "kind"],
                      ["first_id", "first_ts", "then_id", "then_ts"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        t_us = expiredTimerInfo.getExpiryTimeInMs() * 1000
+        t_us = self._due_us(timerValues, expiredTimerInfo)
         opened = [tuple(v) for v in self.open.get()] if self.open.exists() else []
         out, keep = [], []
         for oid, ots in opened:
@@ -246,6 +279,7 @@ class FollowedByProcessor(StatefulProcessor):
             self.open.put(keep)
         else:
             self.open.clear()
+        self._arm(min(t for _, t in keep) + self.within if keep else None, fired=True)
         yield _frame(out, ["key", "first_id", "first_ts", "then_id", "then_ts", "kind"],
                      ["first_id", "first_ts", "then_id", "then_ts"])
 
@@ -303,7 +337,7 @@ def state_machine_exact(stream: DataFrame, key: str, id_col: str, et: str, event
 
 
 # ------------------------------------------------------------------ N3
-class BufferFlushProcessor(StatefulProcessor):
+class BufferFlushProcessor(_SingleTimer, StatefulProcessor):
     """Buffer a key's rows in list state; an event-time timer at
     the next multiple of ``every`` flushes (and clears) the due rows."""
 
@@ -311,30 +345,35 @@ class BufferFlushProcessor(StatefulProcessor):
         self.every = every_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
+        self._init_timer(handle)
         self.buf = handle.getListState("buf", "id long, ts long")
 
+    def _flush_of(self, ts_us: int) -> int:
+        return (ts_us // self.every + 1) * self.every
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _sorted(rows, ["ts", "id"])
         new = [(int(i), int(t)) for i, t in zip(pdf["id"], pdf["ts"])]
-        for flush in {(t // self.every + 1) * self.every for _, t in new}:
-            self.handle.registerTimer(_timer_ms(flush))
+        first_new = self._flush_of(new[0][1])
+        cur = self.armed.get()[0] * 1000 if self.armed.exists() else None
+        if cur is None or first_new < cur:
+            self._arm(first_new)
         self.buf.appendList(new)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        t_us = expiredTimerInfo.getExpiryTimeInMs() * 1000
-        items = sorted(tuple(v) for v in self.buf.get()) if self.buf.exists() else []
-        due = sorted([v for v in items if (v[1] // self.every + 1) * self.every <= t_us],
-                     key=lambda v: (v[1], v[0]))
-        keep = [v for v in items if (v[1] // self.every + 1) * self.every > t_us]
+        t_us = self._due_us(timerValues, expiredTimerInfo)
+        items = [tuple(v) for v in self.buf.get()] if self.buf.exists() else []
+        due = sorted([v for v in items if self._flush_of(v[1]) <= t_us], key=lambda v: (v[1], v[0]))
+        keep = [v for v in items if self._flush_of(v[1]) > t_us]
         if keep:
             self.buf.put(keep)
         else:
             self.buf.clear()
+        self._arm(min(self._flush_of(t) for _, t in keep) if keep else None, fired=True)
         out, pos = [], {}
         for vid, vts in due:
-            f = (vts // self.every + 1) * self.every
+            f = self._flush_of(vts)
             pos[f] = pos.get(f, 0) + 1
             out.append({"key": key[0], "id": vid, "ts": vts, "flush_ts": f, "position": pos[f]})
         yield _frame(out, ["key", "id", "ts", "flush_ts", "position"], ["id", "ts", "flush_ts", "position"])
