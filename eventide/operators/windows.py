@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .sequence import KeyedSequence
 
 
-def _dur(d) -> str:
+def duration(d) -> str:
     """Durations are Spark interval strings ('30 seconds') or seconds (int)."""
     if isinstance(d, (int, float)):
         return f"{int(d)} seconds" if float(d).is_integer() else f"{int(d * 1_000_000)} microseconds"
@@ -24,19 +24,19 @@ def _dur(d) -> str:
 def tumbling(ts: str | Column, size, offset=None) -> Column:
     """Tumbling window struct; ``offset`` shifts window starts."""
     if offset is None:
-        return F.window(ts, _dur(size))
-    return F.window(ts, _dur(size), _dur(size), _dur(offset))
+        return F.window(ts, duration(size))
+    return F.window(ts, duration(size), duration(size), duration(offset))
 
 
 def sliding(ts: str | Column, size, slide, offset=None) -> Column:
     """Sliding windows; each row lands in ``size / slide`` windows."""
     if offset is None:
-        return F.window(ts, _dur(size), _dur(slide))
-    return F.window(ts, _dur(size), _dur(slide), _dur(offset))
+        return F.window(ts, duration(size), duration(slide))
+    return F.window(ts, duration(size), duration(slide), duration(offset))
 
 
 def assign(ts: str | Column, size, slide=None, offset=None) -> Column:
-    if slide is None or _dur(slide) == _dur(size):
+    if slide is None or duration(slide) == duration(size):
         return tumbling(ts, size, offset)
     return sliding(ts, size, slide, offset)
 

@@ -16,7 +16,7 @@ from ..operators import windows as W
 
 def watermarked(df: DataFrame, et: str, delay=0) -> DataFrame:
     """Ascending time (delay 0) or bounded out-of-orderness."""
-    return df.withWatermark(et, W._dur(delay) if delay else "0 seconds")
+    return df.withWatermark(et, W.duration(delay) if delay else "0 seconds")
 
 
 def windowed_counts(df: DataFrame, et: str, keys: list[str], size, slide=None, offset=None,
@@ -59,7 +59,7 @@ def running_counts(df: DataFrame, keys: list[str], name: str = "cnt") -> DataFra
 def sessions(df: DataFrame, et: str, keys: list[str], gap, delay=0) -> DataFrame:
     """W5 stream: session windows; append mode."""
     return (watermarked(df, et, delay)
-            .groupBy(*keys, F.session_window(et, W._dur(gap)).alias("s"))
+            .groupBy(*keys, F.session_window(et, W.duration(gap)).alias("s"))
             .agg(F.count(F.lit(1)).alias("n_events"))
             .select(*keys, F.col("s.start").alias("session_start"),
                     F.col("s.end").alias("session_end"), "n_events"))

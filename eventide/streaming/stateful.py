@@ -218,7 +218,7 @@ def reconcile_exact(left: DataFrame, right: DataFrame, key: str, id_col: str, et
     def side(df, tag):
         return df.select(F.col(key).alias("key"), F.lit(tag).alias("side"),
                          F.col(id_col).alias("id"), _us(et).alias("ts"), F.col(et))
-    u = side(left, "left").unionByName(side(right, "right")).withWatermark(et, W._dur(delay or 0))
+    u = side(left, "left").unionByName(side(right, "right")).withWatermark(et, W.duration(delay or 0))
     within_us = int(round(W.seconds(within) * 1_000_000))
     out = u.groupBy("key").transformWithStateInPandas(
         ReconcileProcessor(within_us),
@@ -294,7 +294,7 @@ def followed_by_exact(stream: DataFrame, key: str, id_col: str, et: str, first,
     src = stream.select(F.col(key).alias("key"), F.col(id_col).alias("id"), _us(et).alias("ts"),
                         first.alias("is_first"), then.alias("is_then"), F.col(et))
     within_us = int(round(W.seconds(within) * 1_000_000))
-    return src.withWatermark(et, W._dur(delay or 0)).groupBy("key").transformWithStateInPandas(
+    return src.withWatermark(et, W.duration(delay or 0)).groupBy("key").transformWithStateInPandas(
         FollowedByProcessor(within_us),
         "key long, first_id long, first_ts long, then_id long, then_ts long, kind string",
         "Append", "EventTime")
@@ -387,7 +387,7 @@ def buffer_flush_exact(stream: DataFrame, key: str, id_col: str, et: str, every,
     src = stream.select(F.col(key).alias("key"), F.col(id_col).alias("id"), _us(et).alias("ts"),
                         F.col(et))
     every_us = int(round(W.seconds(every) * 1_000_000))
-    return src.withWatermark(et, W._dur(delay or 0)).groupBy("key").transformWithStateInPandas(
+    return src.withWatermark(et, W.duration(delay or 0)).groupBy("key").transformWithStateInPandas(
         BufferFlushProcessor(every_us), "key long, id long, ts long, flush_ts long, position long",
         "Append", "EventTime")
 
