@@ -418,7 +418,9 @@ class TtlValueProcessor(StatefulProcessor):
 
 
 def ttl_previous(stream: DataFrame, key: str, id_col: str, et: str, ttl) -> DataFrame:
-    """V4 (processing-time mode; TTL is refused in event-time mode)."""
+    """V4 (processing-time mode; TTL is refused in event-time mode).  Such a
+    query keeps running eviction batches: stop it explicitly rather than
+    waiting in ``processAllAvailable``."""
     src = stream.select(F.col(key).alias("key"), F.col(id_col).alias("id"), _us(et).alias("ts"))
     ttl_ms = int(round(W.seconds(ttl) * 1000))
     return src.groupBy("key").transformWithStateInPandas(

@@ -11,8 +11,10 @@ SF01 = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
     from eventide.session import build_session
-    s = build_session(shuffle_partitions=8)
+    s = build_session(shuffle_partitions=8, extra={
+        "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="warehouse-", dir="/tmp")})
     yield s
     s.stop()
 
