@@ -103,15 +103,19 @@ class KeyedSequence:
 
     def _assign_chunks(self, df: DataFrame, total: int, chunk_rows: int) -> DataFrame:
         n = min(MAX_CHUNKS, max(1, math.ceil(total / max(chunk_rows, 1))))
-        self.chunked = True
         if n == 1:
+            # Everything fits one chunk (at most chunk_rows rows): one bounded
+            # task, no carry table needed.
+            self.chunked = False
             return df.withColumn(CHUNK, F.lit(0))
+        self.chunked = True
         x = "_order_x"
         with_x = df.withColumn(x, order_micros(df, self.order[0]).cast("double"))
         probs = [i / n for i in range(1, n)]
         splits = with_x.filter(self.hot_filter).approxQuantile(x, probs, min(0.01, 0.25 / n))
         cuts = sorted(set(s for s in splits if s is not None))
         if not cuts:
+            self.chunked = False
             return df.withColumn(CHUNK, F.lit(0))
         from pyspark.ml.feature import Bucketizer
         bucketed = Bucketizer(splits=[-math.inf] + cuts + [math.inf], inputCol=x,
