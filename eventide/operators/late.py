@@ -47,11 +47,20 @@ def late_split(df: DataFrame, ts: str, arrival: list[str], size, slide=None, off
     return d.withColumn("route", route)
 
 
-def late_window_counts(routed: DataFrame, keys: list[str] = ()) -> DataFrame:
-    """T5: the corrected per-window result — rows not too late, split into
-    those counted on time and those counted by a late firing."""
-    kept = routed.filter(F.col("route") != TOO_LATE)
-    return (kept.groupBy(*keys, "window_start", "window_end")
-            .agg(F.count(F.when(F.col("route") == ON_TIME, 1)).alias("n_on_time"),
-                 F.count(F.when(F.col("route") == LATE, 1)).alias("n_late"),
-                 F.count(F.lit(1)).alias("n_total")))
+def late_window_counts(routed: DataFrame, ts: str, size, slide=None, offset=None, lateness=0,
+                       keys: list[str] = ()) -> DataFrame:
+    """T5: the corrected per-window result.  Every window a row belongs to
+    (one for tumbling, ``size / slide`` for sliding) decides on its own:
+    on time if the row's watermark is before the window end, counted by a
+    late firing if within ``lateness`` after it, otherwise not counted."""
+    w = W.assign(ts, size, slide, offset)
+    d = routed.select(*keys, "watermark", w.alias("window"))
+    wm, end = F.col("watermark"), F.col("window.end")
+    d = d.withColumn("_st", F.when(wm.isNull() | (wm < end), F.lit(ON_TIME))
+                     .when(wm < end + W.interval(lateness), F.lit(LATE)))
+    return (d.filter(F.col("_st").isNotNull())
+            .groupBy(*keys, "window")
+            .agg(F.count(F.when(F.col("_st") == ON_TIME, 1)).alias("n_on_time"),
+                 F.count(F.when(F.col("_st") == LATE, 1)).alias("n_late"),
+                 F.count(F.lit(1)).alias("n_total"))
+            .select(*keys, *W.bounds(), "n_on_time", "n_late", "n_total"))

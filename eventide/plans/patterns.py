@@ -188,7 +188,7 @@ SELECT window_start, window_end,
 FROM r WHERE route <> 'too_late' GROUP BY 1, 2""")
 def late_window_counts(spark, sf_dir):
     """T5: per-window counts including late firings, excluding too-late rows."""
-    return L.late_window_counts(_late(spark, sf_dir))
+    return L.late_window_counts(_late(spark, sf_dir), "ts", "30 minutes", lateness="10 minutes")
 
 
 @query("topn_arrival_window", """

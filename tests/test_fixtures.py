@@ -18,7 +18,8 @@ def ts_frame(spark, data, schema):
 
 
 def ms(col):
-    return F.timestamp_millis(F.col(col)).cast("timestamp_ntz")
+    c = F.col(col) if isinstance(col, str) else col
+    return F.timestamp_millis(c).cast("timestamp_ntz")
 
 
 # ---- F1 / X1: reconciliation --------------------------------------------
@@ -157,6 +158,22 @@ def test_x7_late_rule(spark):
     assert routes == {0: "on_time", 1: "on_time", 2: "late", 3: "on_time", 4: "too_late"}
 
 
+def test_late_rule_sliding_windows(spark):
+    # window 30 s sliding by 10 s, lateness 5 s.  Row 2 (ts 5 s) arrives after
+    # ts 32 s: its windows end at 10, 20, 30 s; the last (30 s) is still open
+    # for late rows, so the row is late, counted only in [0 s, 30 s).
+    df = spark.createDataFrame([(0, 1), (1, 32), (2, 5), (3, 40), (4, 6)], "id long, s long") \
+        .withColumn("ts", ms(F.col("s") * 1000))
+    routed = L.late_split(df, "ts", ["id"], 30, slide=10, lateness=5)
+    assert {r.id: r.route for r in routed.collect()} == \
+        {0: "on_time", 1: "on_time", 2: "late", 3: "on_time", 4: "too_late"}
+    counts = {(r.window_start.second if r.window_start.minute == 0 else r.window_start.second - 60,
+               r.n_on_time, r.n_late)
+              for r in L.late_window_counts(routed, "ts", 30, slide=10, lateness=5).collect()}
+    assert (0, 1, 1) in counts          # [0, 30): row 0 on time, row 2 late
+    assert (-20, 1, 0) in counts        # [-20, 10): only row 0; rows 2, 4 too late there
+
+
 def test_late_split_chunked_equals_plain(spark):
     from eventide.sources.tables import events
     ev = events(spark, "/root/testdata/sf0.01").select("event_id", "ts")
