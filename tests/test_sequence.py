@@ -95,3 +95,35 @@ def test_hot_key_third_of_rows_is_split(spark):
     w = Window.partitionBy("user_id").orderBy(*ORDER)
     want = e.select("event_id", F.row_number().over(w).cast("long").alias("rc"))
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_too_many_hot_keys_chunks_every_key(spark, monkeypatch):
+    from eventide.operators import sequence as S
+    monkeypatch.setattr(S, "MAX_HOT_KEYS", 5)
+    e = ev(spark).select("event_id", "user_id", "ts")
+    plain = A.running_count(e, ["user_id"], ORDER)
+    seq = KeyedSequence(["user_id"], ORDER, hot_rows=20, chunk_rows=500)
+    d = seq.prepare(e)
+    assert seq.chunked
+    got = seq.finish(seq.running(d, {"running_count": ("count", F.lit(1))}))
+    assert rows(plain) == rows(got)
+
+
+def test_multi_column_keys(spark):
+    e = ev(spark).select("event_id", "user_id", "event_type", "ts")
+    plain = A.running_count(e, ["user_id", "event_type"], ORDER)
+    chunked = A.running_count(e, ["user_id", "event_type"], ORDER, hot_rows=10, chunk_rows=200)
+    assert rows(plain) == rows(chunked)
+
+
+def test_rule_enrichment_large_rule_path(spark, monkeypatch):
+    from eventide.operators import joins as J
+    from eventide.plans.joined import rules_frame
+    e = ev(spark).select("event_id", "user_id", "ts", "event_type")
+    small = J.previous_with_rule(e, rules_frame(spark), ["user_id"], ORDER, "ts", ["event_id", "event_type"])
+    monkeypatch.setattr(J, "MAX_BROADCAST_RULES", 0)
+    large = J.previous_with_rule(e, rules_frame(spark), ["user_id"], ORDER, "ts", ["event_id", "event_type"],
+                                 chunk_rows=1500)
+    cols = ["event_id", F.col("prev.event_id").alias("p"), F.col("rule.rule_prev").alias("a"),
+            F.col("rule.rule_next").alias("b")]
+    assert rows(small.select(*cols)) == rows(large.select(*cols))
