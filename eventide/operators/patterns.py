@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
 from . import windows as W
 from .sequence import CHUNK, KeyedSequence
 
@@ -177,7 +178,7 @@ def run_state_machine(df: DataFrame, keys: list[str], order: list[str], event_co
     if emit_maps:
         # Read twice below (chunk summaries, rows): cut the lineage once
         # instead of running the Python scan twice.
-        d = d.checkpoint(eager=True)
+        d = cut_lineage(d)
         from pyspark.sql import Window
         last = (d.groupBy(*parts)
                 .agg(F.max_by("_pf", F.struct(*[F.col(c) for c in order])).alias("_tot")))

@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
+
 CHUNK = "_chunk"
 HOT_ROWS_CONF = "eventide.sequence.hotKeyRows"
 CHUNK_ROWS_CONF = "eventide.sequence.chunkRows"
@@ -76,7 +78,7 @@ class KeyedSequence:
         and scan passes read it instead of recomputing its shuffles."""
         spark = df.sparkSession
         if self.materialize:
-            df = df.checkpoint(eager=True)
+            df = cut_lineage(df)
         hot_rows = int(self.hot_rows or spark.conf.get(HOT_ROWS_CONF, str(DEFAULT_HOT_ROWS)))
         chunk_rows = int(self.chunk_rows or spark.conf.get(CHUNK_ROWS_CONF, str(DEFAULT_CHUNK_ROWS)))
         if not self.keys:

@@ -62,3 +62,10 @@ def state_location(spark: SparkSession, name: str) -> str:
 
 def num_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def cut_lineage(df):
+    """Write ``df`` to the shared checkpoint folder and continue from there
+    (reliable checkpoint: survives executor loss, unlike a local one)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
