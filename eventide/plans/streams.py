@@ -330,3 +330,19 @@ def stream_strict_sequence(spark, sf_dir):
     """C3 exact on a stream: value > 40, > 60, > 80 on consecutive rows."""
     return _sequence(spark, sf_dir, "strict_sequence",
                      [F.col("value") > 40, F.col("value") > 60, F.col("value") > 80])
+
+
+@query("stream_running_max_count", ORACLE["running_max_count"])
+def stream_running_max_count(spark, sf_dir):
+    """A2 on a stream: the exact per-row running count (value state) and the
+    running max over all rows so far (per-batch prefix max + carried max)."""
+    ev = events(spark, sf_dir).select("event_id", "user_id", "ts")
+
+    def build(s):
+        rc = ST.running_count_exact(with_event_time(s), "user_id", "event_id", "et")
+        return rc.select(F.col("id").alias("event_id"), F.col("key").alias("user_id"),
+                         F.col("ts").alias("ts_us"), "running_count")
+    writer = lambda path: K.RunningMaxWriter("running_count", ["ts_us", "event_id"],
+                                             K.parquet_writer(path), name="max_count")
+    out = _run(spark, "running_max", ev, ORDER, build, batch_fn=writer)
+    return out.select("event_id", "user_id", _ts("ts_us").alias("ts"), "running_count", "max_count")

@@ -83,65 +83,70 @@ def parquet_writer(path: str):
     return write
 
 
-class LateRouter:
-    """T6 exact on a stream: route each row by the highest event time that
-    arrived *before it* — across micro-batches through a one-number state
-    file per batch, inside a batch through the chunked prefix max of the
-    batch operator.  Gives the same routes as the batch
-    :func:`eventide.operators.late.late_split` over the arrival order.
+class BatchScalarState:
+    """One number per micro-batch in a shared folder: the value after batch
+    ``n`` is written once the batch's output is written, and batch ``n``
+    reads the value of the latest earlier batch, so a replayed batch sees
+    exactly what it saw the first time."""
 
-    ``state_dir`` must be on shared storage (default: under
-    ``spark.checkpoint.dir``).  The state of batch ``n`` is written after the
-    batch, so a replayed batch reads the state of ``n - 1`` again."""
+    def __init__(self, name: str, state_dir: str | None = None):
+        self.name, self.state_dir = name, state_dir
 
-    def __init__(self, ts: str, arrival: list[str], size, out, slide=None, offset=None, delay=0,
-                 lateness=0, state_dir: str | None = None):
-        self.ts, self.arrival, self.size, self.slide, self.offset = ts, arrival, size, slide, offset
-        self.delay, self.lateness, self.out, self.state_dir = delay, lateness, out, state_dir
+    def _fs(self, spark, path: str):
+        jvm = spark.sparkContext._jvm
+        hp = jvm.org.apache.hadoop.fs.Path(path)
+        return hp, hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _path(self, spark, batch_id: int) -> str:
+    def _dir(self, spark) -> str:
         if self.state_dir is None:
-            self.state_dir = state_location(spark, "late-router")
-        return os.path.join(self.state_dir, f"max-{batch_id}.json")
+            self.state_dir = state_location(spark, self.name)
+        return self.state_dir
 
-    def _read_before(self, spark, batch_id: int):
-        """The state written by the latest batch before ``batch_id`` (batches
-        without data are not always run, so ids can have gaps)."""
-        jvm = spark.sparkContext._jvm
-        base = jvm.org.apache.hadoop.fs.Path(os.path.dirname(self._path(spark, 0)))
-        fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    def read_before(self, spark, batch_id: int):
+        base, fs = self._fs(spark, self._dir(spark))
         if not fs.exists(base):
             return None
         ids = []
         for st in fs.listStatus(base):
             name = st.getPath().getName()
-            if name.startswith("max-") and name.endswith(".json"):
-                i = int(name[4:-5])
-                if i < batch_id:
-                    ids.append(i)
+            if name.startswith("v-") and name.endswith(".json") and int(name[2:-5]) < batch_id:
+                ids.append(int(name[2:-5]))
         if not ids:
             return None
-        hp = jvm.org.apache.hadoop.fs.Path(self._path(spark, max(ids)))
+        hp, fs = self._fs(spark, os.path.join(self._dir(spark), f"v-{max(ids)}.json"))
         stream = fs.open(hp)
         try:
-            raw = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            raw = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
-        return json.loads(raw)["max"]
+        return json.loads(raw)["value"]
 
-    def _write(self, spark, batch_id: int, value) -> None:
-        jvm = spark.sparkContext._jvm
-        hp = jvm.org.apache.hadoop.fs.Path(self._path(spark, batch_id))
-        fs = hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    def write(self, spark, batch_id: int, value) -> None:
+        hp, fs = self._fs(spark, os.path.join(self._dir(spark), f"v-{batch_id}.json"))
         stream = fs.create(hp, True)
         try:
-            stream.write(bytearray(json.dumps({"max": value}).encode()))
+            stream.write(bytearray(json.dumps({"value": value}).encode()))
         finally:
             stream.close()
 
+
+class LateRouter:
+    """T6 exact on a stream: route each row by the highest event time that
+    arrived *before it* — across micro-batches through :class:`BatchScalarState`,
+    inside a batch through the chunked prefix max of the batch operator.
+    Gives the same routes as :func:`eventide.operators.late.late_split` over
+    the arrival order.  ``state_dir`` must be on shared storage (default:
+    under ``spark.checkpoint.dir``)."""
+
+    def __init__(self, ts: str, arrival: list[str], size, out, slide=None, offset=None, delay=0,
+                 lateness=0, state_dir: str | None = None):
+        self.ts, self.arrival, self.size, self.slide, self.offset = ts, arrival, size, slide, offset
+        self.delay, self.lateness, self.out = delay, lateness, out
+        self.state = BatchScalarState("late-router", state_dir)
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        prev = self._read_before(spark, batch_id)
+        prev = self.state.read_before(spark, batch_id)
         init = None
         if prev is not None:
             init = F.timestamp_micros(F.lit(prev)).cast(batch.schema[self.ts].dataType)
@@ -153,11 +158,40 @@ class LateRouter:
             m = batch.agg(F.max(order_micros(batch, self.ts))).first()[0]
             if prev is not None and (m is None or prev > m):
                 m = prev
-            self._write(spark, batch_id, m)
+            self.state.write(spark, batch_id, m)
         finally:
             routed.unpersist()
 
 
+class RunningMaxWriter:
+    """A2 on a stream: the running max of ``col`` over all rows so far, one
+    output per row.  Spark refuses a second aggregation over an update
+    stream, so each micro-batch takes its chunked prefix max (in ``order``)
+    and adds the max of the earlier batches (:class:`BatchScalarState`)."""
+
+    def __init__(self, col: str, order: list[str], out, name: str = "running_max",
+                 state_dir: str | None = None):
+        self.col, self.order, self.out, self.name = col, order, out, name
+        self.state = BatchScalarState("running-max", state_dir)
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        from ..operators import aggregates as A
+        spark = batch.sparkSession
+        prev = self.state.read_before(spark, batch_id)
+        d = A.running_max(batch, self.col, self.order, name=self.name)
+        if prev is not None:
+            d = d.withColumn(self.name, F.greatest(F.col(self.name), F.lit(prev)))
+        d.persist()
+        try:
+            self.out(d, batch_id)
+            m = batch.agg(F.max(self.col)).first()[0]
+            if prev is not None and (m is None or prev > m):
+                m = prev
+            self.state.write(spark, batch_id, m)
+        finally:
+            d.unpersist()
+
+
 def to_table(df: DataFrame, table: str, name: str | None = None, output_mode: str = "append",
              trigger: dict | None = None, checkpoint: str | None = None):
     """K2: insert a stream into a catalog table (``toTable``); for a batch
