@@ -188,7 +188,7 @@ def lateral_first_char(spark, sf_dir):
     """J7 + U2 + U3: SQL with a registered scalar function and a lateral
     table function."""
     U.register_sql_functions(spark)
-    read_table(spark, sf_dir, "customer").createOrReplaceTempView("customer")
     return spark.sql("""
         SELECT c_custkey, c_name AS name, SELFFUNC(c_name) AS self, t.nam, t.ag
-        FROM customer, LATERAL SELFTABLEFUNC(c_name) AS t""")
+        FROM {customer}, LATERAL SELFTABLEFUNC(c_name) AS t""",
+                     customer=read_table(spark, sf_dir, "customer"))

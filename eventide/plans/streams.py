@@ -174,11 +174,11 @@ def stream_sql_tumble_sum(spark, sf_dir):
     ev = events(spark, sf_dir).select("event_id", "ts", "event_type", "props")
 
     def build(s):
-        with_event_time(s).withWatermark("et", "0 seconds").createOrReplaceTempView("events_stream")
         return s.sparkSession.sql("""
             SELECT event_type AS key, window.start AS window_start, window.end AS window_end,
                    sum(CAST(get_json_object(props, '$.k') AS BIGINT)) AS cnt
-            FROM events_stream GROUP BY event_type, window(et, '1 hour')""")
+            FROM {stream} GROUP BY event_type, window(et, '1 hour')""",
+                                  stream=with_event_time(s).withWatermark("et", "0 seconds"))
     out = _run(spark, "sql_tumble", ev, ORDER, build)
     return out.select("key", F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                       F.col("window_end").cast("timestamp_ntz").alias("window_end"), "cnt")

@@ -51,8 +51,8 @@ SELECT user_id, CAST(sum(1) AS BIGINT) AS cnt FROM events GROUP BY user_id
 """)
 def count_by_key(spark, sf_dir):
     """SQL ``sum(1) group by name``."""
-    events(spark, sf_dir).createOrReplaceTempView("events")
-    return spark.sql("SELECT user_id, sum(1) AS cnt FROM events GROUP BY user_id")
+    return spark.sql("SELECT user_id, sum(1) AS cnt FROM {events} GROUP BY user_id",
+                     events=events(spark, sf_dir))
 
 
 @query("sum_by_key", f"""
@@ -71,12 +71,11 @@ FROM events GROUP BY 1, 2, 3
 """)
 def sql_tumble_sum(spark, sf_dir):
     """A7 + W6: SQL sum per key per 1 h tumbling window."""
-    events(spark, sf_dir).createOrReplaceTempView("events")
     return spark.sql("""
         SELECT event_type AS key, window.start AS window_start, window.end AS window_end,
                sum(CAST(get_json_object(props, '$.k') AS BIGINT)) AS cnt
-        FROM events
-        GROUP BY event_type, window(ts, '1 hour')""")
+        FROM {events}
+        GROUP BY event_type, window(ts, '1 hour')""", events=events(spark, sf_dir))
 
 
 _RUNNING = """

@@ -160,9 +160,9 @@ def _route_split(s, p):
     lo, mid = _p(p, "low", 5.0), _p(p, "mid", 7.0)
     routed = R.route_split(s.select("event_id", "user_id", "value"), "value",
                            [("low", lo), ("mid", mid)], "high")
+    # each route gets its own output slot (``<batch>-<route>``)
     return Job(routed, batch=lambda out: K.routed_writer(
-        "route", {r: (lambda df, i, r=r: out(df.withColumn("route", F.lit(r)), i))
-                  for r in ("low", "mid", "high")}))
+        "route", {r: (lambda df, i, r=r: out(df, f"{i}-{r}")) for r in ("low", "mid", "high")}))
 
 
 @job("followed_by", "C1/C4/O3: first type followed by the second within a limit, and timeouts")
@@ -195,11 +195,11 @@ def _buffer_flush(s, p):
 
 @job("sql_tumble", "A7/W6/T4/S4: SQL keyed sum per tumbling window over a streaming view")
 def _sql_tumble(s, p):
-    s.withWatermark("et", _p(p, "delay", "5 seconds")).createOrReplaceTempView("events_stream")
     return Job(s.sparkSession.sql(f"""
         SELECT event_type AS key, window.start AS window_start, window.end AS window_end,
                sum(CAST(get_json_object(props, '$.k') AS BIGINT)) AS cnt
-        FROM events_stream GROUP BY event_type, window(et, '{_p(p, "size", "1 second")}')"""))
+        FROM {{stream}} GROUP BY event_type, window(et, '{_p(p, "size", "1 second")}')""",
+                                  stream=s.withWatermark("et", _p(p, "delay", "5 seconds"))))
 
 
 @job("sessions", "W5: session windows per user")
@@ -210,10 +210,9 @@ def _sessions(s, p):
 @job("sql_functions", "J7/U1-U3: registered scalar and lateral table functions in SQL")
 def _sql_functions(s, p):
     U.register_sql_functions(s.sparkSession)
-    s.select(F.col("event_type").alias("name")).createOrReplaceTempView("names_stream")
     return Job(s.sparkSession.sql(
-        "SELECT name, SELFFUNC(name) AS self, t.nam, t.ag FROM names_stream, "
-        "LATERAL SELFTABLEFUNC(name) AS t"))
+        "SELECT name, SELFFUNC(name) AS self, t.nam, t.ag FROM {names}, "
+        "LATERAL SELFTABLEFUNC(name) AS t", names=s.select(F.col("event_type").alias("name"))))
 
 
 @job("jdbc_counts", "K4: running counts per user appended to a JDBC table (--param url=..)")

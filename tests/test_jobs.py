@@ -35,3 +35,13 @@ def test_jdbc_job(spark, source):
     from eventide.sources.jdbc import read_jdbc
     got = read_jdbc(spark, url, "user_counts", properties={"driver": params["prop.driver"]})
     assert got.count() > 0
+
+
+def test_route_split_job_keeps_every_route(spark, source):
+    out = tempfile.mkdtemp(prefix="job-routes-", dir="/tmp") + "/o"
+    q = run(spark, "route_split", source, sink="parquet", out=out, available_now=True,
+            params={"low": "20", "mid": "50"})
+    q.awaitTermination(300)
+    got = spark.read.parquet(out)
+    assert got.count() == 1000
+    assert {r.route for r in got.select("route").distinct().collect()} == {"low", "mid", "high"}
