@@ -44,32 +44,28 @@ def _sorted(rows: Iterator[pd.DataFrame], by: list[str]) -> pd.DataFrame:
 
 
 class _SingleTimer:
-    """At most one registered event-time timer per key, at the earliest
-    pending deadline: a firing handles every deadline the watermark has
-    passed and re-arms for the next one (instead of one timer per row)."""
+    """One event-time timer per key while it has pending rows: registered when
+    the key's pending rows go from none to some, re-armed by each firing for
+    the earliest remaining deadline.  A firing that finds nothing due (its rows
+    were matched meanwhile) just re-arms, so no timer bookkeeping state is
+    kept; registering an existing timer again is a no-op."""
 
     def _init_timer(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.armed = handle.getValueState("timer", "t long")
-
-    def _arm(self, deadline_us: int | None, fired: bool = False) -> None:
-        cur = None if fired or not self.armed.exists() else self.armed.get()[0]
-        want = None if deadline_us is None else _timer_ms(deadline_us)
-        if cur == want and not fired:
-            return
-        if cur is not None:
-            self.handle.deleteTimer(cur)
-        if want is None:
-            self.armed.clear()
-        else:
-            self.handle.registerTimer(want)
-            self.armed.update((want,))
+
+    def _arm(self, deadline_us: int | None) -> None:
+        if deadline_us is not None:
+            self.handle.registerTimer(_timer_ms(deadline_us))
 
     @staticmethod
     def _due_us(timerValues, expiredTimerInfo) -> int:
         return max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs()) * 1000
 
 
+def _items(state) -> list[tuple]:
+    return [tuple(v) for v in state.get()]
+
+
 # ------------------------------------------------------------------ A1
 class RunningCountProcessor(StatefulProcessor):
     """A1 exact: one output row per input row with the key's running count."""
@@ -79,7 +75,8 @@ class RunningCountProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _sorted(rows, ["ts", "id"])
-        base = self.count.get()[0] if self.count.exists() else 0
+        v = self.count.get()
+        base = v[0] if v else 0
         n = base + np.arange(1, len(pdf) + 1, dtype=np.int64)
         self.count.update((int(n[-1]),))
         yield pd.DataFrame({"key": key[0], "id": pdf["id"].to_numpy(), "ts": pdf["ts"].to_numpy(),
@@ -105,7 +102,7 @@ class PreviousEventProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _sorted(rows, ["ts", "id"])
-        p = self.prev.get() if self.prev.exists() else (None, None, None)
+        p = self.prev.get() or (None, None, None)
         out = []
         for r in pdf.itertuples(index=False):
             out.append({"key": key[0], "id": r.id, "ts": r.ts, "type": r.type,
@@ -146,7 +143,7 @@ class ReconcileProcessor(_SingleTimer, StatefulProcessor):
                      "right": handle.getListState("right", "id long, ts long")}
 
     def _load(self, side):
-        return [tuple(v) for v in self.wait[side].get()] if self.wait[side].exists() else []
+        return _items(self.wait[side])
 
     def _store(self, side, vals):
         if vals:
@@ -165,6 +162,7 @@ class ReconcileProcessor(_SingleTimer, StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _sorted(rows, ["ts", "id"])
         waiting = {"left": self._load("left"), "right": self._load("right")}
+        had_pending = bool(waiting["left"] or waiting["right"])
         out = []
         for r in pdf.itertuples(index=False):
             me, other = r.side, ("right" if r.side == "left" else "left")
@@ -183,7 +181,8 @@ class ReconcileProcessor(_SingleTimer, StatefulProcessor):
                 waiting[me].append((int(r.id), int(r.ts)))
         for side in ("left", "right"):
             self._store(side, waiting[side])
-        self._arm(self._next_deadline(waiting))
+        if not had_pending:
+            self._arm(self._next_deadline(waiting))
         yield _frame(out, ["key", "l_id", "l_ts", "r_id", "r_ts", "status"],
                      ["l_id", "l_ts", "r_id", "r_ts"])
 
@@ -203,7 +202,7 @@ class ReconcileProcessor(_SingleTimer, StatefulProcessor):
                     keep.append((vid, vts))
             self._store(side, keep)
             waiting[side] = keep
-        self._arm(self._next_deadline(waiting), fired=True)
+        self._arm(self._next_deadline(waiting))
         yield _frame(out, ["key", "l_id", "l_ts", "r_id", "r_ts", "status"],
                      ["l_id", "l_ts", "r_id", "r_ts"])
 
@@ -241,7 +240,8 @@ class FollowedByProcessor(_SingleTimer, StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _sorted(rows, ["ts", "id"])
-        opened = [tuple(v) for v in self.open.get()] if self.open.exists() else []
+        opened = _items(self.open)
+        had_pending = bool(opened)
         out = []
         for r in pdf.itertuples(index=False):
             ts = int(r.ts)
@@ -261,13 +261,14 @@ class FollowedByProcessor(_SingleTimer, StatefulProcessor):
             self.open.put(opened)
         else:
             self.open.clear()
-        self._arm(min(t for _, t in opened) + self.within if opened else None)
+        if not had_pending:
+            self._arm(min(t for _, t in opened) + self.within if opened else None)
         yield _frame(out, ["key", "first_id", "first_ts", "then_id", "then_ts", "kind"],
                      ["first_id", "first_ts", "then_id", "then_ts"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         t_us = self._due_us(timerValues, expiredTimerInfo)
-        opened = [tuple(v) for v in self.open.get()] if self.open.exists() else []
+        opened = _items(self.open)
         out, keep = [], []
         for oid, ots in opened:
             if ots + self.within <= t_us:
@@ -279,7 +280,7 @@ class FollowedByProcessor(_SingleTimer, StatefulProcessor):
             self.open.put(keep)
         else:
             self.open.clear()
-        self._arm(min(t for _, t in keep) + self.within if keep else None, fired=True)
+        self._arm(min(t for _, t in keep) + self.within if keep else None)
         yield _frame(out, ["key", "first_id", "first_ts", "then_id", "then_ts", "kind"],
                      ["first_id", "first_ts", "then_id", "then_ts"])
 
@@ -312,7 +313,8 @@ class StateMachineProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _sorted(rows, ["ts", "id"])
-        s = self.state.get()[0] if self.state.exists() else self.fsm.sid[self.fsm.start]
+        v = self.state.get()
+        s = v[0] if v else self.fsm.sid[self.fsm.start]
         ev = pdf["ev"].to_numpy(dtype=np.int64)
         states = np.empty(len(ev), dtype=np.int64)
         for i, e in enumerate(ev):
@@ -354,23 +356,21 @@ class BufferFlushProcessor(_SingleTimer, StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _sorted(rows, ["ts", "id"])
         new = [(int(i), int(t)) for i, t in zip(pdf["id"], pdf["ts"])]
-        first_new = self._flush_of(new[0][1])
-        cur = self.armed.get()[0] * 1000 if self.armed.exists() else None
-        if cur is None or first_new < cur:
-            self._arm(first_new)
+        if not self.buf.exists():
+            self._arm(min(self._flush_of(t) for _, t in new))
         self.buf.appendList(new)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         t_us = self._due_us(timerValues, expiredTimerInfo)
-        items = [tuple(v) for v in self.buf.get()] if self.buf.exists() else []
+        items = _items(self.buf)
         due = sorted([v for v in items if self._flush_of(v[1]) <= t_us], key=lambda v: (v[1], v[0]))
         keep = [v for v in items if self._flush_of(v[1]) > t_us]
         if keep:
             self.buf.put(keep)
         else:
             self.buf.clear()
-        self._arm(min(self._flush_of(t) for _, t in keep) if keep else None, fired=True)
+        self._arm(min(self._flush_of(t) for _, t in keep) if keep else None)
         out, pos = [], {}
         for vid, vts in due:
             f = self._flush_of(vts)
@@ -405,7 +405,8 @@ class TtlValueProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _sorted(rows, ["ts", "id"])
-        prev = self.last.get()[0] if self.last.exists() else None
+        v = self.last.get()
+        prev = v[0] if v else None
         out = []
         for r in pdf.itertuples(index=False):
             out.append({"key": key[0], "id": int(r.id), "alive_id": prev})
@@ -443,7 +444,7 @@ class StrictSequenceProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         n = self.n
         pdf = _sorted(rows, ["ts", "id"])
-        hist = [tuple(v) for v in self.hist.get()] if self.hist.exists() else []
+        hist = _items(self.hist)
         out = []
         for r in pdf.itertuples(index=False):
             cur = (int(r.id), int(r.ts), *[bool(getattr(r, f"c{j}")) for j in range(n)])
