@@ -100,6 +100,21 @@ def _top_n(s, p):
                                                        _p(p, "n", 10), _p(p, "ascending", "") == "true"))
 
 
+@job("top_n_processing_time", "N2/W4: top n users per processing-time window (ingest time)")
+def _top_n_processing_time(s, p):
+    from .replay import with_ingest_time
+    counts = S.windowed_counts(with_ingest_time(s), "ingest_ts", ["user_id"], _p(p, "size", "5 seconds"))
+    return Job(counts, batch=lambda out: S.top_n_sink(out, ["window_start", "window_end"], "user_id",
+                                                       _p(p, "n", 5)))
+
+
+@job("late_window_counts", "T5: per-window counts re-emitted as late rows arrive (update mode)")
+def _late_window_counts(s, p):
+    from ..operators import windows as W
+    delay = W.seconds(_p(p, "delay", 0)) + W.seconds(_p(p, "lateness", "5 seconds"))
+    return Job(S.windowed_counts(s, "et", [], _p(p, "size", "30 seconds"), delay=delay), "update")
+
+
 @job("late_split", "T5/T6/O2: on-time / late / too-late routing by arrival order")
 def _late_split(s, p):
     return Job(s.select("event_id", "ts", F.current_timestamp().alias("arrival_ts")),
