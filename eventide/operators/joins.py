@@ -134,10 +134,12 @@ def previous_with_rule(ev: DataFrame, rules: DataFrame, keys: list[str], order:
     seq = KeyedSequence(list(keys), list(order), **seq_kw)
     d = seq.finish(seq.lag(seq.prepare(ev), cols, 1, prefix="_prev")).withColumnRenamed("_prev1", "prev")
     rule_cols = [c for c in rules.columns if c != rule_ts]
-    n_rules = rules.count()
-    if n_rules <= MAX_BROADCAST_RULES:
+    # One bounded read decides the path: at most MAX_BROADCAST_RULES + 1 starts.
+    found = (rules.select(_micros(rules, rule_ts).cast("double").alias("s"))
+             .limit(MAX_BROADCAST_RULES + 1).collect())
+    if len(found) <= MAX_BROADCAST_RULES:
         from pyspark.ml.feature import Bucketizer
-        starts = sorted({r[0] for r in rules.select(_micros(rules, rule_ts).cast("double")).collect()})
+        starts = sorted({r[0] for r in found if r[0] is not None})
         idx = rules.withColumn("_ri", F.lit(0))
         if starts:
             x = "_rx"
