@@ -10,6 +10,7 @@ windowed stream queries keep the windows that end by the last event time.
 
 from __future__ import annotations
 
+import math
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +26,8 @@ from ..streaming.replay import replay, with_event_time, write_replay_files
 from . import joined, patterns
 from .registry import ORACLE, query
 
-REPLAY_FILES = 8
+REPLAY_BATCHES = 8            # micro-batches per replay
+ROWS_PER_FILE = 1_000_000     # replay files stay small however big the table is
 ORDER = ["ts", "event_id"]
 
 
@@ -34,8 +36,9 @@ def _run(spark: SparkSession, name: str, source: DataFrame, order: list[str], bu
     """Replay ``source``, apply ``build`` to the stream, run it to the end of
     the input and return what the sink holds."""
     base = state_location(spark, name)
-    src = write_replay_files(source, os.path.join(base, "in"), REPLAY_FILES, order)
-    stream = replay(spark, src, source.schema)
+    n_files = max(REPLAY_BATCHES, math.ceil(source.count() / ROWS_PER_FILE))
+    src = write_replay_files(source, os.path.join(base, "in"), n_files, order)
+    stream = replay(spark, src, source.schema, math.ceil(n_files / REPLAY_BATCHES))
     out_path = os.path.join(base, "out")
     if batch_fn is None:
         out = build(stream)
