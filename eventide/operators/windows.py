@@ -14,8 +14,19 @@ from pyspark.sql import functions as F
 from .sequence import KeyedSequence
 
 
+def _as_number(d):
+    if isinstance(d, str):
+        try:
+            return float(d)
+        except ValueError:
+            return d
+    return d
+
+
 def duration(d) -> str:
-    """Durations are Spark interval strings ('30 seconds') or seconds (int)."""
+    """Durations are Spark interval strings ('30 seconds') or seconds (a
+    number, or a numeric string from a command line)."""
+    d = _as_number(d)
     if isinstance(d, (int, float)):
         return f"{int(d)} seconds" if float(d).is_integer() else f"{int(d * 1_000_000)} microseconds"
     return d
@@ -48,6 +59,7 @@ def bounds(win: str = "window") -> list[Column]:
 
 def seconds(d) -> float:
     """Interval length in seconds for a duration given as seconds or string."""
+    d = _as_number(d)
     if isinstance(d, (int, float)):
         return float(d)
     num, unit = d.split()

@@ -45,6 +45,30 @@ class Job:
 
 JOBS: dict[str, tuple[Callable[[DataFrame, dict], Job], str]] = {}
 
+# The example jobs' own parameters, used as defaults (any of
+# them can be overridden with --param key=value).
+DEFAULTS: dict[str, dict] = {
+    "pv_uv": {"size": "30 seconds", "slide": "10 seconds", "delay": 0},
+    "window_uv": {"size": "30 seconds", "offset": "10 seconds", "delay": 0},
+    "top_n": {"size": "1 minute", "n": 10, "delay": 0, "ascending": "false"},
+    "top_n_processing_time": {"size": "5 seconds", "n": 5},
+    "late_window_counts": {"size": "30 seconds", "delay": 0, "lateness": "5 seconds"},
+    "late_split": {"size": "30 seconds", "delay": 0, "lateness": "5 seconds"},
+    "reconcile": {"first": "view", "then": "purchase", "within": "5 seconds"},
+    "interval_join": {"first": "view", "then": "purchase", "lower": "1 second", "upper": "5 seconds"},
+    "window_join": {"first": "view", "then": "purchase", "size": "1 second"},
+    "window_cogroup": {"first": "view", "then": "purchase", "size": "1 second"},
+    "route_split": {"low": 5.0, "mid": 7.0},
+    "followed_by": {"first": "view", "then": "purchase", "within": "5 minutes"},
+    "consecutive": {"thresholds": "4,4,4"},
+    "state_machine": {"transitions": "idle:view:viewed;viewed:purchase:paid;paid:error:matched",
+                      "start": "idle", "accept": "matched"},
+    "buffer_flush": {"every": "1 second"},
+    "sql_tumble": {"size": "1 second", "delay": "5 seconds"},
+    "sessions": {"gap": "5 seconds"},
+    "jdbc_counts": {"table": "user_counts"},
+}
+
 
 def job(name: str, doc: str):
     def deco(fn):
@@ -53,13 +77,13 @@ def job(name: str, doc: str):
     return deco
 
 
-def _p(params: dict, key: str, default):
-    v = params.get(key, default)
-    return type(default)(v) if isinstance(default, (int, float)) and not isinstance(v, type(default)) else v
+def _p(params: dict, key: str, kind=str):
+    """A job parameter (defaults merged in by :func:`run`)."""
+    return kind(params[key]) if kind is not str or isinstance(params[key], str) else params[key]
 
 
-def _sides(s: DataFrame, params: dict):
-    first, then = _p(params, "first", "view"), _p(params, "then", "purchase")
+def _sides(s: DataFrame, p: dict):
+    first, then = _p(p, "first"), _p(p, "then")
     left = s.filter(F.col("event_type") == first)
     right = s.filter(F.col("event_type") == then)
     return left, right
@@ -83,50 +107,50 @@ def _running_max(s, p):
 
 @job("pv_uv", "A3: PV, UV and pv div uv per sliding window (size, slide)")
 def _pv_uv(s, p):
-    return Job(S.pv_uv(s, "et", "user_id", _p(p, "size", "30 seconds"), _p(p, "slide", "10 seconds"),
-                       delay=_p(p, "delay", 0)))
+    return Job(S.pv_uv(s, "et", "user_id", _p(p, "size"), _p(p, "slide"),
+                       delay=_p(p, "delay")))
 
 
 @job("window_uv", "A5/W1/W7: distinct users per tumbling window with offset")
 def _window_uv(s, p):
-    return Job(S.pv_uv(s, "et", "user_id", _p(p, "size", "30 seconds"),
-                       offset=_p(p, "offset", "10 seconds"), delay=_p(p, "delay", 0)))
+    return Job(S.pv_uv(s, "et", "user_id", _p(p, "size"),
+                       offset=_p(p, "offset"), delay=_p(p, "delay")))
 
 
 @job("top_n", "N1/N2/A4: top n users per tumbling window")
 def _top_n(s, p):
-    counts = S.windowed_counts(s, "et", ["user_id"], _p(p, "size", "1 minute"), delay=_p(p, "delay", 0))
+    counts = S.windowed_counts(s, "et", ["user_id"], _p(p, "size"), delay=_p(p, "delay"))
     return Job(counts, batch=lambda out: S.top_n_sink(out, ["window_start", "window_end"], "user_id",
-                                                       _p(p, "n", 10), _p(p, "ascending", "") == "true"))
+                                                       _p(p, "n", int), str(_p(p, "ascending")).lower() == "true"))
 
 
 @job("top_n_processing_time", "N2/W4: top n users per processing-time window (ingest time)")
 def _top_n_processing_time(s, p):
     from .replay import with_ingest_time
-    counts = S.windowed_counts(with_ingest_time(s), "ingest_ts", ["user_id"], _p(p, "size", "5 seconds"))
+    counts = S.windowed_counts(with_ingest_time(s), "ingest_ts", ["user_id"], _p(p, "size"))
     return Job(counts, batch=lambda out: S.top_n_sink(out, ["window_start", "window_end"], "user_id",
-                                                       _p(p, "n", 5)))
+                                                       _p(p, "n", int)))
 
 
 @job("late_window_counts", "T5: per-window counts re-emitted as late rows arrive (update mode)")
 def _late_window_counts(s, p):
     from ..operators import windows as W
-    delay = W.seconds(_p(p, "delay", 0)) + W.seconds(_p(p, "lateness", "5 seconds"))
-    return Job(S.windowed_counts(s, "et", [], _p(p, "size", "30 seconds"), delay=delay), "update")
+    delay = W.seconds(_p(p, "delay")) + W.seconds(_p(p, "lateness"))
+    return Job(S.windowed_counts(s, "et", [], _p(p, "size"), delay=delay), "update")
 
 
 @job("late_split", "T5/T6/O2: on-time / late / too-late routing by arrival order")
 def _late_split(s, p):
     return Job(s.select("event_id", "ts", F.current_timestamp().alias("arrival_ts")),
-               batch=lambda out: K.LateRouter("ts", ["arrival_ts", "event_id"], _p(p, "size", "30 seconds"),
-                                              out, delay=_p(p, "delay", 0),
-                                              lateness=_p(p, "lateness", "5 seconds")))
+               batch=lambda out: K.LateRouter("ts", ["arrival_ts", "event_id"], _p(p, "size"),
+                                              out, delay=_p(p, "delay"),
+                                              lateness=_p(p, "lateness")))
 
 
 @job("reconcile", "J4: one-to-one reconciliation of two event types within a bound")
 def _reconcile(s, p):
     left, right = _sides(s, p)
-    return Job(ST.reconcile_exact(left, right, "user_id", "event_id", "et", _p(p, "within", "5 seconds")))
+    return Job(ST.reconcile_exact(left, right, "user_id", "event_id", "et", _p(p, "within")))
 
 
 @job("interval_join", "J1: second event type within [lower, upper] after the first")
@@ -134,8 +158,8 @@ def _interval_join(s, p):
     left, right = _sides(s, p)
     left = left.select("user_id", F.col("event_id").alias("l_id"), F.col("et").alias("l_et"))
     right = right.select("user_id", F.col("event_id").alias("r_id"), F.col("et").alias("r_et"))
-    return Job(S.interval_join(left, right, ["user_id"], "l_et", "r_et", _p(p, "lower", "1 second"),
-                               _p(p, "upper", "5 seconds")))
+    return Job(S.interval_join(left, right, ["user_id"], "l_et", "r_et", _p(p, "lower"),
+                               _p(p, "upper")))
 
 
 @job("window_join", "J2: pairs of the two event types per user and tumbling window")
@@ -143,14 +167,14 @@ def _window_join(s, p):
     left, right = _sides(s, p)
     left = left.select("user_id", F.col("event_id").alias("l_id"), F.col("et").alias("l_et"))
     right = right.select("user_id", F.col("event_id").alias("r_id"), F.col("et").alias("r_et"))
-    return Job(S.window_join(left, right, ["user_id"], "l_et", "r_et", _p(p, "size", "1 second")))
+    return Job(S.window_join(left, right, ["user_id"], "l_et", "r_et", _p(p, "size")))
 
 
 @job("window_cogroup", "J3: both event types co-grouped per user and tumbling window")
 def _window_cogroup(s, p):
     left, right = _sides(s, p)
     return Job(S.window_cogroup(left, right, ["user_id"], "et", "et", "event_id", "event_id",
-                                _p(p, "size", "1 second")))
+                                _p(p, "size")))
 
 
 @job("previous_rule", "J5: previous event per user with the rule in force (rules: parquet path)")
@@ -172,7 +196,7 @@ def _previous_rule(s, p):
 
 @job("route_split", "O1/P3: three value bands, each written to its own sink")
 def _route_split(s, p):
-    lo, mid = _p(p, "low", 5.0), _p(p, "mid", 7.0)
+    lo, mid = _p(p, "low", float), _p(p, "mid", float)
     routed = R.route_split(s.select("event_id", "user_id", "value"), "value",
                            [("low", lo), ("mid", mid)], "high")
     # each route gets its own output slot (``<batch>-<route>``)
@@ -183,29 +207,29 @@ def _route_split(s, p):
 @job("followed_by", "C1/C4/O3: first type followed by the second within a limit, and timeouts")
 def _followed_by(s, p):
     return Job(ST.followed_by_exact(s, "user_id", "event_id", "et",
-                                    F.col("event_type") == _p(p, "first", "view"),
-                                    F.col("event_type") == _p(p, "then", "purchase"),
-                                    _p(p, "within", "5 minutes")))
+                                    F.col("event_type") == _p(p, "first"),
+                                    F.col("event_type") == _p(p, "then"),
+                                    _p(p, "within")))
 
 
 @job("consecutive", "C2/C3: value above thresholds on consecutive events of a user")
 def _consecutive(s, p):
-    limits = [float(x) for x in str(_p(p, "thresholds", "4,4,4")).split(",")]
+    limits = [float(x) for x in str(_p(p, "thresholds")).split(",")]
     return Job(ST.strict_sequence_exact(s, "user_id", "event_id", "et",
                                         [F.col("value") > x for x in limits]))
 
 
 @job("state_machine", "C5: keyed state machine (transitions: 'state:event:next;...')")
 def _state_machine(s, p):
-    spec = _p(p, "transitions", "idle:view:viewed;viewed:purchase:paid;paid:error:matched")
+    spec = _p(p, "transitions")
     trans = {(a, e): b for a, e, b in (t.split(":") for t in spec.split(";") if t)}
-    fsm = P.StateMachine(trans, _p(p, "start", "idle"), set(_p(p, "accept", "matched").split(",")))
+    fsm = P.StateMachine(trans, _p(p, "start"), set(_p(p, "accept").split(",")))
     return Job(ST.state_machine_exact(s, "user_id", "event_id", "et", "event_type", fsm))
 
 
 @job("buffer_flush", "N3/V2/V5: per-user buffers flushed by event-time timers")
 def _buffer_flush(s, p):
-    return Job(ST.buffer_flush_exact(s, "user_id", "event_id", "et", _p(p, "every", "1 second")))
+    return Job(ST.buffer_flush_exact(s, "user_id", "event_id", "et", _p(p, "every")))
 
 
 @job("sql_tumble", "A7/W6/T4/S4: SQL keyed sum per tumbling window over a streaming view")
@@ -213,13 +237,13 @@ def _sql_tumble(s, p):
     return Job(s.sparkSession.sql(f"""
         SELECT event_type AS key, window.start AS window_start, window.end AS window_end,
                sum(CAST(get_json_object(props, '$.k') AS BIGINT)) AS cnt
-        FROM {{stream}} GROUP BY event_type, window(et, '{_p(p, "size", "1 second")}')""",
-                                  stream=s.withWatermark("et", _p(p, "delay", "5 seconds"))))
+        FROM {{stream}} GROUP BY event_type, window(et, '{_p(p, "size")}')""",
+                                  stream=s.withWatermark("et", _p(p, "delay"))))
 
 
 @job("sessions", "W5: session windows per user")
 def _sessions(s, p):
-    return Job(S.sessions(s, "et", ["user_id"], _p(p, "gap", "5 seconds")))
+    return Job(S.sessions(s, "et", ["user_id"], _p(p, "gap")))
 
 
 @job("sql_functions", "J7/U1-U3: registered scalar and lateral table functions in SQL")
@@ -233,7 +257,7 @@ def _sql_functions(s, p):
 @job("jdbc_counts", "K4: running counts per user appended to a JDBC table (--param url=..)")
 def _jdbc_counts(s, p):
     counts = S.running_counts(s, ["user_id"])
-    writer = D.jdbc_batch_writer(p["url"], _p(p, "table", "user_counts"),
+    writer = D.jdbc_batch_writer(p["url"], _p(p, "table"),
                                  properties={k[5:]: v for k, v in p.items() if k.startswith("prop.")})
     return Job(counts, "update", batch=lambda out: writer)
 
@@ -254,7 +278,7 @@ def run(spark, name: str, source: str, sink: str = "console", out: str | None =
     """Start job ``name`` on the events folder ``source``; returns the query."""
     fn, _ = JOBS[name]
     stream = with_event_time(replay(spark, source, EVENTS_SCHEMA, max_files_per_trigger), "ts", "et")
-    spec = fn(stream, params or {})
+    spec = fn(stream, {**DEFAULTS.get(name, {}), **(params or {})})
     trig = {"availableNow": True} if available_now else (
         {"processingTime": trigger} if trigger else None)
     ckpt = checkpoint or state_location(spark, f"job-{name}")
