@@ -167,3 +167,17 @@ def connect_map(first: DataFrame, second: DataFrame, map1, map2, name: str = "v"
     a = first.select(F.lit("first").alias("src"), map1.alias(name))
     b = second.select(F.lit("second").alias("src"), map2.alias(name))
     return a.unionByName(b)
+
+
+def rule_spans(rules: DataFrame, rule_ts: str = "rule_ts") -> DataFrame:
+    """J5 stream side: rules as ``[rule_ts, next_ts)`` spans for a broadcast
+    stream-static join.  The rule table is checked to hold at most
+    ``MAX_BROADCAST_RULES`` rows (one bounded read) before it may be
+    broadcast; larger rule sets belong to the batch form, which carries rules
+    through a chunked scan instead."""
+    n = rules.limit(MAX_BROADCAST_RULES + 1).count()
+    if n > MAX_BROADCAST_RULES:
+        raise ValueError(f"rule table has more than {MAX_BROADCAST_RULES} rows; "
+                         "use previous_with_rule on the stored events instead")
+    rest = [c for c in rules.columns if c != rule_ts]
+    return rules.selectExpr(rule_ts, *rest, f"lead({rule_ts}) OVER (ORDER BY {rule_ts}) AS next_ts")

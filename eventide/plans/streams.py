@@ -99,8 +99,8 @@ def stream_prev_event_rule(spark, sf_dir):
     """J5 on a stream: previous event per user in value state, joined per
     micro-batch with the static rule table (broadcast, re-read each batch)."""
     rules = joined.rules_frame(spark)
-    spans = rules.selectExpr("rule_ts", "rule_prev", "rule_next",
-                             "lead(rule_ts) OVER (ORDER BY rule_ts) AS next_ts")
+    from ..operators.joins import rule_spans
+    spans = rule_spans(rules)
     ev = events(spark, sf_dir).select("event_id", "user_id", "ts", "event_type")
 
     def build(s):

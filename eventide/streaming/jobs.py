@@ -183,8 +183,8 @@ def _previous_rule(s, p):
     rules = spark.read.parquet(p["rules"]) if "rules" in p else spark.sql(
         "SELECT * FROM VALUES (TIMESTAMP_NTZ'1970-01-01 00:00:00', 'view', 'purchase') "
         "AS r(rule_ts, rule_prev, rule_next)")
-    spans = rules.selectExpr("rule_ts", "rule_prev", "rule_next",
-                             "lead(rule_ts) OVER (ORDER BY rule_ts) AS next_ts")
+    from ..operators.joins import rule_spans
+    spans = rule_spans(rules)
     prev = ST.previous_event(s, "user_id", "event_id", "et", "event_type")
     prev = prev.withColumn("ts", F.timestamp_micros("ts").cast("timestamp_ntz"))
     cond = (prev["ts"] >= spans["rule_ts"]) & (spans["next_ts"].isNull() | (prev["ts"] < spans["next_ts"]))
