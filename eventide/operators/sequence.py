@@ -6,7 +6,8 @@ puts every row of a key into one task, so a key holding a third of the data
 would run on one core.  ``KeyedSequence`` splits such keys into chunks of
 bounded size and stitches the chunks back together with a small carry table:
 
-1. count rows per key (partial aggregation, no skew problem);
+1. count rows per key on a sample sized so that a key at the threshold shows
+   up about a thousand times (partial aggregation; exact for small thresholds);
 2. keys above ``hot_rows`` are *hot*; their rows get a chunk number from
    equal-count split points of the first order column (``approxQuantile``:
    only the split points, at most ``max_chunks`` numbers, reach the driver);
@@ -37,6 +38,8 @@ DEFAULT_HOT_ROWS = 2_000_000
 DEFAULT_CHUNK_ROWS = 1_000_000
 MAX_HOT_KEYS = 10_000
 MAX_CHUNKS = 100_000
+SAMPLE_PER_HOT_KEY = 1_000
+SAMPLE_SEED = 17
 
 _OPS = ("sum", "count", "max", "min", "last")
 
@@ -85,8 +88,14 @@ class KeyedSequence:
             total = df.count()
             self.hot_filter = F.lit(True)
             return self._assign_chunks(df, total, chunk_rows)
-        counts = (df.groupBy(*self.keys).count()
-                  .filter(F.col("count") > hot_rows)
+        # Hot keys only have to be found, not counted exactly: count a fixed-seed
+        # sample in which a key at the threshold appears ~SAMPLE_PER_HOT_KEY
+        # times, so this shuffle stays small however many distinct keys exist.
+        frac = min(1.0, SAMPLE_PER_HOT_KEY / max(hot_rows, 1))
+        sample = df if frac >= 1.0 else df.sample(fraction=frac, seed=SAMPLE_SEED)
+        cut = hot_rows * frac * (1.0 if frac >= 1.0 else 0.5)
+        counts = (sample.groupBy(*self.keys).count()
+                  .filter(F.col("count") > cut)
                   .limit(MAX_HOT_KEYS + 1).collect())
         if not counts:
             self.chunked = False
@@ -95,7 +104,7 @@ class KeyedSequence:
             # Too many hot keys to name: chunk every key.
             self.hot_filter = F.lit(True)
             return self._assign_chunks(df, df.count(), chunk_rows)
-        hot_total = sum(r["count"] for r in counts)
+        hot_total = int(sum(r["count"] for r in counts) / frac)
         if len(self.keys) == 1:
             self.hot_filter = F.col(self.keys[0]).isin([r[self.keys[0]] for r in counts])
         else:
