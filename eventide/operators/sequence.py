@@ -39,6 +39,7 @@ DEFAULT_CHUNK_ROWS = 1_000_000
 MAX_HOT_KEYS = 10_000
 MAX_CHUNKS = 100_000
 SAMPLE_PER_HOT_KEY = 1_000
+SAMPLE_PER_CHUNK = 1_000
 SAMPLE_SEED = 17
 
 _OPS = ("sum", "count", "max", "min", "last")
@@ -123,7 +124,13 @@ class KeyedSequence:
         x = "_order_x"
         with_x = df.withColumn(x, order_micros(df, self.order[0]).cast("double"))
         probs = [i / n for i in range(1, n)]
-        splits = with_x.filter(self.hot_filter).approxQuantile(x, probs, min(0.01, 0.25 / n))
+        # Split points only need to cut roughly equal chunks: a sample with
+        # about SAMPLE_PER_CHUNK rows per chunk is enough (exact when small).
+        frac = min(1.0, SAMPLE_PER_CHUNK * n / max(total, 1))
+        source = with_x.filter(self.hot_filter)
+        if frac < 1.0:
+            source = source.sample(fraction=frac, seed=SAMPLE_SEED)
+        splits = source.approxQuantile(x, probs, min(0.01, 0.25 / n))
         cuts = sorted(set(s for s in splits if s is not None))
         if not cuts:
             self.chunked = False
