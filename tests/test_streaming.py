@@ -162,3 +162,45 @@ def test_reconcile_exact_fixture_f1(spark):
                                         "key", "id", "et", "5 seconds"), "recon")
     st_counts = {r.status: r["count"] for r in out.groupBy("status").count().collect()}
     assert st_counts == {"matched": 4}
+
+
+def _fifo_reconcile(rows, within_us):
+    """Brute force: per user, in (ts, id) order, a row first fails the waiting
+    rows whose deadline passed, then takes the oldest waiting row of the other
+    side or waits itself."""
+    from collections import defaultdict
+    by_user = defaultdict(list)
+    for r in rows:
+        by_user[r["user_id"]].append(r)
+    matched, alone = set(), set()
+    for user, rs in by_user.items():
+        waiting = {"left": [], "right": []}
+        for r in sorted(rs, key=lambda r: (r["ts_us"], r["event_id"])):
+            for side in waiting:
+                while waiting[side] and waiting[side][0][1] + within_us < r["ts_us"]:
+                    alone.add(waiting[side].pop(0)[0])
+            me = "left" if r["event_type"] == "view" else "right"
+            other = "right" if me == "left" else "left"
+            if waiting[other]:
+                o = waiting[other].pop(0)[0]
+                matched.add((r["event_id"], o) if me == "left" else (o, r["event_id"]))
+            else:
+                waiting[me].append((r["event_id"], r["ts_us"]))
+        for side in waiting:
+            alone.update(v[0] for v in waiting[side])
+    return matched, alone
+
+
+def test_stream_reconcile_equals_brute_force(spark):
+    import __spark_entry__ as entry
+    from .conftest import SF001
+    out = entry.queries()["stream_reconcile"](spark, SF001).collect()
+    ev = (events(spark, SF001).filter("event_type IN ('view', 'purchase')")
+          .select("event_id", "user_id", "event_type", F.unix_micros(F.col("ts").cast("timestamp"))
+                  .alias("ts_us")).collect())
+    matched, alone = _fifo_reconcile([r.asDict() for r in ev], 5 * 3600 * 1_000_000)
+    got_pairs = {(r.l_event_id, r.r_event_id) for r in out if r.status == "matched"}
+    got_alone = {r.l_event_id if r.status == "left_only" else r.r_event_id
+                 for r in out if r.status != "matched"}
+    assert got_pairs == matched
+    assert got_alone <= alone and len(got_alone) > 0
