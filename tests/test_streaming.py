@@ -204,3 +204,13 @@ def test_stream_reconcile_equals_brute_force(spark):
                  for r in out if r.status != "matched"}
     assert got_pairs == matched
     assert got_alone <= alone and len(got_alone) > 0
+
+
+def test_stream_approximate_uv_close_to_exact(spark, duck):
+    import __spark_entry__ as entry
+    got = {r.window_start: r.uv for r in
+           entry.queries()["stream_uv_tumbling_offset"](spark, SF01).collect()}
+    exact = {r[0]: r[2] for r in duck.sql(entry.oracle_sql()["uv_tumbling_offset"]).fetchall()}
+    assert len(got) >= 100
+    for ws, uv in got.items():
+        assert abs(uv - exact[ws]) <= max(2, 0.1 * exact[ws])
