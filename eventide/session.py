@@ -69,3 +69,44 @@ def cut_lineage(df):
     (reliable checkpoint: survives executor loss, unlike a local one)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def input_bytes(spark: SparkSession, *paths: str) -> int:
+    """Total size of the files under ``paths`` (filesystem metadata only)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        total += hp.getFileSystem(conf).getContentSummary(hp).getLength()
+    return int(total)
+
+
+def scale_settings(total_bytes: int, total_cores: int, rows: int | None = None,
+                   target_partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Partition sizing for a cluster run: enough shuffle partitions that the
+    largest shuffle (about the input size) gives ~128 MB per task, never fewer
+    than two waves of the cores; AQE then coalesces small ones and splits skewed
+    ones.  ``rows`` sizes the ordered-scan chunks so their count stays under the
+    split-point cap."""
+    from .operators.sequence import DEFAULT_CHUNK_ROWS, MAX_CHUNKS
+    parts = max(2 * total_cores, -(-total_bytes // target_partition_bytes))
+    out = {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(2 * target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+    }
+    if rows is not None:
+        out["eventide.sequence.chunkRows"] = str(max(DEFAULT_CHUNK_ROWS, -(-rows // MAX_CHUNKS)))
+    return out
+
+
+def apply_scale_settings(spark: SparkSession, paths: list[str], total_cores: int,
+                         rows: int | None = None) -> dict[str, str]:
+    """Size the session for the data under ``paths`` (runtime SQL settings)."""
+    conf = scale_settings(input_bytes(spark, *paths), total_cores, rows)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf

@@ -127,3 +127,14 @@ def test_rule_enrichment_large_rule_path(spark, monkeypatch):
     cols = ["event_id", F.col("prev.event_id").alias("p"), F.col("rule.rule_prev").alias("a"),
             F.col("rule.rule_next").alias("b")]
     assert rows(small.select(*cols)) == rows(large.select(*cols))
+
+
+def test_scale_settings(spark):
+    from eventide.session import input_bytes, scale_settings
+    n = input_bytes(spark, "/root/testdata/sf0.1/events.parquet")
+    assert n > 0
+    small = scale_settings(n, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    big = scale_settings(100 << 40, 8000, rows=10**12)     # 100 TB, 1000 executors x 8 cores
+    assert int(big["spark.sql.shuffle.partitions"]) == 819200
+    assert int(big["eventide.sequence.chunkRows"]) == 10_000_000
