@@ -122,3 +122,48 @@ def test_top_n_counts_dominate_dropped(spark, rows):
     for r in allc:
         if (r.ws, r.user_id) not in kept:
             assert r["count"] <= low[r.ws]
+
+
+bounds_st = st.tuples(st.integers(-900, 900), st.integers(0, 1200)).map(lambda t: (t[0], t[0] + t[1]))
+
+
+@PROP
+@given(rows=events_st, b=bounds_st)
+def test_interval_join_equals_brute_force(spark, rows, b):
+    lo, hi = b
+    df = frame(spark, rows)
+    left = df.filter("event_type = 'view'").select("user_id", F.col("event_id").alias("l_id"),
+                                                   F.col("ts").alias("l_ts"))
+    right = df.filter("event_type = 'purchase'").select("user_id", F.col("event_id").alias("r_id"),
+                                                        F.col("ts").alias("r_ts"))
+    got = sorted((r.l_id, r.r_id) for r in J.interval_join(left, right, ["user_id"], "l_ts", "r_ts",
+                                                             lo, hi).collect())
+    data = list(enumerate(rows))
+    want = sorted((i, j) for i, (u, s, t, _) in data if t == "view"
+                  for j, (u2, s2, t2, _) in data if t2 == "purchase" and u2 == u and lo <= s2 - s <= hi)
+    assert got == want
+
+
+@PROP
+@given(rows=events_st, hot=st.integers(1, 6), chunk=st.integers(2, 12))
+def test_chunked_scans_equal_plain_windows(spark, rows, hot, chunk):
+    from pyspark.sql import Window
+    from eventide.operators.sequence import KeyedSequence
+    df = frame(spark, rows)
+    seq = KeyedSequence(["user_id"], ORDER, hot_rows=hot, chunk_rows=chunk)
+    d = seq.prepare(df)
+    d = seq.running(d, {"c": ("count", F.lit(1)), "m": ("max", F.col("value")),
+                        "l": ("last", F.when(F.col("event_type") == "view", F.col("event_id")))})
+    d = seq.running(d, {"nx": ("min", F.when(F.col("event_type") == "purchase", F.col("event_id")))},
+                    reverse=True, inclusive=False)
+    d = seq.finish(seq.lag(d, ["event_id"], 2))
+    got = sorted((r.event_id, r.c, r.m, r.l, r.nx, r.prev1 and r.prev1.event_id, r.prev2 and r.prev2.event_id)
+                 for r in d.collect())
+    w = Window.partitionBy("user_id").orderBy(*ORDER)
+    fwd = w.rowsBetween(Window.unboundedPreceding, 0)
+    nxt = w.rowsBetween(1, Window.unboundedFollowing)
+    want = df.select("event_id", F.count(F.lit(1)).over(fwd).alias("c"), F.max("value").over(fwd).alias("m"),
+                     F.last(F.when(F.col("event_type") == "view", F.col("event_id")), True).over(fwd).alias("l"),
+                     F.min(F.when(F.col("event_type") == "purchase", F.col("event_id"))).over(nxt).alias("nx"),
+                     F.lag("event_id", 1).over(w).alias("p1"), F.lag("event_id", 2).over(w).alias("p2"))
+    assert got == sorted(tuple(r) for r in want.collect())
