@@ -1,9 +1,11 @@
-"""Keyed state machines on streams (V1-V5) with ``transformWithStateInPandas``.
+"""Keyed state machines on streams (V1-V5) with ``transformWithState``.
 
 These are the exact, per-row stream forms of operators whose batch forms
 live in :mod:`eventide.operators`.  Each processor keeps only per-key state
 (value or list state, event-time timers), so the work is spread over keys by
 Spark's shuffle; per-row Python runs only inside one key's micro-batch slice.
+The Row-based API is used: a key sees a handful of rows per micro-batch, and
+building pandas frames for them would cost more than the rows themselves.
 
 Rows of a key within one micro-batch are processed in ``(ts, id)`` order;
 times in state are epoch microseconds, timers are epoch milliseconds.
@@ -12,11 +14,9 @@ times in state are epoch microseconds, timers are epoch milliseconds.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -32,15 +32,17 @@ def _timer_ms(us: int) -> int:
     return int(math.ceil(us / 1000))
 
 
-def _frame(rows: list[dict], columns: list[str], ints: list[str]) -> pd.DataFrame:
-    pdf = pd.DataFrame(rows, columns=columns)
-    for c in ints:
-        pdf[c] = pdf[c].astype("Int64")
-    return pdf
+def _in_order(rows: Iterable[Row]) -> list[Row]:
+    return sorted(rows, key=lambda r: (r.ts, r.id))
 
 
-def _sorted(rows: Iterator[pd.DataFrame], by: list[str]) -> pd.DataFrame:
-    return pd.concat(list(rows), ignore_index=True).sort_values(by, kind="mergesort")
+def _rows(records: list[dict], columns: list[str]) -> Iterator[Row]:
+    for d in records:
+        yield Row(**{c: d.get(c) for c in columns})
+
+
+def _items(state) -> list[tuple]:
+    return [tuple(v) for v in state.get()]
 
 
 class _SingleTimer:
@@ -62,10 +64,6 @@ class _SingleTimer:
         return max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs()) * 1000
 
 
-def _items(state) -> list[tuple]:
-    return [tuple(v) for v in state.get()]
-
-
 # ------------------------------------------------------------------ A1
 class RunningCountProcessor(StatefulProcessor):
     """A1 exact: one output row per input row with the key's running count."""
@@ -73,14 +71,13 @@ class RunningCountProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.count = handle.getValueState("count", "n long")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _sorted(rows, ["ts", "id"])
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         v = self.count.get()
-        base = v[0] if v else 0
-        n = base + np.arange(1, len(pdf) + 1, dtype=np.int64)
-        self.count.update((int(n[-1]),))
-        yield pd.DataFrame({"key": key[0], "id": pdf["id"].to_numpy(), "ts": pdf["ts"].to_numpy(),
-                            "running_count": n})
+        n = v[0] if v else 0
+        for r in _in_order(rows):
+            n += 1
+            yield Row(key=key[0], id=r.id, ts=r.ts, running_count=n)
+        self.count.update((n,))
 
     def close(self) -> None:
         pass
@@ -89,7 +86,7 @@ class RunningCountProcessor(StatefulProcessor):
 def running_count_exact(stream: DataFrame, key: str, id_col: str, et: str) -> DataFrame:
     """A1 per row on a stream (append mode)."""
     src = stream.select(F.col(key).alias("key"), F.col(id_col).alias("id"), _us(et).alias("ts"))
-    return src.groupBy("key").transformWithStateInPandas(
+    return src.groupBy("key").transformWithState(
         RunningCountProcessor(), "key long, id long, ts long, running_count long", "Append", "None")
 
 
@@ -100,16 +97,12 @@ class PreviousEventProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.prev = handle.getValueState("prev", "id long, ts long, type string")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _sorted(rows, ["ts", "id"])
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         p = self.prev.get() or (None, None, None)
-        out = []
-        for r in pdf.itertuples(index=False):
-            out.append({"key": key[0], "id": r.id, "ts": r.ts, "type": r.type,
-                        "prev_id": p[0], "prev_type": p[2]})
+        for r in _in_order(rows):
+            yield Row(key=key[0], id=r.id, ts=r.ts, type=r.type, prev_id=p[0], prev_type=p[2])
             p = (int(r.id), int(r.ts), r.type)
         self.prev.update(p)
-        yield _frame(out, ["key", "id", "ts", "type", "prev_id", "prev_type"], ["prev_id"])
 
     def close(self) -> None:
         pass
@@ -120,12 +113,15 @@ def previous_event(stream: DataFrame, key: str, id_col: str, et: str, type_col:
     with a static rule frame to complete the broadcast pattern."""
     src = stream.select(F.col(key).alias("key"), F.col(id_col).alias("id"), _us(et).alias("ts"),
                         F.col(type_col).alias("type"))
-    return src.groupBy("key").transformWithStateInPandas(
+    return src.groupBy("key").transformWithState(
         PreviousEventProcessor(),
         "key long, id long, ts long, type string, prev_id long, prev_type string", "Append", "None")
 
 
 # ------------------------------------------------------------------ J4
+_RECON = ["key", "l_id", "l_ts", "r_id", "r_ts", "status"]
+
+
 class ReconcileProcessor(_SingleTimer, StatefulProcessor):
     """J4 exact, one-to-one: an arriving row takes the oldest waiting row of
     the other side; otherwise it waits until the watermark passes
@@ -142,9 +138,6 @@ class ReconcileProcessor(_SingleTimer, StatefulProcessor):
         self.wait = {"left": handle.getListState("left", "id long, ts long"),
                      "right": handle.getListState("right", "id long, ts long")}
 
-    def _load(self, side):
-        return _items(self.wait[side])
-
     def _store(self, side, vals):
         if vals:
             self.wait[side].put(vals)
@@ -153,18 +146,20 @@ class ReconcileProcessor(_SingleTimer, StatefulProcessor):
 
     @staticmethod
     def _alone(key, side, vid, vts) -> dict:
-        row = {"key": key[0], "l_id": None, "l_ts": None, "r_id": None, "r_ts": None,
-               "status": f"{side}_only"}
+        row = {"key": key[0], "status": f"{side}_only"}
         row["l_id" if side == "left" else "r_id"] = vid
         row["l_ts" if side == "left" else "r_ts"] = vts
         return row
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _sorted(rows, ["ts", "id"])
-        waiting = {"left": self._load("left"), "right": self._load("right")}
+    def _next_deadline(self, waiting) -> int | None:
+        heads = [v[0][1] for v in waiting.values() if v]
+        return min(heads) + self.within if heads else None
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        waiting = {"left": _items(self.wait["left"]), "right": _items(self.wait["right"])}
         had_pending = bool(waiting["left"] or waiting["right"])
         out = []
-        for r in pdf.itertuples(index=False):
+        for r in _in_order(rows):
             me, other = r.side, ("right" if r.side == "left" else "left")
             # Deadlines that passed before this row in event time fail first,
             # so the result does not depend on micro-batch boundaries.
@@ -183,19 +178,14 @@ class ReconcileProcessor(_SingleTimer, StatefulProcessor):
             self._store(side, waiting[side])
         if not had_pending:
             self._arm(self._next_deadline(waiting))
-        yield _frame(out, ["key", "l_id", "l_ts", "r_id", "r_ts", "status"],
-                     ["l_id", "l_ts", "r_id", "r_ts"])
+        yield from _rows(out, _RECON)
 
-    def _next_deadline(self, waiting) -> int | None:
-        heads = [v[0][1] for v in waiting.values() if v]
-        return min(heads) + self.within if heads else None
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         t_us = self._due_us(timerValues, expiredTimerInfo)
         out, waiting = [], {}
         for side in ("left", "right"):
             keep = []
-            for vid, vts in self._load(side):
+            for vid, vts in _items(self.wait[side]):
                 if vts + self.within <= t_us:
                     out.append(self._alone(key, side, vid, vts))
                 else:
@@ -203,8 +193,7 @@ class ReconcileProcessor(_SingleTimer, StatefulProcessor):
             self._store(side, keep)
             waiting[side] = keep
         self._arm(self._next_deadline(waiting))
-        yield _frame(out, ["key", "l_id", "l_ts", "r_id", "r_ts", "status"],
-                     ["l_id", "l_ts", "r_id", "r_ts"])
+        yield from _rows(out, _RECON)
 
     def close(self) -> None:
         pass
@@ -219,13 +208,15 @@ def reconcile_exact(left: DataFrame, right: DataFrame, key: str, id_col: str, et
                          F.col(id_col).alias("id"), _us(et).alias("ts"), F.col(et))
     u = side(left, "left").unionByName(side(right, "right")).withWatermark(et, W.duration(delay or 0))
     within_us = int(round(W.seconds(within) * 1_000_000))
-    out = u.groupBy("key").transformWithStateInPandas(
+    return u.groupBy("key").transformWithState(
         ReconcileProcessor(within_us),
         "key long, l_id long, l_ts long, r_id long, r_ts long, status string", "Append", "EventTime")
-    return out
 
 
 # ------------------------------------------------------------------ C1/C4
+_FOLLOW = ["key", "first_id", "first_ts", "then_id", "then_ts", "kind"]
+
+
 class FollowedByProcessor(_SingleTimer, StatefulProcessor):
     """C1/C4 exact: open ``first`` rows wait for a ``then`` row; a ``then``
     row completes every open ``first`` row less than ``within`` before it (no
@@ -238,23 +229,24 @@ class FollowedByProcessor(_SingleTimer, StatefulProcessor):
         self._init_timer(handle)
         self.open = handle.getListState("open", "id long, ts long")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _sorted(rows, ["ts", "id"])
+    def _timeout(self, key, oid, ots) -> dict:
+        return {"key": key[0], "first_id": oid, "first_ts": ots, "then_id": None,
+                "then_ts": ots + self.within, "kind": "timeout"}
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         opened = _items(self.open)
         had_pending = bool(opened)
         out = []
-        for r in pdf.itertuples(index=False):
+        for r in _in_order(rows):
             ts = int(r.ts)
             if r.is_then and opened:
-                still = []
                 for oid, ots in opened:
                     if ts - ots < self.within:
                         out.append({"key": key[0], "first_id": oid, "first_ts": ots,
                                     "then_id": int(r.id), "then_ts": ts, "kind": "match"})
                     else:
-                        out.append({"key": key[0], "first_id": oid, "first_ts": ots,
-                                    "then_id": None, "then_ts": ots + self.within, "kind": "timeout"})
-                opened = still
+                        out.append(self._timeout(key, oid, ots))
+                opened = []
             if r.is_first:
                 opened.append((int(r.id), ts))
         if opened:
@@ -263,17 +255,14 @@ class FollowedByProcessor(_SingleTimer, StatefulProcessor):
             self.open.clear()
         if not had_pending:
             self._arm(min(t for _, t in opened) + self.within if opened else None)
-        yield _frame(out, ["key", "first_id", "first_ts", "then_id", "then_ts", "kind"],
-                     ["first_id", "first_ts", "then_id", "then_ts"])
+        yield from _rows(out, _FOLLOW)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         t_us = self._due_us(timerValues, expiredTimerInfo)
-        opened = _items(self.open)
         out, keep = [], []
-        for oid, ots in opened:
+        for oid, ots in _items(self.open):
             if ots + self.within <= t_us:
-                out.append({"key": key[0], "first_id": oid, "first_ts": ots, "then_id": None,
-                            "then_ts": ots + self.within, "kind": "timeout"})
+                out.append(self._timeout(key, oid, ots))
             else:
                 keep.append((oid, ots))
         if keep:
@@ -281,8 +270,7 @@ class FollowedByProcessor(_SingleTimer, StatefulProcessor):
         else:
             self.open.clear()
         self._arm(min(t for _, t in keep) + self.within if keep else None)
-        yield _frame(out, ["key", "first_id", "first_ts", "then_id", "then_ts", "kind"],
-                     ["first_id", "first_ts", "then_id", "then_ts"])
+        yield from _rows(out, _FOLLOW)
 
     def close(self) -> None:
         pass
@@ -295,7 +283,7 @@ def followed_by_exact(stream: DataFrame, key: str, id_col: str, et: str, first,
     src = stream.select(F.col(key).alias("key"), F.col(id_col).alias("id"), _us(et).alias("ts"),
                         first.alias("is_first"), then.alias("is_then"), F.col(et))
     within_us = int(round(W.seconds(within) * 1_000_000))
-    return src.withWatermark(et, W.duration(delay or 0)).groupBy("key").transformWithStateInPandas(
+    return src.withWatermark(et, W.duration(delay or 0)).groupBy("key").transformWithState(
         FollowedByProcessor(within_us),
         "key long, first_id long, first_ts long, then_id long, then_ts long, kind string",
         "Append", "EventTime")
@@ -311,19 +299,14 @@ class StateMachineProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("state", "s int")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _sorted(rows, ["ts", "id"])
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         v = self.state.get()
         s = v[0] if v else self.fsm.sid[self.fsm.start]
-        ev = pdf["ev"].to_numpy(dtype=np.int64)
-        states = np.empty(len(ev), dtype=np.int64)
-        for i, e in enumerate(ev):
-            s = int(self.fsm.table[e, s])
-            states[i] = s
-        self.state.update((int(s),))
-        names = np.array(self.fsm.states, dtype=object)[states]
-        yield pd.DataFrame({"key": key[0], "id": pdf["id"].to_numpy(), "ts": pdf["ts"].to_numpy(),
-                            "state": names, "accepted": np.isin(names, list(self.fsm.accept))})
+        table, names, accept = self.fsm.table, self.fsm.states, self.fsm.accept
+        for r in _in_order(rows):
+            s = int(table[r.ev, s])
+            yield Row(key=key[0], id=r.id, ts=r.ts, state=names[s], accepted=names[s] in accept)
+        self.state.update((s,))
 
     def close(self) -> None:
         pass
@@ -333,7 +316,7 @@ def state_machine_exact(stream: DataFrame, key: str, id_col: str, et: str, event
                         fsm: StateMachine) -> DataFrame:
     src = stream.select(F.col(key).alias("key"), F.col(id_col).alias("id"), _us(et).alias("ts"),
                         fsm.event_index(event_col).alias("ev"))
-    return src.groupBy("key").transformWithStateInPandas(
+    return src.groupBy("key").transformWithState(
         StateMachineProcessor(fsm), "key long, id long, ts long, state string, accepted boolean",
         "Append", "None")
 
@@ -353,15 +336,14 @@ class BufferFlushProcessor(_SingleTimer, StatefulProcessor):
     def _flush_of(self, ts_us: int) -> int:
         return (ts_us // self.every + 1) * self.every
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _sorted(rows, ["ts", "id"])
-        new = [(int(i), int(t)) for i, t in zip(pdf["id"], pdf["ts"])]
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        new = [(int(r.id), int(r.ts)) for r in _in_order(rows)]
         if not self.buf.exists():
             self._arm(min(self._flush_of(t) for _, t in new))
         self.buf.appendList(new)
         return iter([])
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         t_us = self._due_us(timerValues, expiredTimerInfo)
         items = _items(self.buf)
         due = sorted([v for v in items if self._flush_of(v[1]) <= t_us], key=lambda v: (v[1], v[0]))
@@ -371,12 +353,11 @@ class BufferFlushProcessor(_SingleTimer, StatefulProcessor):
         else:
             self.buf.clear()
         self._arm(min(self._flush_of(t) for _, t in keep) if keep else None)
-        out, pos = [], {}
+        pos: dict[int, int] = {}
         for vid, vts in due:
             f = self._flush_of(vts)
             pos[f] = pos.get(f, 0) + 1
-            out.append({"key": key[0], "id": vid, "ts": vts, "flush_ts": f, "position": pos[f]})
-        yield _frame(out, ["key", "id", "ts", "flush_ts", "position"], ["id", "ts", "flush_ts", "position"])
+            yield Row(key=key[0], id=vid, ts=vts, flush_ts=f, position=pos[f])
 
     def close(self) -> None:
         pass
@@ -387,7 +368,7 @@ def buffer_flush_exact(stream: DataFrame, key: str, id_col: str, et: str, every,
     src = stream.select(F.col(key).alias("key"), F.col(id_col).alias("id"), _us(et).alias("ts"),
                         F.col(et))
     every_us = int(round(W.seconds(every) * 1_000_000))
-    return src.withWatermark(et, W.duration(delay or 0)).groupBy("key").transformWithStateInPandas(
+    return src.withWatermark(et, W.duration(delay or 0)).groupBy("key").transformWithState(
         BufferFlushProcessor(every_us), "key long, id long, ts long, flush_ts long, position long",
         "Append", "EventTime")
 
@@ -403,16 +384,13 @@ class TtlValueProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", "id long", self.ttl)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _sorted(rows, ["ts", "id"])
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         v = self.last.get()
         prev = v[0] if v else None
-        out = []
-        for r in pdf.itertuples(index=False):
-            out.append({"key": key[0], "id": int(r.id), "alive_id": prev})
+        for r in _in_order(rows):
+            yield Row(key=key[0], id=int(r.id), alive_id=prev)
             prev = int(r.id)
         self.last.update((prev,))
-        yield _frame(out, ["key", "id", "alive_id"], ["alive_id"])
 
     def close(self) -> None:
         pass
@@ -424,7 +402,7 @@ def ttl_previous(stream: DataFrame, key: str, id_col: str, et: str, ttl) -> Data
     waiting in ``processAllAvailable``."""
     src = stream.select(F.col(key).alias("key"), F.col(id_col).alias("id"), _us(et).alias("ts"))
     ttl_ms = int(round(W.seconds(ttl) * 1000))
-    return src.groupBy("key").transformWithStateInPandas(
+    return src.groupBy("key").transformWithState(
         TtlValueProcessor(ttl_ms), "key long, id long, alive_id long", "Append", "ProcessingTime")
 
 
@@ -441,12 +419,12 @@ class StrictSequenceProcessor(StatefulProcessor):
         fields = ", ".join(f"c{j} boolean" for j in range(self.n))
         self.hist = handle.getListState("hist", f"id long, ts long, {fields}")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         n = self.n
-        pdf = _sorted(rows, ["ts", "id"])
         hist = _items(self.hist)
+        cols = ["key"] + [f"e{j + 1}_{c}" for j in range(n) for c in ("id", "ts")]
         out = []
-        for r in pdf.itertuples(index=False):
+        for r in _in_order(rows):
             cur = (int(r.id), int(r.ts), *[bool(getattr(r, f"c{j}")) for j in range(n)])
             window = (hist + [cur])[-n:]
             if len(window) == n and all(window[j][2 + j] for j in range(n)):
@@ -459,8 +437,7 @@ class StrictSequenceProcessor(StatefulProcessor):
             self.hist.put(hist)
         else:
             self.hist.clear()
-        cols = ["key"] + [f"e{j + 1}_{c}" for j in range(n) for c in ("id", "ts")]
-        yield _frame(out, cols, cols[1:])
+        yield from _rows(out, cols)
 
     def close(self) -> None:
         pass
@@ -473,5 +450,5 @@ def strict_sequence_exact(stream: DataFrame, key: str, id_col: str, et: str, con
     src = stream.select(F.col(key).alias("key"), F.col(id_col).alias("id"), _us(et).alias("ts"),
                         *[c.alias(f"c{j}") for j, c in enumerate(conds)])
     cols = ", ".join(f"e{j + 1}_id long, e{j + 1}_ts long" for j in range(n))
-    return src.groupBy("key").transformWithStateInPandas(
+    return src.groupBy("key").transformWithState(
         StrictSequenceProcessor(n), f"key long, {cols}", "Append", "None")
