@@ -9,15 +9,16 @@ bounded size and stitches the chunks back together with a small carry table:
 1. count rows per key on a sample sized so that a key at the threshold shows
    up about a thousand times (partial aggregation; exact for small thresholds);
 2. keys above ``hot_rows`` are *hot*; their rows get a chunk number from
-   equal-count split points of the first order column (``approxQuantile``:
-   only the split points, at most ``max_chunks`` numbers, reach the driver);
+   equal-count split points of the first order column (``approxQuantile`` on
+   a sample: only the split points, at most ``MAX_CHUNKS`` numbers, reach the
+   driver);
 3. each scan runs inside ``(keys, chunk)`` partitions, then adds the carry of
    all earlier chunks of the same key, computed on a per-chunk summary whose
    size is bounded by ``#hot keys x #chunks``.
 
 With no hot key the plan is the plain window (no extra shuffle).  A global
-order (``keys=[]``) is always chunked: ``Window.partitionBy()`` with no key
-would run on a single task.
+order (``keys=[]``) is cut the same way into chunks of at most ``chunk_rows``
+rows, so a window without keys never runs over more than one bounded chunk.
 """
 
 from __future__ import annotations
