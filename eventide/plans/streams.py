@@ -349,3 +349,21 @@ def stream_running_max_count(spark, sf_dir):
                                              K.parquet_writer(path), name="max_count")
     out = _run(spark, "running_max", ev, ORDER, build, batch_fn=writer)
     return out.select("event_id", "user_id", _ts("ts_us").alias("ts"), "running_count", "max_count")
+
+
+@query("stream_connect_map", ORACLE["connect_map"])
+def stream_connect_map(spark, sf_dir):
+    """J6 on streams: a stream of Long order keys and a stream of String
+    customer names, each mapped to Int (wrap / digits) and merged."""
+    from ..functions import scalar as U
+    from ..operators import joins as J
+    from ..sources.tables import read_table
+    orders = read_table(spark, sf_dir, "orders").select(
+        F.lit("first").alias("side"), F.col("o_orderkey").alias("k"), F.lit(None).cast("string").alias("name"))
+    cust = read_table(spark, sf_dir, "customer").select(
+        F.lit("second").alias("side"), F.col("c_custkey").alias("k"), F.col("c_name").alias("name"))
+
+    def build(s):
+        return J.connect_map(s.filter("side = 'first'"), s.filter("side = 'second'"),
+                             U.wrap_int("k"), U.digits_to_int("name"))
+    return _run(spark, "connect_map", orders.unionByName(cust), ["side", "k"], build)
