@@ -7,17 +7,26 @@ split into chunks instead of landing on one task.
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import cut_lineage
+from ..session import cut_lineage, ship_package
 from . import windows as W
 from .sequence import CHUNK, KeyedSequence
 
 
+# Functions and classes of this module run in Python workers (and in the
+# driver-side runner that initialises stateful processors); ship them by value
+# so those processes need not import this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def followed_by(df: DataFrame, keys: list[str], order: list[str], ts: str, first: Column,
                 then: Column, within, cols: list[str], **seq_kw) -> tuple[DataFrame, DataFrame]:
     """C1 + C4: ``begin(first).followedBy(then).within(within)`` per key.
@@ -144,6 +153,7 @@ def run_state_machine(df: DataFrame, keys: list[str], order: list[str], event_co
     Hot keys are chunked like the other scans: a chunk's entry state is folded
     over the summaries of the key's earlier chunks (at most #chunks small
     arrays) and applied to each row's map."""
+    ship_package(df.sparkSession)
     seq = KeyedSequence(list(keys), list(order), **seq_kw)
     d = seq.prepare(df.withColumn("_ev", fsm.event_index(event_col)))
     parts = seq.parts

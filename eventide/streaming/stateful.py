@@ -14,20 +14,35 @@ times in state are epoch microseconds, timers are epoch milliseconds.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterable, Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators import windows as W
 from ..operators.patterns import StateMachine
+from ..session import ship_package
+
+
+# Functions and classes of this module run in Python workers (and in the
+# driver-side runner that initialises stateful processors); ship them by value
+# so those processes need not import this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def _us(col: str):
     return F.unix_micros(F.col(col))
 
 
+def _stateful(grouped, processor, schema: str, mode: str, time_mode: str) -> DataFrame:
+    """``transformWithState`` with this package shipped to the Python workers."""
+    ship_package(grouped.session if hasattr(grouped, "session") else grouped._df.sparkSession)
+    return grouped.transformWithState(processor, schema, mode, time_mode)
+
+
 def _timer_ms(us: int) -> int:
     return int(math.ceil(us / 1000))
 
@@ -86,8 +101,9 @@ class RunningCountProcessor(StatefulProcessor):
 def running_count_exact(stream: DataFrame, key: str, id_col: str, et: str) -> DataFrame:
     """A1 per row on a stream (append mode)."""
     src = stream.select(F.col(key).alias("key"), F.col(id_col).alias("id"), _us(et).alias("ts"))
-    return src.groupBy("key").transformWithState(
-        RunningCountProcessor(), "key long, id long, ts long, running_count long", "Append", "None")
+    return _stateful(
+        src.groupBy("key"), RunningCountProcessor(),
+        "key long, id long, ts long, running_count long", "Append", "None")
 
 
 # ------------------------------------------------------------------ J5
@@ -113,8 +129,8 @@ def previous_event(stream: DataFrame, key: str, id_col: str, et: str, type_col:
     with a static rule frame to complete the broadcast pattern."""
     src = stream.select(F.col(key).alias("key"), F.col(id_col).alias("id"), _us(et).alias("ts"),
                         F.col(type_col).alias("type"))
-    return src.groupBy("key").transformWithState(
-        PreviousEventProcessor(),
+    return _stateful(
+        src.groupBy("key"), PreviousEventProcessor(),
         "key long, id long, ts long, type string, prev_id long, prev_type string", "Append", "None")
 
 
@@ -208,8 +224,8 @@ def reconcile_exact(left: DataFrame, right: DataFrame, key: str, id_col: str, et
                          F.col(id_col).alias("id"), _us(et).alias("ts"), F.col(et))
     u = side(left, "left").unionByName(side(right, "right")).withWatermark(et, W.duration(delay or 0))
     within_us = int(round(W.seconds(within) * 1_000_000))
-    return u.groupBy("key").transformWithState(
-        ReconcileProcessor(within_us),
+    return _stateful(
+        u.groupBy("key"), ReconcileProcessor(within_us),
         "key long, l_id long, l_ts long, r_id long, r_ts long, status string", "Append", "EventTime")
 
 
@@ -283,7 +299,8 @@ def followed_by_exact(stream: DataFrame, key: str, id_col: str, et: str, first,
     src = stream.select(F.col(key).alias("key"), F.col(id_col).alias("id"), _us(et).alias("ts"),
                         first.alias("is_first"), then.alias("is_then"), F.col(et))
     within_us = int(round(W.seconds(within) * 1_000_000))
-    return src.withWatermark(et, W.duration(delay or 0)).groupBy("key").transformWithState(
+    return _stateful(
+        src.withWatermark(et, W.duration(delay or 0)).groupBy("key"),
         FollowedByProcessor(within_us),
         "key long, first_id long, first_ts long, then_id long, then_ts long, kind string",
         "Append", "EventTime")
@@ -316,9 +333,9 @@ def state_machine_exact(stream: DataFrame, key: str, id_col: str, et: str, event
                         fsm: StateMachine) -> DataFrame:
     src = stream.select(F.col(key).alias("key"), F.col(id_col).alias("id"), _us(et).alias("ts"),
                         fsm.event_index(event_col).alias("ev"))
-    return src.groupBy("key").transformWithState(
-        StateMachineProcessor(fsm), "key long, id long, ts long, state string, accepted boolean",
-        "Append", "None")
+    return _stateful(
+        src.groupBy("key"), StateMachineProcessor(fsm),
+        "key long, id long, ts long, state string, accepted boolean", "Append", "None")
 
 
 # ------------------------------------------------------------------ N3
@@ -368,9 +385,9 @@ def buffer_flush_exact(stream: DataFrame, key: str, id_col: str, et: str, every,
     src = stream.select(F.col(key).alias("key"), F.col(id_col).alias("id"), _us(et).alias("ts"),
                         F.col(et))
     every_us = int(round(W.seconds(every) * 1_000_000))
-    return src.withWatermark(et, W.duration(delay or 0)).groupBy("key").transformWithState(
-        BufferFlushProcessor(every_us), "key long, id long, ts long, flush_ts long, position long",
-        "Append", "EventTime")
+    return _stateful(
+        src.withWatermark(et, W.duration(delay or 0)).groupBy("key"), BufferFlushProcessor(every_us),
+        "key long, id long, ts long, flush_ts long, position long", "Append", "EventTime")
 
 
 # ------------------------------------------------------------------ V4
@@ -402,8 +419,9 @@ def ttl_previous(stream: DataFrame, key: str, id_col: str, et: str, ttl) -> Data
     waiting in ``processAllAvailable``."""
     src = stream.select(F.col(key).alias("key"), F.col(id_col).alias("id"), _us(et).alias("ts"))
     ttl_ms = int(round(W.seconds(ttl) * 1000))
-    return src.groupBy("key").transformWithState(
-        TtlValueProcessor(ttl_ms), "key long, id long, alive_id long", "Append", "ProcessingTime")
+    return _stateful(
+        src.groupBy("key"), TtlValueProcessor(ttl_ms),
+        "key long, id long, alive_id long", "Append", "ProcessingTime")
 
 
 # ------------------------------------------------------------------ C2/C3
@@ -450,5 +468,5 @@ def strict_sequence_exact(stream: DataFrame, key: str, id_col: str, et: str, con
     src = stream.select(F.col(key).alias("key"), F.col(id_col).alias("id"), _us(et).alias("ts"),
                         *[c.alias(f"c{j}") for j, c in enumerate(conds)])
     cols = ", ".join(f"e{j + 1}_id long, e{j + 1}_ts long" for j in range(n))
-    return src.groupBy("key").transformWithState(
-        StrictSequenceProcessor(n), f"key long, {cols}", "Append", "None")
+    return _stateful(
+        src.groupBy("key"), StrictSequenceProcessor(n), f"key long, {cols}", "Append", "None")
