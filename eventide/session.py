@@ -110,27 +110,3 @@ def apply_scale_settings(spark: SparkSession, paths: list[str], total_cores: int
     for k, v in conf.items():
         spark.conf.set(k, v)
     return conf
-
-
-_SHIPPED: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in Python workers (executors), which
-    unpickle the functions of ``mapInPandas`` and the stateful processors by
-    module name: zip it once per application and hand it to ``addPyFile``
-    (Spark copies it to every executor and puts it on their ``sys.path``)."""
-    sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
-        return
-    import zipfile
-    pkg = os.path.dirname(os.path.abspath(__file__))
-    out = os.path.join(tempfile.mkdtemp(prefix="eventide-pkg-"), "eventide.zip")
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-        for root, _, files in os.walk(pkg):
-            for f in files:
-                if f.endswith(".py"):
-                    full = os.path.join(root, f)
-                    z.write(full, os.path.join("eventide", os.path.relpath(full, pkg)))
-    sc.addPyFile(out)
-    _SHIPPED.add(sc.applicationId)

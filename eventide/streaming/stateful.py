@@ -24,7 +24,6 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators import windows as W
 from ..operators.patterns import StateMachine
-from ..session import ship_package
 
 
 # Functions and classes of this module run in Python workers (and in the
@@ -38,8 +37,7 @@ def _us(col: str):
 
 
 def _stateful(grouped, processor, schema: str, mode: str, time_mode: str) -> DataFrame:
-    """``transformWithState`` with this package shipped to the Python workers."""
-    ship_package(grouped.session if hasattr(grouped, "session") else grouped._df.sparkSession)
+    """``transformWithState``; the processor travels by value (see above)."""
     return grouped.transformWithState(processor, schema, mode, time_mode)
 
 
