@@ -10,7 +10,6 @@ from __future__ import annotations
 import sys
 
 import numpy as np
-import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F

@@ -7,8 +7,6 @@ measure -> props.k.
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..operators import aggregates as A
 from ..operators import topn as N
 from ..operators import windows as W
