@@ -4,6 +4,7 @@ shared folder, and code that Python workers receive by value."""
 from __future__ import annotations
 
 import sys
+import types
 import uuid
 
 from pyspark import cloudpickle
@@ -37,6 +38,15 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def per_worker(key, make):
+    """A value built once per Python worker process and kept for its later tasks
+    (functions shipped by value get new globals with every task)."""
+    kept = sys.modules.setdefault("_eventide_kept", types.ModuleType("_eventide_kept"))
+    if key not in kept.__dict__.setdefault("values", {}):
+        kept.values[key] = make()
+    return kept.values[key]
+
+
 def whole(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 

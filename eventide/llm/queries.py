@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import quality_ranker, records
-from .common import held_out
+from . import quality_ranker, quality_rules, records, warc
+from .common import FUNCTION_WORDS, held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -45,3 +45,104 @@ def op9_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (quality_ranker.rank(docs, model)
             .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score,
                     (score >= quality_ranker.DECISION).cast("int").alias("predicted")))
+
+
+def _sql_list(values) -> str:
+    return "(" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + ")"
+
+
+def _op1_sql() -> str:
+    q = quality_rules
+    rest, classes = "t", []
+    for pattern in q.CLASSES.values():
+        pattern = pattern.replace("'", "''")
+        left = f"regexp_replace({rest}, '{pattern}', '', 'g')"
+        classes.append(f"length({rest}) - length({left})")
+        rest = left
+    classes.append(f"length({rest})")
+    class_columns = ", ".join(f"{c} AS c{i}" for i, c in enumerate(classes))
+    class_rows = " UNION ALL ".join(f"SELECT doc_id, {i} AS i, c{i} AS c FROM base" for i in range(len(classes)))
+    return f"""
+WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS t FROM documents),
+a AS (SELECT doc_id, lang, t, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS ws,
+             list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls
+      FROM d),
+w AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM a),
+win AS (SELECT doc_id, i, w, lead(w, 1) OVER o AS w1, lead(w, 2) OVER o AS w2
+        FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+rep AS (SELECT doc_id, i FROM
+        (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w, w1, w2) AS n FROM win WHERE w2 IS NOT NULL)
+        WHERE n > 1),
+cover AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM rep, (SELECT unnest([0, 1, 2]) AS k) GROUP BY doc_id),
+base AS (SELECT a.doc_id, lang, len(ws)::BIGINT AS n_words,
+                coalesce(list_sum(list_transform(ws, x -> length(x))), 0)::BIGINT AS word_chars,
+                (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+                (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
+                coalesce(cover.n, 0)::BIGINT AS n_repeat_words, length(t) AS n_chars, {class_columns}
+         FROM a LEFT JOIN cover ON a.doc_id = cover.doc_id),
+b AS (SELECT *, n_words < {q.MIN_BASE_WORDS} OR 100 * n_repeat_words > {q.MAX_REPEAT_PERCENT} * n_words AS base_failed
+      FROM base),
+cls AS ({class_rows}),
+com AS (SELECT doc_id, lower(w) AS i, count(*) AS c FROM w
+        WHERE w IN {_sql_list(q._COMMON_CASED)} GROUP BY 1, 2),
+good AS (SELECT * FROM b WHERE NOT base_failed AND lang IN {_sql_list(FUNCTION_WORDS)}),
+tot AS (SELECT lang, sum(n_words) AS n, sum(n_chars) AS m FROM good GROUP BY lang),
+refc AS (SELECT g.lang, i, sum(c) / any_value(m) AS q FROM good g JOIN cls USING (doc_id) JOIN tot ON g.lang = tot.lang GROUP BY g.lang, i),
+jc AS (SELECT b.doc_id, r.lang, sqrt(greatest(sum(
+          CASE WHEN c > 0 THEN c / n_chars * log2(2 * (c / n_chars) / (c / n_chars + q)) ELSE 0 END
+        + CASE WHEN q > 0 THEN q * log2(2 * q / (c / n_chars + q)) ELSE 0 END) / 2, 0)) AS js
+       FROM b JOIN cls USING (doc_id) JOIN refc r USING (i) WHERE n_chars >= {q.MIN_CHARS} GROUP BY 1, 2),
+words_in AS (SELECT unnest({list(q.COMMON)}) AS i),
+refw1 AS (SELECT tot.lang, v.i, coalesce(sum(c), 0) / any_value(tot.n) AS q
+          FROM tot CROSS JOIN words_in v
+          LEFT JOIN (SELECT lang, i, c FROM good JOIN com USING (doc_id)) x ON x.lang = tot.lang AND x.i = v.i
+          GROUP BY tot.lang, v.i),
+doc_words AS (SELECT doc_id, n_words, i, c FROM b JOIN com USING (doc_id) WHERE n_words >= {q.MIN_WORDS}),
+sums AS (SELECT b.doc_id, l.lang, any_value(b.n_words) AS n,
+                coalesce(sum(c / x.n_words * log2(2 * (c / x.n_words) / (c / x.n_words + q))
+                  + CASE WHEN q > 0 THEN q * log2(2 * q / (c / x.n_words + q)) ELSE 0 END), 0) AS d,
+                coalesce(sum(q), 0) AS seen, coalesce(sum(c), 0) AS c
+         FROM (SELECT doc_id, n_words FROM b WHERE n_words >= {q.MIN_WORDS}) b
+         CROSS JOIN (SELECT lang FROM tot) l
+         LEFT JOIN doc_words x ON x.doc_id = b.doc_id
+         LEFT JOIN refw1 r ON r.lang = l.lang AND r.i = x.i
+         GROUP BY b.doc_id, l.lang),
+shares AS (SELECT lang, sum(q) AS q FROM refw1 GROUP BY lang),
+jw AS (SELECT doc_id, s.lang, sqrt(greatest((d + h.q - seen
+          + CASE WHEN n > c THEN (n - c) / n * log2(2 * ((n - c) / n) / ((n - c) / n + 1 - h.q)) ELSE 0 END
+          + CASE WHEN h.q < 1 THEN (1 - h.q) * log2(2 * (1 - h.q) / ((n - c) / n + 1 - h.q)) ELSE 0 END) / 2, 0)) AS js
+       FROM sums s JOIN shares h ON s.lang = h.lang),
+mc AS (SELECT doc_id, min(js) AS js FROM jc GROUP BY doc_id),
+mw AS (SELECT doc_id, min(js) AS js FROM jw GROUP BY doc_id)
+SELECT b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND coalesce(mc.js, 0) <= {q.MAX_JS_CHARS} AND coalesce(mw.js, 0) <= {q.MAX_JS_WORDS} AS kept,
+       round(mc.js, 6) AS js_chars, round(mw.js, 6) AS js_words
+FROM b LEFT JOIN mc ON b.doc_id = mc.doc_id LEFT JOIN mw ON b.doc_id = mw.doc_id
+"""
+
+
+@query("op1_divergence_rules", _op1_sql())
+def op1_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts, and distance from the language references, of every document."""
+    return (quality_rules.apply(read_table(spark, sf_dir, "documents"))
+            .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                    "n_repeat_words", "base_failed", "kept",
+                    F.round("js_chars", 6).alias("js_chars"), F.round("js_words", 6).alias("js_words")))
+
+
+@query("op10_warc_salvage", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+s AS (SELECT page_id, strlen(h) AS payload_bytes, sha1(h) AS x, max(page_id) OVER (PARTITION BY h) AS top FROM p)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + ((('0x' || substr(x, (1 + 5 * (i // 4))::INT, 5))::INT >> (15 - 5 * (i % 4))::INT) & 31), 1)), '')
+           AS payload_digest,
+       CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
+FROM s
+""")
+def op10_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page archived, and the archives read back by the salvage reader."""
+    return (warc.round_trip(spark, read_table(spark, sf_dir, "pages"))
+            .where(F.col("gap").isNull())
+            .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))

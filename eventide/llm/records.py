@@ -21,7 +21,6 @@ or dies half-way leaves no partial file under a final name.
 
 from __future__ import annotations
 
-import re
 import struct
 import uuid
 import zlib
@@ -36,20 +35,20 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import partitions, shared_path, ships_by_value, whole
+from .common import partitions, per_worker, shared_path, ships_by_value, whole
 
 INDEX = np.dtype([("doc_id", "<i8"), ("offset", "<u8"), ("length", "<u4"), ("flags", "<u4")])
 MASK = 0xA282EAD8
 HEAD, BODY = "<QI", "<BBqI"
 HEAD_SIZE, BODY_SIZE = struct.calcsize(HEAD), struct.calcsize(BODY)
 
-#: Texts of one slice of an Arrow batch, and words remembered per task.
+#: Texts of one slice of an Arrow batch, and pre-tokens remembered per worker.
 SLICE_BYTES = 8 << 20
-MEMO_WORDS = 400_000
+MEMO_WORDS = 1_000_000
 
 #: Words that need no normalisation beyond lower case: letters, then marks.  The
 #: letters and the marks are one pre-token each.
-_PLAIN = re.compile(r"([a-zA-ZÀ-ÖØ-öø-ÿ]*)([.,;:!?*#%&$|()]*)")
+PLAIN = r"^(?P<head>[a-zA-ZÀ-ÖØ-öø-ÿ]*)(?P<tail>[.,;:!?*#%&$|()]*)$"
 
 
 def masked(data: bytes) -> int:
@@ -63,10 +62,17 @@ def frame(payload: bytes) -> bytes:
                      struct.pack("<I", masked(payload))))
 
 
+def _gather(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places of the runs ``[start, start + size)``, one run after another."""
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.arange(total) + np.repeat(starts - (ends - sizes), sizes)
+
+
 class WordEncoder:
     """Encodes texts word by word.  The tokenizer drops white space and never
-    merges across it, so a text's ids are its words' ids one after another; each
-    distinct word of a slice is encoded once."""
+    merges across it, so a text's ids are its words' ids one after another.  Each
+    distinct pre-token is encoded once and its ids kept in one pool."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
@@ -74,60 +80,65 @@ class WordEncoder:
         self.plain = Tokenizer.from_file(path)
         self.plain.normalizer = normalizers.Sequence([])
         self.plain.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.memo: dict[str, np.ndarray] = {}
         self.dtype = np.dtype("<u2" if self.full.get_vocab_size() <= 1 << 16 else "<u4")
-
-    def _learn(self, pieces: list[str]) -> None:
-        """Remember the ids of pre-tokens that are new."""
-        new = [p for p in dict.fromkeys(pieces) if p not in self.memo]
-        if not new:
-            return
-        done = self.plain.encode(new, is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(done.ids, dtype=self.dtype)
-        ends = np.cumsum(np.bincount(np.array(done.word_ids, dtype=np.int64), minlength=len(new)))
-        start = 0
-        for piece, end in zip(new, ends.tolist()):
-            self.memo[piece] = ids[start:end].copy()
-            start = end
-
-    def _words(self, words: list[str]) -> list[np.ndarray]:
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
-        heads, tails, other = [None] * len(words), [None] * len(words), {}
-        for i, word in enumerate(words):
-            m = _PLAIN.fullmatch(word)
-            if m:
-                heads[i], tails[i] = m.group(1).lower(), m.group(2)
-            else:
-                other[i] = np.array(self.full.encode(word, add_special_tokens=False).ids,
-                                    dtype=self.dtype)
-        self._learn([p for p in heads if p] + [p for p in tails if p])
-        none, memo = np.zeros(0, dtype=self.dtype), self.memo
-        out = []
-        for i, (head, tail) in enumerate(zip(heads, tails)):
-            if head is None:
-                out.append(other[i])
-            elif not tail:
-                out.append(memo[head] if head else none)
-            else:
-                out.append(np.concatenate((memo[head], memo[tail])) if head else memo[tail])
-        return out
+        self._forget()
+
+    def _forget(self) -> None:
+        # Entry 0 is the empty pre-token.  Words outside the plain form are kept
+        # under their own text after a space, which no pre-token contains.
+        self.place: dict[str, int] = {"": 0}
+        self.pool = np.zeros(0, dtype=self.dtype)
+        self.sizes = np.zeros(1, dtype=np.int64)
+
+    def _add(self, keys: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.place.update(zip(keys, range(len(self.sizes), len(self.sizes) + len(keys))))
+        self.pool = np.concatenate((self.pool, ids))
+        self.sizes = np.concatenate((self.sizes, sizes))
+
+    def _places(self, pieces: pa.Array) -> np.ndarray:
+        """Entry of every pre-token; new ones are encoded in one call."""
+        coded = pieces.dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        new = [x for x in names if x not in self.place]
+        if new:
+            done = self.plain.encode(new, is_pretokenized=True, add_special_tokens=False)
+            self._add(new, np.array(done.ids, dtype=self.dtype),
+                      np.bincount(np.array(done.word_ids, dtype=np.int64), minlength=len(new)))
+        where = np.fromiter(map(self.place.__getitem__, names), np.int64, len(names))
+        return where[coded.indices.to_numpy(zero_copy_only=False)]
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words, one word after another, and the count of each."""
+        if len(self.place) > MEMO_WORDS:
+            self._forget()
+        parts = pc.extract_regex(words, PLAIN)
+        odd = pc.is_null(parts).to_numpy(zero_copy_only=False)
+        head, tail = (pc.fill_null(pc.struct_field(parts, i), "") for i in (0, 1))
+        first, second = self._places(pc.utf8_lower(head)), self._places(tail)
+        if odd.any():
+            texts = words.filter(pa.array(odd)).to_pylist()
+            new = [x for x in texts if f" {x}" not in self.place]
+            ids = [self.full.encode(x, add_special_tokens=False).ids for x in new]
+            self._add([f" {x}" for x in new], np.array([i for x in ids for i in x], self.dtype),
+                      np.array([len(x) for x in ids], dtype=np.int64))
+            first[odd] = [self.place[f" {x}"] for x in texts]
+            second[odd] = 0
+        starts = np.cumsum(self.sizes) - self.sizes
+        both = np.stack((first, second), axis=1).ravel()
+        return (self.pool[_gather(starts[both], self.sizes[both])],
+                self.sizes[first] + self.sizes[second])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and where each text's ids end."""
         split = pc.ascii_split_whitespace(texts)
         flat = split.flatten().dictionary_encode()
-        per_text = np.diff(split.offsets.to_numpy())
-        words = self._words(flat.dictionary.to_pylist())
-        sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-        starts = np.concatenate(([0], np.cumsum(sizes)))
-        pool = np.concatenate(words) if words else np.zeros(0, dtype=self.dtype)
-        use = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        ids, sizes = self._words(flat.dictionary)
+        starts = np.cumsum(sizes) - sizes
+        use = flat.indices.to_numpy(zero_copy_only=False)
         n = sizes[use]
-        ends = np.cumsum(n)
-        place = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts[use] - (ends - n), n)
-        word_end = np.concatenate(([0], ends))
-        return pool[place], word_end[np.cumsum(per_text)]
+        word_end = np.concatenate(([0], np.cumsum(n)))
+        per_text = np.diff(split.offsets.to_numpy())
+        return ids[_gather(starts[use], n)], word_end[np.cumsum(per_text)]
 
 
 def _slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
@@ -162,7 +173,7 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, *, end_id: int,
         for batch in batches:
             for piece in _slices(batch, "text"):
                 if encoder is None:
-                    encoder = WordEncoder(tokenizer)
+                    encoder = per_worker(("encoder", tokenizer), lambda: WordEncoder(tokenizer))
                     fs.create_dir(root, recursive=True)
                     data = fs.open_output_stream(f"{final}.rec.{own}")
                     index = fs.open_output_stream(f"{final}.idx.{own}")
