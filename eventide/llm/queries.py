@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import quality_ranker, quality_rules, records, warc
+from . import mixing, quality_ranker, quality_rules, records, warc
 from .common import FUNCTION_WORDS, held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,7 +65,7 @@ def _op1_sql() -> str:
     return f"""
 WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS t FROM documents),
 a AS (SELECT doc_id, lang, t, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS ws,
-             list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls
+             list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls
       FROM d),
 w AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM a),
 win AS (SELECT doc_id, i, w, lead(w, 1) OVER o AS w1, lead(w, 2) OVER o AS w2
@@ -75,7 +75,7 @@ rep AS (SELECT doc_id, i FROM
         WHERE n > 1),
 cover AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM rep, (SELECT unnest([0, 1, 2]) AS k) GROUP BY doc_id),
 base AS (SELECT a.doc_id, lang, len(ws)::BIGINT AS n_words,
-                coalesce(list_sum(list_transform(ws, x -> length(x))), 0)::BIGINT AS word_chars,
+                coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars,
                 (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
                 (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
                 coalesce(cover.n, 0)::BIGINT AS n_repeat_words, length(t) AS n_chars, {class_columns}
@@ -134,7 +134,7 @@ def op1_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
 s AS (SELECT page_id, strlen(h) AS payload_bytes, sha1(h) AS x, max(page_id) OVER (PARTITION BY h) AS top FROM p)
 SELECT page_id, payload_bytes,
-       array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
            1 + ((('0x' || substr(x, (1 + 5 * (i // 4))::INT, 5))::INT >> (15 - 5 * (i % 4))::INT) & 31), 1)), '')
            AS payload_digest,
        CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
@@ -146,3 +146,26 @@ def op10_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (warc.round_trip(spark, read_table(spark, sf_dir, "pages"))
             .where(F.col("gap").isNull())
             .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
+
+
+@query("op7_poisson_mix", f"""
+WITH RECURSIVE s AS (SELECT source, count(*) AS n, power(count(*)::DOUBLE, {mixing.ALPHA}) AS target
+                     FROM documents GROUP BY source),
+rates AS (SELECT source, target * (SELECT sum(n)::DOUBLE FROM s) / (n * (SELECT sum(target) FROM s)) AS rate FROM s),
+d AS (SELECT d.*, rate, ('0x' || substr(md5('{mixing.SEED}|' || coalesce(doc_id::VARCHAR, '') || '|' || md5(coalesce(text, ''))), 1, 13))::BIGINT
+          / 4503599627370496.0 AS u
+      FROM documents d JOIN rates r ON d.source IS NOT DISTINCT FROM r.source),
+cdf AS (SELECT source, rate, 0 AS k, exp(-rate) AS term, exp(-rate) AS cdf FROM rates
+        UNION ALL
+        SELECT source, rate, k + 1, term * rate / (k + 1), cdf + term * rate / (k + 1) FROM cdf
+        WHERE k < ceil(rate + 12 * sqrt(rate) + 30)),
+copies AS (SELECT d.*, c.k AS copy FROM d JOIN cdf c ON d.source IS NOT DISTINCT FROM c.source AND d.u >= c.cdf)
+SELECT doc_id, text, lang, source, n_chars, copy, round(rate, 9) AS rate,
+       ('0x' || substr(md5('{mixing.SEED + 1}|' || coalesce(doc_id::VARCHAR, '') || '|' || md5(coalesce(text, '')) || '|' || copy::VARCHAR), 1, 13))::BIGINT
+          / 4503599627370496.0 AS mix_key
+FROM copies
+""")
+def op7_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents replicated to the target weights, in global random order."""
+    return (mixing.mix(read_table(spark, sf_dir, "documents"))
+            .withColumn("rate", F.round("rate", 9)))
