@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import mixing, quality_ranker, quality_rules, records, warc
+from . import decontaminate, mixing, quality_ranker, quality_rules, records, toxicity, warc
 from .common import FUNCTION_WORDS, held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -169,3 +169,21 @@ def op7_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents replicated to the target weights, in global random order."""
     return (mixing.mix(read_table(spark, sf_dir, "documents"))
             .withColumn("rate", F.round("rate", 9)))
+
+
+@query("op3_template_decontamination")
+def op3_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contaminated documents and the benchmark items they hold."""
+    return (decontaminate.find(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+            .drop("text_hash"))
+
+
+@query("op2_counterfactual_toxicity")
+def op2_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"))
+    score = F.col("score")
+    return (toxicity.score(docs, model)
+            .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score,
+                    (score >= 0.5).cast("int").alias("predicted")))
