@@ -31,11 +31,13 @@ from .common import sample_label_ids, ships_by_value, whole
 from .records import _slices
 
 #: Labelled ids used to fit, features kept, and bits of a feature's hash.
-MAX_LABELS = 8_000
+MAX_LABELS = 16_000
 MAX_FEATURES = 4_096
 BITS = 20
 PREFIXES = (4, 5, 6)
 PENALTY = 10.0
+#: Weight of a row labelled 1 in the loss (label 1 is the rare one).
+RARE_WEIGHT = 2.0
 PUNCTUATION = ".,;:!?\"'()[]{}<>|*#%&$-_=+/\\`~^@…–—“”‘’«»¿¡"
 
 #: Terms that may stand for each other in a counterfactual (fixed values).
@@ -168,7 +170,7 @@ def _sparse(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 def fit_features(x: list[np.ndarray], y: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]], *,
                  penalty: float = PENALTY, l2: float = 2e-4, max_features: int = MAX_FEATURES,
                  steps: int = 400, rate: float = 0.3) -> Model:
-    """Minimise mean log loss + ``penalty`` x mean squared counterfactual change + l2
+    """Minimise weighted mean log loss + ``penalty`` x mean squared counterfactual change + l2
     by adaptive full-batch gradient steps.  The features kept are those whose
     frequency differs most between the labels, and all that a counterfactual changes."""
     none = np.zeros(1 << BITS)
@@ -185,7 +187,7 @@ def fit_features(x: list[np.ndarray], y: np.ndarray, pairs: list[tuple[np.ndarra
     z = np.where(n >= 4, np.abs(n1 - n * share) / spread, 0.0)
     best = np.argsort(-z, kind="stable")[:max_features]
     kept = np.zeros(size, bool)
-    kept[best[z[best] >= 3]] = True
+    kept[best[z[best] >= 5]] = True
     for a, b in pairs:
         kept[a] = kept[b] = True
     number = np.cumsum(kept) - 1
@@ -200,7 +202,7 @@ def fit_features(x: list[np.ndarray], y: np.ndarray, pairs: list[tuple[np.ndarra
     seen_w, seen_b = np.full(d, 1e-8), 1e-8
     for step in range(steps):
         odds = b + np.bincount(owner, w[col], minlength=len(y))
-        wrong = (1 / (1 + np.exp(-np.clip(odds, -30, 30))) - y) / len(y)
+        wrong = (1 / (1 + np.exp(-np.clip(odds, -30, 30))) - y) * np.where(y > 0, RARE_WEIGHT, 1.0) / len(y)
         grad = np.bincount(col, wrong[owner], minlength=d) + l2 * w
         if pairs:
             change = np.bincount(cf_owner, cf_sign * w[cf_col], minlength=len(pairs))
