@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import decontaminate, mixing, quality_ranker, quality_rules, records, toxicity, warc
+from . import (decontaminate, mixing, quality_ranker, quality_rules, records, site_style_tree,
+               toxicity, warc)
 from .common import FUNCTION_WORDS, held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -187,3 +188,10 @@ def op2_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (toxicity.score(docs, model)
             .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score,
                     (score >= 0.5).cast("int").alias("predicted")))
+
+
+@query("op6_site_style_tree")
+def op6_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return (site_style_tree.extract(read_table(spark, sf_dir, "pages"))
+            .select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars")))

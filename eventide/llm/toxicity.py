@@ -68,7 +68,7 @@ def word_features(words: pa.Array) -> np.ndarray:
     columns = [_hash(words)]
     for n in PREFIXES:
         start = pc.binary_join_element_wise(pc.utf8_slice_codeunits(words, 0, n), "*", "")
-        columns.append(np.where(size > n, _hash(start), -1))
+        columns.append(np.where(size >= n, _hash(start), -1))
     return np.stack(columns, axis=1)
 
 
