@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import (decontaminate, mixing, quality_ranker, quality_rules, records, site_style_tree,
-               toxicity, warc)
+from . import (bagminhash, decontaminate, mixing, quality_ranker, quality_rules, records,
+               site_style_tree, toxicity, warc)
 from .common import FUNCTION_WORDS, held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -195,3 +195,11 @@ def op6_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return (site_style_tree.extract(read_table(spark, sf_dir, "pages"))
             .select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars")))
+
+
+@query("op4_bagminhash_dedup")
+def op4_bagminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return (bagminhash.classes(docs)
+            .select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept")))
