@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import (bagminhash, decontaminate, mixing, quality_ranker, quality_rules, records,
-               site_style_tree, toxicity, warc)
+from . import (bagminhash, decontaminate, line_dedup, mixing, quality_ranker, quality_rules,
+               records, site_style_tree, toxicity, warc)
 from .common import FUNCTION_WORDS, held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -203,3 +203,30 @@ def op4_bagminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return (bagminhash.classes(docs)
             .select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept")))
+
+
+@query("op5_line_runs", f"""
+WITH d AS (SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, unnest(ls) AS x, generate_subscripts(ls, 1) - 1 AS k FROM d),
+w AS (SELECT doc_id, x, k, len(regexp_extract_all(x, '[^\\x20\\x09-\\x0D]+')) AS n FROM l
+      WHERE regexp_matches(x, '[^\\x20\\x09-\\x0D]')),
+s AS (SELECT doc_id, list(x ORDER BY k) AS xs, list(k ORDER BY k) AS ks, list(n ORDER BY k) AS ns FROM w GROUP BY doc_id),
+p AS (SELECT *, unnest(range(1, len(ks) + 1)) AS i FROM s),
+t AS (SELECT *, list_filter(range(1, least({line_dedup.MIN_WORDS}, len(ks) - i + 1) + 1),
+                            lambda m: list_sum(ns[i:i + m - 1]) >= {line_dedup.MIN_WORDS})[1] AS t FROM p),
+b AS (SELECT doc_id, i, xs[i:i + t - 1] AS block, ks[i:i + t - 1] AS lines FROM t WHERE t IS NOT NULL),
+later AS (SELECT doc_id, lines FROM
+          (SELECT *, row_number() OVER (PARTITION BY block ORDER BY doc_id, i) AS r FROM b) WHERE r > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(lines) AS k FROM later),
+g AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id),
+left_over AS (SELECT l.doc_id, string_agg(x, chr(10) ORDER BY l.k) AS text
+              FROM l LEFT JOIN gone ON l.doc_id = gone.doc_id AND l.k = gone.k WHERE gone.k IS NULL GROUP BY l.doc_id)
+SELECT d.doc_id, CASE WHEN g.n IS NULL THEN d.text ELSE coalesce(left_over.text, '') END AS text,
+       coalesce(g.n, 0) AS n_deleted
+FROM d LEFT JOIN g ON d.doc_id = g.doc_id LEFT JOIN left_over ON d.doc_id = left_over.doc_id
+""")
+def op5_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the line runs that occur earlier."""
+    return (line_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+            .select("doc_id", "text", F.aggregate("deleted", F.lit(0).cast("bigint"), lambda n, r: n + r["lines"])
+                    .alias("n_deleted")))

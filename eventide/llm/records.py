@@ -159,8 +159,9 @@ def _open(folder: str):
 
 
 def write_records(docs: DataFrame, folder: str, tokenizer: str, *, end_id: int,
-                  files: int | None = None) -> list[tuple[int, int, int]]:
-    """Encode ``docs(doc_id, text)`` and write them in order of ``doc_id``.
+                  files: int | None = None, ordered: bool = True) -> list[tuple[int, int, int]]:
+    """Encode ``docs(doc_id, text)`` and write them in order of ``doc_id``, or, with
+    ``ordered`` false, as they come (a file per partition), say after a shuffle.
 
     Returns ``(file, documents, ids)`` for each file, in order: one short row per
     file is all that reaches the driver."""
@@ -204,9 +205,10 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, *, end_id: int,
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                        whole(F.col("text")).alias("text"))
-    done = (rows.repartitionByRange(files or partitions(docs.sparkSession), "doc_id")
-            .sortWithinPartitions("doc_id", F.xxhash64("text"))
-            .mapInArrow(write, "part int, docs bigint, ids bigint").collect())
+    if ordered:
+        rows = (rows.repartitionByRange(files or partitions(docs.sparkSession), "doc_id")
+                .sortWithinPartitions("doc_id", F.xxhash64("text")))
+    done = rows.mapInArrow(write, "part int, docs bigint, ids bigint").collect()
     return sorted((r["part"], r["docs"], r["ids"]) for r in done)
 
 
@@ -277,10 +279,10 @@ def read_at(folder: str, part: int, entries: np.ndarray) -> Iterator[tuple[int |
 
 
 def encode_documents(spark: SparkSession, docs: DataFrame, tokenizer: str, *, end_id: int,
-                     folder: str | None = None) -> DataFrame:
+                     folder: str | None = None, ordered: bool = True) -> DataFrame:
     """Write the records of ``docs`` below the shared folder and read them back."""
     folder = folder or shared_path(spark, "records")
-    return read_records(spark, folder, write_records(docs, folder, tokenizer, end_id=end_id))
+    return read_records(spark, folder, write_records(docs, folder, tokenizer, end_id=end_id, ordered=ordered))
 
 
 ships_by_value(__name__)
