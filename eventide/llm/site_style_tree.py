@@ -158,7 +158,10 @@ class Page:
             self._paths[path] = _digest(path)
         self.nodes.append(Node(parent, name, sign, self._paths[path], noise))
         self._path_text.append(path)
-        self.nodes[parent].children.append(len(self.nodes) - 1)
+        if name not in INLINE:
+            while self.nodes[parent].tag in INLINE:
+                parent = self.nodes[parent].parent
+            self.nodes[parent].children.append(len(self.nodes) - 1)
         if name not in VOID and not rest.endswith("/"):
             self._open.append(len(self.nodes) - 1)
 
@@ -171,11 +174,14 @@ class Page:
             self._end_block() if name == "p" else self._text(" ")
 
     def content(self) -> dict[int, list[str]]:
-        """Texts of each element that holds text of its own."""
+        """Texts of each element that holds text of its own; inline elements are part
+        of the element around them."""
         out: dict[int, list[str]] = {}
         for block in self.blocks:
             per: dict[int, list[str]] = {}
             for i, text in block:
+                while self.nodes[i].tag in INLINE:
+                    i = self.nodes[i].parent
                 per.setdefault(i, []).append(text)
             for i, parts in per.items():
                 text = _clean(parts)
@@ -186,7 +192,7 @@ class Page:
     def features(self) -> set[tuple[int, bool, int]]:
         """``(path, is content, feature)``: child sequences and texts."""
         found = {(n.path, False, _digest(",".join(self.nodes[c].sign for c in n.children)))
-                 for n in self.nodes[1:] if n.children}
+                 for n in self.nodes[1:] if n.children and n.tag not in INLINE}
         for i, texts in self.content().items():
             found |= {(self.nodes[i].path, True, _digest(t)) for t in texts}
         return found
@@ -216,7 +222,7 @@ class Page:
             score[i] = mean
             holds[n.parent] = holds[n.parent] or holds[i]
         for i, n in enumerate(self.nodes[1:], 1):
-            low = score[i] < threshold and not holds[i] and n.tag not in ("html", "body")
+            low = score[i] < threshold and not holds[i] and n.tag not in ("html", "body", *INLINE)
             drop[i] = low or drop[n.parent]
         return drop
 

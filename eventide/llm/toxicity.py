@@ -244,10 +244,10 @@ def score(docs: DataFrame, model: Model, *, column: str = "score") -> DataFrame:
         local = Model(weights, intercept)
         for batch in batches:
             for piece in _slices(batch, "_text"):
-                odds = np.clip(local.log_odds(piece.column("_text")), -700, 700)
-                yield pa.RecordBatch.from_arrays(
-                    [*(piece.column(c) for c in names), pa.array(1 / (1 + np.exp(-odds)))],
-                    names=[*names, column])
+                with np.errstate(over="ignore"):
+                    chance = 1 / (1 + np.exp(-local.log_odds(piece.column("_text"))))
+                yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in names), pa.array(chance)],
+                                                 names=[*names, column])
 
     schema = T.StructType([*plain.schema.fields, T.StructField(column, T.DoubleType())])
     return plain.withColumn("_text", whole(F.col("text"))).mapInArrow(run, schema)
