@@ -119,7 +119,9 @@ def remove_repeats(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
     runs = let(starts, lambda s: F.zip_with(s, F.slice(s, 2, F.size(s)), lambda a, b: F.struct(
         F.get(F.col("y.gone"), a).alias("start"), (F.coalesce(b, F.size("y.gone")) - a).alias("lines"))))
     return (plain.withColumn("_h", F.xxhash64(whole(F.col("text")))).alias("x")
-            .join(gone.alias("y"), F.col("x.doc_id").eqNullSafe(F.col("y.d")) & (F.col("x._h") == F.col("y.h")), "left")
+            # many documents have deletions: the same (sorted) join at every size
+            .join(gone.hint("merge").alias("y"),
+                  F.col("x.doc_id").eqNullSafe(F.col("y.d")) & (F.col("x._h") == F.col("y.h")), "left")
             .select(*(F.when(F.col("y.gone").isNull(), F.col("x.text")).otherwise(kept).alias("text") if c == "text"
                       else F.col(f"x.{c}") for c in plain.columns),
                     F.coalesce(F.when(F.col("y.gone").isNotNull(), runs),
