@@ -9,20 +9,13 @@ from __future__ import annotations
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-# The JVM string hash is h = 31 * h + c over UTF-16 code units,
+# The JVM string hash is h = 31 * h + u over UTF-16 code units u,
 # wrapped to a signed 32-bit int; an empty string hashes to 0.
-_UNITS = "hex(encode({s}, 'UTF-16BE'))"
-JAVA_HASH_SQL = (
-    "CASE WHEN {s} IS NULL THEN NULL WHEN {s} = '' THEN 0 ELSE aggregate("
-    "transform(sequence(0, length(" + _UNITS + ") div 4 - 1), "
-    "i -> CAST(conv(substr(" + _UNITS + ", i * 4 + 1, 4), 16, 10) AS BIGINT)), "
-    "0L, (acc, u) -> (acc * 31 + u) & 4294967295L, "
-    "acc -> CAST(CASE WHEN acc >= 2147483648L THEN acc - 4294967296L ELSE acc END AS INT)) END"
-)
-
-
-def java_hash_sql(arg: str) -> str:
-    return JAVA_HASH_SQL.replace("{s}", arg)
+JVM_HASH_SQL = """aggregate(split({s}, ''), 0L, (h, c) -> CASE
+    WHEN c = '' THEN h
+    WHEN ascii(c) < 65536 THEN (h * 31 + ascii(c)) & 4294967295L
+    ELSE ((h * 31 + 55296 + ((ascii(c) - 65536) div 1024)) * 31 + 56320 + (ascii(c) - 65536) % 1024) & 4294967295L END,
+  h -> CAST(CASE WHEN h >= 2147483648L THEN h - 4294967296L ELSE h END AS INT))"""
 
 
 def _c(col: str | Column) -> Column:
@@ -30,16 +23,20 @@ def _c(col: str | Column) -> Column:
 
 
 def java_hash(col: str | Column) -> Column:
-    """``String.hashCode`` of a string column (not Spark's Murmur3 ``hash``)."""
-    s = _c(col)
-    hx = F.hex(F.encode(s, "UTF-16BE"))
-    n = (F.length(hx) / 4).cast("int")
-    units = F.transform(F.sequence(F.lit(0), n - 1),
-                        lambda i: F.conv(hx.substr(i * 4 + 1, F.lit(4)), 16, 10).cast("bigint"))
-    h = F.aggregate(units, F.lit(0).cast("bigint"),
-                    lambda acc, u: (acc * 31 + u).bitwiseAND(F.lit(4294967295)),
-                    lambda acc: F.when(acc >= 2147483648, acc - 4294967296).otherwise(acc).cast("int"))
-    return F.when(s.isNull(), F.lit(None).cast("int")).when(s == "", F.lit(0)).otherwise(h)
+    """``String.hashCode`` of a string column (not Spark's Murmur3 ``hash``).
+
+    The text is split into characters once and folded; a character beyond the
+    basic plane is two units.  Time is linear in the length."""
+    mask = 4294967295
+
+    def step(h: Column, c: Column) -> Column:
+        u = F.ascii(c).cast("bigint")
+        high = (u - 65536) / 1024
+        pair = (h * 31 + 55296 + F.floor(high)) * 31 + 56320 + (u - 65536) % 1024
+        return (F.when(c == "", h).when(u < 65536, (h * 31 + u).bitwiseAND(F.lit(mask)))
+                .otherwise(pair.bitwiseAND(F.lit(mask))))
+    return F.aggregate(F.split(_c(col), ""), F.lit(0).cast("bigint"), step,
+                       lambda h: F.when(h >= 2147483648, h - 4294967296).otherwise(h).cast("int"))
 
 
 def wrap_int(col: str | Column) -> Column:
@@ -50,27 +47,38 @@ def wrap_int(col: str | Column) -> Column:
             - F.lit(2147483648)).cast("int")
 
 
+def digits(col: str | Column) -> Column:
+    """The first run of digits of a string, with its sign (empty without one)."""
+    return F.regexp_extract(_c(col), r"(-?\d+)", 1)
+
+
+def to_int(col: str | Column, strict: bool = True) -> Column:
+    """``String.toInt`` of a whole string.  ``strict`` raises on a string that is
+    no number or does not fit (ANSI cast); otherwise such values give NULL."""
+    whole = F.when(_c(col).rlike(r"^[+-]?\d+$"), _c(col)).otherwise(F.concat(F.lit("not a number: "), _c(col)))
+    return whole.cast("int") if strict else whole.try_cast("int")
+
+
 def digits_to_int(col: str | Column, strict: bool = True) -> Column:
-    """``String.toInt`` on the digits of a string.  ``strict`` raises on
-    a value that does not fit (ANSI cast); otherwise such values give NULL."""
-    digits = F.regexp_extract(_c(col), r"(-?\d+)", 1)
-    return digits.cast("int") if strict else digits.try_cast("int")
+    """The number inside a string, e.g. of a name that ends in one."""
+    return to_int(digits(col), strict)
 
 
-def first_char_row(col: str | Column) -> list[Column]:
-    """The table function's row ``(first char, its length)``."""
-    sub = F.substring(_c(col), 1, 1)
-    return [sub.alias("nam"), F.length(sub).alias("ag")]
+def leading_char(col: str | Column) -> list[Column]:
+    """The row of the table function: a text's first character and how many
+    characters that is (0 for the empty text)."""
+    first = F.left(_c(col), F.lit(1))
+    return [first.alias("first_char"), F.char_length(first).alias("n_chars")]
 
 
 def register_sql_functions(spark: SparkSession) -> None:
-    """Register the functions by name for ``spark.sql`` (names are
-    case-insensitive).  Both are SQL functions, inlined by the analyzer."""
-    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION selffunc(s STRING) RETURNS INT RETURN "
-              + java_hash_sql("s"))
-    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION selftablefunc(s STRING) "
-              "RETURNS TABLE (nam STRING, ag INT, ti TIMESTAMP) "
-              "RETURN SELECT substr(s, 1, 1), length(substr(s, 1, 1)), current_timestamp()")
+    """Register ``jvm_hash(text)`` and the table function ``leading_char(text)``
+    for ``spark.sql``.  Both are SQL functions, inlined by the analyzer."""
+    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION jvm_hash(text STRING) RETURNS INT RETURN "
+              + JVM_HASH_SQL.replace("{s}", "text"))
+    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION leading_char(text STRING) "
+              "RETURNS TABLE (first_char STRING, n_chars INT, read_at TIMESTAMP) "
+              "RETURN SELECT left(text, 1), char_length(left(text, 1)), current_timestamp()")
 
 
 def message(fmt: str, *cols: str | Column) -> Column:

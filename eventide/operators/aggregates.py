@@ -72,13 +72,25 @@ def running_max(df: DataFrame, col: str, order: list[str], name: str = "running_
     return seq.finish(seq.running(d, {name: ("max", F.col(col))}))
 
 
-def update_log(running: DataFrame, keys: list[str], cnt: str = "running_count") -> DataFrame:
-    """The change log of a running count: ``+I`` for a key's first value,
-    then ``-U`` (old value) and ``+U`` (new value) for each later update."""
+def update_log(running: DataFrame, keys: list[str], cnt: str = "running_count",
+               order: list[str] | None = None, **seq_kw) -> DataFrame:
+    """The change log of a running value: ``+I`` for a key's first value,
+    then ``-U`` (old value) and ``+U`` (new value) for each later update.
+
+    With ``order`` the old value is the key's previous row (any running
+    aggregate); without, ``running`` is taken to be a running count, whose old
+    value is one less (no scan; also usable on streams)."""
+    if order is None:
+        d = running.withColumn("_old", F.when(F.col(cnt) != 1, F.col(cnt) - 1)).withColumn(
+            "_first", F.col(cnt) == 1)
+    else:
+        seq = KeyedSequence(list(keys), list(order), **seq_kw)
+        d = seq.finish(seq.lag(seq.prepare(running), [cnt], 1, prefix="_was"))
+        d = d.withColumn("_old", F.col(f"_was1.{cnt}")).withColumn("_first", F.col("_was1").isNull()).drop("_was1")
     first = F.array(F.struct(F.lit("+I").alias("op"), F.col(cnt).alias("cnt"), F.lit(0).alias("seq")))
-    upd = F.array(F.struct(F.lit("-U").alias("op"), (F.col(cnt) - 1).alias("cnt"), F.lit(0).alias("seq")),
+    upd = F.array(F.struct(F.lit("-U").alias("op"), F.col("_old").alias("cnt"), F.lit(0).alias("seq")),
                   F.struct(F.lit("+U").alias("op"), F.col(cnt).alias("cnt"), F.lit(1).alias("seq")))
-    return (running.withColumn("_ch", F.explode(F.when(F.col(cnt) == 1, first).otherwise(upd)))
+    return (d.withColumn("_ch", F.explode(F.when(F.col("_first"), first).otherwise(upd)))
             .select(*[c for c in running.columns if c != cnt],
                     F.col("_ch.op").alias("op"), F.col("_ch.cnt").cast("bigint").alias("cnt"),
                     F.col("_ch.seq").alias("seq")))

@@ -16,8 +16,6 @@ from pyspark.sql import functions as F
 from . import windows as W
 from .sequence import KeyedSequence, order_micros
 
-MAX_BROADCAST_RULES = 100_000
-
 
 def _micros(df: DataFrame, col: str):
     return order_micros(df, col).cast("bigint")
@@ -101,64 +99,68 @@ def window_cogroup_members(left: DataFrame, right: DataFrame, keys: list[str], l
 
 
 def reconcile(left: DataFrame, right: DataFrame, keys: list[str], l_ts: str, r_ts: str,
-              l_id: str, r_id: str, within) -> DataFrame:
+              l_id: str, r_id: str, within, **seq_kw) -> DataFrame:
     """J4 (many-to-many form): pair rows of equal key whose times differ by
     at most ``within``; rows without a partner are reported alone.
 
-    ``status`` is ``matched``, ``left_only`` or ``right_only``.  Written as a
-    bucketed inner join plus two anti-joins on the row ids (a full outer
-    join with a range condition cannot be bucketed without duplicates)."""
+    ``status`` is ``matched``, ``left_only`` or ``right_only``.  The pairs are one
+    bucketed inner join.  A row is alone if the nearest rows of the other side
+    before and after it (one ordered scan over both sides) are out of reach, or
+    if a key is null, which matches nothing."""
     pairs = interval_join(left, right, keys, l_ts, r_ts, -W.seconds(within), W.seconds(within))
     lcols = [c for c in left.columns if c not in keys]
     rcols = [c for c in right.columns if c not in keys]
     matched = pairs.select(*keys, *lcols, *rcols, F.lit("matched").alias("status"))
-    l_only = (left.join(pairs.select(l_id).distinct(), on=l_id, how="left_anti")
-              .select(*keys, *lcols, *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in rcols],
-                      F.lit("left_only").alias("status")))
-    r_only = (right.join(pairs.select(r_id).distinct(), on=r_id, how="left_anti")
-              .select(*keys, *[F.lit(None).cast(left.schema[c].dataType).alias(c) for c in lcols], *rcols,
-                      F.lit("right_only").alias("status")))
-    return matched.unionByName(l_only).unionByName(r_only)
+
+    def side(df, ts, cols, other, tag):
+        return df.select(*keys, F.col(ts).alias("_ts"), F.lit(tag).alias("_side"), *cols,
+                         *[F.lit(None).cast(t).alias(c) for c, t in other])
+    typed = lambda df, cols: [(c, df.schema[c].dataType) for c in cols]
+    both = side(left, l_ts, lcols, typed(right, rcols), 0).unionByName(
+        side(right, r_ts, rcols, typed(left, lcols), 1))
+    seq = KeyedSequence(list(keys), ["_ts", "_side"], **seq_kw)
+    d = seq.prepare(both)
+    times = {0: F.when(F.col("_side") == 0, F.col("_ts")), 1: F.when(F.col("_side") == 1, F.col("_ts"))}
+    d = seq.running(d, {f"_before{k}": ("max", t) for k, t in times.items()})
+    d = seq.finish(seq.running(d, {f"_after{k}": ("min", t) for k, t in times.items()}, reverse=True))
+    reach = W.interval(within)
+
+    def near(k):
+        return (F.coalesce(F.col(f"_before{k}") >= F.col("_ts") - reach, F.lit(False))
+                | F.coalesce(F.col(f"_after{k}") <= F.col("_ts") + reach, F.lit(False)))
+    no_key = F.lit(False)
+    for k in keys:
+        no_key = no_key | F.col(k).isNull()
+    is_left = F.col("_side") == 0
+    alone = (d.filter(no_key | ~F.when(is_left, near(1)).otherwise(near(0)))
+             .select(*keys, *lcols, *rcols, F.when(is_left, F.lit("left_only")).otherwise(F.lit("right_only"))
+                     .alias("status")))
+    return matched.unionByName(alone)
+
+
+def with_rule(ev: DataFrame, rules: DataFrame, ts: str, rule_ts: str = "rule_ts",
+              order: list[str] = (), **seq_kw) -> DataFrame:
+    """The rule in force at each row's time (latest ``rule_ts <= ts``) as the struct
+    ``rule``: rules are merged into the time order and carried forward, so their
+    number does not matter.  Of rules with equal start the greatest one counts."""
+    rule_cols = [c for c in rules.columns if c != rule_ts]
+    starts = rules.groupBy(rule_ts).agg(F.max(F.struct(*rule_cols)).alias("_rule"))
+    tagged = (ev.select("*", F.lit(1).alias("_is_ev"))
+              .unionByName(starts.select(F.col(rule_ts).alias(ts), F.lit(0).alias("_is_ev"), "_rule"),
+                           allowMissingColumns=True))
+    seq = KeyedSequence([], [ts, "_is_ev", *[o for o in order if o != ts]], **seq_kw)
+    d = seq.running(seq.prepare(tagged), {"rule": ("last", F.col("_rule"))})
+    return seq.finish(d).filter(F.col("_is_ev") == 1).drop("_is_ev", "_rule")
 
 
 def previous_with_rule(ev: DataFrame, rules: DataFrame, keys: list[str], order: list[str],
                        ts: str, cols: list[str], rule_ts: str = "rule_ts",
                        **seq_kw) -> DataFrame:
     """Each event with the previous event of its key (``prev`` struct of
-    ``cols``) and the rule in force at its time (latest ``rule_ts <= ts``).
-
-    The rule table is a parameter stream: when it is small (counted, at most
-    ``MAX_BROADCAST_RULES`` rows) rule start times become bucket splits and
-    the rules a broadcast hash join; otherwise rules and events are merged in
-    time order and the rule is carried forward by a chunked scan."""
+    ``cols``) and the rule in force at its time (:func:`with_rule`)."""
     seq = KeyedSequence(list(keys), list(order), **seq_kw)
     d = seq.finish(seq.lag(seq.prepare(ev), cols, 1, prefix="_prev")).withColumnRenamed("_prev1", "prev")
-    rule_cols = [c for c in rules.columns if c != rule_ts]
-    # One bounded read decides the path: at most MAX_BROADCAST_RULES + 1 starts.
-    found = (rules.select(_micros(rules, rule_ts).cast("double").alias("s"))
-             .limit(MAX_BROADCAST_RULES + 1).collect())
-    if len(found) <= MAX_BROADCAST_RULES:
-        from pyspark.ml.feature import Bucketizer
-        starts = sorted({r[0] for r in found if r[0] is not None})
-        idx = rules.withColumn("_ri", F.lit(0))
-        if starts:
-            x = "_rx"
-            bk = Bucketizer(splits=[-math.inf] + starts + [math.inf], inputCol=x, outputCol="_ri",
-                           handleInvalid="keep")
-            d = bk.transform(d.withColumn(x, _micros(d, ts).cast("double"))).drop(x)
-            idx = bk.transform(rules.withColumn(x, _micros(rules, rule_ts).cast("double"))).drop(x)
-        # Several rules with the same start: keep the last one given.
-        idx = (idx.withColumn("_rn", F.monotonically_increasing_id())
-               .groupBy("_ri").agg(F.max_by(F.struct(*rule_cols), "_rn").alias("rule")))
-        return d.join(F.broadcast(idx), on="_ri", how="left").drop("_ri")
-    # Large rule streams: carry the latest rule forward in global time order.
-    tagged = (d.select("*", F.lit(1).alias("_is_ev"), F.lit(None).alias("_rule"))
-              .unionByName(rules.select(F.col(rule_ts).alias(ts), F.lit(0).alias("_is_ev"),
-                                        F.struct(*rule_cols).alias("_rule")),
-                           allowMissingColumns=True))
-    g = KeyedSequence([], [ts, "_is_ev", *[o for o in order if o != ts]], **seq_kw)
-    t = g.running(g.prepare(tagged), {"rule": ("last", F.col("_rule"))})
-    return g.finish(t).filter(F.col("_is_ev") == 1).drop("_is_ev", "_rule")
+    return with_rule(d, rules, ts, rule_ts, order, **seq_kw)
 
 
 def connect_map(first: DataFrame, second: DataFrame, map1, map2, name: str = "v") -> DataFrame:
@@ -167,17 +169,3 @@ def connect_map(first: DataFrame, second: DataFrame, map1, map2, name: str = "v"
     a = first.select(F.lit("first").alias("src"), map1.alias(name))
     b = second.select(F.lit("second").alias("src"), map2.alias(name))
     return a.unionByName(b)
-
-
-def rule_spans(rules: DataFrame, rule_ts: str = "rule_ts") -> DataFrame:
-    """J5 stream side: rules as ``[rule_ts, next_ts)`` spans for a broadcast
-    stream-static join.  The rule table is checked to hold at most
-    ``MAX_BROADCAST_RULES`` rows (one bounded read) before it may be
-    broadcast; larger rule sets belong to the batch form, which carries rules
-    through a chunked scan instead."""
-    n = rules.limit(MAX_BROADCAST_RULES + 1).count()
-    if n > MAX_BROADCAST_RULES:
-        raise ValueError(f"rule table has more than {MAX_BROADCAST_RULES} rows; "
-                         "use previous_with_rule on the stored events instead")
-    rest = [c for c in rules.columns if c != rule_ts]
-    return rules.selectExpr(rule_ts, *rest, f"lead({rule_ts}) OVER (ORDER BY {rule_ts}) AS next_ts")

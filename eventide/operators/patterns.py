@@ -8,8 +8,10 @@ split into chunks instead of landing on one task.
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +19,7 @@ from pyspark.sql import types as T
 
 from ..session import cut_lineage
 from . import windows as W
-from .sequence import CHUNK, KeyedSequence
+from .sequence import CHUNK, CROSSES, KeyedSequence
 
 
 # Functions and classes of this module run in Python workers (and in the
@@ -145,58 +147,54 @@ def run_state_machine(df: DataFrame, keys: list[str], order: list[str], event_co
     """The state of each key's machine after every row (``state``), and
     ``accepted`` when that state is accepting.
 
-    Rows are hash-partitioned by (key, chunk) and sorted; ``mapInPandas``
-    then streams each partition's Arrow batches once, composing the per-row
-    state maps with a segmented doubling scan and carrying the open key's map
-    from one batch to the next, so memory is bounded by the batch size.
-    Hot keys are chunked like the other scans: a chunk's entry state is folded
-    over the summaries of the key's earlier chunks (at most #chunks small
-    arrays) and applied to each row's map."""
+    The rows of a chunk are one sorted partition (:class:`KeyedSequence`).  A
+    vectorised function streams over it once and sees three columns only: the
+    key as text (exact and null-safe), the event index, and whether the key
+    crosses a chunk border.  It composes the per-row state maps with a segmented
+    doubling scan and carries the open key's map from batch to batch.  Rows of a
+    crossing key get their map since the start of the chunk; the entry states of
+    its chunks follow from the maps of the chunks before, composed once in order,
+    and are applied to each row's map."""
     seq = KeyedSequence(list(keys), list(order), **seq_kw)
     d = seq.prepare(df.withColumn("_ev", fsm.event_index(event_col)))
     parts = seq.parts
     start = fsm.sid[fsm.start]
-    emit_maps = seq.chunked
-    extra = (T.StructField("_pf", T.ArrayType(T.IntegerType())) if emit_maps
-             else T.StructField("_si", T.IntegerType()))
-    schema = T.StructType(d.schema.fields + [extra])
     table = fsm.table
-
-    def scan(batches):
-        carry_key, carry_pf = None, None
-        for pdf in batches:
-            if pdf.empty:
+    schema = T.StructType([T.StructField("si", T.IntegerType()),
+                           T.StructField("map", T.ArrayType(T.IntegerType()))])
+
+    def scan(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        carry_key, carry_map = None, None
+        for key, ev, crosses in batches:
+            if not len(key):
+                yield pd.DataFrame({"si": [], "map": []})
                 continue
-            key_cols = pdf[parts]
-            changed = (key_cols != key_cols.shift()).any(axis=1).to_numpy()
-            seg = np.cumsum(changed)
-            p = _segmented_prefix(table[pdf["_ev"].to_numpy(dtype=np.int64)].copy(), seg)
-            first_key = tuple(key_cols.iloc[0])
-            if carry_key is not None and first_key == carry_key:
-                head = seg == seg[0]
-                p[head] = p[head][:, carry_pf]
-            carry_key, carry_pf = tuple(key_cols.iloc[-1]), p[-1].copy()
-            if emit_maps:
-                pdf["_pf"] = list(p.astype(np.int32))
-            else:
-                pdf["_si"] = p[:, start].astype(np.int32)
-            yield pdf
-
-    d = d.repartition(*parts).sortWithinPartitions(*parts, *order).mapInPandas(scan, schema)
-    if emit_maps:
-        # Read twice below (chunk summaries, rows): cut the lineage once
-        # instead of running the Python scan twice.
-        d = cut_lineage(d)
-        from pyspark.sql import Window
-        last = (d.groupBy(*parts)
-                .agg(F.max_by("_pf", F.struct(*[F.col(c) for c in order])).alias("_tot")))
-        cw = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-        entry = last.select(*parts, F.aggregate(
-            F.collect_list("_tot").over(cw), F.lit(start),
-            lambda s, f: F.element_at(f, s + 1)).alias("_entry"))
-        d = (d.join(entry, on=parts, how="left")
-             .withColumn("_si", F.element_at("_pf", F.col("_entry") + 1)))
+            k = key.to_numpy(dtype=object)
+            seg = np.concatenate(([0], np.cumsum(k[1:] != k[:-1])))
+            p = _segmented_prefix(table[ev.to_numpy(dtype=np.int64)].copy(), seg)
+            if carry_map is not None and k[0] == carry_key:
+                head = seg == 0
+                p[head] = p[head][:, carry_map]
+            carry_key, carry_map = k[-1], p[-1].copy()
+            maps = [m if c else None for m, c in zip(p.astype(np.int32), crosses)]
+            yield pd.DataFrame({"si": p[:, start].astype(np.int32), "map": maps})
+
+    run = F.pandas_udf(scan, schema)
+    key_text = F.to_json(F.struct(*[F.col(c) for c in keys])) if keys else F.lit("")
+    # Two readers below (chunk summaries, rows): scan once.
+    d = cut_lineage(d.withColumn("_s", run(key_text, F.col("_ev"), F.col(CROSSES))))
+    last = (d.filter(CROSSES).groupBy(*parts).agg(F.max_by("_s.map", seq.place()).alias("_tot"))
+            .groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(CHUNK, "_tot"))).alias("_all")))
+    # Entry state of every chunk of the key, in one pass over its chunks.
+    step = F.struct(F.lit(start).alias("s"), F.array().cast("array<int>").alias("seen"))
+    entries = F.aggregate("_all", step, lambda a, x: F.struct(
+        F.element_at(x["_tot"], a["s"] + 1).alias("s"),
+        F.concat(a["seen"], F.array(a["s"])).alias("seen")), lambda a: a["seen"])
+    entry = (last.select(*keys, F.explode(F.arrays_zip(F.col(f"_all.{CHUNK}").alias("c"), entries.alias("e"))).alias("_x"))
+             .select(*keys, F.col("_x.c").alias(CHUNK), F.col("_x.e").alias("_entry")))
+    d = seq.add_carry(d, entry, ["_entry"])
+    d = d.withColumn("_si", F.coalesce(F.element_at("_s.map", F.col("_entry") + 1), F.col("_s.si")))
     names = F.array(*[F.lit(x) for x in fsm.states])
     out = d.withColumn("state", F.element_at(names, F.col("_si") + 1))
     out = out.withColumn("accepted", F.col("state").isin(list(fsm.accept)))
-    return seq.finish(out).drop("_ev", "_pf", "_entry", "_si")
+    return seq.finish(out).drop("_ev", "_s", "_entry", "_si")

@@ -1,53 +1,39 @@
-"""Ordered per-key scans that stay parallel when one key is hot.
-
-Running aggregates, ``lag`` and "first later row" searches are written as
-window functions over ``partitionBy(keys).orderBy(order)``.  A plain window
-puts every row of a key into one task, so a key holding a third of the data
-would run on one core.  ``KeyedSequence`` splits such keys into chunks of
-bounded size and stitches the chunks back together with a small carry table:
-
-1. count rows per key on a sample sized so that a key at the threshold shows
-   up about a thousand times (partial aggregation; exact for small thresholds);
-2. keys above ``hot_rows`` are *hot*; their rows get a chunk number from
-   equal-count split points of the first order column (``approxQuantile`` on
-   a sample: only the split points, at most ``MAX_CHUNKS`` numbers, reach the
-   driver);
-3. each scan runs inside ``(keys, chunk)`` partitions, then adds the carry of
-   all earlier chunks of the same key, computed on a per-chunk summary whose
-   size is bounded by ``#hot keys x #chunks``.
-
-With no hot key the plan is the plain window (no extra shuffle).  A global
-order (``keys=[]``) is cut the same way into chunks of at most ``chunk_rows``
-rows, so a window without keys never runs over more than one bounded chunk.
+"""Ordered per-key scans that stay parallel however rows are spread over keys.
+
+Running aggregates, ``lag`` and "first later row" searches need the rows of a
+key in order.  A plain window puts every row of a key into one task.  Here the
+rows are range-partitioned by (keys, order, hash of the row), so a hot key, a
+null key and rows that tie in ``order`` are all cut into chunks of about equal
+size; a chunk is one partition.  Each scan runs inside (keys, chunk) and then
+adds the carry of the key's earlier chunks.
+
+Only keys that cross a border between partitions need a carry: at most the
+first and the last key of each chunk.  Their summaries, at most two rows per
+partition, are joined (null-safe) as a broadcast, whose size is thus bounded by
+the partition count.  There is one plan for all inputs; nothing is counted
+beforehand.
+
+The chunked rows are checkpointed once, so that chunk numbers are the same for
+every scan and for tasks that run again.
 """
 
 from __future__ import annotations
 
-import math
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import cut_lineage
+from ..session import cut_lineage, num_partitions
 
-CHUNK = "_chunk"
-HOT_ROWS_CONF = "eventide.sequence.hotKeyRows"
-CHUNK_ROWS_CONF = "eventide.sequence.chunkRows"
-DEFAULT_HOT_ROWS = 2_000_000
-DEFAULT_CHUNK_ROWS = 1_000_000
-MAX_HOT_KEYS = 10_000
-MAX_CHUNKS = 100_000
-SAMPLE_PER_HOT_KEY = 1_000
-SAMPLE_PER_CHUNK = 1_000
-SAMPLE_SEED = 17
+CHUNK, TIE, CROSSES = "_chunk", "_tie", "_crosses"
 
 _OPS = ("sum", "count", "max", "min", "last")
 
 
 def order_micros(df: DataFrame, col: str) -> Column:
-    """A numeric column that rises with ``col`` (used to cut chunks)."""
+    """A numeric column that rises with ``col``."""
     dt = df.schema[col].dataType
     if isinstance(dt, T.TimestampNTZType):
         return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{col}`)")
@@ -60,92 +46,44 @@ def order_micros(df: DataFrame, col: str) -> Column:
 
 @dataclass
 class KeyedSequence:
-    """Rows ordered by ``order`` within each ``keys`` group.
+    """Rows ordered by ``order`` within each ``keys`` group; ties in ``order`` are
+    ordered by a hash of the row.
 
     Call :meth:`prepare` once; every scan method then takes and returns a
-    DataFrame that still carries the chunk column, so several scans share one
-    chunking (and one partitioning).  :meth:`finish` drops the helper column.
-    Set ``materialize`` when the input is itself the result of shuffles.
+    DataFrame that still carries the helper columns, so several scans share one
+    chunking.  :meth:`finish` drops them.  ``chunks`` is the number of range
+    partitions (default: the session's shuffle partitions).
     """
 
     keys: list[str]
     order: list[str]
-    hot_rows: int | None = None
-    chunk_rows: int | None = None
-    materialize: bool = False
-    chunked: bool = field(default=False, init=False)
-    hot_filter: Column | None = field(default=None, init=False)
+    chunks: int | None = None
 
     # ------------------------------------------------------------------ setup
     def prepare(self, df: DataFrame) -> DataFrame:
-        """Add the chunk column.  ``materialize`` first writes a derived input
-        to ``spark.checkpoint.dir`` (lineage cut), so the counting, split-point
-        and scan passes read it instead of recomputing its shuffles."""
-        spark = df.sparkSession
-        if self.materialize:
-            df = cut_lineage(df)
-        hot_rows = int(self.hot_rows or spark.conf.get(HOT_ROWS_CONF, str(DEFAULT_HOT_ROWS)))
-        chunk_rows = int(self.chunk_rows or spark.conf.get(CHUNK_ROWS_CONF, str(DEFAULT_CHUNK_ROWS)))
+        """Cut ``df`` into chunks, each a sorted partition, and mark the rows of
+        keys that cross a chunk border."""
+        n = max(1, int(self.chunks or num_partitions(df.sparkSession)))
+        hashed = [F.col(c) for c, t in zip(df.columns, df.schema) if not _has_map(t.dataType)]
+        rows = df.withColumn(TIE, F.xxhash64(*hashed))
+        by = [*self.keys, *self.order, TIE]
+        rows = rows.repartitionByRange(n, *by).sortWithinPartitions(*by)
+        rows = cut_lineage(rows.withColumn(CHUNK, F.spark_partition_id()))
         if not self.keys:
-            total = df.count()
-            self.hot_filter = F.lit(True)
-            return self._assign_chunks(df, total, chunk_rows)
-        # Hot keys only have to be found, not counted exactly: count a fixed-seed
-        # sample in which a key at the threshold appears ~SAMPLE_PER_HOT_KEY
-        # times, so this shuffle stays small however many distinct keys exist.
-        frac = min(1.0, SAMPLE_PER_HOT_KEY / max(hot_rows, 1))
-        sample = df if frac >= 1.0 else df.sample(fraction=frac, seed=SAMPLE_SEED)
-        cut = hot_rows * frac * (1.0 if frac >= 1.0 else 0.5)
-        counts = (sample.groupBy(*self.keys).count()
-                  .filter(F.col("count") > cut)
-                  .limit(MAX_HOT_KEYS + 1).collect())
-        if not counts:
-            self.chunked = False
-            return df.withColumn(CHUNK, F.lit(0))
-        if len(counts) > MAX_HOT_KEYS:
-            # Too many hot keys to name: chunk every key.
-            self.hot_filter = F.lit(True)
-            return self._assign_chunks(df, df.count(), chunk_rows)
-        hot_total = int(sum(r["count"] for r in counts) / frac)
-        if len(self.keys) == 1:
-            self.hot_filter = F.col(self.keys[0]).isin([r[self.keys[0]] for r in counts])
-        else:
-            self.hot_filter = F.struct(*self.keys).isin(
-                [F.struct(*[F.lit(r[k]).alias(k) for k in self.keys]) for r in counts])
-        return self._assign_chunks(df, hot_total, chunk_rows)
-
-    def _assign_chunks(self, df: DataFrame, total: int, chunk_rows: int) -> DataFrame:
-        n = min(MAX_CHUNKS, max(1, math.ceil(total / max(chunk_rows, 1))))
-        if n == 1:
-            # Everything fits one chunk (at most chunk_rows rows): one bounded
-            # task, no carry table needed.
-            self.chunked = False
-            return df.withColumn(CHUNK, F.lit(0))
-        self.chunked = True
-        x = "_order_x"
-        with_x = df.withColumn(x, order_micros(df, self.order[0]).cast("double"))
-        probs = [i / n for i in range(1, n)]
-        # Split points only need to cut roughly equal chunks: a sample with
-        # about SAMPLE_PER_CHUNK rows per chunk is enough (exact when small).
-        frac = min(1.0, SAMPLE_PER_CHUNK * n / max(total, 1))
-        source = with_x.filter(self.hot_filter)
-        if frac < 1.0:
-            source = source.sample(fraction=frac, seed=SAMPLE_SEED)
-        splits = source.approxQuantile(x, probs, min(0.01, 0.25 / n))
-        cuts = sorted(set(s for s in splits if s is not None))
-        if not cuts:
-            self.chunked = False
-            return df.withColumn(CHUNK, F.lit(0))
-        from pyspark.ml.feature import Bucketizer
-        bucketed = Bucketizer(splits=[-math.inf] + cuts + [math.inf], inputCol=x,
-                              outputCol="_bucket", handleInvalid="keep").transform(with_x)
-        return (bucketed
-                .withColumn(CHUNK, F.when(self.hot_filter, F.col("_bucket").cast("int"))
-                            .otherwise(F.lit(0)))
-                .drop(x, "_bucket"))
+            return rows.withColumn(CROSSES, F.lit(True))
+        # At most two keys per chunk can cross a border: its first and its last.
+        key = F.struct(*self.keys)
+        ends = rows.groupBy(CHUNK).agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
+        crossing = (ends.select(CHUNK, F.explode(F.array("lo", "hi")).alias("k")).distinct()
+                    .groupBy("k").agg(F.count("*").alias("n")).where("n > 1"))
+        marks = crossing.select(*[F.col(f"k.{c}").alias(f"_k{i}") for i, c in enumerate(self.keys)],
+                                F.lit(True).alias(CROSSES))
+        on = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(self.keys)]
+        return (rows.join(F.broadcast(marks), on, "left").drop(*[f"_k{i}" for i in range(len(self.keys))])
+                .withColumn(CROSSES, F.coalesce(CROSSES, F.lit(False))))
 
     def finish(self, df: DataFrame) -> DataFrame:
-        return df.drop(CHUNK)
+        return df.drop(CHUNK, TIE, CROSSES)
 
     # -------------------------------------------------------------- helpers
     @property
@@ -153,11 +91,20 @@ class KeyedSequence:
         return [*self.keys, CHUNK]
 
     def _order_cols(self, reverse: bool) -> list[Column]:
-        return [F.col(c).desc() if reverse else F.col(c).asc() for c in self.order]
+        return [F.col(c).desc() if reverse else F.col(c).asc() for c in [*self.order, TIE]]
 
     def window(self, reverse: bool = False):
         return Window.partitionBy(*self.parts).orderBy(*self._order_cols(reverse))
 
+    def place(self) -> Column:
+        return F.struct(*[F.col(c) for c in [*self.order, TIE]])
+
+    def add_carry(self, df: DataFrame, carry: DataFrame, cols: list[str]) -> DataFrame:
+        """Join ``carry`` (keys, chunk, ``cols``; at most two rows per chunk)."""
+        renamed = carry.select(*[F.col(c).alias(f"_j{i}") for i, c in enumerate(self.parts)], *cols)
+        on = [F.col(c).eqNullSafe(F.col(f"_j{i}")) for i, c in enumerate(self.parts)]
+        return df.join(F.broadcast(renamed), on, "left").drop(*[f"_j{i}" for i in range(len(self.parts))])
+
     # ---------------------------------------------------------------- scans
     def running(self, df: DataFrame, specs: dict[str, tuple[str, Column]], *,
                 reverse: bool = False, inclusive: bool = True) -> DataFrame:
@@ -172,11 +119,7 @@ class KeyedSequence:
                 raise ValueError(f"unsupported running op {op!r}")
         end = 0 if inclusive else -1
         w = self.window(reverse).rowsBetween(Window.unboundedPreceding, end)
-        local = {name: self._local(op, e).over(w) for name, (op, e) in specs.items()}
-        if not self.chunked:
-            return df.withColumns(local)
-
-        summary = (df.filter(self.hot_filter).groupBy(*self.parts)
+        summary = (df.filter(CROSSES).groupBy(*self.parts)
                    .agg(*[self._total(op, e, reverse).alias(f"_t_{name}")
                           for name, (op, e) in specs.items()]))
         cw = (Window.partitionBy(*self.keys)
@@ -185,8 +128,8 @@ class KeyedSequence:
         carry = summary.select(*self.parts, *[
             self._merge(op, F.col(f"_t_{name}")).over(cw).alias(f"_c_{name}")
             for name, (op, _) in specs.items()])
-        out = df.join(carry, on=self.parts, how="left").withColumns(
-            {f"_l_{name}": col for name, col in local.items()})
+        out = self.add_carry(df, carry, [f"_c_{name}" for name in specs])
+        out = out.withColumns({f"_l_{name}": self._local(op, e).over(w) for name, (op, e) in specs.items()})
         out = out.withColumns({
             name: self._combine(op, F.col(f"_l_{name}"), F.col(f"_c_{name}"))
             for name, (op, _) in specs.items()})
@@ -197,26 +140,21 @@ class KeyedSequence:
         of the same key (null when there is none), for j = 1..n."""
         payload = F.struct(*[F.col(c) for c in cols])
         w = self.window()
-        out = df.withColumns({f"_lag{j}": F.lag(payload, j).over(w) for j in range(1, n + 1)})
-        if not self.chunked:
-            return out.withColumnsRenamed({f"_lag{j}": f"{prefix}{j}" for j in range(1, n + 1)})
-
-        # Last n rows of every hot chunk (WindowGroupLimit keeps this cheap),
-        # then the last n rows before each chunk from the n chunks before it.
-        tail = (df.filter(self.hot_filter)
+        # Last n rows of every chunk of a crossing key, then the last n rows
+        # before each chunk from the n chunks before it.
+        tail = (df.filter(CROSSES).select(*self.parts, *self.order, TIE, payload.alias("_p"))
                 .withColumn("_rd", F.row_number().over(self.window(reverse=True)))
                 .filter(F.col("_rd") <= n)
                 .groupBy(*self.parts)
-                .agg(F.sort_array(F.collect_list(F.struct(
-                    *[F.col(c).alias(f"_o{i}") for i, c in enumerate(self.order)],
-                    payload.alias("_p")))).alias("_tail")))
+                .agg(F.sort_array(F.collect_list(F.struct(self.place().alias("_o"), "_p"))).alias("_tail")))
         cw = Window.partitionBy(*self.keys).orderBy(CHUNK).rowsBetween(-n, -1)
         flat = F.flatten(F.collect_list(F.col("_tail._p")).over(cw))
         carry = tail.select(*self.parts, flat.alias("_carry")).select(
             *self.parts,
             F.slice("_carry", F.greatest(F.size("_carry") - n + 1, F.lit(1)), n).alias("_carry"))
-        out = (out.withColumn("_rn", F.row_number().over(w))
-               .join(carry, on=self.parts, how="left"))
+        out = (self.add_carry(df, carry, ["_carry"])
+               .withColumns({"_rn": F.row_number().over(w),
+                             **{f"_lag{j}": F.lag(payload, j).over(w) for j in range(1, n + 1)}}))
         fills = {}
         for j in range(1, n + 1):
             idx = F.size("_carry") - (F.lit(j) - F.col("_rn"))
@@ -233,7 +171,7 @@ class KeyedSequence:
 
     def _total(self, op: str, e: Column, reverse: bool) -> Column:
         if op == "last":
-            key = F.when(e.isNotNull(), F.struct(*[F.col(c) for c in self.order]))
+            key = F.when(e.isNotNull(), self.place())
             return F.min_by(e, key) if reverse else F.max_by(e, key)
         return self._local(op, e)
 
@@ -256,6 +194,14 @@ class KeyedSequence:
         return F.coalesce(local, carry)
 
 
+def _has_map(t: T.DataType) -> bool:
+    if isinstance(t, T.MapType):
+        return True
+    if isinstance(t, T.ArrayType):
+        return _has_map(t.elementType)
+    return isinstance(t, T.StructType) and any(_has_map(f.dataType) for f in t.fields)
+
+
 def keyed(df: DataFrame, keys: list[str], order: list[str], **kw) -> tuple[KeyedSequence, DataFrame]:
     """Shorthand: build and prepare a :class:`KeyedSequence`."""
     seq = KeyedSequence(list(keys), list(order), **kw)

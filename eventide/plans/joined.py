@@ -163,32 +163,38 @@ def connect_map(spark, sf_dir):
     return J.connect_map(orders, cust, U.wrap_int("o_orderkey"), U.digits_to_int("c_name"))
 
 
-_DUCK_HASH = ("CAST((CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END) AS INTEGER)")
-_DUCK_H = ("list_reduce(list_transform(string_split(c_name, ''), lambda c: ascii(c)), "
-           "lambda h, u: (h * 31 + u) % 4294967296, 0::BIGINT)")
+def _duck_hash(col: str) -> str:
+    """The JVM string hash in DuckDB, over UTF-16 units like the Spark expression."""
+    unit = (f"list_reduce(list_transform(string_split({col}, ''), lambda c: ord(c)), lambda h, u: "
+            "CASE WHEN u < 65536 THEN (h * 31 + u) % 4294967296 "
+            "ELSE ((h * 31 + 55296 + (u - 65536) // 1024) * 31 + 56320 + (u - 65536) % 1024) % 4294967296 END, 0::BIGINT)")
+    h = f"(CASE WHEN coalesce({col}, '') = '' THEN 0 ELSE {unit} END)"
+    return f"CASE WHEN {col} IS NULL THEN NULL ELSE CAST((CASE WHEN {h} >= 2147483648 THEN {h} - 4294967296 ELSE {h} END) AS INTEGER) END"
 
 
-@query("udf_hash", f"""
-SELECT c_custkey, c_name, {_DUCK_HASH} AS h
-FROM (SELECT c_custkey, c_name, CASE WHEN c_name = '' THEN 0 ELSE {_DUCK_H} END AS h FROM customer)
-""")
+@query("udf_hash", f"SELECT c_custkey, c_name, {_duck_hash('c_name')} AS h FROM customer")
 def udf_hash(spark, sf_dir):
     """The JVM string hash of customer names, as a native expression."""
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     return cust.select("c_custkey", "c_name", U.java_hash("c_name").alias("h"))
 
 
+@query("text_hash", f"SELECT doc_id, {_duck_hash('text')} AS h FROM documents")
+def text_hash(spark, sf_dir):
+    """U1 on whole document texts (long, several scripts)."""
+    return read_table(spark, sf_dir, "documents").select("doc_id", U.java_hash("text").alias("h"))
+
+
 @query("lateral_first_char", f"""
-SELECT c_custkey, c_name AS name, {_DUCK_HASH} AS self, nam, ag
-FROM (SELECT c_custkey, c_name, CASE WHEN c_name = '' THEN 0 ELSE {_DUCK_H} END AS h,
-             substr(c_name, 1, 1) AS nam, CAST(length(substr(c_name, 1, 1)) AS INTEGER) AS ag
-      FROM customer)
+SELECT c_custkey, c_name, {_duck_hash('c_name')} AS name_hash, left(c_name, 1) AS first_char,
+       CAST(length(left(c_name, 1)) AS INTEGER) AS n_chars
+FROM customer
 """)
 def lateral_first_char(spark, sf_dir):
-    """J7 + U2 + U3: SQL with a registered scalar function and a lateral
-    table function."""
+    """J7 + U2 + U3: a registered scalar function, and per customer the rows of a
+    registered table function, joined laterally in SQL."""
     U.register_sql_functions(spark)
     return spark.sql("""
-        SELECT c_custkey, c_name AS name, SELFFUNC(c_name) AS self, t.nam, t.ag
-        FROM {customer}, LATERAL SELFTABLEFUNC(c_name) AS t""",
+        SELECT c.c_custkey, c.c_name, jvm_hash(c.c_name) AS name_hash, f.first_char, f.n_chars
+        FROM {customer} AS c JOIN LATERAL leading_char(c.c_name) AS f""",
                      customer=read_table(spark, sf_dir, "customer"))

@@ -14,6 +14,7 @@ from ..operators import routing as R
 from ..operators import topn as N
 from ..sources.tables import events
 from .registry import query
+from .windowed import sparse, sparse_events
 
 ORDER = ["ts", "event_id"]
 
@@ -147,6 +148,28 @@ def fsm_matches(spark, sf_dir):
     return _fsm(spark, sf_dir).filter("accepted").select("user_id", "event_id", "ts")
 
 
+#: An even id above 2**53: neighbouring ids are one float apart from there on.
+_LARGE = 9007199254740992
+
+
+@query("cep_followed_by_sparse", sparse(_FB_MATCH.format(h=48)))
+def cep_followed_by_sparse(spark, sf_dir):
+    """C1 within 48 h, with a hot null key and tied times."""
+    return P.followed_by(sparse_events(spark, sf_dir), ["user_id"], ORDER, "ts", F.col("event_type") == "view",
+                         F.col("event_type") == "purchase", "48 hours", ["event_id", "ts"])[0]
+
+
+@query("fsm_sparse", sparse(_FSM).replace("e.user_id = w.user_id", "e.user_id IS NOT DISTINCT FROM w.user_id") + f"""
+SELECT CAST(user_id + {_LARGE} AS VARCHAR) AS user_id, event_id, ts, state FROM walk""")
+def fsm_sparse(spark, sf_dir):
+    """C5 with a hot null key, tied times, and keys beyond what a float can tell apart."""
+    fsm = P.StateMachine(FSM_TRANSITIONS, FSM_START, FSM_ACCEPT)
+    ev = (sparse_events(spark, sf_dir).select("user_id", "event_id", "ts", "event_type")
+          .withColumn("user_id", F.col("user_id") + _LARGE))
+    return P.run_state_machine(ev, ["user_id"], ORDER, "event_type", fsm).select(
+        F.col("user_id").cast("string").alias("user_id"), "event_id", "ts", "state")
+
+
 @query("route_split", """
 SELECT event_id, value,
        CASE WHEN value <= 20 THEN 'low' WHEN value <= 50 THEN 'mid' ELSE 'high' END AS route

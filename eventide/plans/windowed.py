@@ -7,11 +7,13 @@ measure -> props.k.
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators import aggregates as A
 from ..operators import topn as N
 from ..operators import windows as W
 from ..sources.tables import events, props_k
-from .registry import query
+from .registry import ORACLE, query
 
 ORDER = ["ts", "event_id"]
 
@@ -98,7 +100,7 @@ FROM ({_RUNNING})
 def running_max_count(spark, sf_dir):
     """A2: global running max over A1's output (bucketed prefix max)."""
     rc = running_count(spark, sf_dir)
-    return A.running_max(rc, "running_count", ORDER, name="max_count", materialize=True)
+    return A.running_max(rc, "running_count", ORDER, name="max_count")
 
 
 @query("update_log", f"""
@@ -114,6 +116,44 @@ def update_log(spark, sf_dir):
     return A.update_log(running_count(spark, sf_dir), ["user_id"])
 
 
+@query("update_log_sum", f"""
+WITH r AS (SELECT event_id, user_id, ts,
+                  CAST(sum({_K}) OVER w AS BIGINT) AS total,
+                  CAST(sum({_K}) OVER (PARTITION BY user_id ORDER BY ts, event_id
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT) AS old,
+                  row_number() OVER w AS n
+           FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT event_id, user_id, ts, '+I' AS op, total AS cnt, 0 AS seq FROM r WHERE n = 1
+UNION ALL SELECT event_id, user_id, ts, '-U' AS op, old AS cnt, 0 AS seq FROM r WHERE n > 1
+UNION ALL SELECT event_id, user_id, ts, '+U' AS op, total AS cnt, 1 AS seq FROM r WHERE n > 1
+""")
+def update_log_sum(spark, sf_dir):
+    """A8 over a running sum: the old value is that of the row before."""
+    ev = events(spark, sf_dir).select("event_id", "user_id", "ts", props_k().alias("k"))
+    total = A.running_count(ev, ["user_id"], ORDER, name="total", measure=F.col("k")).drop("k")
+    return A.update_log(total, ["user_id"], "total", order=ORDER)
+
+
+def sparse(sql: str) -> str:
+    """``sql`` over events with day-long ties in time and users of which a tenth is null."""
+    return sql.replace("FROM events", "FROM (SELECT event_id, date_trunc('day', ts)::TIMESTAMP AS ts, "
+                       "CASE WHEN user_id % 10 = 0 THEN NULL ELSE user_id END AS user_id, event_type, value, props "
+                       "FROM events)")
+
+
+def sparse_events(spark, sf_dir):
+    return events(spark, sf_dir).withColumns({
+        "ts": F.date_trunc("day", "ts").cast("timestamp_ntz"),
+        "user_id": F.when(F.col("user_id") % 10 != 0, F.col("user_id"))})
+
+
+@query("running_count_sparse", sparse(_RUNNING))
+def running_count_sparse(spark, sf_dir):
+    """A1 with a hot null key and tied times."""
+    return A.running_count(sparse_events(spark, sf_dir).select("event_id", "user_id", "ts"), ["user_id"], ORDER)
+
+
 _DAILY = """
 SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start,
        time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY AS window_end,
@@ -161,3 +201,10 @@ def session_counts(spark, sf_dir):
     """Session windows per user with a 5 h gap."""
     ev = events(spark, sf_dir).select("event_id", "user_id", "ts")
     return W.sessions(ev, ["user_id"], "ts", "5 hours", order=ORDER)
+
+
+@query("session_counts_sparse", sparse(ORACLE["session_counts"]))
+def session_counts_sparse(spark, sf_dir):
+    """W5 with a hot null key and tied times."""
+    ev = sparse_events(spark, sf_dir).select("event_id", "user_id", "ts")
+    return W.sessions(ev, ["user_id"], "ts", "5 hours", order=ORDER)

@@ -44,10 +44,14 @@ def build_session(master: str = "local[*]", app: str = "eventide",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a scratch one only when
-    the session names none (tests, local runs)."""
+    """Return the shared checkpoint folder.  A local session without one gets a
+    scratch folder (tests); on a cluster, where executors would each write to their
+    own disk, the setting is required."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="eventide-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
@@ -82,31 +86,25 @@ def input_bytes(spark: SparkSession, *paths: str) -> int:
     return int(total)
 
 
-def scale_settings(total_bytes: int, total_cores: int, rows: int | None = None,
+def scale_settings(total_bytes: int, total_cores: int,
                    target_partition_bytes: int = 128 << 20) -> dict[str, str]:
     """Partition sizing for a cluster run: enough shuffle partitions that the
     largest shuffle (about the input size) gives ~128 MB per task, never fewer
     than two waves of the cores; AQE then coalesces small ones and splits skewed
-    ones.  ``rows`` sizes the ordered-scan chunks so their count stays under the
-    split-point cap."""
-    from .operators.sequence import DEFAULT_CHUNK_ROWS, MAX_CHUNKS
+    ones.  Ordered scans cut their input into as many chunks."""
     parts = max(2 * total_cores, -(-total_bytes // target_partition_bytes))
-    out = {
+    return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.files.maxPartitionBytes": str(2 * target_partition_bytes),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
     }
-    if rows is not None:
-        out["eventide.sequence.chunkRows"] = str(max(DEFAULT_CHUNK_ROWS, -(-rows // MAX_CHUNKS)))
-    return out
 
 
-def apply_scale_settings(spark: SparkSession, paths: list[str], total_cores: int,
-                         rows: int | None = None) -> dict[str, str]:
+def apply_scale_settings(spark: SparkSession, paths: list[str], total_cores: int) -> dict[str, str]:
     """Size the session for the data under ``paths`` (runtime SQL settings)."""
-    conf = scale_settings(input_bytes(spark, *paths), total_cores, rows)
+    conf = scale_settings(input_bytes(spark, *paths), total_cores)
     for k, v in conf.items():
         spark.conf.set(k, v)
     return conf

@@ -39,7 +39,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
     """Expose stored tables to ``spark.sql`` under their own names."""
     for n in names:
-        if os.path.exists(table_path(sf_dir, n)):
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table_path(sf_dir, n))
+        if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
             read_table(spark, sf_dir, n).createOrReplaceTempView(n)
 
 

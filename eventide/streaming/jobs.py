@@ -250,8 +250,8 @@ def _sessions(s, p):
 def _sql_functions(s, p):
     U.register_sql_functions(s.sparkSession)
     return Job(s.sparkSession.sql(
-        "SELECT name, SELFFUNC(name) AS self, t.nam, t.ag FROM {names}, "
-        "LATERAL SELFTABLEFUNC(name) AS t", names=s.select(F.col("event_type").alias("name"))))
+        "SELECT e.event_type, jvm_hash(e.event_type) AS type_hash, f.first_char, f.n_chars "
+        "FROM {types} AS e JOIN LATERAL leading_char(e.event_type) AS f", types=s.select("event_type")))
 
 
 @job("jdbc_counts", "K4: running counts per user appended to a JDBC table (--param url=..)")
