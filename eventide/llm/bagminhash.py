@@ -46,7 +46,7 @@ from .records import _slices
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 30, 5
 SIZE = BANDS * ROWS
-ROUNDS, BLOCK = 3, 512
+ROUNDS, BLOCK = 2, 512
 PUNCTUATION = ".,;:!?\"'()[]{}<>|*#%&$-_=+/\\`~^@…–—“”‘’«»¿¡"
 
 
@@ -281,12 +281,14 @@ def _block_links(state: DataFrame, left: DataFrame, signed: DataFrame, texts: Da
                 x = parent[x]
             return x
 
-        found = []
+        found, other_prints, other_bands = [], prints[rest], bands[rest]
         for i in mine:
-            near = rest[(prints[rest] == prints[i]).sum(axis=1) >= need]
-            for j in near.tolist():
+            # the smallest bucket that both are in compares them, the others do not
+            first = np.where(other_bands == bands[i], bands[i], np.iinfo(np.int64).max).min(axis=1) == bucket
+            first[first] = (other_prints[first] == prints[i]).sum(axis=1) >= need
+            for j in rest[first].tolist():
                 x, y = root(labels[i]), root(labels[j])
-                if x == y or np.where(bands[i] == bands[j], bands[i], np.iinfo(np.int64).max).min() != bucket:
+                if x == y:
                     continue
                 bags = bags or _bags(pa.array(pdf["text"], pa.string()))
                 if similarity(bags[i], bags[j]) >= similar:
