@@ -9,14 +9,24 @@ tasks, and AQE's skew-join handling can split a hot (key, bucket) further.
 from __future__ import annotations
 
 import math
+import sys
+from collections import deque
+from collections.abc import Iterator
 
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from . import windows as W
 from .sequence import KeyedSequence, order_micros
 
 
+# One function here runs in Python workers; ship it by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def _micros(df: DataFrame, col: str):
     return order_micros(df, col).cast("bigint")
 
@@ -138,6 +148,67 @@ def reconcile(left: DataFrame, right: DataFrame, keys: list[str], l_ts: str, r_t
     return matched.unionByName(alone)
 
 
+def reconcile_one_to_one(left: DataFrame, right: DataFrame, keys: list[str], l_ts: str, r_ts: str,
+                         l_id: str, r_id: str, within, **seq_kw) -> DataFrame:
+    """J4 (one-to-one form): in order of time and id, a row takes the oldest waiting
+    row of the other side that is at most ``within`` older, or waits itself; rows
+    that neither take nor are taken are reported alone, as are rows with null keys.
+
+    Nothing waits across a gap of more than ``within`` between two rows of a key, so
+    the rows between such gaps are matched independently: a hot key is spread over
+    as many groups as it has gaps.  A group is read once, in order, and only the
+    waiting rows are held in memory."""
+    both = (left.select(*keys, F.col(l_ts).alias("ts"), F.col(l_id).alias("id"), F.lit(True).alias("is_left"))
+            .unionByName(right.select(*keys, F.col(r_ts).alias("ts"), F.col(r_id).alias("id"),
+                                      F.lit(False).alias("is_left"))))
+    groups = W.session_ids(both, keys, "ts", within, order=["ts", "id"], **seq_kw)
+    micros = order_micros(groups, "ts")
+    reach = int(round(W.seconds(within) * 1_000_000))
+    no_key = F.lit(False)
+    for k in keys:
+        no_key = no_key | F.col(k).isNull()
+
+    def match(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        group, side, waiting = None, None, deque()
+        for names, times, ids, lefts in batches:
+            out = []
+            for g, t, i, left_row in zip(names, times, ids, lefts):
+                if g != group:
+                    group = g
+                    waiting.clear()
+                while waiting and waiting[0][0] + reach < t:
+                    waiting.popleft()
+                if g is not None and waiting and side != left_row:
+                    out.append(waiting.popleft()[1])
+                    continue
+                out.append(None)
+                if g is not None:
+                    side = left_row
+                    waiting.append((t, i))
+            yield pd.Series(pd.array(out, dtype="Int64"))
+
+    by = [*keys, "session_no"]
+    name = F.when(~no_key, F.to_json(F.struct(*by)))
+    rows = groups.repartition(*by).sortWithinPartitions(*by, "ts", "id")
+    # Several readers below; the matching itself runs once.
+    took = cut_lineage(rows.withColumn("took", F.pandas_udf(match, "bigint")(name, micros, F.col("id"), F.col("is_left"))))
+    taken = took.where("took IS NOT NULL").select(F.col("took").alias("id"))
+    pairs = took.where("took IS NOT NULL").alias("a").join(
+        took.select(F.col("id").alias("o_id"), F.col("ts").alias("o_ts")).alias("b"), F.col("a.took") == F.col("b.o_id"))
+    is_left = F.col("is_left")
+    matched = pairs.select(*[F.col(f"a.{k}") for k in keys],
+                           F.when(is_left, F.col("a.id")).otherwise(F.col("o_id")).alias(l_id),
+                           F.when(is_left, F.col("a.ts")).otherwise(F.col("o_ts")).alias(l_ts),
+                           F.when(is_left, F.col("o_id")).otherwise(F.col("a.id")).alias(r_id),
+                           F.when(is_left, F.col("o_ts")).otherwise(F.col("a.ts")).alias(r_ts),
+                           F.lit("matched").alias("status"))
+    rest = took.where("took IS NULL").join(taken, "id", "left_anti")
+    alone = rest.select(*keys, F.when(is_left, F.col("id")).alias(l_id), F.when(is_left, F.col("ts")).alias(l_ts),
+                        F.when(~is_left, F.col("id")).alias(r_id), F.when(~is_left, F.col("ts")).alias(r_ts),
+                        F.when(is_left, F.lit("left_only")).otherwise(F.lit("right_only")).alias("status"))
+    return matched.unionByName(alone)
+
+
 def with_rule(ev: DataFrame, rules: DataFrame, ts: str, rule_ts: str = "rule_ts",
               order: list[str] = (), **seq_kw) -> DataFrame:
     """The rule in force at each row's time (latest ``rule_ts <= ts``) as the struct

@@ -111,6 +111,45 @@ def reconcile(spark, sf_dir):
     return J.reconcile(left, right, ["user_id"], "l_ts", "r_ts", "l_event_id", "r_event_id", "5 hours")
 
 
+@query("reconcile_one_to_one", """
+WITH RECURSIVE e AS (
+  SELECT user_id, event_id, ts, event_type = 'view' AS l,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn
+  FROM events WHERE event_type IN ('view', 'purchase')),
+-- waiting rows are of one side at a time: a row joins them or takes the oldest
+walk AS (
+  SELECT user_id, rn, l AS side, [{'id': event_id, 'ts': ts}] AS q, NULL::STRUCT(id BIGINT, ts TIMESTAMP) AS took,
+         [{'id': event_id, 'ts': ts}][1:0] AS failed
+  FROM e WHERE rn = 1
+  UNION ALL
+  SELECT user_id, rn,
+         CASE WHEN len(open) = 0 THEN l ELSE side END,
+         CASE WHEN len(open) = 0 THEN [{'id': event_id, 'ts': ts}]
+              WHEN l = side THEN list_append(open, {'id': event_id, 'ts': ts}) ELSE open[2:] END,
+         CASE WHEN len(open) > 0 AND l <> side THEN open[1] END, failed
+  FROM (SELECT e.user_id, e.rn, e.event_id, e.ts, e.l, w.side,
+               list_filter(w.q, lambda x: x.ts + INTERVAL 5 HOUR >= e.ts) AS open,
+               list_filter(w.q, lambda x: x.ts + INTERVAL 5 HOUR < e.ts) AS failed
+        FROM walk w JOIN e ON e.user_id = w.user_id AND e.rn = w.rn + 1)),
+pairs AS (SELECT e.user_id, e.event_id, e.ts, e.l, w.took.id AS o_id, w.took.ts AS o_ts
+          FROM walk w JOIN e ON e.user_id = w.user_id AND e.rn = w.rn WHERE w.took IS NOT NULL),
+used AS (SELECT event_id AS id FROM pairs UNION ALL SELECT o_id FROM pairs)
+SELECT user_id, CASE WHEN l THEN event_id ELSE o_id END AS l_event_id, CASE WHEN l THEN ts ELSE o_ts END AS l_ts,
+       CASE WHEN l THEN o_id ELSE event_id END AS r_event_id, CASE WHEN l THEN o_ts ELSE ts END AS r_ts,
+       'matched' AS status
+FROM pairs
+UNION ALL
+SELECT user_id, CASE WHEN l THEN event_id END, CASE WHEN l THEN ts END, CASE WHEN NOT l THEN event_id END,
+       CASE WHEN NOT l THEN ts END, CASE WHEN l THEN 'left_only' ELSE 'right_only' END
+FROM e WHERE event_id NOT IN (SELECT id FROM used)
+""")
+def reconcile_one_to_one(spark, sf_dir):
+    """J4 one-to-one: in time order, a view takes the oldest waiting purchase of the
+    user (and vice versa) if that is at most 5 h older; the rest are alone."""
+    left, right = _sides(spark, sf_dir)
+    return J.reconcile_one_to_one(left, right, ["user_id"], "l_ts", "r_ts", "l_event_id", "r_event_id", "5 hours")
+
+
 # The rule stream of the enrichment query (start time, previous
 # event type, next event type).
 RULES = [("2024-01-01 00:00:00", "view", "purchase"),

@@ -1,11 +1,12 @@
 """Streaming forms as registered queries.
 
-Each query replays ``events`` as a stream of time-ordered files written under
+Each query replays ``events`` as a stream of ordered files written under
 ``spark.checkpoint.dir``, runs the streaming operator to the end of the input
 (``availableNow``) into a parquet sink there, and returns the sink read back.
-Where the stream form is exact, the oracle is the batch SQL: stream = batch.
-Append-mode windows close only when the watermark passes them, so oracles of
-windowed stream queries keep the windows that end by the last event time.
+The oracle is the full batch SQL: stream = batch.  A closing row far in the
+future moves the watermark past all windows and timers.  Queries on keyed state
+are replayed in order of arrival, out of event-time order by up to an hour, with
+a watermark delay of two hours.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import joins as J
 from ..operators import patterns as P
 from ..session import state_location
 from ..sources.tables import events
@@ -26,30 +28,40 @@ from ..streaming.replay import replay, with_event_time, write_replay_files
 from . import joined, patterns
 from .registry import ORACLE, query
 
-REPLAY_BATCHES = 8            # micro-batches per replay
-ROWS_PER_FILE = 1_000_000     # replay files stay small however big the table is
+MIN_BATCHES = 4                  # a small table still crosses micro-batch borders
+ROWS_PER_TRIGGER = 1_000_000     # of one replay file, and so of a micro-batch
 ORDER = ["ts", "event_id"]
+ARRIVAL = ["arrival_ts", "event_id"]
+DELAY = "2 hours"                # arrivals are at most one hour late
+
+
+def _closing(source: DataFrame) -> DataFrame:
+    """Rows far in the future: they move the watermark past everything, so that all
+    windows close and all timers fire, and are themselves never reported."""
+    far = {c: F.col(c) + F.expr("INTERVAL 3650 DAYS") for c in ("ts", "arrival_ts") if c in source.columns}
+    last = source.agg(*[F.max(c).alias(c) for c in far]).select(*[e.alias(c) for c, e in far.items()])
+    kinds = F.explode(F.array(F.lit("view"), F.lit("purchase")))
+    given = {**{c: F.col(c) for c in far}, "event_id": F.lit(-1), "user_id": F.lit(-1), "event_type": kinds}
+    return last.select(*[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) if f.name != "event_type"
+                         else kinds.alias(f.name) for f in source.schema])
 
 
 def _run(spark: SparkSession, name: str, source: DataFrame, order: list[str], build,
-         mode: str = "append", batch_fn=None) -> DataFrame:
-    """Replay ``source``, apply ``build`` to the stream, run it to the end of
-    the input and return what the sink holds."""
+         mode: str = "append", batch_fn=None, close: bool = True) -> DataFrame:
+    """Replay ``source`` (with closing rows if ``close``), apply ``build`` to the
+    stream, run it to the end of the input and return what the sink holds."""
     base = state_location(spark, name)
-    n_files = max(REPLAY_BATCHES, math.ceil(source.count() / ROWS_PER_FILE))
-    src = write_replay_files(source, os.path.join(base, "in"), n_files, order)
-    stream = replay(spark, src, source.schema, math.ceil(n_files / REPLAY_BATCHES))
+    n_files = max(MIN_BATCHES, math.ceil(source.count() / ROWS_PER_TRIGGER))
+    rows = source.unionByName(_closing(source)) if close else source
+    src = write_replay_files(rows, os.path.join(base, "in"), n_files, order)
+    stream = replay(spark, src, source.schema)
     out_path = os.path.join(base, "out")
+    out = build(stream)
+    where = {"trigger": {"availableNow": True}, "checkpoint": os.path.join(base, "ckpt")}
     if batch_fn is None:
-        out = build(stream)
-        q = K.start(out, "parquet", name, mode, trigger={"availableNow": True},
-                    checkpoint=os.path.join(base, "ckpt"), path=out_path)
-        q.awaitTermination()
+        K.start(out, "parquet", name, mode, path=out_path, **where).awaitTermination()
         return spark.read.schema(out.schema).parquet(out_path)
-    out = build(stream)
-    q = K.start_batches(out, batch_fn(out_path), name, mode, trigger={"availableNow": True},
-                        checkpoint=os.path.join(base, "ckpt"))
-    q.awaitTermination()
+    K.start_batches(out, batch_fn(out_path), name, mode, **where).awaitTermination()
     return spark.read.parquet(out_path)
 
 
@@ -58,16 +70,17 @@ def _ts(col: str):
     return F.timestamp_micros(F.col(col)).cast("timestamp_ntz")
 
 
-def _closed(sql: str, end_col: str) -> str:
-    return f"SELECT * FROM ({sql}) WHERE {end_col} <= (SELECT max(ts) FROM events)"
+def _arrivals(spark, sf_dir, *cols: str) -> DataFrame:
+    """Events with an arrival time up to an hour after their own."""
+    return events(spark, sf_dir).select(*cols).withColumn("arrival_ts", patterns.arrival_ts())
 
 
 @query("stream_running_count", ORACLE["running_count"])
 def stream_running_count(spark, sf_dir):
     """A1 exact on a stream (value state): one row per event."""
-    ev = events(spark, sf_dir).select("event_id", "user_id", "ts")
-    out = _run(spark, "running_count", ev, ORDER,
-               lambda s: ST.running_count_exact(with_event_time(s), "user_id", "event_id", "et"))
+    ev = _arrivals(spark, sf_dir, "event_id", "user_id", "ts")
+    out = _run(spark, "running_count", ev, ARRIVAL,
+               lambda s: ST.running_count_exact(with_event_time(s), "user_id", "event_id", "et", DELAY))
     return out.select(F.col("id").alias("event_id"), F.col("key").alias("user_id"), _ts("ts").alias("ts"),
                       "running_count")
 
@@ -78,7 +91,7 @@ def stream_count_by_key(spark, sf_dir):
     updates are kept, and the latest update of each key is the result."""
     ev = events(spark, sf_dir).select("event_id", "user_id", "ts")
     out = _run(spark, "count_by_key", ev, ORDER, lambda s: S.running_counts(s, ["user_id"]),
-               mode="update", batch_fn=K.parquet_writer)
+               mode="update", batch_fn=K.parquet_writer, close=False)
     return (out.groupBy("user_id").agg(F.max_by("cnt", "batch").alias("cnt")))
 
 
@@ -87,33 +100,31 @@ SELECT user_id, event_id, ts, state, state = 'matched' AS accepted FROM walk""")
 def stream_fsm(spark, sf_dir):
     """C5 exact on a stream (value state per user)."""
     fsm = P.StateMachine(patterns.FSM_TRANSITIONS, patterns.FSM_START, patterns.FSM_ACCEPT)
-    ev = events(spark, sf_dir).select("event_id", "user_id", "ts", "event_type")
-    out = _run(spark, "fsm", ev, ORDER, lambda s: ST.state_machine_exact(
-        with_event_time(s), "user_id", "event_id", "et", "event_type", fsm))
+    ev = _arrivals(spark, sf_dir, "event_id", "user_id", "ts", "event_type")
+    out = _run(spark, "fsm", ev, ARRIVAL, lambda s: ST.state_machine_exact(
+        with_event_time(s), "user_id", "event_id", "et", "event_type", fsm, DELAY))
     return out.select(F.col("key").alias("user_id"), F.col("id").alias("event_id"), _ts("ts").alias("ts"),
                       "state", "accepted")
 
 
 @query("stream_prev_event_rule", ORACLE["prev_event_rule"])
 def stream_prev_event_rule(spark, sf_dir):
-    """J5 on a stream: previous event per user in value state, joined per
-    micro-batch with the static rule table (broadcast, re-read each batch)."""
-    rules = joined.rules_frame(spark)
-    from ..operators.joins import rule_spans
-    spans = rule_spans(rules)
-    ev = events(spark, sf_dir).select("event_id", "user_id", "ts", "event_type")
+    """J5 on a stream: previous event per user in value state; per micro-batch the
+    rule in force is carried forward over the batch (rules re-read each batch)."""
+    ev = _arrivals(spark, sf_dir, "event_id", "user_id", "ts", "event_type")
 
-    def build(s):
-        prev = ST.previous_event(with_event_time(s), "user_id", "event_id", "et", "event_type")
-        prev = prev.withColumn("ts", _ts("ts"))
-        cond = (prev["ts"] >= spans["rule_ts"]) & (spans["next_ts"].isNull() | (prev["ts"] < spans["next_ts"]))
-        return prev.join(F.broadcast(spans), cond, "left").select(
-            F.col("id").alias("event_id"), F.col("key").alias("user_id"), prev["ts"],
-            F.col("type").alias("event_type"), F.col("prev_id").alias("prev_event_id"),
-            F.col("prev_type").alias("prev_event_type"), "rule_prev", "rule_next",
-            F.coalesce((F.col("prev_type") == F.col("rule_prev")) & (F.col("type") == F.col("rule_next")),
-                       F.lit(False)).alias("matched"))
-    return _run(spark, "prev_event_rule", ev, ORDER, build)
+    def writer(path):
+        write = K.parquet_writer(path)
+        return lambda df, i: write(J.with_rule(
+            df.withColumn("ts", _ts("ts")), joined.rules_frame(df.sparkSession), "ts", order=["id"]), i)
+    out = _run(spark, "prev_event_rule", ev, ARRIVAL, lambda s: ST.previous_event(
+        with_event_time(s), "user_id", "event_id", "et", "event_type", DELAY), batch_fn=writer)
+    rule_prev, rule_next = F.col("rule.rule_prev"), F.col("rule.rule_next")
+    return out.select(
+        F.col("id").alias("event_id"), F.col("key").alias("user_id"), "ts", F.col("type").alias("event_type"),
+        F.col("prev_id").alias("prev_event_id"), F.col("prev_type").alias("prev_event_type"),
+        rule_prev.alias("rule_prev"), rule_next.alias("rule_next"),
+        F.coalesce((F.col("prev_type") == rule_prev) & (F.col("type") == rule_next), F.lit(False)).alias("matched"))
 
 
 @query("stream_late_split", ORACLE["late_split"])
@@ -124,24 +135,34 @@ def stream_late_split(spark, sf_dir):
           .withColumn("arrival_ts", patterns.arrival_ts()))
     router = lambda path: K.LateRouter("ts", ["arrival_ts", "event_id"], "30 minutes",
                                        K.parquet_writer(path), lateness="10 minutes")
-    out = _run(spark, "late_split", ev, ["arrival_ts", "event_id"], lambda s: s, batch_fn=router)
+    out = _run(spark, "late_split", ev, ARRIVAL, lambda s: s, batch_fn=router, close=False)
     return out.drop("batch")
 
 
+def _followed(spark, sf_dir):
+    ev = _arrivals(spark, sf_dir, "event_id", "user_id", "ts", "event_type")
+    return _run(spark, "followed_by", ev, ARRIVAL, lambda s: ST.followed_by_exact(
+        with_event_time(s), "user_id", "event_id", "et", F.col("event_type") == "view",
+        F.col("event_type") == "purchase", "1 hour", DELAY))
+
+
 @query("stream_followed_by", ORACLE["cep_followed_by"])
 def stream_followed_by(spark, sf_dir):
-    """C1 exact on a stream: open views in list state, event-time timers for
-    the 1 h timeout; the completed matches."""
-    ev = events(spark, sf_dir).select("event_id", "user_id", "ts", "event_type")
-    out = _run(spark, "followed_by", ev, ORDER, lambda s: ST.followed_by_exact(
-        with_event_time(s), "user_id", "event_id", "et", F.col("event_type") == "view",
-        F.col("event_type") == "purchase", "1 hour"))
-    return out.filter("kind = 'match'").select(
+    """C1 exact on a stream: open views in list state; the completed matches."""
+    return _followed(spark, sf_dir).filter("kind = 'match'").select(
         F.col("key").alias("user_id"), F.col("first_id").alias("first_event_id"),
         _ts("first_ts").alias("first_ts"), F.col("then_id").alias("then_event_id"),
         _ts("then_ts").alias("then_ts"))
 
 
+@query("stream_cep_timeout", ORACLE["cep_timeout"])
+def stream_cep_timeout(spark, sf_dir):
+    """C4 + O3 exact on a stream: views that timed out after 1 h."""
+    return _followed(spark, sf_dir).filter("kind = 'timeout'").select(
+        F.col("key").alias("user_id"), F.col("first_id").alias("first_event_id"),
+        _ts("first_ts").alias("first_ts"), _ts("then_ts").alias("timeout_ts"))
+
+
 @query("stream_interval_join", ORACLE["interval_join_wide"])
 def stream_interval_join(spark, sf_dir):
     """J1 on streams: stream-stream join, 1..24 h after a view."""
@@ -154,42 +175,53 @@ def stream_interval_join(spark, sf_dir):
         right = s.filter("event_type = 'purchase'").select(
             "user_id", F.col("event_id").alias("r_event_id"), F.col("et").alias("r_et"))
         return S.interval_join(left, right, ["user_id"], "l_et", "r_et", "1 hour", "24 hours")
-    out = _run(spark, "interval_join", ev, ORDER, build)
+    out = _run(spark, "interval_join", ev, ORDER, build, close=False)
     return out.select("user_id", "l_event_id", F.col("l_et").cast("timestamp_ntz").alias("l_ts"),
                       "r_event_id", F.col("r_et").cast("timestamp_ntz").alias("r_ts"))
 
 
-@query("stream_uv_tumbling_offset")
-def stream_uv_tumbling_offset(spark, sf_dir):
-    """A5 + W1 stream: approximate distinct users per 6 h window shifted by
-    1 h (HyperLogLog), closed windows.  No oracle: the count is approximate."""
-    ev = events(spark, sf_dir).select("event_id", "user_id", "ts")
-    out = _run(spark, "uv", ev, ORDER, lambda s: S.pv_uv(with_event_time(s), "et", "user_id",
-                                                         "6 hours", offset="1 hour"))
+def _window_times(out: DataFrame, *cols) -> DataFrame:
     return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
-                      F.col("window_end").cast("timestamp_ntz").alias("window_end"), "pv", "uv")
+                      F.col("window_end").cast("timestamp_ntz").alias("window_end"), *cols)
+
+
+@query("stream_uv_tumbling_offset", ORACLE["uv_tumbling_offset"])
+def stream_uv_tumbling_offset(spark, sf_dir):
+    """A5 + W1 + T3 stream: exact distinct users per 6 h window shifted by 1 h."""
+    ev = _arrivals(spark, sf_dir, "event_id", "user_id", "ts")
+    out = _run(spark, "uv", ev, ARRIVAL, lambda s: S.pv_uv(with_event_time(s), "et", "user_id", "6 hours",
+                                                           offset="1 hour", delay=DELAY))
+    return _window_times(out, "uv")
+
 
+@query("stream_pv_uv_sliding", ORACLE["pv_uv_sliding"])
+def stream_pv_uv_sliding(spark, sf_dir):
+    """A3 + W3 + T3 stream: exact PV, UV and pv div uv over 3-day windows sliding by a day."""
+    ev = _arrivals(spark, sf_dir, "event_id", "user_id", "ts")
+    out = _run(spark, "pv_uv", ev, ARRIVAL, lambda s: S.pv_uv(with_event_time(s), "et", "user_id", "3 days",
+                                                              "1 day", delay=DELAY))
+    return _window_times(out, "pv", "uv", "ratio")
 
-@query("stream_sql_tumble_sum", _closed(ORACLE["sql_tumble_sum"], "window_end"))
+
+@query("stream_sql_tumble_sum", ORACLE["sql_tumble_sum"])
 def stream_sql_tumble_sum(spark, sf_dir):
     """A7 + W6 + T4 stream: SQL over a streaming view, keyed sum per 1 h
     tumbling window with a watermark; append mode, closed windows."""
-    ev = events(spark, sf_dir).select("event_id", "ts", "event_type", "props")
+    ev = _arrivals(spark, sf_dir, "event_id", "ts", "event_type", "props")
 
     def build(s):
         return s.sparkSession.sql("""
             SELECT event_type AS key, window.start AS window_start, window.end AS window_end,
                    sum(CAST(get_json_object(props, '$.k') AS BIGINT)) AS cnt
             FROM {stream} GROUP BY event_type, window(et, '1 hour')""",
-                                  stream=with_event_time(s).withWatermark("et", "0 seconds"))
-    out = _run(spark, "sql_tumble", ev, ORDER, build)
+                                  stream=with_event_time(s).withWatermark("et", DELAY))
+    out = _run(spark, "sql_tumble", ev, ARRIVAL, build)
     return out.select("key", F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                       F.col("window_end").cast("timestamp_ntz").alias("window_end"), "cnt")
 
 
-@query("stream_session_counts", _closed(
-    "SELECT user_id, session_start, session_end, n_events FROM (" + ORACLE["session_counts"] + ")",
-    "session_end"))
+@query("stream_session_counts",
+       "SELECT user_id, session_start, session_end, n_events FROM (" + ORACLE["session_counts"] + ")")
 def stream_session_counts(spark, sf_dir):
     """W5 stream: session windows (gap 5 h) per user, closed sessions."""
     ev = events(spark, sf_dir).select("event_id", "user_id", "ts")
@@ -199,7 +231,7 @@ def stream_session_counts(spark, sf_dir):
                       F.col("session_end").cast("timestamp_ntz").alias("session_end"), "n_events")
 
 
-@query("stream_topn_window", _closed(ORACLE["topn_window"], "window_end"))
+@query("stream_topn_window", ORACLE["topn_window"])
 def stream_topn_window(spark, sf_dir):
     """N1 stream: daily counts in append mode, ranked per micro-batch in
     ``foreachBatch`` (a closed window arrives whole in one batch)."""
@@ -217,29 +249,29 @@ def stream_topn_window(spark, sf_dir):
                       F.col("window_end").cast("timestamp_ntz").alias("window_end"), "rank", "user_id", "cnt")
 
 
-@query("stream_buffer_flush", _closed(ORACLE["buffer_flush"], "flush_ts"))
+@query("stream_buffer_flush", ORACLE["buffer_flush"])
 def stream_buffer_flush(spark, sf_dir):
     """N3 exact on a stream: list state per user flushed by hourly event-time
     timers (flushed buffers, i.e. flush times the watermark has passed)."""
-    ev = events(spark, sf_dir).select("event_id", "user_id", "ts")
-    out = _run(spark, "buffer", ev, ORDER, lambda s: ST.buffer_flush_exact(
-        with_event_time(s), "user_id", "event_id", "et", "1 hour"))
+    ev = _arrivals(spark, sf_dir, "event_id", "user_id", "ts")
+    out = _run(spark, "buffer", ev, ARRIVAL, lambda s: ST.buffer_flush_exact(
+        with_event_time(s), "user_id", "event_id", "et", "1 hour", DELAY))
     return out.select(F.col("key").alias("user_id"), F.col("id").alias("event_id"), _ts("ts").alias("ts"),
                       _ts("flush_ts").alias("flush_ts"), "position")
 
 
-@query("stream_reconcile")
+@query("stream_reconcile", ORACLE["reconcile_one_to_one"])
 def stream_reconcile(spark, sf_dir):
     """J4 exact one-to-one on streams: each view takes the oldest waiting
-    purchase of the user (and vice versa); rows left waiting 5 h are
-    reported alone.  No SQL oracle (FIFO matching is stateful)."""
-    ev = events(spark, sf_dir).select("event_id", "user_id", "ts", "event_type")
+    purchase of the user (and vice versa); rows that nothing took within 5 h are
+    reported alone."""
+    ev = _arrivals(spark, sf_dir, "event_id", "user_id", "ts", "event_type")
 
     def build(s):
         s = with_event_time(s)
         return ST.reconcile_exact(s.filter("event_type = 'view'"), s.filter("event_type = 'purchase'"),
-                                  "user_id", "event_id", "et", "5 hours")
-    out = _run(spark, "reconcile", ev, ORDER, build)
+                                  "user_id", "event_id", "et", "5 hours", DELAY)
+    out = _run(spark, "reconcile", ev, ARRIVAL, build)
     return out.select(F.col("key").alias("user_id"), F.col("l_id").alias("l_event_id"),
                       _ts("l_ts").alias("l_ts"), F.col("r_id").alias("r_event_id"),
                       _ts("r_ts").alias("r_ts"), "status")
@@ -257,14 +289,14 @@ def stream_window_join(spark, sf_dir):
         right = s.filter("event_type = 'purchase'").select(
             "user_id", F.col("event_id").alias("r_event_id"), F.col("et").alias("r_et"))
         return S.window_join(left, right, ["user_id"], "l_et", "r_et", "1 day")
-    out = _run(spark, "window_join", ev, ORDER, build)
+    out = _run(spark, "window_join", ev, ORDER, build, close=False)
     return out.select("user_id", F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                       F.col("window_end").cast("timestamp_ntz").alias("window_end"), "l_event_id",
                       _ts("l_et_us").alias("l_ts"), "r_event_id",
                       _ts("r_et_us").alias("r_ts"))
 
 
-@query("stream_window_cogroup", _closed(ORACLE["window_cogroup"], "window_end"))
+@query("stream_window_cogroup", ORACLE["window_cogroup"])
 def stream_window_cogroup(spark, sf_dir):
     """J3 on streams: views and purchases co-grouped per (user, day)."""
     ev = events(spark, sf_dir).select("event_id", "user_id", "ts", "event_type")
@@ -293,7 +325,7 @@ def stream_route_split(spark, sf_dir):
     from ..operators import routing as R
     out = _run(spark, "route_split", ev, ORDER,
                lambda s: R.route_split(s, "value", [("low", 20), ("mid", 50)], "high"),
-               batch_fn=writers)
+               batch_fn=writers, close=False)
     return out.select("event_id", "value", "route")
 
 
@@ -301,21 +333,21 @@ def stream_route_split(spark, sf_dir):
 def stream_update_log(spark, sf_dir):
     """A8 on a stream: the +I / -U / +U log of the exact running count."""
     from ..operators import aggregates as A
-    ev = events(spark, sf_dir).select("event_id", "user_id", "ts")
+    ev = _arrivals(spark, sf_dir, "event_id", "user_id", "ts")
 
     def build(s):
-        rc = ST.running_count_exact(with_event_time(s), "user_id", "event_id", "et")
+        rc = ST.running_count_exact(with_event_time(s), "user_id", "event_id", "et", DELAY)
         rc = rc.select(F.col("id").alias("event_id"), F.col("key").alias("user_id"),
                        F.col("ts").alias("ts_us"), "running_count")
         return A.update_log(rc, ["user_id"])
-    out = _run(spark, "update_log", ev, ORDER, build)
+    out = _run(spark, "update_log", ev, ARRIVAL, build)
     return out.select("event_id", "user_id", _ts("ts_us").alias("ts"), "op", "cnt", "seq")
 
 
 def _sequence(spark, sf_dir, name, conds):
-    ev = events(spark, sf_dir).select("event_id", "user_id", "ts", "value")
-    out = _run(spark, name, ev, ORDER, lambda s: ST.strict_sequence_exact(
-        with_event_time(s), "user_id", "event_id", "et", conds))
+    ev = _arrivals(spark, sf_dir, "event_id", "user_id", "ts", "value")
+    out = _run(spark, name, ev, ARRIVAL, lambda s: ST.strict_sequence_exact(
+        with_event_time(s), "user_id", "event_id", "et", conds, DELAY))
     cols = [F.col("key").alias("user_id")]
     for j in range(1, len(conds) + 1):
         cols += [F.col(f"e{j}_id").alias(f"e{j}_event_id"), _ts(f"e{j}_ts").alias(f"e{j}_ts")]
@@ -339,15 +371,15 @@ def stream_strict_sequence(spark, sf_dir):
 def stream_running_max_count(spark, sf_dir):
     """A2 on a stream: the exact per-row running count (value state) and the
     running max over all rows so far (per-batch prefix max + carried max)."""
-    ev = events(spark, sf_dir).select("event_id", "user_id", "ts")
+    ev = _arrivals(spark, sf_dir, "event_id", "user_id", "ts")
 
     def build(s):
-        rc = ST.running_count_exact(with_event_time(s), "user_id", "event_id", "et")
+        rc = ST.running_count_exact(with_event_time(s), "user_id", "event_id", "et", DELAY)
         return rc.select(F.col("id").alias("event_id"), F.col("key").alias("user_id"),
                          F.col("ts").alias("ts_us"), "running_count")
     writer = lambda path: K.RunningMaxWriter("running_count", ["ts_us", "event_id"],
                                              K.parquet_writer(path), name="max_count")
-    out = _run(spark, "running_max", ev, ORDER, build, batch_fn=writer)
+    out = _run(spark, "running_max", ev, ARRIVAL, build, batch_fn=writer)
     return out.select("event_id", "user_id", _ts("ts_us").alias("ts"), "running_count", "max_count")
 
 
@@ -366,4 +398,4 @@ def stream_connect_map(spark, sf_dir):
     def build(s):
         return J.connect_map(s.filter("side = 'first'"), s.filter("side = 'second'"),
                              U.wrap_int("k"), U.digits_to_int("name"))
-    return _run(spark, "connect_map", orders.unionByName(cust), ["side", "k"], build)
+    return _run(spark, "connect_map", orders.unionByName(cust), ["side", "k"], build, close=False)

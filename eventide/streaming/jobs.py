@@ -183,15 +183,16 @@ def _previous_rule(s, p):
     rules = spark.read.parquet(p["rules"]) if "rules" in p else spark.sql(
         "SELECT * FROM VALUES (TIMESTAMP_NTZ'1970-01-01 00:00:00', 'view', 'purchase') "
         "AS r(rule_ts, rule_prev, rule_next)")
-    from ..operators.joins import rule_spans
-    spans = rule_spans(rules)
+    from ..operators.joins import with_rule
     prev = ST.previous_event(s, "user_id", "event_id", "et", "event_type")
-    prev = prev.withColumn("ts", F.timestamp_micros("ts").cast("timestamp_ntz"))
-    cond = (prev["ts"] >= spans["rule_ts"]) & (spans["next_ts"].isNull() | (prev["ts"] < spans["next_ts"]))
-    out = prev.join(F.broadcast(spans), cond, "left").withColumn(
-        "matched", F.coalesce((F.col("prev_type") == F.col("rule_prev"))
-                              & (F.col("type") == F.col("rule_next")), F.lit(False)))
-    return Job(out.drop("rule_ts", "next_ts"))
+
+    def batch(out):
+        def write(df, i):
+            d = with_rule(df.withColumn("ts", F.timestamp_micros("ts").cast("timestamp_ntz")), rules, "ts", order=["id"])
+            out(d.withColumn("matched", F.coalesce((F.col("prev_type") == F.col("rule.rule_prev"))
+                                                   & (F.col("type") == F.col("rule.rule_next")), F.lit(False))), i)
+        return write
+    return Job(prev, batch=batch)
 
 
 @job("route_split", "O1/P3: three value bands, each written to its own sink")

@@ -31,14 +31,21 @@ def windowed_counts(df: DataFrame, et: str, keys: list[str], size, slide=None, o
 
 def pv_uv(df: DataFrame, et: str, uv_col: str, size, slide=None, offset=None, delay=0,
           keys: list[str] = ()) -> DataFrame:
-    """A3/A5 stream: PV, UV (HyperLogLog: exact distinct counts are refused on
-    streams, and a set per window would grow without bound) and pv div uv.
-    Append mode."""
-    return (watermarked(df, et, delay)
-            .groupBy(*keys, W.assign(et, size, slide, offset).alias("window"))
-            .agg(F.count(F.lit(1)).alias("pv"), F.approx_count_distinct(uv_col).alias("uv"))
-            .select(*W.bounds(), *keys, "pv", "uv",
-                    F.expr("pv div uv").cast("double").alias("ratio")))
+    """A3/A5 stream: exact PV, UV and pv div uv per window, append mode.
+
+    Two chained aggregates: rows per (window, value), then values per window.  The
+    state holds one entry per value and open window, spread over the values, so
+    no single entry grows."""
+    step = slide if slide is not None else size
+    one = (watermarked(df, et, delay)
+           .groupBy(*keys, W.assign(et, size, slide, offset).alias("window"), F.col(uv_col).alias("_value"))
+           .agg(F.count(F.lit(1)).alias("n")))
+    # A window's end is the end of exactly one slot of the slide.
+    slot = W.tumbling(F.window_time("window"), step, offset)
+    return (one.groupBy(*keys, slot.alias("slot"))
+            .agg(F.sum("n").alias("pv"), F.count("_value").alias("uv"))
+            .select((F.col("slot.end") - W.interval(size)).alias("window_start"), F.col("slot.end").alias("window_end"),
+                    *keys, "pv", "uv", F.expr("pv div uv").cast("double").alias("ratio")))
 
 
 def windowed_sum(df: DataFrame, et: str, keys: list[str], size, measure, name: str = "total",

@@ -27,21 +27,16 @@ def write_replay_files(df: DataFrame, path: str, n_files: int, order: list[str])
 
 def _stamp_in_name_order(spark: SparkSession, path: str) -> None:
     """The file source takes files oldest first; parallel writers finish in
-    any order, so set modification times to follow the part numbers.  Stores
-    that cannot set times (some object stores) keep their own order; replay
-    such data through a store that can, or one file per trigger written in
-    sequence."""
+    any order, so set modification times to follow the part numbers.  A store
+    that cannot set times raises: the order of the stream would be arbitrary."""
     jvm = spark.sparkContext._jvm
     base = jvm.org.apache.hadoop.fs.Path(path)
     fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     parts = sorted((st.getPath() for st in fs.listStatus(base)
                     if st.getPath().getName().startswith("part-")), key=lambda p: p.getName())
     t0 = int(jvm.java.lang.System.currentTimeMillis()) - 1000 * (len(parts) + 1)
-    try:
-        for i, p in enumerate(parts):
-            fs.setTimes(p, t0 + 1000 * i, -1)
-    except Exception:  # noqa: BLE001 - the store does not support setTimes
-        pass
+    for i, p in enumerate(parts):
+        fs.setTimes(p, t0 + 1000 * i, -1)
 
 
 def replay(spark: SparkSession, path: str, schema: T.StructType,

@@ -55,8 +55,11 @@ def start_batches(df: DataFrame, fn, name: str, output_mode: str = "append",
     """K5: a custom sink — ``fn(batch_df, batch_id)`` per micro-batch."""
     spark = df.sparkSession
     use_rocksdb_state(spark)
-    w = (df.writeStream.foreachBatch(fn).outputMode(output_mode)
-         .option("checkpointLocation", checkpoint or state_location(spark, name)))
+    checkpoint = checkpoint or state_location(spark, name)
+    own = getattr(fn, "state", None)
+    if isinstance(own, BatchScalarState) and own.state_dir is None:
+        own.state_dir = os.path.join(checkpoint, "batch-state")  # found again after a restart
+    w = df.writeStream.foreachBatch(fn).outputMode(output_mode).option("checkpointLocation", checkpoint)
     if trigger:
         w = w.trigger(**trigger)
     return w.start()
@@ -102,15 +105,13 @@ class BatchScalarState:
             self.state_dir = state_location(spark, self.name)
         return self.state_dir
 
-    def read_before(self, spark, batch_id: int):
+    def _numbers(self, spark) -> list[int]:
         base, fs = self._fs(spark, self._dir(spark))
-        if not fs.exists(base):
-            return None
-        ids = []
-        for st in fs.listStatus(base):
-            name = st.getPath().getName()
-            if name.startswith("v-") and name.endswith(".json") and int(name[2:-5]) < batch_id:
-                ids.append(int(name[2:-5]))
+        names = [st.getPath().getName() for st in fs.listStatus(base)] if fs.exists(base) else []
+        return sorted(int(n[2:-5]) for n in names if n.startswith("v-") and n.endswith(".json"))
+
+    def read_before(self, spark, batch_id: int):
+        ids = [n for n in self._numbers(spark) if n < batch_id]
         if not ids:
             return None
         hp, fs = self._fs(spark, os.path.join(self._dir(spark), f"v-{max(ids)}.json"))
@@ -122,12 +123,17 @@ class BatchScalarState:
         return json.loads(raw)["value"]
 
     def write(self, spark, batch_id: int, value) -> None:
+        """Keep the value after ``batch_id``, and drop those that no replay can need:
+        only the last batch is ever run again, and it reads the one before."""
         hp, fs = self._fs(spark, os.path.join(self._dir(spark), f"v-{batch_id}.json"))
         stream = fs.create(hp, True)
         try:
             stream.write(bytearray(json.dumps({"value": value}).encode()))
         finally:
             stream.close()
+        earlier = [n for n in self._numbers(spark) if n < batch_id]
+        for n in earlier[:-1]:
+            fs.delete(self._fs(spark, os.path.join(self._dir(spark), f"v-{n}.json"))[0], False)
 
 
 class LateRouter:
@@ -146,6 +152,7 @@ class LateRouter:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        batch.persist()  # the source and its stateful stage run once
         prev = self.state.read_before(spark, batch_id)
         init = None
         if prev is not None:
@@ -161,6 +168,7 @@ class LateRouter:
             self.state.write(spark, batch_id, m)
         finally:
             routed.unpersist()
+            batch.unpersist()
 
 
 class RunningMaxWriter:
@@ -177,6 +185,7 @@ class RunningMaxWriter:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         from ..operators import aggregates as A
         spark = batch.sparkSession
+        batch.persist()  # the source and its stateful stage run once
         prev = self.state.read_before(spark, batch_id)
         d = A.running_max(batch, self.col, self.order, name=self.name)
         if prev is not None:
@@ -190,6 +199,7 @@ class RunningMaxWriter:
             self.state.write(spark, batch_id, m)
         finally:
             d.unpersist()
+            batch.unpersist()
 
 
 def to_table(df: DataFrame, table: str, name: str | None = None, output_mode: str = "append",

@@ -1,20 +1,21 @@
 """Keyed state machines on streams (V1-V5) with ``transformWithState``.
 
-These are the exact, per-row stream forms of operators whose batch forms
-live in :mod:`eventide.operators`.  Each processor keeps only per-key state
-(value or list state, event-time timers), so the work is spread over keys by
-Spark's shuffle; per-row Python runs only inside one key's micro-batch slice.
-The Row-based API is used: a key sees a handful of rows per micro-batch, and
-building pandas frames for them would cost more than the rows themselves.
-
-Rows of a key within one micro-batch are processed in ``(ts, id)`` order;
-times in state are epoch microseconds, timers are epoch milliseconds.
+These are the exact, per-row stream forms of operators whose batch forms live in
+:mod:`eventide.operators`.  They work in event time: rows of a key wait in list
+state until the watermark has passed them and are then processed in ``(ts, id)``
+order, with deadlines (timeouts) between them.  Results therefore depend neither
+on the order of arrival (within the watermark delay) nor on micro-batch borders.
+
+State is per key, so the work is spread over keys by Spark's shuffle.  New rows
+are appended to the waiting list; only what a firing leaves over is written back.
+Times in state are epoch microseconds, timers epoch milliseconds.  A null key is
+a key of its own.
 """
 
 from __future__ import annotations
 
-import math
 import sys
+from collections import deque
 from collections.abc import Iterable, Iterator
 
 from pyspark import cloudpickle
@@ -32,360 +33,334 @@ from ..operators.patterns import StateMachine
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+
 def _us(col: str):
     return F.unix_micros(F.col(col))
 
 
-def _stateful(grouped, processor, schema: str, mode: str, time_mode: str) -> DataFrame:
-    """``transformWithState``; the processor travels by value (see above)."""
-    return grouped.transformWithState(processor, schema, mode, time_mode)
-
+def _stateful(stream: DataFrame, et: str, delay, processor, out: str) -> DataFrame:
+    """``stream`` has ``key``, ``id``, ``ts`` and the event-time column ``et``; the
+    processor travels by value (see above)."""
+    return (stream.withWatermark(et, W.duration(delay or 0)).groupBy("key")
+            .transformWithState(processor, out, "Append", "EventTime"))
 
-def _timer_ms(us: int) -> int:
-    return int(math.ceil(us / 1000))
 
+def _source(stream: DataFrame, key: str, id_col: str, et: str, *cols) -> DataFrame:
+    return stream.select(F.col(key).alias("key"), F.col(id_col).alias("id"), _us(et).alias("ts"), *cols, F.col(et))
 
-def _in_order(rows: Iterable[Row]) -> list[Row]:
-    return sorted(rows, key=lambda r: (r.ts, r.id))
 
+def _micros(d) -> int:
+    return int(round(W.seconds(d) * 1_000_000))
 
-def _rows(records: list[dict], columns: list[str]) -> Iterator[Row]:
-    for d in records:
-        yield Row(**{c: d.get(c) for c in columns})
 
+class EventTimeProcessor(StatefulProcessor):
+    """Hands the rows of a key to :meth:`step` in ``(ts, id)`` order once the
+    watermark has passed them.  ``fields`` is the schema of a waiting row, beginning
+    with ``id long, ts long``; ``columns`` are the names of an output row."""
 
-def _items(state) -> list[tuple]:
-    return [tuple(v) for v in state.get()]
+    fields = "id long, ts long"
+    columns: list[str] = []
 
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.names = [f.split()[0] for f in self.fields.split(", ")]
+        self.waiting = handle.getListState("waiting", self.fields)
+        self.open_state(handle)
 
-class _SingleTimer:
-    """One event-time timer per key while it has pending rows: registered when
-    the key's pending rows go from none to some, re-armed by each firing for
-    the earliest remaining deadline.  A firing that finds nothing due (its rows
-    were matched meanwhile) just re-arms, so no timer bookkeeping state is
-    kept; registering an existing timer again is a no-op."""
+    # -- what a subclass defines ------------------------------------------------
+    def open_state(self, handle) -> None:
+        """Create state variables."""
 
-    def _init_timer(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
+    def load(self) -> None:
+        """Read state before a firing."""
 
-    def _arm(self, deadline_us: int | None) -> None:
-        if deadline_us is not None:
-            self.handle.registerTimer(_timer_ms(deadline_us))
+    def store(self) -> None:
+        """Write state after a firing."""
 
-    @staticmethod
-    def _due_us(timerValues, expiredTimerInfo) -> int:
-        return max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs()) * 1000
+    def step(self, key, row) -> Iterable[dict]:
+        """Process the next row."""
+        return ()
 
+    def expire(self, key, upto_us: int) -> Iterable[dict]:
+        """Deadlines at or before ``upto_us``."""
+        return ()
 
-# ------------------------------------------------------------------ A1
-class RunningCountProcessor(StatefulProcessor):
-    """A1 exact: one output row per input row with the key's running count."""
+    def deadline_us(self) -> int | None:
+        """The earliest deadline in state."""
+        return None
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.count = handle.getValueState("count", "n long")
+    def release_ms(self, ts_us: int) -> int:
+        """The watermark at which a row may be processed: past its time."""
+        return ts_us // 1000 + 1
 
+    # -- Spark's side -----------------------------------------------------------
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        v = self.count.get()
-        n = v[0] if v else 0
-        for r in _in_order(rows):
-            n += 1
-            yield Row(key=key[0], id=r.id, ts=r.ts, running_count=n)
-        self.count.update((n,))
+        new = [tuple(getattr(r, n) for n in self.names) for r in rows]
+        self.waiting.appendList(new)
+        # an earlier row than all that wait needs an earlier timer; others find
+        # one registered already
+        self.handle.registerTimer(min(self.release_ms(r[1]) for r in new))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        mark = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+        due, rest = [], []
+        for r in self.waiting.get():
+            (due if self.release_ms(r[1]) <= mark else rest).append(tuple(r))
+        self.load()
+        out = []
+        for r in sorted(due, key=lambda r: (r[1], r[0])):
+            out += self.expire(key, r[1])
+            out += self.step(key, r)
+        out += self.expire(key, mark * 1000)
+        self.store()
+        if due:
+            if rest:
+                self.waiting.put(rest)
+            else:
+                self.waiting.clear()
+        times = [self.release_ms(r[1]) for r in rest]
+        deadline = self.deadline_us()
+        if deadline is not None:
+            times.append(-(-deadline // 1000))
+        if times:
+            self.handle.registerTimer(max(min(times), mark + 1))
+        for d in out:
+            yield Row(**{c: d.get(c) for c in self.columns})
 
     def close(self) -> None:
         pass
 
 
-def running_count_exact(stream: DataFrame, key: str, id_col: str, et: str) -> DataFrame:
+class _OneValue(EventTimeProcessor):
+    """State is one value, ``initial`` until the first row."""
+
+    state_schema, initial = "", ()
+
+    def open_state(self, handle) -> None:
+        self.value = handle.getValueState("value", self.state_schema)
+
+    def load(self) -> None:
+        v = self.value.get()
+        self.now = tuple(v) if v else self.initial
+
+    def store(self) -> None:
+        self.value.update(self.now)
+
+
+# ------------------------------------------------------------------ A1
+class RunningCountProcessor(_OneValue):
+    """A1 exact: one output row per input row with the key's running count."""
+
+    state_schema, initial = "n long", (0,)
+    columns = ["key", "id", "ts", "running_count"]
+
+    def step(self, key, row):
+        self.now = (self.now[0] + 1,)
+        return [{"key": key[0], "id": row[0], "ts": row[1], "running_count": self.now[0]}]
+
+
+def running_count_exact(stream: DataFrame, key: str, id_col: str, et: str, delay=0) -> DataFrame:
     """A1 per row on a stream (append mode)."""
-    src = stream.select(F.col(key).alias("key"), F.col(id_col).alias("id"), _us(et).alias("ts"))
-    return _stateful(
-        src.groupBy("key"), RunningCountProcessor(),
-        "key long, id long, ts long, running_count long", "Append", "None")
+    return _stateful(_source(stream, key, id_col, et), et, delay, RunningCountProcessor(),
+                     "key long, id long, ts long, running_count long")
 
 
 # ------------------------------------------------------------------ J5
-class PreviousEventProcessor(StatefulProcessor):
+class PreviousEventProcessor(_OneValue):
     """Emit each event with the key's previous event, then remember it."""
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.prev = handle.getValueState("prev", "id long, ts long, type string")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        p = self.prev.get() or (None, None, None)
-        for r in _in_order(rows):
-            yield Row(key=key[0], id=r.id, ts=r.ts, type=r.type, prev_id=p[0], prev_type=p[2])
-            p = (int(r.id), int(r.ts), r.type)
-        self.prev.update(p)
+    fields = "id long, ts long, type string"
+    state_schema, initial = "id long, type string", (None, None)
+    columns = ["key", "id", "ts", "type", "prev_id", "prev_type"]
 
-    def close(self) -> None:
-        pass
+    def step(self, key, row):
+        out = {"key": key[0], "id": row[0], "ts": row[1], "type": row[2],
+               "prev_id": self.now[0], "prev_type": self.now[1]}
+        self.now = (row[0], row[2])
+        return [out]
 
 
-def previous_event(stream: DataFrame, key: str, id_col: str, et: str, type_col: str) -> DataFrame:
-    """J5 stream half: previous event per key (append mode).  Join the result
-    with a static rule frame to complete the broadcast pattern."""
-    src = stream.select(F.col(key).alias("key"), F.col(id_col).alias("id"), _us(et).alias("ts"),
-                        F.col(type_col).alias("type"))
-    return _stateful(
-        src.groupBy("key"), PreviousEventProcessor(),
-        "key long, id long, ts long, type string, prev_id long, prev_type string", "Append", "None")
+def previous_event(stream: DataFrame, key: str, id_col: str, et: str, type_col: str, delay=0) -> DataFrame:
+    """J5 stream half: previous event per key (append mode); the rule in force is
+    added per micro-batch by :func:`eventide.operators.joins.with_rule`."""
+    return _stateful(_source(stream, key, id_col, et, F.col(type_col).alias("type")), et, delay,
+                     PreviousEventProcessor(),
+                     "key long, id long, ts long, type string, prev_id long, prev_type string")
 
 
 # ------------------------------------------------------------------ J4
-_RECON = ["key", "l_id", "l_ts", "r_id", "r_ts", "status"]
-
+class ReconcileProcessor(EventTimeProcessor):
+    """J4 exact, one-to-one: a row takes the oldest waiting row of the other side
+    that is at most ``within`` older, otherwise it waits; a row that nothing took
+    until ``within`` after its time is reported as ``left_only`` / ``right_only``."""
 
-class ReconcileProcessor(_SingleTimer, StatefulProcessor):
-    """J4 exact, one-to-one: an arriving row takes the oldest waiting row of
-    the other side; otherwise it waits until the watermark passes
-    ``ts + within`` and is then reported as ``left_only`` / ``right_only``.
-
-    Waiting rows are FIFO lists per side (a second unmatched row does not
-    overwrite the first), and a deadline only fails the rows it belongs to."""
+    fields = "id long, ts long, side string"
+    columns = ["key", "l_id", "l_ts", "r_id", "r_ts", "status"]
 
     def __init__(self, within_us: int):
         self.within = within_us
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._init_timer(handle)
-        self.wait = {"left": handle.getListState("left", "id long, ts long"),
-                     "right": handle.getListState("right", "id long, ts long")}
-
-    def _store(self, side, vals):
-        if vals:
-            self.wait[side].put(vals)
-        else:
-            self.wait[side].clear()
-
-    @staticmethod
-    def _alone(key, side, vid, vts) -> dict:
-        row = {"key": key[0], "status": f"{side}_only"}
-        row["l_id" if side == "left" else "r_id"] = vid
-        row["l_ts" if side == "left" else "r_ts"] = vts
-        return row
-
-    def _next_deadline(self, waiting) -> int | None:
-        heads = [v[0][1] for v in waiting.values() if v]
-        return min(heads) + self.within if heads else None
+    def open_state(self, handle) -> None:
+        self.lists = {s: handle.getListState(s, "id long, ts long") for s in ("left", "right")}
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        waiting = {"left": _items(self.wait["left"]), "right": _items(self.wait["right"])}
-        had_pending = bool(waiting["left"] or waiting["right"])
-        out = []
-        for r in _in_order(rows):
-            me, other = r.side, ("right" if r.side == "left" else "left")
-            # Deadlines that passed before this row in event time fail first,
-            # so the result does not depend on micro-batch boundaries.
-            for side in ("left", "right"):
-                while waiting[side] and waiting[side][0][1] + self.within < int(r.ts):
-                    vid, vts = waiting[side].pop(0)
-                    out.append(self._alone(key, side, vid, vts))
-            if waiting[other]:
-                oid, ots = waiting[other].pop(0)
-                pair = {me: (int(r.id), int(r.ts)), other: (oid, ots)}
-                out.append({"key": key[0], "l_id": pair["left"][0], "l_ts": pair["left"][1],
-                            "r_id": pair["right"][0], "r_ts": pair["right"][1], "status": "matched"})
-            else:
-                waiting[me].append((int(r.id), int(r.ts)))
-        for side in ("left", "right"):
-            self._store(side, waiting[side])
-        if not had_pending:
-            self._arm(self._next_deadline(waiting))
-        yield from _rows(out, _RECON)
+    def load(self) -> None:
+        self.open = {s: deque(tuple(v) for v in state.get()) for s, state in self.lists.items()}
+        self.before = {s: list(v) for s, v in self.open.items()}
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        t_us = self._due_us(timerValues, expiredTimerInfo)
-        out, waiting = [], {}
-        for side in ("left", "right"):
-            keep = []
-            for vid, vts in _items(self.wait[side]):
-                if vts + self.within <= t_us:
-                    out.append(self._alone(key, side, vid, vts))
-                else:
-                    keep.append((vid, vts))
-            self._store(side, keep)
-            waiting[side] = keep
-        self._arm(self._next_deadline(waiting))
-        yield from _rows(out, _RECON)
+    def store(self) -> None:
+        for s, rows in self.open.items():
+            if list(rows) == self.before[s]:
+                continue
+            if rows:
+                self.lists[s].put(list(rows))
+            else:
+                self.lists[s].clear()
 
-    def close(self) -> None:
-        pass
+    def expire(self, key, upto_us):
+        out = []
+        for side, rows in self.open.items():
+            while rows and rows[0][1] + self.within < upto_us:
+                vid, vts = rows.popleft()
+                mine = side[0]
+                out.append({"key": key[0], f"{mine}_id": vid, f"{mine}_ts": vts, "status": f"{side}_only"})
+        return out
+
+    def step(self, key, row):
+        vid, vts, side = row
+        other = "right" if side == "left" else "left"
+        if not self.open[other]:
+            self.open[side].append((vid, vts))
+            return ()
+        oid, ots = self.open[other].popleft()
+        return [{"key": key[0], f"{side[0]}_id": vid, f"{side[0]}_ts": vts, f"{other[0]}_id": oid,
+                 f"{other[0]}_ts": ots, "status": "matched"}]
+
+    def deadline_us(self):
+        heads = [rows[0][1] for rows in self.open.values() if rows]
+        return min(heads) + self.within + 1 if heads else None
 
 
 def reconcile_exact(left: DataFrame, right: DataFrame, key: str, id_col: str, et: str,
                     within, delay=0) -> DataFrame:
     """J4 on two streams (append mode); both carry ``key``, ``id_col`` and the
     event-time column ``et``."""
-    def side(df, tag):
-        return df.select(F.col(key).alias("key"), F.lit(tag).alias("side"),
-                         F.col(id_col).alias("id"), _us(et).alias("ts"), F.col(et))
-    u = side(left, "left").unionByName(side(right, "right")).withWatermark(et, W.duration(delay or 0))
-    within_us = int(round(W.seconds(within) * 1_000_000))
-    return _stateful(
-        u.groupBy("key"), ReconcileProcessor(within_us),
-        "key long, l_id long, l_ts long, r_id long, r_ts long, status string", "Append", "EventTime")
+    both = _source(left, key, id_col, et, F.lit("left").alias("side")).unionByName(
+        _source(right, key, id_col, et, F.lit("right").alias("side")))
+    return _stateful(both, et, delay, ReconcileProcessor(_micros(within)),
+                     "key long, l_id long, l_ts long, r_id long, r_ts long, status string")
 
 
 # ------------------------------------------------------------------ C1/C4
-_FOLLOW = ["key", "first_id", "first_ts", "then_id", "then_ts", "kind"]
-
+class FollowedByProcessor(EventTimeProcessor):
+    """C1/C4 exact: open ``first`` rows wait for a ``then`` row, which completes
+    every open one that is less than ``within`` older (no skip).  A ``first`` row
+    still open ``within`` after its time times out."""
 
-class FollowedByProcessor(_SingleTimer, StatefulProcessor):
-    """C1/C4 exact: open ``first`` rows wait for a ``then`` row; a ``then``
-    row completes every open ``first`` row less than ``within`` before it (no
-    skip).  A ``first`` row still open at ``ts + within`` times out."""
+    fields = "id long, ts long, is_first boolean, is_then boolean"
+    columns = ["key", "first_id", "first_ts", "then_id", "then_ts", "kind"]
 
     def __init__(self, within_us: int):
         self.within = within_us
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._init_timer(handle)
-        self.open = handle.getListState("open", "id long, ts long")
-
-    def _timeout(self, key, oid, ots) -> dict:
-        return {"key": key[0], "first_id": oid, "first_ts": ots, "then_id": None,
-                "then_ts": ots + self.within, "kind": "timeout"}
+    def open_state(self, handle) -> None:
+        self.list = handle.getListState("open", "id long, ts long")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        opened = _items(self.open)
-        had_pending = bool(opened)
-        out = []
-        for r in _in_order(rows):
-            ts = int(r.ts)
-            if r.is_then and opened:
-                for oid, ots in opened:
-                    if ts - ots < self.within:
-                        out.append({"key": key[0], "first_id": oid, "first_ts": ots,
-                                    "then_id": int(r.id), "then_ts": ts, "kind": "match"})
-                    else:
-                        out.append(self._timeout(key, oid, ots))
-                opened = []
-            if r.is_first:
-                opened.append((int(r.id), ts))
-        if opened:
-            self.open.put(opened)
-        else:
-            self.open.clear()
-        if not had_pending:
-            self._arm(min(t for _, t in opened) + self.within if opened else None)
-        yield from _rows(out, _FOLLOW)
+    def load(self) -> None:
+        self.open = deque(tuple(v) for v in self.list.get())
+        self.before = list(self.open)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        t_us = self._due_us(timerValues, expiredTimerInfo)
-        out, keep = [], []
-        for oid, ots in _items(self.open):
-            if ots + self.within <= t_us:
-                out.append(self._timeout(key, oid, ots))
+    def store(self) -> None:
+        if list(self.open) != self.before:
+            if self.open:
+                self.list.put(list(self.open))
             else:
-                keep.append((oid, ots))
-        if keep:
-            self.open.put(keep)
-        else:
+                self.list.clear()
+
+    def expire(self, key, upto_us):
+        out = []
+        while self.open and self.open[0][1] + self.within <= upto_us:
+            oid, ots = self.open.popleft()
+            out.append({"key": key[0], "first_id": oid, "first_ts": ots, "then_ts": ots + self.within,
+                        "kind": "timeout"})
+        return out
+
+    def step(self, key, row):
+        vid, vts, is_first, is_then = row
+        out = []
+        if is_then:
+            out = [{"key": key[0], "first_id": oid, "first_ts": ots, "then_id": vid, "then_ts": vts,
+                    "kind": "match"} for oid, ots in self.open]
             self.open.clear()
-        self._arm(min(t for _, t in keep) + self.within if keep else None)
-        yield from _rows(out, _FOLLOW)
+        if is_first:
+            self.open.append((vid, vts))
+        return out
 
-    def close(self) -> None:
-        pass
+    def deadline_us(self):
+        return self.open[0][1] + self.within if self.open else None
 
 
 def followed_by_exact(stream: DataFrame, key: str, id_col: str, et: str, first, then,
                       within, delay=0) -> DataFrame:
     """C1 + C4 on a stream; ``kind`` is ``match`` (then_ts = the completing
     row) or ``timeout`` (then_ts = the timeout time).  Append mode."""
-    src = stream.select(F.col(key).alias("key"), F.col(id_col).alias("id"), _us(et).alias("ts"),
-                        first.alias("is_first"), then.alias("is_then"), F.col(et))
-    within_us = int(round(W.seconds(within) * 1_000_000))
-    return _stateful(
-        src.withWatermark(et, W.duration(delay or 0)).groupBy("key"),
-        FollowedByProcessor(within_us),
-        "key long, first_id long, first_ts long, then_id long, then_ts long, kind string",
-        "Append", "EventTime")
+    flags = (F.coalesce(first, F.lit(False)).alias("is_first"), F.coalesce(then, F.lit(False)).alias("is_then"))
+    return _stateful(_source(stream, key, id_col, et, *flags), et, delay, FollowedByProcessor(_micros(within)),
+                     "key long, first_id long, first_ts long, then_id long, then_ts long, kind string")
 
 
 # ------------------------------------------------------------------ C5
-class StateMachineProcessor(StatefulProcessor):
+class StateMachineProcessor(_OneValue):
     """C5 exact: the key's current state in value state; one row per event."""
 
-    def __init__(self, fsm: StateMachine):
-        self.fsm = fsm
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("state", "s int")
+    fields = "id long, ts long, ev int"
+    state_schema = "s int"
+    columns = ["key", "id", "ts", "state", "accepted"]
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        v = self.state.get()
-        s = v[0] if v else self.fsm.sid[self.fsm.start]
-        table, names, accept = self.fsm.table, self.fsm.states, self.fsm.accept
-        for r in _in_order(rows):
-            s = int(table[r.ev, s])
-            yield Row(key=key[0], id=r.id, ts=r.ts, state=names[s], accepted=names[s] in accept)
-        self.state.update((s,))
+    def __init__(self, fsm: StateMachine):
+        self.fsm, self.initial = fsm, (fsm.sid[fsm.start],)
 
-    def close(self) -> None:
-        pass
+    def step(self, key, row):
+        self.now = (int(self.fsm.table[row[2], self.now[0]]),)
+        name = self.fsm.states[self.now[0]]
+        return [{"key": key[0], "id": row[0], "ts": row[1], "state": name, "accepted": name in self.fsm.accept}]
 
 
 def state_machine_exact(stream: DataFrame, key: str, id_col: str, et: str, event_col: str,
-                        fsm: StateMachine) -> DataFrame:
-    src = stream.select(F.col(key).alias("key"), F.col(id_col).alias("id"), _us(et).alias("ts"),
-                        fsm.event_index(event_col).alias("ev"))
-    return _stateful(
-        src.groupBy("key"), StateMachineProcessor(fsm),
-        "key long, id long, ts long, state string, accepted boolean", "Append", "None")
+                        fsm: StateMachine, delay=0) -> DataFrame:
+    return _stateful(_source(stream, key, id_col, et, fsm.event_index(event_col).alias("ev")), et, delay,
+                     StateMachineProcessor(fsm), "key long, id long, ts long, state string, accepted boolean")
 
 
 # ------------------------------------------------------------------ N3
-class BufferFlushProcessor(_SingleTimer, StatefulProcessor):
-    """Buffer a key's rows in list state; an event-time timer at
-    the next multiple of ``every`` flushes (and clears) the due rows."""
+class BufferFlushProcessor(EventTimeProcessor):
+    """A key's rows wait in list state until the watermark reaches the
+    next multiple of ``every`` after them; then they are flushed in order."""
+
+    columns = ["key", "id", "ts", "flush_ts", "position"]
 
     def __init__(self, every_us: int):
         self.every = every_us
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._init_timer(handle)
-        self.buf = handle.getListState("buf", "id long, ts long")
-
-    def _flush_of(self, ts_us: int) -> int:
+    def _flush_us(self, ts_us: int) -> int:
         return (ts_us // self.every + 1) * self.every
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        new = [(int(r.id), int(r.ts)) for r in _in_order(rows)]
-        if not self.buf.exists():
-            self._arm(min(self._flush_of(t) for _, t in new))
-        self.buf.appendList(new)
-        return iter([])
+    def release_ms(self, ts_us: int) -> int:
+        return -(-self._flush_us(ts_us) // 1000)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        t_us = self._due_us(timerValues, expiredTimerInfo)
-        items = _items(self.buf)
-        due = sorted([v for v in items if self._flush_of(v[1]) <= t_us], key=lambda v: (v[1], v[0]))
-        keep = [v for v in items if self._flush_of(v[1]) > t_us]
-        if keep:
-            self.buf.put(keep)
-        else:
-            self.buf.clear()
-        self._arm(min(self._flush_of(t) for _, t in keep) if keep else None)
-        pos: dict[int, int] = {}
-        for vid, vts in due:
-            f = self._flush_of(vts)
-            pos[f] = pos.get(f, 0) + 1
-            yield Row(key=key[0], id=vid, ts=vts, flush_ts=f, position=pos[f])
+    def load(self) -> None:
+        self.position: dict[int, int] = {}
 
-    def close(self) -> None:
-        pass
+    def step(self, key, row):
+        flush = self._flush_us(row[1])
+        self.position[flush] = self.position.get(flush, 0) + 1
+        return [{"key": key[0], "id": row[0], "ts": row[1], "flush_ts": flush, "position": self.position[flush]}]
 
 
 def buffer_flush_exact(stream: DataFrame, key: str, id_col: str, et: str, every,
                        delay=0) -> DataFrame:
-    src = stream.select(F.col(key).alias("key"), F.col(id_col).alias("id"), _us(et).alias("ts"),
-                        F.col(et))
-    every_us = int(round(W.seconds(every) * 1_000_000))
-    return _stateful(
-        src.withWatermark(et, W.duration(delay or 0)).groupBy("key"), BufferFlushProcessor(every_us),
-        "key long, id long, ts long, flush_ts long, position long", "Append", "EventTime")
+    return _stateful(_source(stream, key, id_col, et), et, delay, BufferFlushProcessor(_micros(every)),
+                     "key long, id long, ts long, flush_ts long, position long")
 
 
 # ------------------------------------------------------------------ V4
@@ -402,7 +377,7 @@ class TtlValueProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         v = self.last.get()
         prev = v[0] if v else None
-        for r in _in_order(rows):
+        for r in sorted(rows, key=lambda r: (r.ts, r.id)):
             yield Row(key=key[0], id=int(r.id), alive_id=prev)
             prev = int(r.id)
         self.last.update((prev,))
@@ -417,54 +392,47 @@ def ttl_previous(stream: DataFrame, key: str, id_col: str, et: str, ttl) -> Data
     waiting in ``processAllAvailable``."""
     src = stream.select(F.col(key).alias("key"), F.col(id_col).alias("id"), _us(et).alias("ts"))
     ttl_ms = int(round(W.seconds(ttl) * 1000))
-    return _stateful(
-        src.groupBy("key"), TtlValueProcessor(ttl_ms),
-        "key long, id long, alive_id long", "Append", "ProcessingTime")
+    return src.groupBy("key").transformWithState(
+        TtlValueProcessor(ttl_ms), "key long, id long, alive_id long", "Append", "ProcessingTime")
 
 
 # ------------------------------------------------------------------ C2/C3
-class StrictSequenceProcessor(StatefulProcessor):
+class StrictSequenceProcessor(EventTimeProcessor):
     """C2/C3 exact: the last ``n - 1`` rows of the key (list state, bounded)
     and, per new row, whether it ends ``cond_0 .. cond_{n-1}`` on consecutive
     rows."""
 
     def __init__(self, n: int):
         self.n = n
+        self.fields = "id long, ts long, " + ", ".join(f"c{j} boolean" for j in range(n))
+        self.columns = ["key"] + [f"e{j + 1}_{c}" for j in range(n) for c in ("id", "ts")]
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        fields = ", ".join(f"c{j} boolean" for j in range(self.n))
-        self.hist = handle.getListState("hist", f"id long, ts long, {fields}")
+    def open_state(self, handle) -> None:
+        self.list = handle.getListState("last", self.fields)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        n = self.n
-        hist = _items(self.hist)
-        cols = ["key"] + [f"e{j + 1}_{c}" for j in range(n) for c in ("id", "ts")]
-        out = []
-        for r in _in_order(rows):
-            cur = (int(r.id), int(r.ts), *[bool(getattr(r, f"c{j}")) for j in range(n)])
-            window = (hist + [cur])[-n:]
-            if len(window) == n and all(window[j][2 + j] for j in range(n)):
-                row = {"key": key[0]}
-                for j, w in enumerate(window):
-                    row[f"e{j + 1}_id"], row[f"e{j + 1}_ts"] = w[0], w[1]
-                out.append(row)
-            hist = window[-(n - 1):] if n > 1 else []
-        if hist:
-            self.hist.put(hist)
-        else:
-            self.hist.clear()
-        yield from _rows(out, cols)
+    def load(self) -> None:
+        self.last = [tuple(v) for v in self.list.get()]
 
-    def close(self) -> None:
-        pass
+    def store(self) -> None:
+        if self.last:
+            self.list.put(self.last)
+
+    def step(self, key, row):
+        window = (self.last + [row])[-self.n:]
+        self.last = window[1:] if len(window) == self.n else window
+        if len(window) < self.n or not all(w[2 + j] for j, w in enumerate(window)):
+            return ()
+        out = {"key": key[0]}
+        for j, w in enumerate(window, 1):
+            out[f"e{j}_id"], out[f"e{j}_ts"] = w[0], w[1]
+        return [out]
 
 
-def strict_sequence_exact(stream: DataFrame, key: str, id_col: str, et: str, conds) -> DataFrame:
+def strict_sequence_exact(stream: DataFrame, key: str, id_col: str, et: str, conds, delay=0) -> DataFrame:
     """C2/C3 on a stream (append mode): one row per match, ``e{j}_id`` and
     ``e{j}_ts`` for the j-th row of the match."""
     n = len(conds)
-    src = stream.select(F.col(key).alias("key"), F.col(id_col).alias("id"), _us(et).alias("ts"),
-                        *[c.alias(f"c{j}") for j, c in enumerate(conds)])
+    flags = [F.coalesce(c, F.lit(False)).alias(f"c{j}") for j, c in enumerate(conds)]
     cols = ", ".join(f"e{j + 1}_id long, e{j + 1}_ts long" for j in range(n))
-    return _stateful(
-        src.groupBy("key"), StrictSequenceProcessor(n), f"key long, {cols}", "Append", "None")
+    return _stateful(_source(stream, key, id_col, et, *flags), et, delay, StrictSequenceProcessor(n),
+                     f"key long, {cols}")

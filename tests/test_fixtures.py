@@ -22,6 +22,9 @@ def ms(col):
     return F.timestamp_millis(c).cast("timestamp_ntz")
 
 
+# The literal rows and results below are those of FIXTURES.md
+# (F1-F4, X1-X9), named in each section.
+
 # ---- F1 / X1: reconciliation --------------------------------------------
 def test_f1_reconcile_all_matched(spark):
     left = spark.createDataFrame([("n1", 11), ("n2", 12), ("n3", 13), ("n4", 14)], "k string, t int") \
@@ -133,7 +136,7 @@ def test_strict_sequence_chunked_equals_plain(spark):
     conds = [F.col("value") > 40, F.col("value") > 60, F.col("value") > 80]
     a = P.strict_sequence(ev, ["user_id"], ["ts", "event_id"], conds, ["event_id"])
     b = P.strict_sequence(ev, ["user_id"], ["ts", "event_id"], conds, ["event_id"],
-                          hot_rows=20, chunk_rows=300)
+                          chunks=34)
     assert sorted(a.collect()) == sorted(b.collect())
 
 
@@ -144,7 +147,7 @@ def test_state_machine_chunked_equals_plain(spark):
                           ("paid", "error"): "matched"}, "idle", {"matched"})
     a = P.run_state_machine(ev, ["user_id"], ["ts", "event_id"], "event_type", fsm)
     b = P.run_state_machine(ev, ["user_id"], ["ts", "event_id"], "event_type", fsm,
-                            hot_rows=20, chunk_rows=300)
+                            chunks=34)
     assert sorted(a.select("event_id", "state").collect()) == sorted(b.select("event_id", "state").collect())
 
 
@@ -180,7 +183,7 @@ def test_late_split_chunked_equals_plain(spark):
     ev = ev.withColumn("arrival_ts", F.col("ts") + F.make_dt_interval(secs=(F.col("event_id") % 7) * 600))
     a = L.late_split(ev, "ts", ["arrival_ts", "event_id"], "30 minutes", lateness="10 minutes")
     b = L.late_split(ev, "ts", ["arrival_ts", "event_id"], "30 minutes", lateness="10 minutes",
-                     chunk_rows=500)
+                     chunks=20)
     assert sorted(a.select("event_id", "route").collect()) == sorted(b.select("event_id", "route").collect())
 
 
@@ -191,7 +194,7 @@ def test_x8_java_hash(spark):
         [3437236, 3467, 0, 1120650894, 54959989]
     U.register_sql_functions(spark)
     df.createOrReplaceTempView("hs")
-    assert [r[0] for r in spark.sql("SELECT SelfFunc(s) FROM hs").collect()] == \
+    assert [r[0] for r in spark.sql("SELECT JVM_HASH(s) FROM hs").collect()] == \
         [3437236, 3467, 0, 1120650894, 54959989]
 
 
@@ -214,6 +217,10 @@ def test_jdbc_roundtrip(spark):
     w(df, 0)
     w(df, 0)
     assert D.read_jdbc(spark, url, "counts_log", properties=props).count() == 50
+    # what a failed first try of batch 1 left is replaced
+    D.write_jdbc(df.limit(7).withColumn("batch_id", F.lit(1).cast("long")), url, "counts_log", properties=props)
+    w(df, 1)
+    assert D.read_jdbc(spark, url, "counts_log", properties=props).count() == 100
 
 
 def test_console_noop_and_file_sinks(spark):
@@ -230,3 +237,31 @@ def test_console_noop_and_file_sinks(spark):
                 trigger={"availableNow": True}, path=out, maxRecordsPerFile=200)
     q.awaitTermination(120)
     assert spark.read.text(out).count() == 1000
+
+
+def test_strings_that_are_no_numbers_raise(spark):
+    df = spark.createDataFrame([("12",), ("-3",), ("x12y",), ("99999999999",)], "s string")
+    assert [r.v for r in df.select(U.to_int("s", strict=False).alias("v")).collect()] == [12, -3, None, None]
+    with pytest.raises(Exception):
+        df.filter("s = 'x12y'").select(U.to_int("s").alias("v")).collect()
+    assert df.select(U.digits_to_int("s", strict=False).alias("v")).collect()[2].v == 12
+
+
+def test_update_log_of_a_sum(spark):
+    from eventide.operators import aggregates as A
+    df = spark.createDataFrame([("a", 1, 5), ("a", 2, 8)], "k string, id long, total long")
+    out = A.update_log(df, ["k"], "total", order=["id"]).collect()
+    assert sorted((r.id, r.seq, r.op, r.cnt) for r in out) == [(1, 0, "+I", 5), (2, 0, "-U", 5), (2, 1, "+U", 8)]
+
+
+def test_hash_time_is_linear_and_total(spark):
+    texts = ["", "a" * 200_000, "😀" * 50_000, "é\U0010ffff x"]
+
+    def units(s):
+        h, b = 0, s.encode("utf-16-be")
+        for i in range(0, len(b), 2):
+            h = (31 * h + int.from_bytes(b[i:i + 2], "big")) & 0xFFFFFFFF
+        return h - (1 << 32) if h >= 1 << 31 else h
+    got = spark.createDataFrame([(t,) for t in texts], "s string").select(U.java_hash("s").alias("h")).collect()
+    assert [r.h for r in got] == [units(t) for t in texts]
+    assert spark.sql("SELECT CAST(NULL AS STRING) AS s").select(U.java_hash("s").alias("h")).first().h is None

@@ -1,4 +1,4 @@
-"""The chunked (hot-key) path of KeyedSequence equals the plain window path."""
+"""Chunked scans equal plain windows, whatever the keys, ties and nulls."""
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from eventide.sources.tables import events
 from .conftest import SF01, rows
 
 ORDER = ["ts", "event_id"]
-FORCE = dict(hot_rows=20, chunk_rows=300)   # every user hot, ~34 chunks
+FORCE = dict(chunks=34)
 
 
 def ev(spark):
@@ -29,7 +29,7 @@ def test_global_running_max_is_chunked(spark):
     e = ev(spark)
     w = Window.orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
     want = e.select("event_id", F.max("value").over(w).alias("m"))
-    got = A.running_max(e, "value", ORDER, name="m", chunk_rows=700).select("event_id", "m")
+    got = A.running_max(e, "value", ORDER, name="m", chunks=15).select("event_id", "m")
     assert rows(want) == rows(got)
 
 
@@ -37,7 +37,6 @@ def test_reverse_exclusive_min_and_last(spark):
     e = ev(spark)
     seq = KeyedSequence(["user_id"], ORDER, **FORCE)
     d = seq.prepare(e)
-    assert seq.chunked
     pay = F.when(F.col("event_type") == "purchase", F.struct("ts", "event_id"))
     d = seq.running(d, {"next_pay": ("min", pay),
                         "next_val": ("last", F.when(F.col("value") > 100, F.col("value")))},
@@ -79,54 +78,55 @@ def test_session_edge_one_gap_apart(spark):
 
 
 def test_hot_key_third_of_rows_is_split(spark):
-    """One user holding a third of all rows: the chunked plan splits it into
-    bounded groups and gives the same running counts as the plain window."""
-    from eventide.sources.tables import events as ev_table
-    e = ev_table(spark, "/root/testdata/sf0.1").select(
-        "event_id", "ts", F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id"))
-        .alias("user_id"))
-    seq = KeyedSequence(["user_id"], ORDER, hot_rows=10_000, chunk_rows=4_000)
-    d = seq.prepare(e)
-    assert seq.chunked
-    sizes = d.groupBy("user_id", "_chunk").count()
-    hot = sizes.filter("user_id = -1").agg(F.count("*").alias("n"), F.max("count").alias("m")).first()
-    assert hot.n >= 8 and hot.m <= 6_000          # ~33k rows cut into ~4k-row chunks
-    got = seq.finish(seq.running(d, {"rc": ("count", F.lit(1))})).select("event_id", "rc")
-    w = Window.partitionBy("user_id").orderBy(*ORDER)
-    want = e.select("event_id", F.row_number().over(w).cast("long").alias("rc"))
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-
-
-def test_too_many_hot_keys_chunks_every_key(spark, monkeypatch):
-    from eventide.operators import sequence as S
-    monkeypatch.setattr(S, "MAX_HOT_KEYS", 5)
-    e = ev(spark).select("event_id", "user_id", "ts")
-    plain = A.running_count(e, ["user_id"], ORDER)
-    seq = KeyedSequence(["user_id"], ORDER, hot_rows=20, chunk_rows=500)
-    d = seq.prepare(e)
-    assert seq.chunked
-    got = seq.finish(seq.running(d, {"running_count": ("count", F.lit(1))}))
-    assert rows(plain) == rows(got)
-
-
-def test_multi_column_keys(spark):
-    e = ev(spark).select("event_id", "user_id", "event_type", "ts")
-    plain = A.running_count(e, ["user_id", "event_type"], ORDER)
-    chunked = A.running_count(e, ["user_id", "event_type"], ORDER, hot_rows=10, chunk_rows=200)
-    assert rows(plain) == rows(chunked)
-
-
-def test_rule_enrichment_large_rule_path(spark, monkeypatch):
+    """A user, then the null key, holding a third of all rows: the rows are spread
+    evenly over the chunks and the counts equal those of a plain window."""
+    e = events(spark, "/root/testdata/sf0.1")
+    for hot in (F.lit(-1), F.lit(None).cast("long")):
+        d0 = e.select("event_id", "ts", F.when(F.col("event_id") % 3 == 0, hot).otherwise(F.col("user_id")).alias("user_id"))
+        seq = KeyedSequence(["user_id"], ORDER, chunks=24)
+        d = seq.prepare(d0)
+        sizes = d.groupBy("_chunk").count().toPandas()["count"]
+        assert len(sizes) == 24 and sizes.max() <= 2 * sizes.mean()
+        got = seq.finish(seq.running(d, {"rc": ("count", F.lit(1))})).select("event_id", "rc")
+        w = Window.partitionBy("user_id").orderBy(*ORDER)
+        want = d0.select("event_id", F.row_number().over(w).cast("long").alias("rc"))
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_one_tied_time_is_split(spark):
+    d0 = spark.range(5_000).select(F.col("id"), (F.col("id") % 2).alias("k"), F.lit(7).alias("t"))
+    seq = KeyedSequence(["k"], ["t"], chunks=10)
+    d = seq.prepare(d0)
+    assert d.groupBy("_chunk").count().agg(F.max("count")).first()[0] < 1_500
+    got = seq.finish(seq.running(d, {"n": ("count", F.lit(1))})).groupBy("k").agg(
+        F.countDistinct("n").alias("d"), F.max("n").alias("m")).collect()
+    assert {(r.k, r.d, r.m) for r in got} == {(0, 2500, 2500), (1, 2500, 2500)}
+
+
+def test_multi_column_keys_with_nulls(spark):
+    e = ev(spark).select("event_id", F.when(F.col("user_id") % 5 != 0, F.col("user_id")).alias("user_id"),
+                         F.when(F.col("event_id") % 7 != 0, F.col("event_type")).alias("event_type"), "ts")
+    w = Window.partitionBy("user_id", "event_type").orderBy(*ORDER)
+    want = e.withColumn("running_count", F.row_number().over(w).cast("long"))
+    assert rows(want) == rows(A.running_count(e, ["user_id", "event_type"], ORDER, chunks=29))
+
+
+def test_more_chunks_than_rows_and_no_rows(spark):
+    e = ev(spark).limit(3)
+    assert A.running_count(e, ["user_id"], ORDER, chunks=50).count() == 3
+    assert A.running_count(e.limit(0), ["user_id"], ORDER, chunks=5).count() == 0
+
+
+def test_rule_with_equal_starts_and_many_rules(spark):
     from eventide.operators import joins as J
-    from eventide.plans.joined import rules_frame
     e = ev(spark).select("event_id", "user_id", "ts", "event_type")
-    small = J.previous_with_rule(e, rules_frame(spark), ["user_id"], ORDER, "ts", ["event_id", "event_type"])
-    monkeypatch.setattr(J, "MAX_BROADCAST_RULES", 0)
-    large = J.previous_with_rule(e, rules_frame(spark), ["user_id"], ORDER, "ts", ["event_id", "event_type"],
-                                 chunk_rows=1500)
-    cols = ["event_id", F.col("prev.event_id").alias("p"), F.col("rule.rule_prev").alias("a"),
-            F.col("rule.rule_next").alias("b")]
-    assert rows(small.select(*cols)) == rows(large.select(*cols))
+    r = (spark.range(2_000).select((F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(mins=F.col("id") * 20))
+                                   .alias("rule_ts"), F.col("id").cast("string").alias("name")))
+    got = J.with_rule(e, r.unionByName(r.withColumn("name", F.lit(""))), "ts", order=["event_id"], chunks=11)
+    want = e.withColumn("n", F.floor((F.unix_micros(F.col("ts").cast("timestamp"))
+                                      - F.unix_micros(F.lit("2024-01-01").cast("timestamp"))) / 1_200_000_000))
+    assert rows(got.select("event_id", F.col("rule.name").alias("n"))) == rows(
+        want.select("event_id", F.least("n", F.lit(1999)).cast("string").alias("n")))
 
 
 def test_scale_settings(spark):
@@ -135,6 +135,5 @@ def test_scale_settings(spark):
     assert n > 0
     small = scale_settings(n, 8)
     assert small["spark.sql.shuffle.partitions"] == "16"
-    big = scale_settings(100 << 40, 8000, rows=10**12)     # 100 TB, 1000 executors x 8 cores
+    big = scale_settings(100 << 40, 8000)     # 100 TB, 1000 executors x 8 cores
     assert int(big["spark.sql.shuffle.partitions"]) == 819200
-    assert int(big["eventide.sequence.chunkRows"]) == 10_000_000
