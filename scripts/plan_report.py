@@ -36,9 +36,9 @@ def main() -> None:
     for kv in filter(None, os.environ.get("EXTRA_CONF", "").split(",")):
         k, v = kv.split("=", 1)
         spark.conf.set(k, v)
-    import __spark_entry__ as entry
+    from eventide.plans import QUERIES
     rows = []
-    for name, fn in entry.queries().items():
+    for name, fn in QUERIES.items():
         if name.startswith(("stream_", "jdbc_")):
             continue
         df = fn(spark, sf_dir)
