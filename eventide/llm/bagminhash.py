@@ -17,12 +17,12 @@ a component stayed empty are done again with twice the limit.
 Search.  Equal texts are one node.  Signatures are cut into ``BANDS`` bands of
 ``ROWS``; nodes with an equal band share a bucket.  A bucket's members are compared
 with its leader, the member that shares most buckets with others (in a group of
-copies of one text, that text), never all with all.  Then, as long as a bucket
-holds several classes, the members are compared with the leaders of its other
-classes, one leader a round.  After ``ROUNDS`` rounds what is left is compared
-exactly, in blocks: members of other classes against the members of the bucket,
-first by signature, then by text; only links leave a block.  Every candidate is
-verified on the bags themselves.
+copies of one text, that text), never all with all.  With more ``ROUNDS``, members
+then meet the leaders of the bucket's other classes, one leader a round.  What is
+left, members whose class has not led, is compared exactly, in blocks: these
+members against all members of the bucket in other classes, first by signature,
+then by text, each pair in its smallest common bucket only; nothing but links
+leaves a block.  Every candidate is verified on the bags themselves.
 
 Equal texts (null and empty ones too) are one class, whose id is its smallest
 document id; texts without words are linked to equal ones only.  Repeated rows
@@ -46,7 +46,7 @@ from .records import _slices
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 30, 5
 SIZE = BANDS * ROWS
-ROUNDS, BLOCK = 2, 512
+ROUNDS, BLOCK = 1, 512
 PUNCTUATION = ".,;:!?\"'()[]{}<>|*#%&$-_=+/\\`~^@…–—“”‘’«»¿¡"
 
 
