@@ -15,9 +15,16 @@ footers, forms, scripts, ...) have importance 0.  Where a page has ``article`` o
 ``main`` elements, text outside them is dropped.  If importance would leave a page
 without text, only the marked elements go (a host that repeats one article).
 
+A word in a class or id is a weak mark, as layout wrappers carry such words too.
+Names that tell a state (``has-sidebar``, ``no-comments``) mark nothing.  While no
+unmarked ``article`` has text, the word marks of an element yield if it holds more
+text outside links than the rest of the page, or, with an ``article`` or ``main`` in
+it, more than all unmarked elements; those of comments and related items do not.
+If word marks leave a page without text, importance and the other marks decide.
+
 The text of a block is joined with single spaces, blocks with line feeds, in page
 order; character references are decoded.  Null and empty pages give the empty
-text, as do pages that hold only marked elements.  Broken markup (unclosed tags,
+text, as do pages that hold only elements marked by tag, role or as hidden.  Broken markup (unclosed tags,
 cut pages) is read as browsers do in outline.  Pages without a host form one host.
 Each page is a row by itself, so repeated rows and ids are kept; extra columns
 pass through; an empty table gives no rows.
@@ -59,6 +66,10 @@ NOISE_WORDS = set("ad ads adv advert adverts advertisement advertising adsense a
                   "popup modal overlay newsletter subscribe subscription signup login comment comments "
                   "comentarios kommentare disqus respond replies related recommended share sharing social "
                   "widget toolbar pagination pager skip search form disclaimer alert".split())
+#: Names with one of these parts tell how a page is laid out, not what the element is.
+STATE_WORDS = set("has no with without enabled disabled open closed".split())
+#: Elements with these often hold articles and much text that is not the page's own.
+OTHERS_WORDS = set("comment comments comentarios kommentare disqus respond replies related recommended".split())
 CONTENT_TAGS = ("article", "main")
 #: A start tag of the key closes an open element among the values.
 _BLOCKS = ("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 "
@@ -82,6 +93,8 @@ class Node:
     sign: str
     path: int
     noise: bool
+    #: words of the class or id that mark it
+    words: frozenset[str] = frozenset()
     children: list[int] = field(default_factory=list)
 
 
@@ -148,15 +161,15 @@ class Page:
             return
         if name not in INLINE:
             self._end_block()
-        marks, noise = _marks(name, rest)
-        if name == "header" and not noise:
+        marks, noise, words = _marks(name, rest)
+        if name == "header" and not noise and not words:
             # a header of an article may hold its title; a page's header is no text
             noise = not any(self.nodes[i].tag in CONTENT_TAGS for i in self._open)
         sign = name + marks
         path = f"{self._path_text[parent]}>{sign}"
         if path not in self._paths:
             self._paths[path] = _digest(path)
-        self.nodes.append(Node(parent, name, sign, self._paths[path], noise))
+        self.nodes.append(Node(parent, name, sign, self._paths[path], noise, words))
         self._path_text.append(path)
         if name not in INLINE:
             while self.nodes[parent].tag in INLINE:
@@ -197,15 +210,42 @@ class Page:
             found |= {(self.nodes[i].path, True, _digest(t)) for t in texts}
         return found
 
-    def _marked(self) -> list[bool]:
+    def _marked(self, worded: list[bool]) -> list[bool]:
         """Elements inside marked ones, or outside the article where there is one."""
         noise = [False] * len(self.nodes)
         inside = [False] * len(self.nodes)
         for i, n in enumerate(self.nodes[1:], 1):
-            noise[i] = n.noise or noise[n.parent]
+            noise[i] = n.noise or worded[i] or noise[n.parent]
             inside[i] = (n.tag in CONTENT_TAGS and not noise[i]) or inside[n.parent]
         return [a or not b for a, b in zip(noise, inside)] if any(inside) else noise
 
+    def _worded(self) -> list[bool]:
+        """Elements marked by words that do not yield to the text they hold."""
+        words = [bool(n.words) for n in self.nodes]
+        if not any(words):
+            return words
+        hard, soft, article, linked = ([False] * len(self.nodes) for _ in range(4))
+        for i, n in enumerate(self.nodes[1:], 1):
+            hard[i] = n.noise or hard[n.parent]
+            soft[i] = words[i] or soft[n.parent]
+            article[i] = n.tag == "article" or article[n.parent]
+            linked[i] = n.tag == "a" or linked[n.parent]
+        weight, plain = [0] * len(self.nodes), 0
+        for block in self.blocks:
+            for i, text in block:
+                size = 0 if hard[i] or linked[i] else len("".join(text.split()))
+                weight[i] += size
+                if size and not soft[i]:
+                    if article[i]:
+                        return words
+                    plain += size
+        holds = [n.tag in CONTENT_TAGS and not h for n, h in zip(self.nodes, hard)]
+        for i in range(len(self.nodes) - 1, 0, -1):
+            weight[self.nodes[i].parent] += weight[i]
+            holds[self.nodes[i].parent] = holds[self.nodes[i].parent] or holds[i]
+        return [w and (bool(n.words & OTHERS_WORDS) or weight[i] <= (plain if holds[i] else weight[0] - weight[i]))
+                for i, (w, n) in enumerate(zip(words, self.nodes))]
+
     def _unimportant(self, imp: dict[tuple[int, bool], float], threshold: float) -> list[bool]:
         texts = self.content()
         holds = [n.tag in CONTENT_TAGS for n in self.nodes]
@@ -227,8 +267,12 @@ class Page:
         return drop
 
     def text(self, imp: dict[tuple[int, bool], float], threshold: float = THRESHOLD) -> str:
-        marked, low = self._marked(), self._unimportant(imp, threshold)
-        return self._join([a or b for a, b in zip(marked, low)]) or self._join(marked)
+        worded, low = self._worded(), self._unimportant(imp, threshold)
+        marked = self._marked(worded)
+        text = self._join([a or b for a, b in zip(marked, low)]) or self._join(marked)
+        if text or not any(worded):
+            return text
+        return self._join([a or b for a, b in zip(self._marked([False] * len(worded)), low)])
 
     def _join(self, drop: list[bool]) -> str:
         lines = (_clean([t for i, t in block if not drop[i]]) for block in self.blocks)
@@ -239,23 +283,25 @@ def _clean(parts: list[str]) -> str:
     return " ".join(html_module.unescape("".join(parts)).split())
 
 
-def _marks(name: str, rest: str) -> tuple[str, bool]:
-    """Class part of a signature, and whether the element is marked as no text."""
-    noise = name in NOISE_TAGS
+def _marks(name: str, rest: str) -> tuple[str, bool, frozenset[str]]:
+    """Class part of a signature, whether the element is marked as no text by other
+    than words, and the words of its class and id that mark it."""
+    noise, words = name in NOISE_TAGS, frozenset()
     if not rest.strip(" /"):
-        return "", noise
+        return "", noise, words
     got: dict[str, str] = {}
     for m in re.finditer(ATTRIBUTE, rest):
         key = (m[1] or m[5] or "").lower()
         got.setdefault(key, m[2] or m[3] or m[4] or "")
     names = f"{got.get('class', '')} {got.get('id', '')}".lower().split()
     if name not in ("html", "body", *CONTENT_TAGS):
-        noise = noise or any(NOISE_WORDS & set(re.split(r"[^a-z]+", x)) for x in names)
+        parts = [set(re.split(r"[^a-z]+", x)) for x in names]
+        words = frozenset().union(*(x & NOISE_WORDS for x in parts if not x & STATE_WORDS))
     noise = (noise or got.get("role", "").lower() in NOISE_ROLES or "hidden" in got
              or got.get("aria-hidden", "").lower() == "true"
              or re.search(r"display\s*:\s*none", got.get("style", "").lower()) is not None)
     kept = sorted(re.sub(r"\d+", "0", x) for x in got.get("class", "").lower().split())
-    return "".join(f".{x}" for x in kept), noise
+    return "".join(f".{x}" for x in kept), noise, words
 
 
 def host(url):

@@ -59,6 +59,31 @@ def test_single_pages(html, text):
     assert sst.Page(html or "").text({}) == text
 
 
+STORY = "<h1>Head</h1><p>A story of <b>some</b> length.<p>Its end."
+TOLD = "Head\nA story of some length.\nIts end."
+
+
+@pytest.mark.parametrize("name", ["has-sidebar", "content-with-sidebar", "no-comments", "page-header-fixed", "wrapper sidebar"])
+@pytest.mark.parametrize("tag", ["article", "div"])
+def test_layout_wrappers_keep_their_page(name, tag):
+    side = "<div class=sidebar>Side</div><div class='main-menu'><a href=/a>a menu of many many words and words</a></div>"
+    for html in (f"<div class='{name}'><{tag}>{STORY}</{tag}>{side}</div><p class=site-footer>Foot</p>",
+                 f"<main><div class='{name}'><div id=page-header><{tag}>{STORY}</{tag}></div>{side}</div></main>"):
+        assert sst.Page(html).text({}) == TOLD
+
+
+@pytest.mark.parametrize("html, text", [
+    # word marks stay where the page has a text of its own
+    (f"<article><p>Short.</article><div id=comments><article>{STORY}</article></div>", "Short."),
+    (f"<div><p>Short.</div><div class=comments-area><article>{STORY}</article></div>", "Short."),
+    (f"<main><p>Short.</main><div class=related-posts><article>{STORY}</article></div>", "Short."),
+    (f"<div>{STORY}</div><div class=cookie-notice>We use cookies</div>", TOLD),
+    (f"<div class=comments-on>{STORY}</div>", TOLD), ("<div hidden class=ad>no</div>", ""),
+])
+def test_word_marks_of_what_is_no_wrapper(html, text):
+    assert sst.Page(html).text({}) == text
+
+
 def test_odd_pages(spark):
     df = pages(spark, [(1, None, None), (1, None, None), (None, "", ""), (2, "nonsense", "<p>x" + " word" * 100_000),
                        (3, "http://h/", "<" * 2000), (4, "http://h/", "<div>" * 3000 + "deep")])
