@@ -10,9 +10,11 @@ finds items whose numbers, names or units were exchanged, and drops chance
 matches of mere templates.  A document is contaminated by an item if consistent
 matches cover at least ``MIN_COVERAGE`` of the item's tokens.
 
-Items shorter than a window are one window of their own length.  Windows in which
-fewer than half of the tokens are words tell too little and are left out; an item
-that has no other window cannot be found.
+Items shorter than a window are one window of their own length.  Templates in which
+fewer than half of the tokens are words tell too little and are left out.  Besides
+its template, each window is compared as its plain lower-case words.  Such verbatim
+windows count without regard to slots, so a verbatim copy of any item is found
+(also of one that is a single number or word).
 
 Null and empty texts and items have no tokens and match nothing.  Rows that repeat
 id and text are one document; equal items are reported each.  A null document id
@@ -26,6 +28,8 @@ block; only windows that hit are shuffled.
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -95,49 +99,62 @@ class Templates:
         self.kind = np.select([is_number, is_unit, is_name], [1, 2, 3], 0)
         marks = np.concatenate(([0], pd.util.hash_array(np.array(PLACEHOLDERS, dtype=object),
                                                         categorize=False))).astype(np.uint64)
-        self.code = np.where(self.kind > 0, marks[self.kind], hashes[use])
+        self.marks, self.hashes = marks, hashes[use]
         self.values, self.use = names, use
         start = np.flatnonzero(first)
         # place of a token in its text
         self.place = np.arange(len(use)) - (np.repeat(start, np.diff(np.append(start, len(use))))
                                             if len(use) else 0)
 
-    def windows(self, length: int) -> tuple[np.ndarray, np.ndarray]:
-        """Starts of all windows that lie in one text, and their hashes."""
-        n = len(self.code) - length + 1
+    def forms(self) -> list[np.ndarray]:
+        """Kinds of all tokens (0: the word itself): as template, and verbatim."""
+        return [self.kind, np.zeros_like(self.kind)]
+
+    def windows(self, length: int, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Starts of all windows that lie in one text, and their hashes in a form."""
+        code = np.where(kind > 0, self.marks[kind], self.hashes)
+        n = len(code) - length + 1
         if n <= 0:
             return np.zeros(0, np.int64), np.zeros(0, np.uint64)
         h = np.full(n, length, np.uint64)
         with np.errstate(over="ignore"):
             for i in range(length):
-                h = h * np.uint64(_BASE) + self.code[i:i + n]
+                h = h * np.uint64(_BASE) + code[i:i + n]
                 h ^= h >> np.uint64(29)
         start = np.flatnonzero(self.text[:n] == self.text[length - 1:])
         return start, h[start]
 
-    def token(self, i: int) -> str:
-        k = self.kind[i]
-        return PLACEHOLDERS[k - 1] if k else self.values[self.use[i]]
+    def template(self, span: range, kind: np.ndarray) -> list[str]:
+        return [PLACEHOLDERS[kind[i] - 1] if kind[i] else self.value(i) for i in span]
 
     def value(self, i: int) -> str:
         return self.values[self.use[i]]
 
 
+def _repeats(forms: list[np.ndarray], f: int, span: range) -> bool:
+    """Whether a window has the same tokens in an earlier form."""
+    here = forms[f][span.start:span.stop]
+    return any((here == k[span.start:span.stop]).all() for k in forms[:f])
+
+
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``item_id, n_tokens, item_at, length, hash, template, vals`` of all telling windows."""
+    """``item_id, n_tokens, item_at, length, hash, template, vals`` of all windows:
+    telling templates, and verbatim ones."""
     def cut(batches):
         for batch in batches:
             t = Templates(batch.column("text"))
             sizes = np.bincount(t.text, minlength=batch.num_rows)
             items, rows = batch.column("item_id").to_pylist(), []
             for length in {min(window, int(n)) for n in sizes if n}:
-                starts, hashes = t.windows(length)
-                for s, h in zip(starts.tolist(), hashes.view(np.int64).tolist()):
-                    n = int(sizes[t.text[s]])
-                    span = range(s, s + length)
-                    if min(window, n) == length and 2 * sum(t.kind[i] == 0 for i in span) >= length:
-                        rows.append((items[t.text[s]], n, int(t.place[s]), length, h,
-                                     [t.token(i) for i in span], [t.value(i) for i in span]))
+                for f, kind in enumerate(forms := t.forms()):
+                    starts, hashes = t.windows(length, kind)
+                    for s, h in zip(starts.tolist(), hashes.view(np.int64).tolist()):
+                        n = int(sizes[t.text[s]])
+                        span = range(s, s + length)
+                        if (min(window, n) == length and 2 * sum(kind[i] == 0 for i in span) >= length
+                                and not _repeats(forms, f, span)):
+                            rows.append((items[t.text[s]], n, int(t.place[s]), length, h,
+                                         t.template(span, kind), [t.value(i) for i in span]))
             columns = list(zip(*rows)) if rows else [[]] * 7
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int32(), pa.int32(), pa.int32(),
@@ -166,16 +183,18 @@ def _hits(docs: DataFrame, lengths: list[int], hashes: np.ndarray) -> DataFrame:
             for piece in _slices(batch, "text"):
                 t, rows = Templates(piece.column("text")), []
                 ids, texts = piece.column("doc_id"), piece.column("text_hash")
-                for length in lengths:
-                    starts, h = t.windows(length)
+                forms = t.forms()
+                for length, (f, kind) in itertools.product(lengths, enumerate(forms)):
+                    starts, h = t.windows(length, kind)
                     likely = np.flatnonzero(maybe[(h & mask).astype(np.int64)])
                     place = np.minimum(np.searchsorted(known, h[likely]), len(known) - 1)
                     for j in likely[known[place] == h[likely]].tolist():
                         s = int(starts[j])
                         span, row = range(s, s + length), int(t.text[s])
-                        rows.append((ids[row].as_py(), texts[row].as_py(), int(t.place[s]),
-                                     int(h[j].view(np.int64)), [t.token(i) for i in span],
-                                     [t.value(i) for i in span]))
+                        if not _repeats(forms, f, span):
+                            rows.append((ids[row].as_py(), texts[row].as_py(), int(t.place[s]),
+                                         int(h[j].view(np.int64)), t.template(span, kind),
+                                         [t.value(i) for i in span]))
                 if rows:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, k) for c, k in zip(zip(*rows), (
@@ -212,12 +231,13 @@ def find(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW,
     aligned = (found.join(known, ["hash", "template"])
                .select("doc_id", "text_hash", "item_id", "n_tokens", "item_at", "length",
                        (F.col("doc_at") - F.col("item_at")).alias("shift"), slots.alias("slots"))
-               # at most one row per place of the item in each group
+               # at most one row per place of the item and form in each group
                .groupBy("doc_id", "text_hash", "item_id", "n_tokens", "shift")
                .agg(F.array_distinct(F.flatten(F.collect_list("slots"))).alias("slots"),
-                    F.collect_list(F.struct("item_at", "length")).alias("spans"))
+                    F.collect_list(F.struct("item_at", "length", (F.size("slots") == 0).alias("verbatim"))).alias("spans"))
                .withColumn("agree", F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda s: s["vals"]))))
-               .where("agree")
+               # slots that disagree leave what is verbatim
+               .withColumn("spans", F.filter("spans", lambda s: F.col("agree") | s["verbatim"]))
                .withColumn("exact", F.forall("slots", lambda s: s["vals"] == s["found"])))
     tokens = F.flatten(F.transform("spans", lambda s: F.sequence(s["item_at"], s["item_at"] + s["length"] - 1)))
     return (aligned.select("doc_id", "text_hash", "item_id", "n_tokens", "exact",

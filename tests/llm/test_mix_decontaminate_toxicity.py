@@ -133,6 +133,20 @@ def test_decontamination_odd_rows(spark, odd_docs, no_docs):
     assert decontaminate.find(odd_docs, b.limit(0)).count() == 0
 
 
+def found(spark, docs, items):
+    d = spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string")
+    b = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    return {(r.doc_id, r.item_id) for r in decontaminate.find(d, b).collect()}
+
+
+def test_verbatim_items_of_numbers_units_and_names(spark):
+    items = ["12 + 7 = 19, 8 + 5 = 13, 40 - 2 = 38", "They met Ann Bo Cy Di Ed Flo Gus Hal Ida Jo Kim Lee Max Ned Ola Pat and 5 more",
+             "Convert: 5 km 3 m 2 cm 7 mm"]
+    docs = [f"some text first. {x} and more" for x in items]
+    others = ["Convert: 5 km 3 m 2 cm 8 mm", "12 + 7 = 19, 8 + 6 = 14, 40 - 3 = 37"]
+    assert found(spark, docs + others, items) == {(i, i) for i in range(3)}
+
+
 def test_planted_items_of_the_tables(spark):
     docs, bench = (spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("documents", "benchmark"))
     got = {r.doc_id for r in decontaminate.find(docs, bench).collect()}
