@@ -10,6 +10,11 @@ finds items whose numbers, names or units were exchanged, and drops chance
 matches of mere templates.  A document is contaminated by an item if consistent
 matches cover at least ``MIN_COVERAGE`` of the item's tokens.
 
+Whether a word is a name depends on its case and on the word before it.  Windows are
+therefore also compared with names as plain lower-case words, and the first word of
+an item also as the name or unit that it may be after the words of a document; as
+such it has to be the same word.
+
 Items shorter than a window are one window of their own length.  Templates in which
 fewer than half of the tokens are words tell too little and are left out.  Besides
 its template, each window is compared as its plain lower-case words.  Such verbatim
@@ -101,14 +106,21 @@ class Templates:
                                                         categorize=False))).astype(np.uint64)
         self.marks, self.hashes = marks, hashes[use]
         self.values, self.use = names, use
+        self.capital, self.unit = capital[use], unit[use]
         start = np.flatnonzero(first)
         # place of a token in its text
         self.place = np.arange(len(use)) - (np.repeat(start, np.diff(np.append(start, len(use))))
                                             if len(use) else 0)
 
     def forms(self) -> list[np.ndarray]:
-        """Kinds of all tokens (0: the word itself): as template, and verbatim."""
-        return [self.kind, np.zeros_like(self.kind)]
+        """Kinds of all tokens (0: the word itself): as template, with names as words,
+        and verbatim."""
+        return [self.kind, np.where(self.kind == 3, 0, self.kind), np.zeros_like(self.kind)]
+
+    def after_words(self) -> np.ndarray:
+        """Kinds as template where other words come before each text."""
+        first = (self.place == 0) & (self.kind == 0)
+        return np.select([first & self.unit, first & self.capital], [2, 3], self.kind)
 
     def windows(self, length: int, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Starts of all windows that lie in one text, and their hashes in a form."""
@@ -139,19 +151,19 @@ def _repeats(forms: list[np.ndarray], f: int, span: range) -> bool:
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """``item_id, n_tokens, item_at, length, hash, template, vals`` of all windows:
-    telling templates, and verbatim ones."""
+    telling templates, also with names as words or as after other words, and verbatim."""
     def cut(batches):
         for batch in batches:
             t = Templates(batch.column("text"))
             sizes = np.bincount(t.text, minlength=batch.num_rows)
             items, rows = batch.column("item_id").to_pylist(), []
             for length in {min(window, int(n)) for n in sizes if n}:
-                for f, kind in enumerate(forms := t.forms()):
+                for f, kind in enumerate(forms := [*t.forms(), t.after_words()]):
                     starts, hashes = t.windows(length, kind)
                     for s, h in zip(starts.tolist(), hashes.view(np.int64).tolist()):
                         n = int(sizes[t.text[s]])
                         span = range(s, s + length)
-                        if (min(window, n) == length and 2 * sum(kind[i] == 0 for i in span) >= length
+                        if (min(window, n) == length and 2 * sum(kind[i] == 0 or t.kind[i] == 0 for i in span) >= length
                                 and not _repeats(forms, f, span)):
                             rows.append((items[t.text[s]], n, int(t.place[s]), length, h,
                                          t.template(span, kind), [t.value(i) for i in span]))
@@ -228,7 +240,10 @@ def find(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW,
         found = _hits(docs.limit(0), [], np.zeros(1))
     slots = F.filter(F.zip_with("template", F.arrays_zip("vals", "found"),
                                 lambda t, v: F.when(t.isin(*PLACEHOLDERS), v)), lambda v: v.isNotNull())
-    aligned = (found.join(known, ["hash", "template"])
+    # the first word of an item, where it was given a type, is the same word
+    same_first = ((F.col("item_at") > 0) | ~F.get("template", F.lit(0)).isin(*PLACEHOLDERS[1:])
+                  | (F.get("vals", F.lit(0)) == F.get("found", F.lit(0))))
+    aligned = (found.join(known, ["hash", "template"]).where(same_first)
                .select("doc_id", "text_hash", "item_id", "n_tokens", "item_at", "length",
                        (F.col("doc_at") - F.col("item_at")).alias("shift"), slots.alias("slots"))
                # at most one row per place of the item and form in each group

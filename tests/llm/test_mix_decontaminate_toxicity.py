@@ -147,6 +147,16 @@ def test_verbatim_items_of_numbers_units_and_names(spark):
     assert found(spark, docs + others, items) == {(i, i) for i in range(3)}
 
 
+def test_names_by_case_and_by_the_word_before(spark):
+    items = ["What is the capital of France", "Tom and Anna drove 12 miles to the house of their aunt Mary",
+             "Days of rain in the town of Rome"]
+    docs = ["Q1\nWhat is the capital of France", "q 1,\nWhat is the capital of Spain",
+            "so tom and anna drove 15 miles to the house of their aunt mary",
+            "SO TOM AND ANNA DROVE 15 MILES TO THE HOUSE OF THEIR AUNT MARY", "3. Days of rain in the town of Oslo",
+            "Q1\nJane is the capital of Spain", "so jim and anna drove 15 miles from the house of their aunt mary"]
+    assert found(spark, docs, items) == {(0, 0), (1, 0), (2, 1), (3, 1), (4, 2)}
+
+
 def test_planted_items_of_the_tables(spark):
     docs, bench = (spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("documents", "benchmark"))
     got = {r.doc_id for r in decontaminate.find(docs, bench).collect()}
