@@ -8,7 +8,8 @@ Matches of one document, item and alignment must fill the item's slots
 consistently: equal values of the item map to equal values of the document.  That
 finds items whose numbers, names or units were exchanged, and drops chance
 matches of mere templates.  A document is contaminated by an item if consistent
-matches cover at least ``MIN_COVERAGE`` of the item's tokens.
+matches cover at least ``MIN_COVERAGE`` of the item's tokens, or if one alignment
+covers ``MIN_RUN`` consecutive tokens (a part of a long item).
 
 Whether a word is a name depends on its case and on the word before it.  Windows are
 therefore also compared with names as plain lower-case words, and the first word of
@@ -42,11 +43,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ships_by_value, to_table, whole
+from .common import let, ships_by_value, to_table, whole
 from .records import _slices
 
 WINDOW = 8
 MIN_COVERAGE = 0.5
+MIN_RUN = 25
 #: Hashes of benchmark windows sent to executors at a time (8 bytes each).
 BLOCK = 1_000_000
 
@@ -221,7 +223,7 @@ def _hits(docs: DataFrame, lengths: list[int], hashes: np.ndarray) -> DataFrame:
 
 
 def find(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW,
-         min_coverage: float = MIN_COVERAGE, block: int = BLOCK) -> DataFrame:
+         min_coverage: float = MIN_COVERAGE, min_run: int = MIN_RUN, block: int = BLOCK) -> DataFrame:
     """``doc_id, text_hash, item_id, n_tokens, n_covered, exact``: one row per
     document and item that contaminates it.  ``exact``: some alignment repeats all
     slot values as they are."""
@@ -254,13 +256,19 @@ def find(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW,
                # slots that disagree leave what is verbatim
                .withColumn("spans", F.filter("spans", lambda s: F.col("agree") | s["verbatim"]))
                .withColumn("exact", F.forall("slots", lambda s: s["vals"] == s["found"])))
-    tokens = F.flatten(F.transform("spans", lambda s: F.sequence(s["item_at"], s["item_at"] + s["length"] - 1)))
-    return (aligned.select("doc_id", "text_hash", "item_id", "n_tokens", "exact",
-                           F.explode(F.array_distinct(tokens)).alias("token"))
-            .groupBy("doc_id", "text_hash", "item_id", "n_tokens", "token").agg(F.max("exact").alias("exact"))
+    tokens = F.array_sort(F.array_distinct(F.flatten(F.transform(
+        "spans", lambda s: F.sequence(s["item_at"], s["item_at"] + s["length"] - 1)))))
+    # token less rank is the same all along a run
+    run = let(F.transform("tokens", lambda x, i: x - i), lambda d: F.array_max(F.transform(
+        F.array_distinct(d), lambda v: F.size(F.filter(d, lambda x: x == v)))))
+    return (aligned.withColumn("tokens", tokens).withColumn("run", run)
+            .select("doc_id", "text_hash", "item_id", "n_tokens", "exact", "run", F.explode("tokens").alias("token"))
+            .groupBy("doc_id", "text_hash", "item_id", "n_tokens", "token")
+            .agg(F.max("exact").alias("exact"), F.max("run").alias("run"))
             .groupBy("doc_id", "text_hash", "item_id", "n_tokens")
-            .agg(F.count("*").cast("int").alias("n_covered"), F.max("exact").alias("exact"))
-            .where(F.col("n_covered") >= min_coverage * F.col("n_tokens")))
+            .agg(F.count("*").cast("int").alias("n_covered"), F.max("exact").alias("exact"), F.max("run").alias("run"))
+            .where((F.col("n_covered") >= min_coverage * F.col("n_tokens")) | (F.col("run") >= min_run))
+            .drop("run"))
 
 
 def remove(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

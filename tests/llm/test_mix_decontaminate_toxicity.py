@@ -157,6 +157,15 @@ def test_names_by_case_and_by_the_word_before(spark):
     assert found(spark, docs, items) == {(0, 0), (1, 0), (2, 1), (3, 1), (4, 2)}
 
 
+def test_a_long_part_of_a_long_item(spark):
+    word = [f"w{chr(97 + i // 20)}{chr(97 + i % 20)}x" for i in range(200)]
+    item, cut = " ".join(word), [" ".join(word[:120]), " ".join(word[120:])]
+    docs = [f"lead {' '.join(word[60:85])} tail", f"lead {' '.join(word[60:84])} tail",
+            " and ".join(" ".join(word[k:k + 20]) for k in (0, 30, 60, 90)), " ".join(word[:105])]
+    assert found(spark, docs, [item]) == {(0, 0), (3, 0)}
+    assert found(spark, cut, [item]) == {(0, 0), (1, 0)}
+
+
 def test_planted_items_of_the_tables(spark):
     docs, bench = (spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("documents", "benchmark"))
     got = {r.doc_id for r in decontaminate.find(docs, bench).collect()}
