@@ -13,8 +13,9 @@ position on that reach that.  The suffixes with the same first t lines are the
 interval of the suffix array in which neighbours have a longest common prefix of
 at least t; its name is the pair of the two (overlapping) buckets of depth
 h <= t < 2h that cover the t lines.  In every interval the first occurrence stays,
-and the t lines of all others are deleted.  A run longer than t lines that occurs
-earlier is covered by such windows, so all of it goes, and nothing else does.
+and the t lines of all others are deleted.  Of a longer run that occurs earlier all
+lines go that lie in such a window; its last lines stay if no window ends with them
+(lines of 60 and 10 words: the second stays).  The query's SQL has the same rule.
 Doubling stops when no t is larger: deeper buckets could not change a deletion.
 
 Null and empty texts have no lines and stay.  Equal documents: the first one
