@@ -103,7 +103,7 @@ class Templates:
         is_number = number[use]
         is_unit = unit[use] & before(number)
         is_name = capital[use] & ~is_number & ~is_unit & ~first & ~before(ends)
-        self.kind = np.select([is_number, is_unit, is_name], [1, 2, 3], 0)
+        self.kind = np.select([is_number, is_unit, is_name], [1, 2, 3], 0).astype(np.int8)
         marks = np.concatenate(([0], pd.util.hash_array(np.array(PLACEHOLDERS, dtype=object),
                                                         categorize=False))).astype(np.uint64)
         self.marks, self.hashes = marks, hashes[use]
