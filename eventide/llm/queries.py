@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import (bagminhash, decontaminate, line_dedup, mixing, quality_ranker, quality_rules,
-               records, site_style_tree, toxicity, warc)
+from . import (bagminhash, decontaminate, filter_audit, license_diagonals, line_dedup, mixing, quality_ranker,
+               quality_rules, records, shared_terms, site_style_tree, toxicity, warc)
 from .common import FUNCTION_WORDS, held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -230,3 +230,108 @@ def op5_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (line_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
             .select("doc_id", "text", F.aggregate("deleted", F.lit(0).cast("bigint"), lambda n, r: n + r["lines"])
                     .alias("n_deleted")))
+
+
+_ALNUM = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _op11_sql() -> str:
+    m = license_diagonals
+    templates = ", ".join("(" + f"{i}, '{label}', '" + text.replace("'", "''") + "')"
+                          for i, (label, text) in enumerate(m.TEMPLATES))
+    phrases = ", ".join(f"('{p}', '{label}')" for p, label in m.PHRASES.items())
+    return f"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWERED}, '{_ALNUM}') AS ws FROM documents),
+t AS (SELECT id, label, regexp_extract_all({_LOWERED}, '{_ALNUM}') AS ws FROM (VALUES {templates}) v(id, label, text)),
+tg AS (SELECT id, label, len(ws) AS size, unnest(range(len(ws) - {m.K - 1})) AS j, ws FROM t),
+tk AS (SELECT id, label, size, j, array_to_string(ws[j + 1:j + {m.K}], ' ') AS g FROM tg),
+dg AS (SELECT doc_id, ws, unnest(range(len(ws) - {m.K - 1})) AS i FROM d WHERE len(ws) >= {m.K}),
+dk AS (SELECT doc_id, i, array_to_string(ws[i + 1:i + {m.K}], ' ') AS g FROM dg),
+v AS (SELECT doc_id, id, label, size, i, j, i - j AS diagonal FROM dk JOIN tk USING (g)),
+o AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY doc_id, id ORDER BY diagonal) <= {m.BAND}
+                     THEN 0 ELSE 1 END AS new FROM (SELECT DISTINCT doc_id, id, diagonal FROM v)),
+band AS (SELECT doc_id, id, diagonal, sum(new) OVER (PARTITION BY doc_id, id ORDER BY diagonal) AS band FROM o),
+p AS (SELECT v.*, band, unnest(range({m.K})) AS k FROM v JOIN band USING (doc_id, id, diagonal)),
+s AS (SELECT doc_id, id, label, count(DISTINCT j + k) / any_value(size) AS cover,
+             count(DISTINCT i + k) / (max(i + k) - min(i + k) + 1) AS density
+      FROM p GROUP BY doc_id, id, label, band),
+ok AS (SELECT doc_id, list(DISTINCT label) AS labels, max(cover) AS score FROM s
+       WHERE cover >= {m.MIN_COVER} AND density >= {m.MIN_DENSITY} GROUP BY doc_id),
+w AS (SELECT doc_id, ws, unnest(range(len(ws))) AS i FROM d),
+b AS (SELECT doc_id, i, label FROM w, (VALUES {phrases}) f(phrase, label)
+      WHERE array_to_string(ws[i + 1:i + len(string_split(phrase, ' '))], ' ') = phrase),
+bs AS (SELECT doc_id, count(*) AS n, min(i) AS lo, max(i) AS hi, list(DISTINCT label) AS labels FROM b GROUP BY doc_id)
+SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(bs.n, 0)::BIGINT AS n_base, lo::BIGINT AS first_word,
+       hi::BIGINT AS last_word, coalesce(array_to_string(list_sort(bs.labels), ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(bs.labels, []), coalesce(ok.labels, [])))),
+                                ','), '') AS labels,
+       coalesce(round(score, 9), 0)::DOUBLE AS score
+FROM d LEFT JOIN bs ON d.doc_id = bs.doc_id LEFT JOIN ok ON d.doc_id = ok.doc_id
+"""
+
+
+@query("op11_diagonal_voting", _op11_sql())
+def op11_diagonal_voting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and texts of every document."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return (license_diagonals.scan(docs)
+            .select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels",
+                    F.round("score", 9).alias("score")))
+
+
+@query("op12_filter_orders", """
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS ws FROM d),
+f AS (SELECT doc_id, part,
+        CASE WHEN len(ws) < 50 THEN 1 ELSE 0 END
+      + CASE WHEN 100 * len(list_distinct(ws)) < 65 * len(ws) THEN 2 ELSE 0 END
+      + CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 5 * length(t) THEN 4 ELSE 0 END
+      + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+      + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS mask FROM w),
+l AS (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id),
+c AS (SELECT part, mask, count(*) AS n, count(*) FILTER (quality = 1) AS good, count(*) FILTER (toxic = 1) AS toxic
+      FROM f LEFT JOIN l ON f.doc_id = l.doc_id GROUP BY part, mask),
+letters AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) v(letter, bit)),
+walk AS (SELECT '' AS prefix, 0 AS applied, 0 AS bit, 0 AS step
+         UNION ALL
+         SELECT prefix || letter, walk.applied | letters.bit, letters.bit, step + 1
+         FROM walk JOIN letters ON walk.applied & letters.bit = 0),
+m AS (SELECT part, prefix, step, bit,
+        sum(n) FILTER (mask & applied = 0) AS kept,
+        sum(n) FILTER (mask & bit > 0 AND mask & (applied - bit) = 0) AS removed,
+        sum(n) FILTER (mask & bit > 0 AND mask & (applied - bit) > 0) AS redundant,
+        sum(n) FILTER (mask = bit) AS unique_fails,
+        sum(good) FILTER (mask & bit > 0 AND mask & (applied - bit) = 0) AS good_lost,
+        sum(toxic) FILTER (mask & bit > 0 AND mask & (applied - bit) = 0) AS toxic_lost
+      FROM c JOIN walk ON step > 0 GROUP BY part, prefix, step, bit),
+o AS (SELECT m.*, w.prefix AS filter_order FROM m JOIN walk w ON w.step = 5 AND starts_with(w.prefix, m.prefix))
+SELECT part, filter_order, step::INTEGER AS step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+       coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+       coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+       sum(coalesce(removed, 0)) OVER (PARTITION BY part, bit)::BIGINT AS shapley
+FROM o
+""")
+def op12_filter_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of five filters under all 120 orders, per source."""
+    return filter_audit.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@query("op13_shared_terms", f"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWERED}, '{shared_terms.TERM}') AS ws FROM documents),
+s AS (SELECT count(*) AS big_n, sum(len(ws))::BIGINT AS big_l FROM d WHERE len(ws) > 0),
+i AS (SELECT item_id, unnest(regexp_extract_all({_LOWERED}, '{shared_terms.TERM}')) AS term FROM benchmark),
+tf AS (SELECT doc_id, n, term, count(*) AS tf
+       FROM (SELECT doc_id, len(ws)::BIGINT AS n, unnest(ws) AS term FROM d)
+       WHERE term IN (SELECT term FROM i) GROUP BY doc_id, n, term),
+df AS (SELECT term, floor(1000 * ln((2 * big_n + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tf, s GROUP BY term, big_n),
+c AS (SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * big_n) // big_l))) AS score
+      FROM tf JOIN df USING (term), s),
+r AS (SELECT item_id, doc_id, sum(score)::BIGINT AS score FROM i JOIN c USING (term) GROUP BY item_id, doc_id),
+k AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM r WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM k WHERE rank <= 20
+""")
+def op13_shared_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    return (shared_terms.rank(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+            .select("item_id", "rank", "doc_id", "score"))
