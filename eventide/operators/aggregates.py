@@ -55,12 +55,18 @@ def distinct_per_window(df: DataFrame, ts: str, col: str, size, slide=None, offs
 
 
 def running_count(df: DataFrame, keys: list[str], order: list[str], name: str = "running_count",
-                  measure: Column | None = None, **seq_kw) -> DataFrame:
-    """A1: one output per input row: the key's running sum (count by default)."""
+                  measure: Column | None = None, previous: str | None = None, **seq_kw) -> DataFrame:
+    """A1: one output per input row: the key's running sum (count by default).
+    ``previous`` names a struct column with the value before the row, null on a key's
+    first row; both come from one shuffle."""
     seq = KeyedSequence(list(keys), list(order), **seq_kw)
     d = seq.prepare(df)
     spec = ("count", F.lit(1)) if measure is None else ("sum", measure)
-    return seq.finish(seq.running(d, {name: spec}))
+    d = seq.running(d, {name: spec})
+    if previous is not None:
+        d = seq.running(d, {"_was": spec, "_rows": ("count", F.lit(1))}, inclusive=False)
+        d = d.withColumn(previous, F.when(F.col("_rows") > 0, F.struct(F.col("_was").alias(name)))).drop("_was", "_rows")
+    return seq.finish(d)
 
 
 def running_max(df: DataFrame, col: str, order: list[str], name: str = "running_max",
@@ -73,14 +79,17 @@ def running_max(df: DataFrame, col: str, order: list[str], name: str = "running_
 
 
 def update_log(running: DataFrame, keys: list[str], cnt: str = "running_count",
-               order: list[str] | None = None, **seq_kw) -> DataFrame:
+               order: list[str] | None = None, previous: str | None = None, **seq_kw) -> DataFrame:
     """The change log of a running value: ``+I`` for a key's first value,
     then ``-U`` (old value) and ``+U`` (new value) for each later update.
 
-    With ``order`` the old value is the key's previous row (any running
-    aggregate); without, ``running`` is taken to be a running count, whose old
-    value is one less (no scan; also usable on streams)."""
-    if order is None:
+    The old value is in ``previous`` (see :func:`running_count`; no further scan); or,
+    with ``order``, on the key's previous row (any running aggregate); without both,
+    ``running`` is taken to be a running count, whose old value is one less (no scan;
+    also usable on streams)."""
+    if previous is not None:
+        d = running.withColumn("_old", F.col(f"{previous}.{cnt}")).withColumn("_first", F.col(previous).isNull())
+    elif order is None:
         d = running.withColumn("_old", F.when(F.col(cnt) != 1, F.col(cnt) - 1)).withColumn(
             "_first", F.col(cnt) == 1)
     else:
@@ -91,7 +100,7 @@ def update_log(running: DataFrame, keys: list[str], cnt: str = "running_count",
     upd = F.array(F.struct(F.lit("-U").alias("op"), F.col("_old").alias("cnt"), F.lit(0).alias("seq")),
                   F.struct(F.lit("+U").alias("op"), F.col(cnt).alias("cnt"), F.lit(1).alias("seq")))
     return (d.withColumn("_ch", F.explode(F.when(F.col("_first"), first).otherwise(upd)))
-            .select(*[c for c in running.columns if c != cnt],
+            .select(*[c for c in running.columns if c not in (cnt, previous)],
                     F.col("_ch.op").alias("op"), F.col("_ch.cnt").cast("bigint").alias("cnt"),
                     F.col("_ch.seq").alias("seq")))
 

@@ -10,20 +10,20 @@ from __future__ import annotations
 
 import math
 import sys
-from collections import deque
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
 from . import windows as W
-from .sequence import KeyedSequence, order_micros
+from .sequence import (CROSSES, JSON_TIMES, KeyedSequence, array_literal, order_micros, scan_udf,
+                       sorted_position)
 
 
-# One function here runs in Python workers; ship it by value.
+# Some functions here run in Python workers; ship them by value.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
@@ -148,74 +148,164 @@ def reconcile(left: DataFrame, right: DataFrame, keys: list[str], l_ts: str, r_t
     return matched.unionByName(alone)
 
 
+def _clamped_sum(lo: np.ndarray, hi: np.ndarray, step: np.ndarray, opens: np.ndarray):
+    """Row i -> the map q -> clip(q, lo, hi) + step composed from the last opening row
+    up to row i.  Such maps are closed under composition, so this is a segmented
+    doubling scan over three numbers per row."""
+    lo, hi, step = lo.copy(), hi.copy(), step.copy()
+    seg = np.cumsum(opens)
+    k = 1
+    while k < len(lo):
+        same = seg[k:] == seg[:-k]
+        if not same.any():
+            break
+        first = lo[:-k][same], hi[:-k][same], step[:-k][same]
+        at = np.flatnonzero(same) + k
+        low, high = lo[at] - first[2], hi[at] - first[2]
+        lo[at], hi[at] = np.clip(first[0], low, high), np.clip(first[1], low, high)
+        step[at] = step[at] + first[2]
+        k *= 2
+    return lo, hi, step
+
+
+def _queue_scan(batches: Iterator[tuple[pd.Series, ...]]):
+    """Per batch the composed maps since the chunk's first row, including each row."""
+    carry = None
+    for lo, hi, step, opens in batches:
+        first = opens.to_numpy(dtype=bool)
+        low, high, total = _clamped_sum(lo.to_numpy(dtype=np.int64), hi.to_numpy(dtype=np.int64),
+                                        step.to_numpy(dtype=np.int64), first)
+        if len(low) and carry is not None:
+            head = np.cumsum(first) == 0
+            below, above = low[head] - carry[2], high[head] - carry[2]
+            low[head], high[head] = np.clip(carry[0], below, above), np.clip(carry[1], below, above)
+            total[head] += carry[2]
+        if len(low):
+            carry = low[-1], high[-1], total[-1]
+        yield low, high, total
+
+
+def _queue_maps(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    for maps in _queue_scan(batches):
+        yield pd.Series(list(np.stack(maps, axis=1)), dtype=object)
+
+
+def _queue_after(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    begins: list[np.ndarray] = []
+
+    def inner():
+        for *maps, entry in batches:
+            begins.append(entry.fillna(0).to_numpy(dtype=np.int64))
+            yield maps
+    for low, high, total in _queue_scan(inner()):
+        yield pd.Series(np.clip(begins.pop(), low, high) + total)
+
+
+def _queue_entries(totals: pd.Series) -> pd.Series:
+    def one(maps):
+        q, out = 0, []
+        for low, high, total in maps:
+            out.append(q)
+            q = int(min(max(q, low), high) + total)
+        return out
+    return totals.map(one)
+
+
 def reconcile_one_to_one(left: DataFrame, right: DataFrame, keys: list[str], l_ts: str, r_ts: str,
                          l_id: str, r_id: str, within, **seq_kw) -> DataFrame:
     """J4 (one-to-one form): in order of time and id, a row takes the oldest waiting
     row of the other side that is at most ``within`` older, or waits itself; rows
     that neither take nor are taken are reported alone, as are rows with null keys.
 
-    Nothing waits across a gap of more than ``within`` between two rows of a key, so
-    the rows between such gaps are matched independently: a hot key is spread over
-    as many groups as it has gaps.  A group is read once, in order, and only the
-    waiting rows are held in memory."""
-    both = (left.select(*keys, F.col(l_ts).alias("ts"), F.col(l_id).alias("id"), F.lit(True).alias("is_left"))
-            .unionByName(right.select(*keys, F.col(r_ts).alias("ts"), F.col(r_id).alias("id"),
-                                      F.lit(False).alias("is_left"))))
-    groups = W.session_ids(both, keys, "ts", within, order=["ts", "id"], **seq_kw)
-    micros = order_micros(groups, "ts")
-    reach = int(round(W.seconds(within) * 1_000_000))
+    Rows of one side wait at a time, and as the oldest is always taken or given up
+    first, those are the last q rows of that side: the queue is one number (positive:
+    left rows wait, negative: right rows).  A row first limits q to the rows of each
+    side that are still within reach, then adds 1 (left) or takes 1 away (right).  Such
+    maps compose to maps of the same form, so the queue before every row is a scan
+    over chunks: also a key that holds all rows, without any gap, is spread over all
+    chunks, and one number crosses a border between them.
+
+    How many rows are within reach is a running count: every row is accompanied by a
+    mark at its last moment, and rows minus marks before a place are those in reach.
+    A row that takes meets the row it takes by (key, side, number of the row)."""
+    reach = W.interval(within)
+
+    def side(df, ts, idc, is_left):
+        return df.select(*keys, F.col(ts).alias("ts"), F.col(idc).alias("id"), F.lit(is_left).alias("is_left"))
+    both = side(left, l_ts, l_id, True).unionByName(side(right, r_ts, r_id, False))
     no_key = F.lit(False)
     for k in keys:
         no_key = no_key | F.col(k).isNull()
-
-    def match(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        group, side, waiting = None, None, deque()
-        for names, times, ids, lefts in batches:
-            out = []
-            for g, t, i, left_row in zip(names, times, ids, lefts):
-                if g != group:
-                    group = g
-                    waiting.clear()
-                while waiting and waiting[0][0] + reach < t:
-                    waiting.popleft()
-                if g is not None and waiting and side != left_row:
-                    out.append(waiting.popleft()[1])
-                    continue
-                out.append(None)
-                if g is not None:
-                    side = left_row
-                    waiting.append((t, i))
-            yield pd.Series(pd.array(out, dtype="Int64"))
-
-    by = [*keys, "session_no"]
-    name = F.when(~no_key, F.to_json(F.struct(*by)))
-    rows = groups.repartition(*by).sortWithinPartitions(*by, "ts", "id")
-    # Several readers below; the matching itself runs once.
-    took = cut_lineage(rows.withColumn("took", F.pandas_udf(match, "bigint")(name, micros, F.col("id"), F.col("is_left"))))
-    taken = took.where("took IS NOT NULL").select(F.col("took").alias("id"))
-    pairs = took.where("took IS NOT NULL").alias("a").join(
-        took.select(F.col("id").alias("o_id"), F.col("ts").alias("o_ts")).alias("b"), F.col("a.took") == F.col("b.o_id"))
-    is_left = F.col("is_left")
-    matched = pairs.select(*[F.col(f"a.{k}") for k in keys],
-                           F.when(is_left, F.col("a.id")).otherwise(F.col("o_id")).alias(l_id),
-                           F.when(is_left, F.col("a.ts")).otherwise(F.col("o_ts")).alias(l_ts),
-                           F.when(is_left, F.col("o_id")).otherwise(F.col("a.id")).alias(r_id),
-                           F.when(is_left, F.col("o_ts")).otherwise(F.col("a.ts")).alias(r_ts),
-                           F.lit("matched").alias("status"))
-    rest = took.where("took IS NULL").join(taken, "id", "left_anti")
-    alone = rest.select(*keys, F.when(is_left, F.col("id")).alias(l_id), F.when(is_left, F.col("ts")).alias(l_ts),
-                        F.when(~is_left, F.col("id")).alias(r_id), F.when(~is_left, F.col("ts")).alias(r_ts),
-                        F.when(is_left, F.lit("left_only")).otherwise(F.lit("right_only")).alias("status"))
-    return matched.unionByName(alone)
+    marks = F.explode(F.array(F.struct(F.col("ts").alias("at"), F.lit(0).alias("mark")),
+                              F.struct((F.col("ts") + reach).alias("at"), F.lit(1).alias("mark"))))
+    rows = both.filter(~no_key).select("*", marks.alias("_m")).select("*", "_m.at", "_m.mark").drop("_m")
+
+    # rows up to the last moment, itself included, come before its mark
+    seq = KeyedSequence(list(keys), ["at", "mark", "id", "is_left"], **seq_kw)
+    is_left, is_row = F.col("is_left"), F.col("mark") == 0
+
+    def count(of_left: bool, row: bool):
+        return F.when((is_left if of_left else ~is_left) & (is_row if row else ~is_row), 1).otherwise(0)
+    d = seq.running(seq.prepare(rows), {
+        name: ("sum", count(of_left, row)) for name, of_left, row in
+        (("_rl", True, True), ("_rr", False, True), ("_ml", True, False), ("_mr", False, False))}, inclusive=False)
+    d = d.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("_rl", "_rr", "_ml", "_mr")})
+    # marks have done their work: a row limits the queue itself
+    d = d.filter(is_row).withColumns({
+        "_lo": F.col("_mr") - F.col("_rr"), "_hi": F.col("_rl") - F.col("_ml"),
+        "_by": F.when(is_left, 1).otherwise(-1), "_opens": seq.opens()})
+    maps = [F.col(c) for c in ("_lo", "_hi", "_by", "_opens")]
+    crossing = d.filter(CROSSES).withColumn("_map", scan_udf(_queue_maps, "array<bigint>")(*maps))
+    entries = seq.entry_rows(crossing, "_map", F.pandas_udf(_queue_entries, "array<bigint>"), "_entry")
+    d = (seq.add_carry(d, entries, ["_entry"])
+         .withColumn("_q", scan_udf(_queue_after, "bigint")(*maps, F.col("_entry"))))
+    before = F.col("_q") - F.col("_by")
+    takes = F.when(is_left, before < 0).otherwise(before > 0)
+    d = d.withColumns({"_takes": takes, "_no": F.when(is_left, F.col("_rl")).otherwise(F.col("_rr")),
+                       "_oldest": F.when(is_left, F.col("_rr") + before).otherwise(F.col("_rl") - before)})
+    d = seq.finish(d).select(*keys, "ts", "id", "is_left", "_takes", "_no", "_oldest")
+
+    took = d.filter("_takes").select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+                                     F.col("id").alias("o_id"), F.col("ts").alias("o_ts"),
+                                     (~is_left).alias("_side"), F.col("_oldest"))
+    on = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)]
+    waited = d.filter(~F.col("_takes")).drop("_oldest").join(
+        took, [*on, is_left == F.col("_side"), F.col("_no") == F.col("_oldest")], "left")
+    alone = both.filter(no_key).select("*", *[F.lit(None).cast(t).alias(c) for c, t in (
+        ("o_id", both.schema["id"].dataType), ("o_ts", both.schema["ts"].dataType))])
+    cols = [*keys, "ts", "id", "is_left", "o_id", "o_ts"]
+
+    def pick(mine, other):
+        return F.when(is_left, F.col(mine)).otherwise(F.col(other))
+    return waited.select(*cols).unionByName(alone.select(*cols)).select(
+        *keys, pick("id", "o_id").alias(l_id), pick("ts", "o_ts").alias(l_ts),
+        pick("o_id", "id").alias(r_id), pick("o_ts", "ts").alias(r_ts),
+        F.when(F.col("o_id").isNotNull(), F.lit("matched")).when(is_left, F.lit("left_only"))
+        .otherwise(F.lit("right_only")).alias("status"))
+
+
+#: Rules up to this number are searched inside the plan.
+MAX_RULES_IN_PLAN = 2_000
 
 
 def with_rule(ev: DataFrame, rules: DataFrame, ts: str, rule_ts: str = "rule_ts",
-              order: list[str] = (), **seq_kw) -> DataFrame:
+              order: list[str] = (), max_in_plan: int = MAX_RULES_IN_PLAN, **seq_kw) -> DataFrame:
     """The rule in force at each row's time (latest ``rule_ts <= ts``) as the struct
-    ``rule``: rules are merged into the time order and carried forward, so their
-    number does not matter.  Of rules with equal start the greatest one counts."""
+    ``rule``.  Of rules with equal start the greatest one counts.
+
+    The number of rules is checked: up to ``max_in_plan`` are a sorted array that each
+    row searches (no shuffle); more are merged into the time order and carried
+    forward by an ordered scan."""
     rule_cols = [c for c in rules.columns if c != rule_ts]
-    starts = rules.groupBy(rule_ts).agg(F.max(F.struct(*rule_cols)).alias("_rule"))
+    starts = rules.where(F.col(rule_ts).isNotNull()).groupBy(rule_ts).agg(F.max(F.struct(*rule_cols)).alias("_rule"))
+    kind = starts.select(F.struct(F.col(rule_ts).alias("at"), "_rule").alias("r")).schema["r"].dataType
+    few = starts.select(F.struct(F.col(rule_ts).alias("at"), "_rule").alias("r")).limit(max_in_plan + 1)
+    text, size = few.agg(F.sort_array(F.collect_list("r")).alias("r")).select(
+        F.to_json("r", JSON_TIMES), F.size("r")).first()
+    if size <= max_in_plan:
+        in_order = array_literal(text, kind)
+        at = sorted_position(F.col(ts), lambda i: F.get(in_order, i)["at"], size)
+        return ev.withColumn("rule", F.get(in_order, at - 1)["_rule"])
     tagged = (ev.select("*", F.lit(1).alias("_is_ev"))
               .unionByName(starts.select(F.col(rule_ts).alias(ts), F.lit(0).alias("_is_ev"), "_rule"),
                            allowMissingColumns=True))

@@ -17,9 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import cut_lineage
 from . import windows as W
-from .sequence import CHUNK, CROSSES, KeyedSequence
+from .sequence import CROSSES, KeyedSequence, scan_udf
 
 
 # Functions and classes of this module run in Python workers (and in the
@@ -129,8 +128,10 @@ class StateMachine:
         return p
 
 
-def _segmented_prefix(p: np.ndarray, seg: np.ndarray) -> np.ndarray:
-    """Prefix composition of state maps restarted at every segment start."""
+def _composed(p: np.ndarray, opens: np.ndarray) -> np.ndarray:
+    """Row i -> the composition of the state maps from the last opening row up to
+    row i, by segmented doubling."""
+    seg = np.cumsum(opens)
     k = 1
     while k < len(p):
         same = seg[k:] == seg[:-k]
@@ -147,54 +148,55 @@ def run_state_machine(df: DataFrame, keys: list[str], order: list[str], event_co
     """The state of each key's machine after every row (``state``), and
     ``accepted`` when that state is accepting.
 
-    The rows of a chunk are one sorted partition (:class:`KeyedSequence`).  A
-    vectorised function streams over it once and sees three columns only: the
-    key as text (exact and null-safe), the event index, and whether the key
-    crosses a chunk border.  It composes the per-row state maps with a segmented
-    doubling scan and carries the open key's map from batch to batch.  Rows of a
-    crossing key get their map since the start of the chunk; the entry states of
-    its chunks follow from the maps of the chunks before, composed once in order,
-    and are applied to each row's map."""
+    A vectorised function streams over the sorted chunks and composes the per-row
+    state maps with a segmented doubling scan, carrying the open map from batch to
+    batch.  Run over the rows of crossing keys, its last maps give the state each of
+    a key's chunks begins with (one linear pass over at most as many maps as there
+    are chunks); run over all rows, it applies them."""
     seq = KeyedSequence(list(keys), list(order), **seq_kw)
     d = seq.prepare(df.withColumn("_ev", fsm.event_index(event_col)))
-    parts = seq.parts
-    start = fsm.sid[fsm.start]
-    table = fsm.table
-    schema = T.StructType([T.StructField("si", T.IntegerType()),
-                           T.StructField("map", T.ArrayType(T.IntegerType()))])
-
-    def scan(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        carry_key, carry_map = None, None
-        for key, ev, crosses in batches:
-            if not len(key):
-                yield pd.DataFrame({"si": [], "map": []})
-                continue
-            k = key.to_numpy(dtype=object)
-            seg = np.concatenate(([0], np.cumsum(k[1:] != k[:-1])))
-            p = _segmented_prefix(table[ev.to_numpy(dtype=np.int64)].copy(), seg)
-            if carry_map is not None and k[0] == carry_key:
-                head = seg == 0
-                p[head] = p[head][:, carry_map]
-            carry_key, carry_map = k[-1], p[-1].copy()
-            maps = [m if c else None for m, c in zip(p.astype(np.int32), crosses)]
-            yield pd.DataFrame({"si": p[:, start].astype(np.int32), "map": maps})
-
-    run = F.pandas_udf(scan, schema)
-    key_text = F.to_json(F.struct(*[F.col(c) for c in keys])) if keys else F.lit("")
-    # Two readers below (chunk summaries, rows): scan once.
-    d = cut_lineage(d.withColumn("_s", run(key_text, F.col("_ev"), F.col(CROSSES))))
-    last = (d.filter(CROSSES).groupBy(*parts).agg(F.max_by("_s.map", seq.place()).alias("_tot"))
-            .groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(CHUNK, "_tot"))).alias("_all")))
-    # Entry state of every chunk of the key, in one pass over its chunks.
-    step = F.struct(F.lit(start).alias("s"), F.array().cast("array<int>").alias("seen"))
-    entries = F.aggregate("_all", step, lambda a, x: F.struct(
-        F.element_at(x["_tot"], a["s"] + 1).alias("s"),
-        F.concat(a["seen"], F.array(a["s"])).alias("seen")), lambda a: a["seen"])
-    entry = (last.select(*keys, F.explode(F.arrays_zip(F.col(f"_all.{CHUNK}").alias("c"), entries.alias("e"))).alias("_x"))
-             .select(*keys, F.col("_x.c").alias(CHUNK), F.col("_x.e").alias("_entry")))
-    d = seq.add_carry(d, entry, ["_entry"])
-    d = d.withColumn("_si", F.coalesce(F.element_at("_s.map", F.col("_entry") + 1), F.col("_s.si")))
+    start, table = fsm.sid[fsm.start], fsm.table
+
+    def scan(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[np.ndarray]:
+        carry = None
+        for ev, opens in batches:
+            first = opens.to_numpy(dtype=bool)
+            p = _composed(table[ev.to_numpy(dtype=np.int64)].copy(), first)
+            if len(p) and carry is not None:
+                head = np.cumsum(first) == 0
+                p[head] = p[head][:, carry]
+            if len(p):
+                carry = p[-1].copy()
+            yield p
+
+    def maps(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for p in scan(batches):
+            yield pd.Series(list(p.astype(np.int32)), dtype=object)
+
+    def states(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        begins: list[np.ndarray] = []
+
+        def inner():
+            for ev, opens, entry in batches:
+                begins.append(entry.fillna(start).to_numpy(dtype=np.int64))
+                yield ev, opens
+        for p in scan(inner()):
+            yield pd.Series(p[np.arange(len(p)), begins.pop()].astype(np.int32))
+
+    def fold(totals: pd.Series) -> pd.Series:
+        def one(chunk_maps):
+            state, out = start, []
+            for m in chunk_maps:
+                out.append(state)
+                state = int(m[state])
+            return out
+        return totals.map(one)
+
+    d = d.withColumn("_opens", seq.opens())
+    crossing = d.filter(CROSSES).withColumn("_map", scan_udf(maps, "array<int>")(F.col("_ev"), F.col("_opens")))
+    d = seq.add_carry(d, seq.entry_rows(crossing, "_map", F.pandas_udf(fold, "array<int>"), "_entry"), ["_entry"])
+    d = d.withColumn("_si", scan_udf(states, "int")(F.col("_ev"), F.col("_opens"), F.col("_entry")))
     names = F.array(*[F.lit(x) for x in fsm.states])
     out = d.withColumn("state", F.element_at(names, F.col("_si") + 1))
     out = out.withColumn("accepted", F.col("state").isin(list(fsm.accept)))
-    return seq.finish(out).drop("_ev", "_s", "_entry", "_si")
+    return seq.finish(out).drop("_ev", "_opens", "_entry", "_si")

@@ -2,19 +2,22 @@
 
 Running aggregates, ``lag`` and "first later row" searches need the rows of a
 key in order.  A plain window puts every row of a key into one task.  Here the
-rows are range-partitioned by (keys, order, hash of the row), so a hot key, a
-null key and rows that tie in ``order`` are all cut into chunks of about equal
-size; a chunk is one partition.  Each scan runs inside (keys, chunk) and then
-adds the carry of the key's earlier chunks.
-
-Only keys that cross a border between partitions need a carry: at most the
-first and the last key of each chunk.  Their summaries, at most two rows per
-partition, are joined (null-safe) as a broadcast, whose size is thus bounded by
-the partition count.  There is one plan for all inputs; nothing is counted
-beforehand.
-
-The chunked rows are checkpointed once, so that chunk numbers are the same for
-every scan and for tasks that run again.
+sequence of all rows by (keys, order, hash of the row) is cut at sampled bounds
+into chunks of about equal size, so a hot key, a null key and rows that tie in
+``order`` are all spread over chunks.  The bounds are a sorted array inside the
+plan and a row finds its chunk by binary search: the chunk number is a function
+of the row, the same for every scan and for tasks that run again, and nothing is
+written.  Each scan runs inside (keys, chunk), after one hash shuffle and one sort
+that all scans of a prepared DataFrame share, and then adds the carry of the key's
+earlier chunks.
+
+A key crosses a border between chunks only if the bound there has that key.  Only
+the rows of such keys are summarised for carries, by partial aggregation over the
+input itself; the summaries, at most two keys per chunk, are joined (null-safe) as a
+broadcast, whose size is thus bounded by the number of chunks.  There is one plan for
+all inputs.
+
+Only the balance of the chunks depends on the sample, never a result.
 """
 
 from __future__ import annotations
@@ -25,10 +28,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import cut_lineage, num_partitions
+from ..session import num_partitions
 
 CHUNK, TIE, CROSSES = "_chunk", "_tie", "_crosses"
 
+#: Most chunks of a scan: bounds live in the plan.
+MAX_CHUNKS = 20_000
+#: Rows sampled per chunk, and at least, to place the bounds.
+SAMPLE_PER_CHUNK, MIN_SAMPLE = 50, 4_000
+
 _OPS = ("sum", "count", "max", "min", "last")
 
 
@@ -44,43 +52,79 @@ def order_micros(df: DataFrame, col: str) -> Column:
     return F.col(col)
 
 
+def sorted_position(value: Column, bound, size: int) -> Column:
+    """How many of ``size`` sorted bounds (``bound(i)`` is the i-th) are at most
+    ``value``: a binary search of log2(size) steps."""
+    if not size:
+        return F.lit(0)
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(size.bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        (at + step <= size) & (bound(at + step - 1) <= value), at + step).otherwise(at))
+
+
+def array_literal(json_text: str, element: T.DataType) -> Column:
+    """A constant array given as JSON; folded to a literal when the plan is made."""
+    return F.from_json(F.lit(json_text), T.ArrayType(element), JSON_TIMES)
+
+
+#: Microseconds, so that bounds on times are exact.
+JSON_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 @dataclass
 class KeyedSequence:
     """Rows ordered by ``order`` within each ``keys`` group; ties in ``order`` are
-    ordered by a hash of the row.
+    ordered by a hash of the row, or of the columns ``tie`` where they tell rows
+    apart (then nothing else of ``df`` is computed to place the bounds).
 
     Call :meth:`prepare` once; every scan method then takes and returns a
     DataFrame that still carries the helper columns, so several scans share one
-    chunking.  :meth:`finish` drops them.  ``chunks`` is the number of range
-    partitions (default: the session's shuffle partitions).
+    chunking.  :meth:`finish` drops them.  ``chunks`` is the number of chunks
+    (default: the session's shuffle partitions).
     """
 
     keys: list[str]
     order: list[str]
     chunks: int | None = None
+    tie: list[str] | None = None
 
     # ------------------------------------------------------------------ setup
     def prepare(self, df: DataFrame) -> DataFrame:
-        """Cut ``df`` into chunks, each a sorted partition, and mark the rows of
-        keys that cross a chunk border."""
-        n = max(1, int(self.chunks or num_partitions(df.sparkSession)))
-        hashed = [F.col(c) for c, t in zip(df.columns, df.schema) if not _has_map(t.dataType)]
-        rows = df.withColumn(TIE, F.xxhash64(*hashed))
+        """Number the chunk of each row and mark the rows of keys that may cross a
+        chunk border."""
+        hashed = self.tie or [c for c, t in zip(df.columns, df.schema) if not _has_map(t.dataType)]
+        rows = df.withColumn(TIE, F.xxhash64(*[F.col(c) for c in hashed]))
         by = [*self.keys, *self.order, TIE]
-        rows = rows.repartitionByRange(n, *by).sortWithinPartitions(*by)
-        rows = cut_lineage(rows.withColumn(CHUNK, F.spark_partition_id()))
+        kind = rows.select(F.struct(*by).alias("p")).schema["p"].dataType
+        found, size = self._bounds(rows.select(*by))
+        if not size:
+            return rows.withColumns({CHUNK: F.lit(0), CROSSES: F.lit(False)})
+        bounds = array_literal(found, kind)
+        rows = rows.withColumn(CHUNK, sorted_position(F.struct(*by), lambda i: F.get(bounds, i), size))
         if not self.keys:
             return rows.withColumn(CROSSES, F.lit(True))
-        # At most two keys per chunk can cross a border: its first and its last.
-        key = F.struct(*self.keys)
-        ends = rows.groupBy(CHUNK).agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
-        crossing = (ends.select(CHUNK, F.explode(F.array("lo", "hi")).alias("k")).distinct()
-                    .groupBy("k").agg(F.count("*").alias("n")).where("n > 1"))
-        marks = crossing.select(*[F.col(f"k.{c}").alias(f"_k{i}") for i, c in enumerate(self.keys)],
-                                F.lit(True).alias(CROSSES))
-        on = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(self.keys)]
-        return (rows.join(F.broadcast(marks), on, "left").drop(*[f"_k{i}" for i in range(len(self.keys))])
-                .withColumn(CROSSES, F.coalesce(CROSSES, F.lit(False))))
+        # the bounds below and above the row's chunk
+        crosses = F.lit(False)
+        for at in (F.get(bounds, F.col(CHUNK) - 1), F.get(bounds, F.col(CHUNK))):
+            same = at.isNotNull()
+            for k in self.keys:
+                same = same & at[k].eqNullSafe(F.col(k))
+            crosses = crosses | same
+        return rows.withColumn(CROSSES, crosses)
+
+    def _bounds(self, places: DataFrame) -> tuple[str | None, int]:
+        """Sorted places that cut the rows into about equal chunks, as JSON."""
+        n = max(1, min(MAX_CHUNKS, int(self.chunks or num_partitions(places.sparkSession))))
+        total = places.count() if n > 1 else 0
+        if not total:
+            return None, 0
+        wanted = max(MIN_SAMPLE, SAMPLE_PER_CHUNK * n)
+        sample = places if total <= wanted else places.sample(wanted / total, seed=7)
+        picked = (sample.agg(F.sort_array(F.collect_list(F.struct("*"))).alias("s"))
+                  .select(F.filter(F.transform(F.sequence(F.lit(1), F.lit(n - 1)), lambda i: F.get(
+                      "s", F.floor(i * F.size("s") / n).cast("int"))), lambda p: p.isNotNull()).alias("s")))
+        text, size = picked.select(F.to_json("s", JSON_TIMES), F.size("s")).first()
+        return text, size
 
     def finish(self, df: DataFrame) -> DataFrame:
         return df.drop(CHUNK, TIE, CROSSES)
@@ -88,7 +132,9 @@ class KeyedSequence:
     # -------------------------------------------------------------- helpers
     @property
     def parts(self) -> list[str]:
-        return [*self.keys, CHUNK]
+        """What a scan is partitioned by; ``CROSSES`` follows from the others, so that
+        a filter on it reaches the input."""
+        return [*self.keys, CHUNK, CROSSES]
 
     def _order_cols(self, reverse: bool) -> list[Column]:
         return [F.col(c).desc() if reverse else F.col(c).asc() for c in [*self.order, TIE]]
@@ -101,9 +147,28 @@ class KeyedSequence:
 
     def add_carry(self, df: DataFrame, carry: DataFrame, cols: list[str]) -> DataFrame:
         """Join ``carry`` (keys, chunk, ``cols``; at most two rows per chunk)."""
-        renamed = carry.select(*[F.col(c).alias(f"_j{i}") for i, c in enumerate(self.parts)], *cols)
-        on = [F.col(c).eqNullSafe(F.col(f"_j{i}")) for i, c in enumerate(self.parts)]
-        return df.join(F.broadcast(renamed), on, "left").drop(*[f"_j{i}" for i in range(len(self.parts))])
+        by = [*self.keys, CHUNK]
+        renamed = carry.select(*[F.col(c).alias(f"_j{i}") for i, c in enumerate(by)], *cols)
+        on = [F.col(c).eqNullSafe(F.col(f"_j{i}")) for i, c in enumerate(by)]
+        return df.join(F.broadcast(renamed), on, "left").drop(*[f"_j{i}" for i in range(len(by))])
+
+    def entry_rows(self, crossing: DataFrame, state: str, fold, name: str) -> DataFrame:
+        """Per (keys, chunk): what the chunk begins with, as ``name``.
+
+        ``crossing`` holds the rows of crossing keys with the state since the start of
+        the chunk in the column ``state``; ``fold`` is a vectorised function that turns
+        a key's chunk states, in order, into one entry per chunk.  A key has at most as
+        many states as there are chunks."""
+        last = (crossing.groupBy(*self.keys, CHUNK).agg(F.max_by(state, self.place()).alias("_total"))
+                .groupBy(*self.keys).agg(F.sort_array(F.collect_list(F.struct(CHUNK, "_total"))).alias("_all")))
+        return (last.withColumn("_in", fold(F.col("_all._total")))
+                .select(*self.keys, F.explode(F.arrays_zip(F.col(f"_all.{CHUNK}").alias("c"), F.col("_in").alias("e"))).alias("_x"))
+                .select(*self.keys, F.col("_x.c").alias(CHUNK), F.col("_x.e").alias(name)))
+
+    def opens(self) -> Column:
+        """True on the first row of each key in a chunk; the rows of a partition are
+        sorted where this has been added."""
+        return F.row_number().over(self.window()) == 1
 
     # ---------------------------------------------------------------- scans
     def running(self, df: DataFrame, specs: dict[str, tuple[str, Column]], *,
@@ -194,6 +259,12 @@ class KeyedSequence:
         return F.coalesce(local, carry)
 
 
+def scan_udf(fn, kind):
+    """An iterator function over sorted rows.  Its value depends on the rows before, so
+    the optimizer must neither move filters below it nor evaluate it a second time."""
+    return F.pandas_udf(fn, kind).asNondeterministic()
+
+
 def _has_map(t: T.DataType) -> bool:
     if isinstance(t, T.MapType):
         return True

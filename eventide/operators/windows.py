@@ -80,14 +80,16 @@ def session_ids(df: DataFrame, keys: list[str], ts: str, gap, order: list[str] |
     the previous row of the key is *more* than ``gap`` (rows exactly one gap
     apart share a session, as in Spark's ``session_window``)."""
     order = order or [ts]
+    if order[0] != ts:
+        raise ValueError("sessions need rows in time order")
     seq = KeyedSequence(keys, order, **seq_kw)
-    d = seq.prepare(df)
-    d = seq.lag(d, [ts], 1, prefix="_prev")
-    d = d.withColumn("_new", F.when(F.col("_prev1").isNull() |
-                                     (F.col(ts) > F.col(f"_prev1.{ts}") + interval(gap)), 1)
+    # in time order the latest time before a row is that of the row before it
+    d = seq.running(seq.prepare(df), {"_prev": ("max", F.col(ts))}, inclusive=False)
+    d = d.withColumn("_new", F.when(F.col("_prev").isNull() |
+                                     (F.col(ts) > F.col("_prev") + interval(gap)), 1)
                      .otherwise(0))
     d = seq.running(d, {"session_no": ("sum", F.col("_new"))})
-    return seq.finish(d).drop("_prev1", "_new")
+    return seq.finish(d).drop("_prev", "_new")
 
 
 def sessions(df: DataFrame, keys: list[str], ts: str, gap, order: list[str] | None = None,

@@ -100,7 +100,7 @@ FROM ({_RUNNING})
 def running_max_count(spark, sf_dir):
     """A2: global running max over A1's output (bucketed prefix max)."""
     rc = running_count(spark, sf_dir)
-    return A.running_max(rc, "running_count", ORDER, name="max_count")
+    return A.running_max(rc, "running_count", ORDER, name="max_count", tie=["event_id"])
 
 
 @query("update_log", f"""
@@ -131,8 +131,8 @@ UNION ALL SELECT event_id, user_id, ts, '+U' AS op, total AS cnt, 1 AS seq FROM
 def update_log_sum(spark, sf_dir):
     """A8 over a running sum: the old value is that of the row before."""
     ev = events(spark, sf_dir).select("event_id", "user_id", "ts", props_k().alias("k"))
-    total = A.running_count(ev, ["user_id"], ORDER, name="total", measure=F.col("k")).drop("k")
-    return A.update_log(total, ["user_id"], "total", order=ORDER)
+    total = A.running_count(ev, ["user_id"], ORDER, name="total", measure=F.col("k"), previous="was").drop("k")
+    return A.update_log(total, ["user_id"], "total", previous="was")
 
 
 def sparse(sql: str) -> str:

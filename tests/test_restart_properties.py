@@ -3,6 +3,7 @@
 import os
 import tempfile
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -199,3 +200,56 @@ def test_late_router_restart_gives_batch_result(spark):
                   L.late_split(ev, "ts", ["arrival_ts", "event_id"], "30 minutes",
                                lateness="10 minutes").collect())
     assert got == want
+
+
+def _one_to_one_by_queue(rows_in, within):
+    """Brute force: the rows of each key in order, with a queue."""
+    out, queues = [], {}
+    for key, ts, rid, left in sorted(rows_in, key=lambda r: (r[1], r[2])):
+        if key is None:
+            out.append((rid, None) if left else (None, rid))
+            continue
+        side, queue = queues.get(key, (None, []))
+        for t, i in [x for x in queue if x[0] + within < ts]:
+            out.append((i, None) if side else (None, i))
+        queue = [x for x in queue if x[0] + within >= ts]
+        if queue and side != left:
+            other = queue.pop(0)[1]
+            out.append((rid, other) if left else (other, rid))
+        else:
+            queue.append((ts, rid))
+            side = left
+        queues[key] = side, queue
+    for side, queue in queues.values():
+        out += [(i, None) if side else (None, i) for _, i in queue]
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("seed,chunks,within", [(1, 1, 5), (2, 7, 3), (3, 40, 30), (4, 13, 0)])
+def test_one_to_one_equals_queue(spark, seed, chunks, within):
+    """A hot key without any gap, other keys and null keys, tied times."""
+    import random
+    from eventide.operators import joins as J
+    rng = random.Random(seed)
+    data = [(rng.choice([1, 1, 1, 2, None]), rng.randrange(0, 900), i, rng.random() < 0.5) for i in range(1_500)]
+    df = spark.createDataFrame(data, "k long, t long, id long, l boolean").withColumn("ts", F.timestamp_seconds("t"))
+    left = df.filter("l").select("k", F.col("id").alias("l_id"), F.col("ts").alias("l_ts"))
+    right = df.filter("NOT l").select("k", F.col("id").alias("r_id"), F.col("ts").alias("r_ts"))
+    got = J.reconcile_one_to_one(left, right, ["k"], "l_ts", "r_ts", "l_id", "r_id", within, chunks=chunks)
+    assert sorted(((r.l_id, r.r_id) for r in got.collect()), key=str) == _one_to_one_by_queue(data, within)
+
+
+def test_one_to_one_spreads_a_hot_key(spark):
+    """A key that holds all rows, a row a second and no gap: all chunks share it."""
+    from eventide.operators import joins as J
+    from eventide.operators.sequence import KeyedSequence
+    df = spark.range(60_000).select(F.lit(1).alias("k"), F.col("id"), F.timestamp_seconds("id").alias("ts"),
+                                    (F.xxhash64("id") % 2 == 0).alias("l"))
+    d = KeyedSequence(["k"], ["ts", "id"], chunks=16).prepare(df)
+    sizes = [r["count"] for r in d.groupBy("_chunk").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 2 * 60_000 / 16
+    left = df.filter("l").select("k", F.col("id").alias("l_id"), F.col("ts").alias("l_ts"))
+    right = df.filter("NOT l").select("k", F.col("id").alias("r_id"), F.col("ts").alias("r_ts"))
+    got = J.reconcile_one_to_one(left, right, ["k"], "l_ts", "r_ts", "l_id", "r_id", 600, chunks=16)
+    data = [(1, r.id, r.id, r.l) for r in df.select("id", "l").collect()]
+    assert sorted(((r.l_id, r.r_id) for r in got.collect()), key=str) == _one_to_one_by_queue(data, 600)

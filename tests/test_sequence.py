@@ -137,3 +137,71 @@ def test_scale_settings(spark):
     assert small["spark.sql.shuffle.partitions"] == "16"
     big = scale_settings(100 << 40, 8000)     # 100 TB, 1000 executors x 8 cores
     assert int(big["spark.sql.shuffle.partitions"]) == 819200
+
+
+def plan_text(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_scans_share_one_shuffle_and_write_nothing(spark, tmp_path):
+    """Per plan: one exchange that moves rows by (keys, chunk); the others carry summaries.
+    No checkpoint is written, neither on preparing nor on running."""
+    import os
+    import re
+    from eventide.operators import patterns as P
+    e = ev(spark).select("event_id", "user_id", "ts", "event_type", "value")
+    shared = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
+
+    def written():
+        return sum(len(f) for d, _, f in os.walk(shared) if "/rdd-" in d)
+    before = written()
+    seq = KeyedSequence(["user_id"], ORDER)
+    d = seq.prepare(e)
+    d = seq.running(d, {"n": ("count", F.lit(1))})
+    d = seq.finish(seq.running(d, {"top": ("max", F.col("value"))}))
+    views = P.followed_by(e, ["user_id"], ORDER, "ts", F.col("event_type") == "view",
+                          F.col("event_type") == "purchase", "1 hour", ["event_id", "ts"])[0]
+    for df in (d, views, A.running_count(e, ["user_id"], ORDER)):
+        lines = plan_text(df).split("\n")
+        full = [b for a, b in zip(lines, lines[1:])
+                if re.search(r"Exchange hashpartitioning\(user_id#\d+L, _chunk#\d+", a) and "Aggregate" not in b]
+        assert len(full) == 1 and not any("rangepartitioning" in x for x in lines)
+        df.write.format("noop").mode("overwrite").save()
+    assert written() == before
+
+
+def test_chunk_is_a_function_of_the_row(spark):
+    seq = KeyedSequence(["user_id"], ORDER, chunks=13)
+    d = seq.prepare(ev(spark)).select("event_id", "_chunk")
+    assert rows(d) == rows(d.repartition(5))
+    # in order of (key, time, id) chunk numbers never fall, and neighbours of one key meet only if marked
+    w = Window.orderBy("user_id", *ORDER)
+    full = seq.prepare(ev(spark)).withColumns({"c0": F.lag("_chunk").over(w), "k0": F.lag("user_id").over(w)})
+    assert full.filter("c0 > _chunk").count() == 0
+    assert full.filter("c0 < _chunk AND k0 = user_id AND NOT _crosses").count() == 0
+
+
+def test_bounds_keep_every_kind_of_key(spark):
+    """Keys as text, dates, decimals, NaN and null; times with microseconds."""
+    from decimal import Decimal
+    d0 = spark.range(3_000).select(
+        "id", F.when(F.col("id") % 11 != 0, F.concat(F.lit('é"'), (F.col("id") % 4).cast("string"))).alias("k"),
+        F.date_add(F.lit("2024-01-01"), (F.col("id") % 3).cast("int")).alias("day"),
+        F.when(F.col("id") % 5 == 0, F.lit(float("nan"))).otherwise(F.col("id") % 2 / 3).alias("x"),
+        F.lit(Decimal("1.10")).alias("m"), F.timestamp_micros(F.col("id") * 37 % 501).alias("t"))
+    keys = ["k", "day", "x", "m"]
+    got = A.running_count(d0, keys, ["t", "id"], chunks=40).select("id", "running_count")
+    w = Window.partitionBy(*keys).orderBy("t", "id")
+    assert rows(got) == rows(d0.select("id", F.row_number().over(w).cast("long").alias("running_count")))
+
+
+def test_rules_by_search_and_by_scan(spark):
+    from eventide.operators import joins as J
+    e = ev(spark).select("event_id", "user_id", "ts", "event_type")
+    r = (spark.range(300).select((F.lit("2024-01-02").cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("id") * 2, secs=F.lit(0.000007).cast("decimal(8,6)")))
+                                 .alias("rule_ts"), F.col("id").cast("string").alias("name")))
+    by_search = J.with_rule(e, r, "ts", order=["event_id"])
+    assert "Exchange" not in plan_text(by_search)
+    by_scan = J.with_rule(e, r, "ts", order=["event_id"], max_in_plan=10, chunks=9)
+    assert rows(by_search.select("event_id", "rule.name")) == rows(by_scan.select("event_id", "rule.name"))
+    assert J.with_rule(e, r.limit(0), "ts").filter("rule IS NOT NULL").count() == 0
