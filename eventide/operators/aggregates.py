@@ -7,11 +7,14 @@ windows stay parallel.  Running forms use :mod:`.sequence`.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import windows as W
-from .sequence import KeyedSequence
+from .sequence import KeyedSequence, order_micros
 
 
 def count_by_key(df: DataFrame, keys: list[str], name: str = "cnt") -> DataFrame:
@@ -45,6 +48,53 @@ def pv_uv(df: DataFrame, ts: str, uv_col: str, size, slide=None, offset=None,
             .select(*W.bounds(), *keys, "pv", "uv", "ratio"))
 
 
+def pv_uv_panes(df: DataFrame, ts: str, uv_col: str, size, slide, keys: list[str] = ()) -> DataFrame:
+    """A3 + W3 by panes: exact PV, UV and ``pv div uv`` of sliding windows without giving
+    each row to the ``size / slide`` windows it is in.
+
+    Time is cut into panes as long as the greatest common divisor of size and slide.
+    Rows are counted per (pane, value), with a partial aggregate.  A value seen in pane
+    p belongs to the windows that end with the panes p to p + r - 1; of those its
+    previous pane q already gives the ones before q + r.  So it adds one visitor from
+    ``max(p, q + r)`` on and takes it away at ``p + r``: the windows' counts are running
+    sums of such changes.  What is shuffled does not depend on size / slide.
+
+    The changes of a group are at most two per pane of its time span.  A null value is a
+    view without a visitor."""
+    keys = list(keys)
+    size_us, slide_us = (int(round(W.seconds(d) * 1_000_000)) for d in (size, slide))
+    pane = math.gcd(size_us, slide_us)
+    r = size_us // pane
+    is_zoneless = isinstance(df.schema[ts].dataType, T.TimestampNTZType)
+    us = order_micros(df, ts)
+    seen = (df.select(*keys, ((us - F.pmod(us, F.lit(pane))) / pane).cast("bigint").alias("_p"), F.col(uv_col).alias("_v"))
+            .groupBy(*keys, "_p", "_v").agg(F.count(F.lit(1)).alias("_n")))
+    before = F.lag("_p").over(Window.partitionBy(*keys, "_v").orderBy("_p"))
+    seen = seen.withColumn("_from", F.greatest(F.col("_p"), F.coalesce(before + r, F.col("_p"))))
+    visitor = F.when(F.col("_v").isNotNull(), 1).otherwise(0)
+    none = F.lit(0).cast("bigint")
+
+    def change(at, views, visitors):
+        return F.struct(at.cast("bigint").alias("_w"), views.cast("bigint").alias("_dn"), visitors.cast("bigint").alias("_dv"))
+    changes = (seen.select(*keys, F.explode(F.array(
+        change(F.col("_p"), F.col("_n"), none), change(F.col("_from"), none, visitor),
+        change(F.col("_p") + r, -F.col("_n"), -visitor))).alias("_c"))
+        .groupBy(*keys, F.col("_c._w").alias("_w")).agg(F.sum("_c._dn").alias("_dn"), F.sum("_c._dv").alias("_dv")))
+    w = Window.partitionBy(*keys).orderBy("_w")
+    to_here = w.rowsBetween(Window.unboundedPreceding, 0)
+    steps = changes.select(*keys, "_w", F.lead("_w").over(w).alias("_next"),
+                           F.sum("_dn").over(to_here).alias("pv"), F.sum("_dv").over(to_here).alias("uv"))
+    ends = steps.where("pv > 0").select(*keys, F.explode(F.sequence("_w", F.col("_next") - 1)).alias("_w"), "pv", "uv")
+    start_us = (F.col("_w") - (r - 1)) * pane
+
+    def moment(us):
+        return F.timestamp_micros(us) if not is_zoneless else F.timestamp_add(
+            "MICROSECOND", us, F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
+    return (ends.where(F.pmod(start_us, F.lit(slide_us)) == 0)
+            .select(moment(start_us).alias("window_start"), moment(start_us + size_us).alias("window_end"), *keys,
+                    "pv", "uv", F.expr("pv div uv").cast("double").alias("ratio")))
+
+
 def distinct_per_window(df: DataFrame, ts: str, col: str, size, slide=None, offset=None,
                         keys: list[str] = (), name: str = "uv", exact: bool = True) -> DataFrame:
     """A5: distinct values of ``col`` per window, with window start/end."""

@@ -65,6 +65,20 @@ def _run(spark: SparkSession, name: str, source: DataFrame, order: list[str], bu
     return spark.read.parquet(out_path)
 
 
+def _run_two(spark: SparkSession, name: str, sources: list[tuple[DataFrame, list[str]]], build) -> DataFrame:
+    """Like :func:`_run` with a replayed stream per source, all closed."""
+    base = state_location(spark, name)
+    streams = []
+    for i, (source, order) in enumerate(sources):
+        rows = source.unionByName(_closing(source))
+        src = write_replay_files(rows, os.path.join(base, f"in{i}"), MIN_BATCHES, order)
+        streams.append(replay(spark, src, source.schema))
+    out, path = build(*streams), os.path.join(base, "out")
+    K.start(out, "parquet", name, "append", path=path, trigger={"availableNow": True},
+            checkpoint=os.path.join(base, "ckpt")).awaitTermination()
+    return spark.read.schema(out.schema).parquet(path)
+
+
 def _ts(col: str):
     """Stateful outputs carry epoch microseconds; back to the stored type."""
     return F.timestamp_micros(F.col(col)).cast("timestamp_ntz")
@@ -139,6 +153,24 @@ def stream_late_split(spark, sf_dir):
     return out.drop("batch")
 
 
+@query("stream_late_firings", patterns._LATE + """,
+n AS (SELECT window_start, window_end, count(*) AS cnt FROM r WHERE route = 'on_time' GROUP BY ALL)
+SELECT window_start, window_end, 0::BIGINT AS firing, cnt, NULL::BIGINT AS event_id
+FROM n WHERE window_end <= (SELECT max(ts) FROM events)
+UNION ALL
+SELECT r.window_start, r.window_end, row_number() OVER w AS firing, coalesce(cnt, 0) + row_number() OVER w, event_id
+FROM r LEFT JOIN n ON r.window_start = n.window_start WHERE route = 'late'
+WINDOW w AS (PARTITION BY r.window_start ORDER BY arrival_ts, event_id)""")
+def stream_late_firings(spark, sf_dir):
+    """T5 exact on a stream: the on-time firing of each 30 min window and one corrected
+    firing per late row, until 10 minutes after its end."""
+    ev = _arrivals(spark, sf_dir, "event_id", "ts")
+    firings = lambda path: K.LateFirings("ts", ARRIVAL, "30 minutes", K.parquet_writer(path),
+                                         "event_id", lateness="10 minutes")
+    out = _run(spark, "late_firings", ev, ARRIVAL, lambda s: s, batch_fn=firings, close=False)
+    return out.drop("batch")
+
+
 def _followed(spark, sf_dir):
     ev = _arrivals(spark, sf_dir, "event_id", "user_id", "ts", "event_type")
     return _run(spark, "followed_by", ev, ARRIVAL, lambda s: ST.followed_by_exact(
@@ -399,3 +431,53 @@ def stream_connect_map(spark, sf_dir):
         return J.connect_map(s.filter("side = 'first'"), s.filter("side = 'second'"),
                              U.wrap_int("k"), U.digits_to_int("name"))
     return _run(spark, "connect_map", orders.unionByName(cust), ["side", "k"], build, close=False)
+
+
+_RULE_EVENTS = """SELECT ts AS rule_ts, CASE event_id % 3 WHEN 0 THEN 'view' WHEN 1 THEN 'click' ELSE 'purchase' END AS rule_prev,
+       CASE event_id % 2 WHEN 0 THEN 'purchase' ELSE 'view' END AS rule_next
+FROM events WHERE event_type = 'error' AND event_id % 7 = 0"""
+
+
+@query("stream_rule_stream", f"""
+WITH e AS (
+  SELECT event_id, user_id, ts, event_type,
+         lag(event_id) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev_event_id,
+         lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev_event_type
+  FROM events),
+rules AS (SELECT rule_ts, max({{'p': rule_prev, 'n': rule_next}}) AS r FROM ({_RULE_EVENTS}) GROUP BY rule_ts)
+SELECT e.*, rules.rule_ts, r.p AS rule_prev, r.n AS rule_next,
+       coalesce(prev_event_type = r.p AND event_type = r.n, false) AS matched
+FROM e ASOF LEFT JOIN rules ON e.ts >= rules.rule_ts
+""")
+def stream_rule_stream(spark, sf_dir):
+    """J5 + V3: events and rules are two streams, both up to an hour out of order; some
+    error events announce the rule that holds from then on."""
+    ev = _arrivals(spark, sf_dir, "event_id", "user_id", "ts", "event_type")
+    rules = ev.filter("event_type = 'error' AND event_id % 7 = 0").select(
+        "ts", "arrival_ts", F.expr("CASE event_id % 3 WHEN 0 THEN 'view' WHEN 1 THEN 'click' ELSE 'purchase' END").alias("rule_prev"),
+        F.expr("CASE event_id % 2 WHEN 0 THEN 'purchase' ELSE 'view' END").alias("rule_next"))
+    out = _run_two(spark, "rule_stream", [(ev, ARRIVAL), (rules, ["arrival_ts", "ts"])], lambda e, r: ST.rule_join(
+        with_event_time(e), with_event_time(r), "user_id", "event_id", "et", "event_type", ["rule_prev", "rule_next"],
+        buckets=2 * int(spark.conf.get("spark.sql.shuffle.partitions")), delay=DELAY, rule_delay=DELAY))
+    matched = (F.col("prev_type") == F.col("rule_prev")) & (F.col("type") == F.col("rule_next"))
+    return out.select(
+        F.col("id").alias("event_id"), F.col("key").alias("user_id"), _ts("ts").alias("ts"), F.col("type").alias("event_type"),
+        F.col("prev_id").alias("prev_event_id"), F.col("prev_type").alias("prev_event_type"),
+        _ts("rule_since").alias("rule_ts"), "rule_prev", "rule_next", F.coalesce(matched, F.lit(False)).alias("matched"))
+
+
+@query("stream_ttl_previous", """
+SELECT event_id, user_id, ts, event_type,
+       CASE WHEN prev_ts + INTERVAL 6 HOUR >= ts THEN prev_id END AS alive_event_id
+FROM (SELECT event_id, user_id, ts, event_type,
+             lag(event_id) OVER w AS prev_id, lag(ts) OVER w AS prev_ts
+      FROM events WINDOW w AS (PARTITION BY user_id, event_type ORDER BY ts, event_id))
+""")
+def stream_ttl_previous(spark, sf_dir):
+    """V4 in event time: the user's previous event of the type, if it is at most 6 h old
+    (each write refreshes the entry)."""
+    ev = _arrivals(spark, sf_dir, "event_id", "user_id", "ts", "event_type")
+    out = _run(spark, "ttl", ev, ARRIVAL, lambda s: ST.ttl_previous_event_time(
+        with_event_time(s), "user_id", "event_id", "et", "6 hours", F.col("event_type"), DELAY))
+    return out.select(F.col("id").alias("event_id"), F.col("key").alias("user_id"), _ts("ts").alias("ts"),
+                      F.col("entry").alias("event_type"), F.col("alive_id").alias("alive_event_id"))

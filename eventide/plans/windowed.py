@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import accumulate as AC
 from ..operators import aggregates as A
 from ..operators import topn as N
 from ..operators import windows as W
@@ -34,6 +35,32 @@ def pv_uv_sliding(spark, sf_dir):
     return A.pv_uv(ev, "ts", "user_id", "3 days", "1 day")
 
 
+@query("pv_uv_sliding_panes", """
+SELECT window_start, window_start + INTERVAL 3 DAY AS window_end,
+       count(*) AS pv, count(DISTINCT user_id) AS uv,
+       CAST(count(*) // count(DISTINCT user_id) AS DOUBLE) AS ratio
+FROM (SELECT time_bucket(INTERVAL 1 HOUR, ts) - to_hours(k) AS window_start, user_id
+      FROM (SELECT ts, user_id, unnest(range(72)) AS k FROM events))
+GROUP BY window_start
+""")
+def pv_uv_sliding_panes(spark, sf_dir):
+    """A3 + W3 by panes: 3-day windows sliding by an hour, 72 windows a row."""
+    return A.pv_uv_panes(events(spark, sf_dir), "ts", "user_id", "3 days", "1 hour")
+
+
+@query("frequent_values", """
+SELECT event_type, level, cnt, n_rows
+FROM (SELECT event_type, CAST(floor(value) AS BIGINT) AS level, count(*) AS cnt FROM events GROUP BY ALL)
+JOIN (SELECT event_type, count(*) AS n_rows FROM events GROUP BY ALL) USING (event_type)
+WHERE cnt > 0.01 * n_rows
+""")
+def frequent_values(spark, sf_dir):
+    """Levels (whole part of the value) with more than 1 % of an event type's rows,
+    found by a merged summary of 101 counters per type and counted exactly."""
+    ev = events(spark, sf_dir).select("event_type", F.floor("value").alias("level"))
+    return AC.frequent_values(ev, "level", 0.01, ["event_type"])
+
+
 @query("uv_tumbling_offset", """
 SELECT time_bucket(INTERVAL 6 HOUR, ts, INTERVAL 1 HOUR) AS window_start,
        time_bucket(INTERVAL 6 HOUR, ts, INTERVAL 1 HOUR) + INTERVAL 6 HOUR AS window_end,

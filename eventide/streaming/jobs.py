@@ -147,6 +147,13 @@ def _late_split(s, p):
                                               lateness=_p(p, "lateness")))
 
 
+@job("late_firings", "T5: the on-time firing of each window, and a corrected one per late row")
+def _late_firings(s, p):
+    return Job(s.select("event_id", "ts", F.current_timestamp().alias("arrival_ts")),
+               batch=lambda out: K.LateFirings("ts", ["arrival_ts", "event_id"], _p(p, "size"), out, "event_id",
+                                               delay=_p(p, "delay"), lateness=_p(p, "lateness")))
+
+
 @job("reconcile", "J4: one-to-one reconciliation of two event types within a bound")
 def _reconcile(s, p):
     left, right = _sides(s, p)

@@ -161,16 +161,96 @@ class LateRouter:
                               self.delay, self.lateness, initial_max=init)
         routed.persist()
         try:
-            self.out(routed, batch_id)
             m = batch.agg(F.max(order_micros(batch, self.ts))).first()[0]
             if prev is not None and (m is None or prev > m):
                 m = prev
+            self.emit(routed, batch_id, m)
             self.state.write(spark, batch_id, m)
         finally:
             routed.unpersist()
             batch.unpersist()
 
 
+    def emit(self, routed: DataFrame, batch_id: int, highest: int | None) -> None:
+        """``highest``: the highest event time up to the end of this batch (micros)."""
+        self.out(routed, batch_id)
+
+
+class LateFirings(LateRouter):
+    """T5 exact on a stream: the firings of each window, by the per-row rule of
+    :mod:`eventide.operators.late`.
+
+    Firing 0 has the on-time count and comes when the watermark reaches the window's
+    end.  Every late row, until ``lateness`` after that, fires the window again with the
+    corrected count, numbered from 1 in order of arrival and carrying the row's
+    ``id_col``.  A window without on-time rows has late firings only.
+
+    One record per open window (rows counted on time and late, whether it has fired) is
+    kept per micro-batch as a table beside the router's state, and is left out once the
+    watermark is past ``lateness`` after the window's end.  A batch that is run again
+    reads what it read the first time.  Late rows of one window are numbered by an
+    ordered scan, so a hot window is spread over tasks."""
+
+    def __init__(self, ts: str, arrival: list[str], size, out, id_col: str, **options):
+        super().__init__(ts, arrival, size, out, **options)
+        self.id_col = id_col
+
+    def _records(self, spark, batch_id: int):
+        """Folder of the records after the latest batch before ``batch_id``, and all."""
+        base, fs = self.state._fs(spark, self.state._dir(spark) + "/windows")
+        names = [st.getPath().getName() for st in fs.listStatus(base)] if fs.exists(base) else []
+        known = sorted(int(n[2:]) for n in names if n.startswith("w-")
+                       and fs.exists(self.state._fs(spark, f"{base}/{n}/_SUCCESS")[0]))
+        return [n for n in known if n < batch_id], fs
+
+    def emit(self, routed: DataFrame, batch_id: int, highest: int | None) -> None:
+        from ..operators import aggregates as A
+        from ..operators import windows as W
+        spark = routed.sparkSession
+        window = W.assign(self.ts, self.size, self.slide, self.offset)
+        rows = (routed.select(F.col(self.id_col).alias("id"), *[F.col(a).alias(f"_a{i}") for i, a in enumerate(self.arrival)],
+                              "watermark", window.alias("w"))
+                .select("*", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end")).drop("w"))
+        wm, end, wait = F.col("watermark"), F.col("window_end"), W.interval(self.lateness)
+        on_time = F.coalesce(wm < end, F.lit(True))
+        counted = rows.withColumn("late", ~on_time).where(on_time | (wm < end + wait))
+        own = ["window_start", "window_end"]
+        added = counted.groupBy(*own).agg(F.count(F.when(~F.col("late"), 1)).alias("on_time"),
+                                          F.count(F.when(F.col("late"), 1)).alias("late"))
+        earlier, fs = self._records(spark, batch_id)
+        folder = self.state._dir(spark) + "/windows"
+        none = F.lit(0).cast("bigint")
+        if earlier:
+            kept = spark.read.parquet(f"{folder}/w-{earlier[-1]}")
+        else:
+            kept = added.limit(0).withColumn("fired", F.lit(False))
+        total = (kept.withColumns({"on_time_before": F.col("on_time"), "late_before": F.col("late")})
+                 .unionByName(added.withColumns({"fired": F.lit(False), "on_time_before": none, "late_before": none}))
+                 .groupBy(*own).agg(F.sum("on_time").alias("on_time"), F.sum("late").alias("late"),
+                                    F.sum("late_before").alias("late_before"), F.max("fired").alias("fired")))
+        total.persist()
+        mark = None if highest is None else (F.timestamp_micros(F.lit(highest)).cast(routed.schema[self.ts].dataType)
+                                             - W.interval(self.delay))
+        reached = F.lit(False) if mark is None else end <= mark
+        first = (total.where(reached & ~F.col("fired") & (F.col("on_time") > 0))
+                 .select(*own, F.lit(0).cast("bigint").alias("firing"), F.col("on_time").alias("cnt"),
+                         F.lit(None).cast(routed.schema[self.id_col].dataType).alias(self.id_col)))
+        numbered = A.running_count(counted.where("late").drop("watermark", "late"), own,
+                                   [f"_a{i}" for i in range(len(self.arrival))], name="n")
+        again = (numbered.join(total, own).select(
+            *own, (F.col("late_before") + F.col("n")).alias("firing"),
+            (F.col("on_time") + F.col("late_before") + F.col("n")).alias("cnt"), F.col("id").alias(self.id_col)))
+        try:
+            self.out(first.unionByName(again), batch_id)
+            still = F.lit(True) if mark is None else mark < end + wait
+            (total.where(still).select(*own, "on_time", "late", (F.col("fired") | reached).alias("fired"))
+             .coalesce(1).write.mode("overwrite").parquet(f"{folder}/w-{batch_id}"))
+        finally:
+            total.unpersist()
+        for n in earlier[:-1]:
+            fs.delete(self.state._fs(spark, f"{folder}/w-{n}")[0], True)
+
+
 class RunningMaxWriter:
     """A2 on a stream: the running max of ``col`` over all rows so far, one
     output per row.  Spark refuses a second aggregation over an update

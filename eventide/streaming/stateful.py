@@ -1,21 +1,26 @@
 """Keyed state machines on streams (V1-V5) with ``transformWithState``.
 
 These are the exact, per-row stream forms of operators whose batch forms live in
-:mod:`eventide.operators`.  They work in event time: rows of a key wait in list
-state until the watermark has passed them and are then processed in ``(ts, id)``
-order, with deadlines (timeouts) between them.  Results therefore depend neither
-on the order of arrival (within the watermark delay) nor on micro-batch borders.
-
-State is per key, so the work is spread over keys by Spark's shuffle.  New rows
-are appended to the waiting list; only what a firing leaves over is written back.
-Times in state are epoch microseconds, timers epoch milliseconds.  A null key is
-a key of its own.
+:mod:`eventide.operators`.  They work in event time: rows of a key wait in state
+until the watermark has passed them and are then processed in ``(ts, id)`` order,
+with deadlines (timeouts) between them.  Results therefore depend neither on the
+order of arrival (within the watermark delay) nor on micro-batch borders.
+
+State is addressed by deadline.  Time is cut into slots; the rows of a slot wait in
+map state under the slot's number, in pieces of bounded size, and one timer at the
+slot's end hands them over: a firing reads and removes its own slot and nothing
+else.  Deadlines are moved to the end of the slot they fall in, where the rows
+before them are known.  What stays open after a firing (rows that wait for a
+partner) is a queue in map state, of which only the ends are touched.  A hot key thus
+costs a firing the rows of one slot in memory, whatever else waits.
+
+State is per key, so the work is spread over keys by Spark's shuffle.  Times in state
+are epoch microseconds, timers epoch milliseconds.  A null key is a key of its own.
 """
 
 from __future__ import annotations
 
 import sys
-from collections import deque
 from collections.abc import Iterable, Iterator
 
 from pyspark import cloudpickle
@@ -53,18 +58,26 @@ def _micros(d) -> int:
     return int(round(W.seconds(d) * 1_000_000))
 
 
+#: Width of a slot, and rows of one state entry.
+SLOT_US = 60_000_000
+PIECE_ROWS = 500
+
+
 class EventTimeProcessor(StatefulProcessor):
     """Hands the rows of a key to :meth:`step` in ``(ts, id)`` order once the
-    watermark has passed them.  ``fields`` is the schema of a waiting row, beginning
-    with ``id long, ts long``; ``columns`` are the names of an output row."""
+    watermark has passed their slot.  ``fields`` is the schema of a waiting row,
+    beginning with ``id long, ts long``; ``columns`` are the names of an output row."""
 
     fields = "id long, ts long"
     columns: list[str] = []
+    slot_us = SLOT_US
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.names = [f.split()[0] for f in self.fields.split(", ")]
-        self.waiting = handle.getListState("waiting", self.fields)
+        row = ", ".join(":".join(f.split()) for f in self.fields.split(", "))
+        self.pieces = handle.getMapState("pieces", "slot long", "n int")
+        self.waiting = handle.getMapState("waiting", "slot long, piece int", f"rows array<struct<{row}>>")
         self.open_state(handle)
 
     # -- what a subclass defines ------------------------------------------------
@@ -89,49 +102,108 @@ class EventTimeProcessor(StatefulProcessor):
         """The earliest deadline in state."""
         return None
 
-    def release_ms(self, ts_us: int) -> int:
-        """The watermark at which a row may be processed: past its time."""
-        return ts_us // 1000 + 1
+    def order(self, row):
+        return row[1], row[0]
 
     # -- Spark's side -----------------------------------------------------------
+    def _end_ms(self, slot: int) -> int:
+        """The watermark that has passed all rows of a slot."""
+        return -(-(slot + 1) * self.slot_us // 1000)
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        new = [tuple(getattr(r, n) for n in self.names) for r in rows]
-        self.waiting.appendList(new)
-        # an earlier row than all that wait needs an earlier timer; others find
-        # one registered already
-        self.handle.registerTimer(min(self.release_ms(r[1]) for r in new))
+        by_slot: dict[int, list] = {}
+        for r in rows:
+            slot = r.ts // self.slot_us
+            by_slot.setdefault(slot, []).append(tuple(getattr(r, n) for n in self.names))
+            if len(by_slot[slot]) == PIECE_ROWS:
+                self._wait(slot, by_slot.pop(slot))
+        for slot, some in by_slot.items():
+            self._wait(slot, some)
         return iter(())
 
+    def _wait(self, slot: int, rows: list) -> None:
+        had = self.pieces.getValue((slot,))
+        n = had[0] if had else 0
+        self.waiting.updateValue((slot, n), (rows,))
+        self.pieces.updateValue((slot,), (n + 1,))
+        if not n:
+            self.handle.registerTimer(self._end_ms(slot))
+
+    def _take(self, slot: int) -> list:
+        had = self.pieces.getValue((slot,))
+        rows = []
+        for n in range(had[0] if had else 0):
+            rows += [tuple(r) for r in self.waiting.getValue((slot, n))[0]]
+            self.waiting.removeKey((slot, n))
+        if had:
+            self.pieces.removeKey((slot,))
+        return sorted(rows, key=self.order)
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        mark = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
-        due, rest = [], []
-        for r in self.waiting.get():
-            (due if self.release_ms(r[1]) <= mark else rest).append(tuple(r))
+        # timers are slot ends, and those of a key fire in order of time
+        end_us = expiredTimerInfo.getExpiryTimeInMs() * 1000
+        slot = end_us // self.slot_us - 1
         self.load()
-        out = []
-        for r in sorted(due, key=lambda r: (r[1], r[0])):
-            out += self.expire(key, r[1])
-            out += self.step(key, r)
-        out += self.expire(key, mark * 1000)
+        for r in self._take(slot):
+            yield from self._rows(self.expire(key, r[1]))
+            yield from self._rows(self.step(key, r))
+        yield from self._rows(self.expire(key, (slot + 1) * self.slot_us))
+        deadline, mark = self.deadline_us(), timerValues.getCurrentWatermarkInMs()
+        if deadline is not None and self._end_ms(deadline // self.slot_us) <= mark:
+            # a timer set now for a time that has passed would not fire in this batch:
+            # a later firing of this batch sees to the deadline, or this one does
+            if not any(end_us < t * 1000 <= mark * 1000 for t in self.handle.listTimers()):
+                yield from self._rows(self.expire(key, mark * 1000 // self.slot_us * self.slot_us))
+            deadline = self.deadline_us()
         self.store()
-        if due:
-            if rest:
-                self.waiting.put(rest)
-            else:
-                self.waiting.clear()
-        times = [self.release_ms(r[1]) for r in rest]
-        deadline = self.deadline_us()
-        if deadline is not None:
-            times.append(-(-deadline // 1000))
-        if times:
-            self.handle.registerTimer(max(min(times), mark + 1))
-        for d in out:
+        if deadline is not None and self._end_ms(deadline // self.slot_us) > mark:
+            self.handle.registerTimer(self._end_ms(deadline // self.slot_us))
+
+    def _rows(self, found: Iterable[dict]) -> Iterator[Row]:
+        for d in found:
             yield Row(**{c: d.get(c) for c in self.columns})
 
     def close(self) -> None:
         pass
 
 
+class StateQueue:
+    """First in, first out, in map state: numbered entries and the numbers of both
+    ends.  Nothing but the entries asked for is read."""
+
+    def __init__(self, handle, name: str, fields: str):
+        self.ends = handle.getValueState(f"{name}_ends", "head long, tail long")
+        self.entries = handle.getMapState(f"{name}_entries", "n long", fields)
+
+    def load(self) -> None:
+        at = self.ends.get()
+        self.head, self.tail = self.before = tuple(at) if at else (0, 0)
+        self.first = None
+
+    def store(self) -> None:
+        if (self.head, self.tail) != self.before:
+            self.ends.update((self.head, self.tail))
+
+    def __len__(self) -> int:
+        return self.tail - self.head
+
+    def push(self, entry: tuple) -> None:
+        self.entries.updateValue((self.tail,), entry)
+        self.tail += 1
+
+    def peek(self) -> tuple:
+        if self.first is None:
+            self.first = tuple(self.entries.getValue((self.head,)))
+        return self.first
+
+    def pop(self) -> tuple:
+        entry = self.peek()
+        self.entries.removeKey((self.head,))
+        self.head += 1
+        self.first = None
+        return entry
+
+
 class _OneValue(EventTimeProcessor):
     """State is one value, ``initial`` until the first row."""
 
@@ -202,42 +274,35 @@ class ReconcileProcessor(EventTimeProcessor):
         self.within = within_us
 
     def open_state(self, handle) -> None:
-        self.lists = {s: handle.getListState(s, "id long, ts long") for s in ("left", "right")}
+        self.open = {s: StateQueue(handle, s, "id long, ts long") for s in ("left", "right")}
 
     def load(self) -> None:
-        self.open = {s: deque(tuple(v) for v in state.get()) for s, state in self.lists.items()}
-        self.before = {s: list(v) for s, v in self.open.items()}
+        for queue in self.open.values():
+            queue.load()
 
     def store(self) -> None:
-        for s, rows in self.open.items():
-            if list(rows) == self.before[s]:
-                continue
-            if rows:
-                self.lists[s].put(list(rows))
-            else:
-                self.lists[s].clear()
+        for queue in self.open.values():
+            queue.store()
 
     def expire(self, key, upto_us):
-        out = []
-        for side, rows in self.open.items():
-            while rows and rows[0][1] + self.within < upto_us:
-                vid, vts = rows.popleft()
+        for side, queue in self.open.items():
+            while len(queue) and queue.peek()[1] + self.within < upto_us:
+                vid, vts = queue.pop()
                 mine = side[0]
-                out.append({"key": key[0], f"{mine}_id": vid, f"{mine}_ts": vts, "status": f"{side}_only"})
-        return out
+                yield {"key": key[0], f"{mine}_id": vid, f"{mine}_ts": vts, "status": f"{side}_only"}
 
     def step(self, key, row):
         vid, vts, side = row
         other = "right" if side == "left" else "left"
-        if not self.open[other]:
-            self.open[side].append((vid, vts))
-            return ()
-        oid, ots = self.open[other].popleft()
-        return [{"key": key[0], f"{side[0]}_id": vid, f"{side[0]}_ts": vts, f"{other[0]}_id": oid,
-                 f"{other[0]}_ts": ots, "status": "matched"}]
+        if not len(self.open[other]):
+            self.open[side].push((vid, vts))
+            return
+        oid, ots = self.open[other].pop()
+        yield {"key": key[0], f"{side[0]}_id": vid, f"{side[0]}_ts": vts, f"{other[0]}_id": oid,
+               f"{other[0]}_ts": ots, "status": "matched"}
 
     def deadline_us(self):
-        heads = [rows[0][1] for rows in self.open.values() if rows]
+        heads = [queue.peek()[1] for queue in self.open.values() if len(queue)]
         return min(heads) + self.within + 1 if heads else None
 
 
@@ -264,40 +329,29 @@ class FollowedByProcessor(EventTimeProcessor):
         self.within = within_us
 
     def open_state(self, handle) -> None:
-        self.list = handle.getListState("open", "id long, ts long")
+        self.open = StateQueue(handle, "open", "id long, ts long")
 
     def load(self) -> None:
-        self.open = deque(tuple(v) for v in self.list.get())
-        self.before = list(self.open)
+        self.open.load()
 
     def store(self) -> None:
-        if list(self.open) != self.before:
-            if self.open:
-                self.list.put(list(self.open))
-            else:
-                self.list.clear()
+        self.open.store()
 
     def expire(self, key, upto_us):
-        out = []
-        while self.open and self.open[0][1] + self.within <= upto_us:
-            oid, ots = self.open.popleft()
-            out.append({"key": key[0], "first_id": oid, "first_ts": ots, "then_ts": ots + self.within,
-                        "kind": "timeout"})
-        return out
+        while len(self.open) and self.open.peek()[1] + self.within <= upto_us:
+            oid, ots = self.open.pop()
+            yield {"key": key[0], "first_id": oid, "first_ts": ots, "then_ts": ots + self.within, "kind": "timeout"}
 
     def step(self, key, row):
         vid, vts, is_first, is_then = row
-        out = []
-        if is_then:
-            out = [{"key": key[0], "first_id": oid, "first_ts": ots, "then_id": vid, "then_ts": vts,
-                    "kind": "match"} for oid, ots in self.open]
-            self.open.clear()
+        while is_then and len(self.open):
+            oid, ots = self.open.pop()
+            yield {"key": key[0], "first_id": oid, "first_ts": ots, "then_id": vid, "then_ts": vts, "kind": "match"}
         if is_first:
-            self.open.append((vid, vts))
-        return out
+            self.open.push((vid, vts))
 
     def deadline_us(self):
-        return self.open[0][1] + self.within if self.open else None
+        return self.open.peek()[1] + self.within if len(self.open) else None
 
 
 def followed_by_exact(stream: DataFrame, key: str, id_col: str, et: str, first, then,
@@ -334,35 +388,102 @@ def state_machine_exact(stream: DataFrame, key: str, id_col: str, et: str, event
 
 # ------------------------------------------------------------------ N3
 class BufferFlushProcessor(EventTimeProcessor):
-    """A key's rows wait in list state until the watermark reaches the
-    next multiple of ``every`` after them; then they are flushed in order."""
+    """A key's rows wait until the watermark reaches the next multiple of
+    ``every`` after them, which is the end of their slot; then they are flushed in
+    order."""
 
     columns = ["key", "id", "ts", "flush_ts", "position"]
 
     def __init__(self, every_us: int):
-        self.every = every_us
-
-    def _flush_us(self, ts_us: int) -> int:
-        return (ts_us // self.every + 1) * self.every
-
-    def release_ms(self, ts_us: int) -> int:
-        return -(-self._flush_us(ts_us) // 1000)
+        self.slot_us = every_us
 
     def load(self) -> None:
-        self.position: dict[int, int] = {}
+        self.position = 0
 
     def step(self, key, row):
-        flush = self._flush_us(row[1])
-        self.position[flush] = self.position.get(flush, 0) + 1
-        return [{"key": key[0], "id": row[0], "ts": row[1], "flush_ts": flush, "position": self.position[flush]}]
+        self.position += 1
+        flush = (row[1] // self.slot_us + 1) * self.slot_us
+        yield {"key": key[0], "id": row[0], "ts": row[1], "flush_ts": flush, "position": self.position}
 
 
 def buffer_flush_exact(stream: DataFrame, key: str, id_col: str, et: str, every,
                        delay=0) -> DataFrame:
+    if _micros(every) % 1000:
+        raise ValueError("timers have milliseconds")
     return _stateful(_source(stream, key, id_col, et), et, delay, BufferFlushProcessor(_micros(every)),
                      "key long, id long, ts long, flush_ts long, position long")
 
 
+# ------------------------------------------------------------------ V3
+class RuleJoinProcessor(EventTimeProcessor):
+    """Events of many keys with their key's previous event and the rule in force.
+
+    A Spark key here is a bucket of event keys; rules come to all buckets.  Events and
+    rules wait in the same slots until the watermark of both streams has passed them
+    and are taken in order of time, rules first, so an event meets the latest rule
+    that starts at or before it, however late that rule arrived.  Of rules with equal
+    start the greatest counts.  The log of rules is what waits plus the one in force."""
+
+    def __init__(self, rule_fields: list[str]):
+        self.rule_fields = rule_fields
+        rules = "".join(f", {f} string" for f in rule_fields)
+        self.fields = f"id long, ts long, is_rule boolean, of long, no_key boolean, type string{rules}"
+        self.rule_schema = "since long" + rules
+        self.columns = ["id", "key", "ts", "type", "prev_id", "prev_type", "rule_since", *rule_fields]
+
+    def order(self, row):
+        # None sorts before any text
+        return (row[1], not row[2], row[0] or 0,
+                tuple((v is not None, v or "") for v in row[6:]) if row[2] else ())
+
+    def open_state(self, handle) -> None:
+        self.rule = handle.getValueState("rule", self.rule_schema)
+        self.previous = handle.getMapState("previous", "of long, no_key boolean", "id long, type string")
+
+    def load(self) -> None:
+        v = self.rule.get()
+        self.now = self.before = tuple(v) if v else None
+
+    def store(self) -> None:
+        if self.now != self.before:
+            self.rule.update(self.now)
+
+    def step(self, key, row):
+        rid, ts, is_rule, of, no_key, kind = row[:6]
+        if is_rule:
+            self.now = (ts, *row[6:])
+            return
+        last = self.previous.getValue((of, no_key))
+        since, *rule = self.now or [None] * (1 + len(self.rule_fields))
+        yield {"id": rid, "key": None if no_key else of, "ts": ts, "type": kind,
+               "prev_id": last[0] if last else None, "prev_type": last[1] if last else None,
+               "rule_since": since, **dict(zip(self.rule_fields, rule))}
+        self.previous.updateValue((of, no_key), (rid, kind))
+
+
+def rule_join(events: DataFrame, rules: DataFrame, key: str, id_col: str, et: str, type_col: str,
+              rule_fields: list[str], buckets: int, delay=0, rule_delay=0) -> DataFrame:
+    """J5 with the rules as a stream of their own (append mode): ``rules`` has the
+    event-time column ``et`` (when a rule starts) and text columns ``rule_fields``.
+
+    Events go to ``buckets`` state keys by a hash of their key, each rule to all of
+    them (choose about as many as there are shuffle partitions).  The query's watermark
+    is the smaller of the two streams' watermarks, so events wait for the rules."""
+    no_rule = [F.lit(None).cast("string").alias(f) for f in rule_fields]
+    ev = (events.withWatermark(et, W.duration(delay or 0))
+          .select(F.pmod(F.xxhash64(key), F.lit(buckets)).alias("key"), F.col(id_col).cast("long").alias("id"),
+                  _us(et).alias("ts"), F.lit(False).alias("is_rule"), F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("of"),
+                  F.col(key).isNull().alias("no_key"), F.col(type_col).alias("type"), *no_rule, F.col(et).alias("et")))
+    ru = (rules.withWatermark(et, W.duration(rule_delay or 0))
+          .select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long"))).alias("key"), F.lit(None).cast("long").alias("id"),
+                  _us(et).alias("ts"), F.lit(True).alias("is_rule"), F.lit(0).cast("long").alias("of"),
+                  F.lit(False).alias("no_key"), F.lit(None).cast("string").alias("type"), *rule_fields, F.col(et).alias("et")))
+    out = ("id long, key long, ts long, type string, prev_id long, prev_type string, rule_since long"
+           + "".join(f", {f} string" for f in rule_fields))
+    return (ev.unionByName(ru).groupBy("key")
+            .transformWithState(RuleJoinProcessor(rule_fields), out, "Append", "EventTime"))
+
+
 # ------------------------------------------------------------------ V4
 class TtlValueProcessor(StatefulProcessor):
     """V4: value state with a processing-time TTL; emits each row together
@@ -396,6 +517,66 @@ def ttl_previous(stream: DataFrame, key: str, id_col: str, et: str, ttl) -> Data
         TtlValueProcessor(ttl_ms), "key long, id long, alive_id long", "Append", "ProcessingTime")
 
 
+class TtlEventTimeProcessor(EventTimeProcessor):
+    """V4 in event time: map state per ``entry`` of a key; a value lives ``ttl`` from its
+    last write and each write refreshes it.  Expired entries are removed by the timer
+    of the slot in which they run out; until then their age is checked on reading."""
+
+    fields = "id long, ts long, entry string"
+    columns = ["key", "id", "ts", "entry", "alive_id"]
+
+    def __init__(self, ttl_us: int):
+        self.ttl = ttl_us
+
+    def open_state(self, handle) -> None:
+        self.values = handle.getMapState("values", "entry string, none boolean", "id long, ts long")
+        self.runs_out = handle.getMapState("runs_out", "slot long", "entries array<struct<entry:string,none:boolean>>")
+        self.next_slot = None
+
+    def load(self) -> None:
+        self.touched, self.next_slot = set(), None
+
+    def step(self, key, row):
+        rid, ts, entry = row
+        name = (entry or "", entry is None)
+        last = self.values.getValue(name)
+        yield {"key": key[0], "id": rid, "ts": ts, "entry": entry,
+               "alive_id": last[0] if last and last[1] + self.ttl >= ts else None}
+        self.values.updateValue(name, (rid, ts))
+        self.touched.add((name, (ts + self.ttl + 1) // self.slot_us))
+
+    def expire(self, key, upto_us):
+        # entries that were due in the slot ending here and were not written again
+        if upto_us % self.slot_us == 0:
+            slot = upto_us // self.slot_us - 1
+            due = self.runs_out.getValue((slot,))
+            if due:
+                for e in due[0]:
+                    last = self.values.getValue(tuple(e))
+                    if last and last[1] + self.ttl < upto_us:
+                        self.values.removeKey(tuple(e))
+                self.runs_out.removeKey((slot,))
+        return ()
+
+    def store(self) -> None:
+        by_slot: dict[int, list] = {}
+        for name, slot in sorted(self.touched):
+            by_slot.setdefault(slot, []).append(name)
+        for slot, names in by_slot.items():
+            had = self.runs_out.getValue((slot,))
+            known = [tuple(e) for e in had[0]] if had else []
+            self.runs_out.updateValue((slot,), (known + [n for n in names if n not in set(known)],))
+            self.handle.registerTimer(self._end_ms(slot))
+
+
+def ttl_previous_event_time(stream: DataFrame, key: str, id_col: str, et: str, ttl, entry=None, delay=0) -> DataFrame:
+    """V4 in event time (append mode): each row with the id of the value that is still
+    alive for its key and entry: written at most ``ttl`` before."""
+    source = _source(stream, key, id_col, et, (F.lit("") if entry is None else entry).cast("string").alias("entry"))
+    return _stateful(source, et, delay, TtlEventTimeProcessor(_micros(ttl)),
+                     "key long, id long, ts long, entry string, alive_id long")
+
+
 # ------------------------------------------------------------------ C2/C3
 class StrictSequenceProcessor(EventTimeProcessor):
     """C2/C3 exact: the last ``n - 1`` rows of the key (list state, bounded)
