@@ -40,13 +40,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ships_by_value, to_table, whole
+from .common import gives_back, ships_by_value, to_table, whole
 from .records import _slices
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 30, 5
 SIZE = BANDS * ROWS
 ROUNDS, BLOCK = 1, 512
+#: Candidates whose bags are made at a time.
+FILL = 64
 PUNCTUATION = ".,;:!?\"'()[]{}<>|*#%&$-_=+/\\`~^@…–—“”‘’«»¿¡"
 
 
@@ -193,7 +195,7 @@ def sign(docs: DataFrame) -> DataFrame:
 
     rows = docs.select(_key().alias("key"), F.col("doc_id").cast("bigint").alias("doc_id"),
                        whole(F.col("text")).alias("text"))
-    return (rows.mapInArrow(run, "key binary, doc_id bigint, prints binary, bands binary")
+    return (rows.mapInArrow(gives_back(run), "key binary, doc_id bigint, prints binary, bands binary")
             .groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"),
                                 F.first("prints").alias("prints"), F.first("bands").alias("bands")))
 
@@ -209,7 +211,7 @@ def _buckets(signed: DataFrame) -> DataFrame:
                     names=["bucket", "key"])
 
     rows = (signed.where(F.col("bands").isNotNull()).select("key", "bands")
-            .mapInArrow(run, "bucket bigint, key binary"))
+            .mapInArrow(gives_back(run), "bucket bigint, key binary"))
     shared = rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     return rows.join(shared, "bucket")
 
@@ -226,7 +228,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
     ta = texts.select(F.col("key").alias("a"), F.col("text").alias("text_a"))
     tb = texts.select(F.col("key").alias("b"), F.col("text").alias("text_b"))
     return (pairs.join(ta, "a").join(tb, "b").select("a", "b", "text_a", "text_b")
-            .mapInArrow(run, "a binary, b binary"))
+            .mapInArrow(gives_back(run), "a binary, b binary"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -273,7 +275,7 @@ def _block_links(state: DataFrame, left: DataFrame, signed: DataFrame, texts: Da
         prints = np.stack([np.frombuffer(x, "<u2") for x in pdf["prints"]])
         bands = np.stack([np.frombuffer(x, np.int64) for x in pdf["bands"]])
         need = SIZE * (similar - 4 * (similar * (1 - similar) / SIZE) ** 0.5)
-        keys, labels, bags = pdf["key"].tolist(), pdf["label"].tolist(), None
+        keys, labels, bags = pdf["key"].tolist(), pdf["label"].tolist(), {}
         parent: dict[bytes, bytes] = {}
 
         def root(x):
@@ -281,16 +283,28 @@ def _block_links(state: DataFrame, left: DataFrame, signed: DataFrame, texts: Da
                 x = parent[x]
             return x
 
+        def fill(places: list[int]) -> None:
+            # bags of candidates only, a slice of texts at a time
+            new = [k for k in places if k not in bags]
+            if new:
+                for piece in _slices(pa.RecordBatch.from_arrays(
+                        [pa.array(new), pa.array(pdf["text"].iloc[new], pa.string())], ["k", "text"]), "text"):
+                    bags.update(zip(piece.column("k").to_pylist(), _bags(piece.column("text"))))
+
         found, other_prints, other_bands = [], prints[rest], bands[rest]
         for i in mine:
             # the smallest bucket that both are in compares them, the others do not
             first = np.where(other_bands == bands[i], bands[i], np.iinfo(np.int64).max).min(axis=1) == bucket
             first[first] = (other_prints[first] == prints[i]).sum(axis=1) >= need
-            for j in rest[first].tolist():
+            candidates = rest[first].tolist()
+            if any(root(labels[j]) != root(labels[i]) for j in candidates):
+                fill([i])
+            for at, j in enumerate(candidates):
                 x, y = root(labels[i]), root(labels[j])
                 if x == y:
                     continue
-                bags = bags or _bags(pa.array(pdf["text"], pa.string()))
+                if j not in bags:
+                    fill(candidates[at:at + FILL])
                 if similarity(bags[i], bags[j]) >= similar:
                     parent[x] = y
                     found.append((min(keys[i], keys[j]), max(keys[i], keys[j])))

@@ -47,6 +47,27 @@ def per_worker(key, make):
     return kept.values[key]
 
 
+def gives_back(run):
+    """``run`` for ``mapInArrow``, after whose last batch the worker process, which Spark
+    keeps for later tasks, returns what it no longer uses to the system."""
+    def wrapped(batches):
+        yield from run(batches)
+        release_memory()
+    return wrapped
+
+
+def release_memory() -> None:
+    import ctypes
+    import gc
+    import pyarrow as pa
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def whole(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 

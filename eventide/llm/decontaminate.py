@@ -43,7 +43,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, ships_by_value, to_table, whole
+from .common import gives_back, let, ships_by_value, to_table, whole
 from .records import _slices
 
 WINDOW = 8
@@ -178,7 +178,7 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
 
     rows = (benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), whole(F.col("text")).alias("text"))
             .where(F.col("item_id").isNotNull()))
-    return rows.mapInArrow(cut, "item_id bigint, n_tokens int, item_at int, length int, hash bigint, "
+    return rows.mapInArrow(gives_back(cut), "item_id bigint, n_tokens int, item_at int, length int, hash bigint, "
                                 "template array<string>, vals array<string>")
 
 
@@ -218,7 +218,7 @@ def _hits(docs: DataFrame, lengths: list[int], hashes: np.ndarray) -> DataFrame:
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"),
                        whole(F.col("text")).alias("text"))
-    return rows.mapInArrow(search, "doc_id bigint, text_hash bigint, doc_at int, hash bigint, "
+    return rows.mapInArrow(gives_back(search), "doc_id bigint, text_hash bigint, doc_at int, hash bigint, "
                                    "template array<string>, found array<string>")
 
 

@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import partitions, per_worker, shared_path, ships_by_value, whole
+from .common import gives_back, partitions, per_worker, shared_path, ships_by_value, whole
 
 INDEX = np.dtype([("doc_id", "<i8"), ("offset", "<u8"), ("length", "<u4"), ("flags", "<u4")])
 MASK = 0xA282EAD8
@@ -43,8 +43,8 @@ HEAD, BODY = "<QI", "<BBqI"
 HEAD_SIZE, BODY_SIZE = struct.calcsize(HEAD), struct.calcsize(BODY)
 
 #: Texts of one slice of an Arrow batch, and pre-tokens remembered per worker.
-SLICE_BYTES = 8 << 20
-MEMO_WORDS = 1_000_000
+SLICE_BYTES = 2 << 20
+MEMO_WORDS = 250_000
 
 #: Words that need no normalisation beyond lower case: letters, then marks.  The
 #: letters and the marks are one pre-token each.
@@ -208,7 +208,7 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, *, end_id: int,
     if ordered:
         rows = (rows.repartitionByRange(files or partitions(docs.sparkSession), "doc_id")
                 .sortWithinPartitions("doc_id", F.xxhash64("text")))
-    done = rows.mapInArrow(write, "part int, docs bigint, ids bigint").collect()
+    done = rows.mapInArrow(gives_back(write), "part int, docs bigint, ids bigint").collect()
     return sorted((r["part"], r["docs"], r["ids"]) for r in done)
 
 
