@@ -20,11 +20,13 @@ from pyspark.sql import functions as F
 from ..operators import joins as J
 from ..operators import patterns as P
 from ..session import state_location
-from ..sources.tables import events
+from ..sources.stored_stream import stored_rows
+from ..sources.tables import events, table_path
 from ..streaming import operators as S
 from ..streaming import sinks as K
 from ..streaming import stateful as ST
 from ..streaming.replay import replay, with_event_time, write_replay_files
+from ..streaming.rolling import read_rolled, start_rolling
 from . import joined, patterns
 from .registry import ORACLE, query
 
@@ -481,3 +483,22 @@ def stream_ttl_previous(spark, sf_dir):
         with_event_time(s), "user_id", "event_id", "et", "6 hours", F.col("event_type"), DELAY))
     return out.select(F.col("id").alias("event_id"), F.col("key").alias("user_id"), _ts("ts").alias("ts"),
                       F.col("entry").alias("event_type"), F.col("alive_id").alias("alive_event_id"))
+
+
+@query("stream_stored_rows", """
+SELECT user_id, count(*) AS n, min(ts) AS first_ts, max(event_id) AS last_event_id FROM events GROUP BY user_id""")
+def stream_stored_rows(spark, sf_dir):
+    """S2 + K5 + K6: the table itself as a stream with offsets by file and row, in four or
+    more micro-batches, written to files rolled at 64 KB with a manifest per epoch."""
+    base = state_location(spark, "stored_rows")
+    ev = events(spark, sf_dir).select("event_id", "user_id", "ts")
+    stream = stored_rows(spark, table_path(sf_dir, "events"), ev.schema, os.path.join(base, "progress"),
+                         max(1, math.ceil(ev.count() / MIN_BATCHES)))
+    out = os.path.join(base, "out")
+    q = start_rolling(stream, out, "stored_rows", roll_bytes=64 << 10, checkpoint=os.path.join(base, "ckpt"))
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return (read_rolled(spark, out, ev.schema).groupBy("user_id")
+            .agg(F.count("*").alias("n"), F.min("ts").alias("first_ts"), F.max("event_id").alias("last_event_id")))
