@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventide.llm import bagminhash, decontaminate, mixing, quality_ranker, records
-from eventide.llm.common import shared_path
+from eventide.llm.common import aside, shared_path
 from eventide.llm.queries import tokenizer_path
 from eventide.sources.tables import read_table
 
@@ -24,9 +24,10 @@ ORACLE_SQL = None
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose Bradley-Terry score reaches the decision threshold."""
+    plain, back = aside(docs, "doc_id", "text")
     model = quality_ranker.fit(docs, read_table(spark, sf_dir, "labels"))
-    return (quality_ranker.rank(docs, model, score="_score")
-            .where(F.col("_score") >= quality_ranker.DECISION).select(*docs.columns))
+    return back(quality_ranker.rank(plain, model, score="_score")
+                .where(F.col("_score") >= quality_ranker.DECISION).select(*plain.columns))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +42,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated by Poisson draws to the target weights, shuffled."""
-    return mixing.mix(docs).select(*docs.columns)
+    plain, back = aside(docs, "doc_id", "text", "source")
+    return back(mixing.mix(plain).select(*plain.columns))
 
 
 def token_records(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -40,7 +40,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import gives_back, ships_by_value, to_table, whole
+from .common import aside, gives_back, ships_by_value, to_table, whole
 from .records import _slices
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -387,9 +387,9 @@ def _nodes(docs: DataFrame, **options) -> DataFrame:
 
 def classes(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with ``class_id``: one row per document."""
-    plain = docs.drop("class_id")
+    plain, back = aside(docs, "doc_id", "text", made=("class_id",))
     nodes = _nodes(docs, **options).select(F.col("key").alias("_key"), F.col("first.doc_id").alias("class_id"))
-    return (plain.withColumn("_key", _key()).join(nodes, "_key").select(*plain.columns, "class_id"))
+    return back(plain.withColumn("_key", _key()).join(nodes, "_key").select(*plain.columns, "class_id"))
 
 
 def deduplicate(docs: DataFrame, **options) -> DataFrame:
@@ -397,9 +397,10 @@ def deduplicate(docs: DataFrame, **options) -> DataFrame:
     text, so a hot group of copies, of which one row stays, meets in no task."""
     stay = (_nodes(docs, **options).where(F.col("key") == F.col("first.key"))
             .select(F.col("first.doc_id").alias("_id"), F.col("key").alias("_key")))
-    rows = docs.withColumn("_k", _key())
-    return (rows.join(stay, (F.col("doc_id").cast("bigint")).eqNullSafe(F.col("_id")) & (F.col("_k") == F.col("_key")))
-            .dropDuplicates(["_id", "_key"]).select(*docs.columns))
+    plain, back = aside(docs, "doc_id", "text")
+    rows = plain.withColumn("_k", _key())
+    return back(rows.join(stay, (F.col("doc_id").cast("bigint")).eqNullSafe(F.col("_id")) & (F.col("_k") == F.col("_key")))
+                .dropDuplicates(["_id", "_key"]).select(*plain.columns))
 
 
 ships_by_value(__name__)

@@ -68,6 +68,16 @@ def release_memory() -> None:
         pass
 
 
+def aside(df: DataFrame, *used: str, made: tuple[str, ...] = ()):
+    """``df`` without the columns ``made`` by an operator and with all columns it does not
+    use under names of their own, so that none clashes with the operator's; and a
+    function that gives its result the old names back."""
+    plain = df.drop(*made)
+    names = {c: f"_extra{i}" for i, c in enumerate(plain.columns) if c not in used}
+    back = {v: k for k, v in names.items()}
+    return plain.withColumnsRenamed(names), lambda out: out.withColumnsRenamed(back)
+
+
 def whole(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 

@@ -43,7 +43,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import gives_back, let, ships_by_value, to_table, whole
+from .common import aside, gives_back, let, ships_by_value, to_table, whole
 from .records import _slices
 
 WINDOW = 8
@@ -275,8 +275,9 @@ def remove(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without the contaminated ones."""
     bad = to_table(find(docs, benchmark, **options).select("doc_id", "text_hash").distinct(), "contaminated")
     b = bad.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"))
-    return docs.join(b, F.col("doc_id").eqNullSafe(F.col("_doc"))
-                     & (F.xxhash64("text") == F.col("_hash")), "left_anti")
+    plain, back = aside(docs, "doc_id", "text")
+    return back(plain.join(b, F.col("doc_id").eqNullSafe(F.col("_doc"))
+                           & (F.xxhash64("text") == F.col("_hash")), "left_anti"))
 
 
 ships_by_value(__name__)

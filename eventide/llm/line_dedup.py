@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import NOT_SPACE, let, to_table, whole
+from .common import NOT_SPACE, aside, let, to_table, whole
 
 MIN_WORDS = 50
 
@@ -112,18 +112,18 @@ def repeated(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
 def remove_repeats(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` without later copies; ``deleted`` has the runs ``(start, lines)``."""
     gone = to_table(repeated(docs, min_words=min_words), "repeated-lines")
-    plain = docs.drop("deleted")
+    plain, back = aside(docs, "doc_id", "text", made=("deleted",))
     kept = F.array_join(F.filter(F.split(F.col("text"), "\n"), lambda x, k: ~F.array_contains(F.col("y.gone"), k)), "\n")
     # starts of runs of consecutive numbers, and how far each goes
     starts = F.filter(F.transform("y.gone", lambda k, n: F.when(
         (n == 0) | (k != F.get(F.col("y.gone"), n - 1) + 1), n)), lambda n: n.isNotNull())
     runs = let(starts, lambda s: F.zip_with(s, F.slice(s, 2, F.size(s)), lambda a, b: F.struct(
         F.get(F.col("y.gone"), a).alias("start"), (F.coalesce(b, F.size("y.gone")) - a).alias("lines"))))
-    return (plain.withColumn("_h", F.xxhash64(whole(F.col("text")))).alias("x")
-            # many documents have deletions: the same (sorted) join at every size
-            .join(gone.hint("merge").alias("y"),
-                  F.col("x.doc_id").eqNullSafe(F.col("y.d")) & (F.col("x._h") == F.col("y.h")), "left")
-            .select(*(F.when(F.col("y.gone").isNull(), F.col("x.text")).otherwise(kept).alias("text") if c == "text"
-                      else F.col(f"x.{c}") for c in plain.columns),
-                    F.coalesce(F.when(F.col("y.gone").isNotNull(), runs),
-                               F.array().cast("array<struct<start:int,lines:int>>")).alias("deleted")))
+    return back(plain.withColumn("_h", F.xxhash64(whole(F.col("text")))).alias("x")
+                # many documents have deletions: the same (sorted) join at every size
+                .join(gone.hint("merge").alias("y"),
+                      F.col("x.doc_id").eqNullSafe(F.col("y.d")) & (F.col("x._h") == F.col("y.h")), "left")
+                .select(*(F.when(F.col("y.gone").isNull(), F.col("x.text")).otherwise(kept).alias("text") if c == "text"
+                          else F.col(f"x.{c}") for c in plain.columns),
+                        F.coalesce(F.when(F.col("y.gone").isNotNull(), runs),
+                                   F.array().cast("array<struct<start:int,lines:int>>")).alias("deleted")))

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, partitions, to_table, whole
+from .common import aside, let, partitions, to_table, whole
 
 SEED, ALPHA = 17, 0.5
 
@@ -88,7 +88,7 @@ def replicate(docs: DataFrame, by_source: DataFrame, *, seed: int = SEED) -> Dat
 
     The rates are one row per source; Spark broadcasts them when their table is
     small and otherwise splits the hot source's rows (skew join)."""
-    plain = docs.drop("rate", "copy", "mix_key")
+    plain, back = aside(docs, "doc_id", "text", "source", made=("rate", "copy", "mix_key"))
     names = plain.columns
     r = by_source.select(F.col("source").alias("_source"), "rate")
     joined = plain.join(r, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
@@ -97,8 +97,8 @@ def replicate(docs: DataFrame, by_source: DataFrame, *, seed: int = SEED) -> Dat
     copies = (joined.withColumn("_n", n).where(F.col("_n") > 0)
               .select(*names, "rate", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("copy"))
               .withColumn("mix_key", uniform(seed + 1, *ident, F.col("copy"))))
-    return (copies.repartition(partitions(docs.sparkSession), "mix_key")
-            .sortWithinPartitions("mix_key", "doc_id"))
+    return back(copies.repartition(partitions(docs.sparkSession), "mix_key")
+                .sortWithinPartitions("mix_key", "doc_id"))
 
 
 def mix(docs: DataFrame, *, weights: dict[str | None, float] | None = None, alpha: float = ALPHA,

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ships_by_value, to_table, whole
+from .common import aside, ships_by_value, to_table, whole
 from .records import _slices
 
 THRESHOLD, MIN_PAGES, DECAY = 0.2, 8, 0.9
@@ -357,7 +357,7 @@ def extract(pages: DataFrame, *, threshold: float = THRESHOLD, min_pages: int =
     """``pages`` with the column ``text``.  The trees are a table of one row per host,
     which Spark broadcasts when small and joins by host otherwise."""
     trees = to_table(tree(pages, min_pages=min_pages), "style-trees")
-    plain = pages.drop("text")
+    plain, back = aside(pages, "page_id", "url", "html", made=("text",))
     names = plain.columns
 
     def run(batches):
@@ -373,7 +373,7 @@ def extract(pages: DataFrame, *, threshold: float = THRESHOLD, min_pages: int =
     joined = (plain.withColumn("_host", host(F.col("url"))).withColumn("_html", whole(F.col("html")))
               .join(trees.select(F.col("host").alias("_host"), F.col("nodes").alias("_nodes")), "_host", "left")
               .select(*names, "_html", "_nodes"))
-    return joined.mapInArrow(run, T.StructType([*plain.schema.fields, T.StructField("text", T.StringType())]))
+    return back(joined.mapInArrow(run, T.StructType([*plain.schema.fields, T.StructField("text", T.StringType())])))
 
 
 ships_by_value(__name__)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import sample_label_ids, ships_by_value, whole
+from .common import aside, sample_label_ids, ships_by_value, whole
 from .records import _slices
 
 #: Labelled ids used to fit, features kept, and bits of a feature's hash.
@@ -234,7 +234,7 @@ def score(docs: DataFrame, model: Model, *, column: str = "score") -> DataFrame:
     """``docs`` with the toxicity score, 0 to 1."""
     shared = docs.sparkSession.sparkContext.broadcast(
         (np.flatnonzero(model.weights), model.weights[model.weights != 0], model.intercept))
-    plain = docs.drop(column)
+    plain, back = aside(docs, "doc_id", "text", made=(column,))
     names = plain.columns
 
     def run(batches):
@@ -250,7 +250,7 @@ def score(docs: DataFrame, model: Model, *, column: str = "score") -> DataFrame:
                                                  names=[*names, column])
 
     schema = T.StructType([*plain.schema.fields, T.StructField(column, T.DoubleType())])
-    return plain.withColumn("_text", whole(F.col("text"))).mapInArrow(run, schema)
+    return back(plain.withColumn("_text", whole(F.col("text"))).mapInArrow(run, schema))
 
 
 ships_by_value(__name__)
