@@ -42,9 +42,10 @@ MASK = 0xA282EAD8
 HEAD, BODY = "<QI", "<BBqI"
 HEAD_SIZE, BODY_SIZE = struct.calcsize(HEAD), struct.calcsize(BODY)
 
-#: Texts of one slice of an Arrow batch, and pre-tokens remembered per worker.
-SLICE_BYTES = 2 << 20
-MEMO_WORDS = 250_000
+#: Texts of one slice of an Arrow batch (of the encoder: it looks at each distinct word
+#: of a slice), and pre-tokens remembered per worker.
+SLICE_BYTES, ENCODE_BYTES = 2 << 20, 4 << 20
+MEMO_WORDS = 400_000
 
 #: Words that need no normalisation beyond lower case: letters, then marks.  The
 #: letters and the marks are one pre-token each.
@@ -141,12 +142,12 @@ class WordEncoder:
         return ids[_gather(starts[use], n)], word_end[np.cumsum(per_text)]
 
 
-def _slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+def _slices(batch: pa.RecordBatch, column: str, slice_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     size = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False))
     at = 0
     while at < batch.num_rows:
         before = size[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(size, before + SLICE_BYTES, side="right")))
+        to = max(at + 1, int(np.searchsorted(size, before + slice_bytes, side="right")))
         yield batch.slice(at, to - at)
         at = to
 
@@ -172,7 +173,7 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, *, end_id: int,
         encoder = index = data = None
         n_docs = n_ids = at = 0
         for batch in batches:
-            for piece in _slices(batch, "text"):
+            for piece in _slices(batch, "text", ENCODE_BYTES):
                 if encoder is None:
                     encoder = per_worker(("encoder", tokenizer), lambda: WordEncoder(tokenizer))
                     fs.create_dir(root, recursive=True)
