@@ -265,12 +265,13 @@ def reconcile_one_to_one(left: DataFrame, right: DataFrame, keys: list[str], l_t
                        "_oldest": F.when(is_left, F.col("_rr") + before).otherwise(F.col("_rl") - before)})
     d = seq.finish(d).select(*keys, "ts", "id", "is_left", "_takes", "_no", "_oldest")
 
-    took = d.filter("_takes").select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-                                     F.col("id").alias("o_id"), F.col("ts").alias("o_ts"),
-                                     (~is_left).alias("_side"), F.col("_oldest"))
-    on = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)]
-    waited = d.filter(~F.col("_takes")).drop("_oldest").join(
-        took, [*on, is_left == F.col("_side"), F.col("_no") == F.col("_oldest")], "left")
+    # the row that waited and the one that took it, if any, have one (key, side, number)
+    takes, waits = F.col("_takes"), ~F.col("_takes")
+    waited = (d.select(*keys, F.when(takes, ~is_left).otherwise(is_left).alias("is_left"),
+                       F.when(takes, F.col("_oldest")).otherwise(F.col("_no")).alias("_no"), "_takes", "id", "ts")
+              .groupBy(*keys, "is_left", "_no")
+              .agg(F.max(F.when(waits, F.col("id"))).alias("id"), F.max(F.when(waits, F.col("ts"))).alias("ts"),
+                   F.max(F.when(takes, F.col("id"))).alias("o_id"), F.max(F.when(takes, F.col("ts"))).alias("o_ts")))
     alone = both.filter(no_key).select("*", *[F.lit(None).cast(t).alias(c) for c, t in (
         ("o_id", both.schema["id"].dataType), ("o_ts", both.schema["ts"].dataType))])
     cols = [*keys, "ts", "id", "is_left", "o_id", "o_ts"]

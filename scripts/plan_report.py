@@ -1,6 +1,7 @@
 """Summarise the physical plan of every registered batch query.
 
-For each query: shuffles (Exchange), broadcasts, sort-merge / hash joins,
+For each query: shuffles (Exchange; "full" are those of ordered scans that move rows by
+keys and chunk, not summaries), broadcasts, sort-merge / hash joins,
 nested-loop joins, window operators, partial top-N (WindowGroupLimit),
 Python stages, and the columns read from parquet.  Writes a markdown table.
 
@@ -23,7 +24,7 @@ COUNTS = {
     "nlj": r"BroadcastNestedLoopJoin|CartesianProduct",
     "windows": r"\bWindow \[",
     "partial_topn": r"WindowGroupLimit .*Partial",
-    "python": r"MapInPandas|FlatMapGroupsInPandas|ArrowEvalPython|BatchEvalPython",
+    "python": r"MapInPandas|MapInArrow|FlatMapGroupsInPandas|ArrowEvalPython|BatchEvalPython",
     "single_partition": r"Exchange SinglePartition",
 }
 
@@ -44,13 +45,15 @@ def main() -> None:
         df = fn(spark, sf_dir)
         plan = df._jdf.queryExecution().executedPlan().toString()
         c = {k: len(re.findall(v, plan)) for k, v in COUNTS.items()}
+        lines = plan.split("\n")
+        c["full"] = sum("_chunk#" in a and "Exchange hash" in a and "Aggregate" not in b for a, b in zip(lines, lines[1:]))
         schemas = sorted(set(re.findall(r"ReadSchema: struct<([^>]*)>", plan)))
         rows.append((name, c, "; ".join(schemas)))
-    lines = ["| query | shuffles | broadcasts | SMJ | BHJ | NLJ | windows | partial top-N | python | "
+    lines = ["| query | shuffles | of these full, by (keys, chunk) | broadcasts | SMJ | BHJ | NLJ | windows | partial top-N | python | "
              "single-partition | parquet columns read |",
-             "|---|---|---|---|---|---|---|---|---|---|---|"]
+             "|---|---|---|---|---|---|---|---|---|---|---|---|"]
     for name, c, schemas in rows:
-        lines.append(f"| {name} | {c['shuffles']} | {c['broadcasts']} | {c['smj']} | {c['bhj']} | "
+        lines.append(f"| {name} | {c['shuffles']} | {c['full']} | {c['broadcasts']} | {c['smj']} | {c['bhj']} | "
                      f"{c['nlj']} | {c['windows']} | {c['partial_topn']} | {c['python']} | "
                      f"{c['single_partition']} | {schemas} |")
     text = "\n".join(lines)
