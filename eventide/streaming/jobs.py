@@ -54,6 +54,7 @@ DEFAULTS: dict[str, dict] = {
     "top_n_processing_time": {"size": "5 seconds", "n": 5},
     "late_window_counts": {"size": "30 seconds", "delay": 0, "lateness": "5 seconds"},
     "late_split": {"size": "30 seconds", "delay": 0, "lateness": "5 seconds"},
+    "late_firings": {"size": "30 seconds", "delay": 0, "lateness": "5 seconds"},
     "reconcile": {"first": "view", "then": "purchase", "within": "5 seconds"},
     "interval_join": {"first": "view", "then": "purchase", "lower": "1 second", "upper": "5 seconds"},
     "window_join": {"first": "view", "then": "purchase", "size": "1 second"},
