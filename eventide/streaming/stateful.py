@@ -6,22 +6,31 @@ until the watermark has passed them and are then processed in ``(ts, id)`` order
 with deadlines (timeouts) between them.  Results therefore depend neither on the
 order of arrival (within the watermark delay) nor on micro-batch borders.
 
-State is addressed by deadline.  Time is cut into slots; the rows of a slot wait in
-map state under the slot's number, in pieces of bounded size, and one timer at the
-slot's end hands them over: a firing reads and removes its own slot and nothing
-else.  Deadlines are moved to the end of the slot they fall in, where the rows
-before them are known.  What stays open after a firing (rows that wait for a
-partner) is a queue in map state, of which only the ends are touched.  A hot key thus
-costs a firing the rows of one slot in memory, whatever else waits.
-
-State is per key, so the work is spread over keys by Spark's shuffle.  Times in state
-are epoch microseconds, timers epoch milliseconds.  A null key is a key of its own.
+A Spark key is a bucket of keys, by a hash: rows, timers and state are handled per
+bucket and micro-batch, not per row, as each access to state is a call out of the
+Python worker.  Rows wait in map state in pieces of bounded size, cut in order of time;
+an index has the first slot (of ``slot_us``) of each piece.  One timer stands at the
+end of the earliest slot or deadline.  A firing goes through all slots that the watermark
+has passed, in order; it reads the pieces as their slots come up, removes them, and puts
+back what is not due.  A hot key thus costs a firing the rows of a slot and of
+the pieces open there, whatever else waits.
+
+The states of a bucket's keys are read and written together, in entries of bounded size.
+What stays open after a firing (rows that wait for a partner) is a queue per key, of which
+the ends are among these states and all between is in pages of its own, untouched.
+Deadlines are met at the end of the slot they fall in, where the rows before them are known.
+
+Buckets are spread by Spark's shuffle.  Times in state are epoch microseconds, timers
+epoch milliseconds.  A null key is a key of its own.
 """
 
 from __future__ import annotations
 
+import heapq
 import sys
+from collections import deque
 from collections.abc import Iterable, Iterator
+from operator import attrgetter, itemgetter
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
@@ -44,40 +53,65 @@ def _us(col: str):
 
 
 def _stateful(stream: DataFrame, et: str, delay, processor, out: str) -> DataFrame:
-    """``stream`` has ``key``, ``id``, ``ts`` and the event-time column ``et``; the
-    processor travels by value (see above)."""
+    """``stream`` comes from :func:`_source`; the processor travels by value (see above)."""
     return (stream.withWatermark(et, W.duration(delay or 0)).groupBy("key")
             .transformWithState(processor, out, "Append", "EventTime"))
 
 
-def _source(stream: DataFrame, key: str, id_col: str, et: str, *cols) -> DataFrame:
-    return stream.select(F.col(key).alias("key"), F.col(id_col).alias("id"), _us(et).alias("ts"), *cols, F.col(et))
+def _source(stream: DataFrame, key: str, id_col: str, et: str, *cols, buckets: int | None = None) -> DataFrame:
+    """``key`` (the bucket), ``of`` (the key itself), ``id``, ``ts``, ``cols`` and the event-time column."""
+    return stream.select(F.pmod(F.xxhash64(key), F.lit(buckets or BUCKETS)).alias("key"), F.col(key).alias("of"),
+                         F.col(id_col).alias("id"), _us(et).alias("ts"), *cols, F.col(et))
 
 
 def _micros(d) -> int:
     return int(round(W.seconds(d) * 1_000_000))
 
 
-#: Width of a slot, and rows of one state entry.
+#: Width of a slot, rows of one state entry, rows put in order at once, and buckets.
 SLOT_US = 60_000_000
 PIECE_ROWS = 500
+SORT_ROWS = 20_000
+BUCKETS = 1024
+
+
+def _fields(schema: str) -> list[tuple[str, str]]:
+    return [tuple(f.split()) for f in schema.split(", ")] if schema else []
+
+
+def _arrays(schema: str) -> str:
+    """The schema of a state entry that holds many rows: an array per column."""
+    return ", ".join(f"{name} array<{kind}>" for name, kind in _fields(schema))
+
+
+def _columns(rows: list) -> tuple:
+    return tuple(list(c) for c in zip(*rows))
 
 
 class EventTimeProcessor(StatefulProcessor):
-    """Hands the rows of a key to :meth:`step` in ``(ts, id)`` order once the
+    """Hands the rows of each key to :meth:`step` in ``(ts, id)`` order once the
     watermark has passed their slot.  ``fields`` is the schema of a waiting row,
-    beginning with ``id long, ts long``; ``columns`` are the names of an output row."""
+    beginning with ``id long, ts long``; ``columns`` are the names of an output row.
+    A key's state is a list of tuples with the schema ``item`` (none if empty), or what
+    :meth:`unpack` makes of it.  ``timed`` says that states have deadlines.
+
+    The key of a row is its column ``of``, or without one Spark's key."""
 
     fields = "id long, ts long"
+    item = ""
     columns: list[str] = []
     slot_us = SLOT_US
+    timed = False
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.names = [f.split()[0] for f in self.fields.split(", ")]
-        row = ", ".join(":".join(f.split()) for f in self.fields.split(", "))
-        self.pieces = handle.getMapState("pieces", "slot long", "n int")
-        self.waiting = handle.getMapState("waiting", "slot long, piece int", f"rows array<struct<{row}>>")
+        self.pieces = handle.getValueState("pieces", "n array<long>, lo array<long>")
+        self.waiting = handle.getMapState("waiting", "n long", _arrays(self.fields + ", of long"))
+        if self.item:
+            self.values = handle.getMapState("values", "block int", _arrays(self.item + ", of long") + ", blocks int")
+        if self.timed:
+            self.runs_out = handle.getValueState("runs_out", "deadline long")
+        self.output = Row(*self.columns)
         self.open_state(handle)
 
     # -- what a subclass defines ------------------------------------------------
@@ -85,25 +119,35 @@ class EventTimeProcessor(StatefulProcessor):
         """Create state variables."""
 
     def load(self) -> None:
-        """Read state before a firing."""
+        """Read state of the bucket before a firing."""
 
     def store(self) -> None:
-        """Write state after a firing."""
+        """Write state of the bucket after a firing."""
+
+    def begin(self, slot: int) -> None:
+        """The rows of ``slot`` come next."""
+
+    def unpack(self, of, items: list):
+        """The state of a key (``items`` is empty for a new one)."""
+        return items
 
-    def step(self, key, row) -> Iterable[dict]:
-        """Process the next row."""
+    def pack(self, state) -> list:
+        return state
+
+    def step(self, of, state, row) -> Iterable[dict]:
+        """Process the next row of key ``of``."""
         return ()
 
-    def expire(self, key, upto_us: int) -> Iterable[dict]:
+    def expire(self, of, state, upto_us: int) -> Iterable[dict]:
         """Deadlines at or before ``upto_us``."""
         return ()
 
-    def deadline_us(self) -> int | None:
-        """The earliest deadline in state."""
+    def deadline_us(self, state) -> int | None:
+        """The earliest deadline in a state."""
         return None
 
     def order(self, row):
-        return row[1], row[0]
+        return row[1], row[0] is not None, row[0] or 0
 
     # -- Spark's side -----------------------------------------------------------
     def _end_ms(self, slot: int) -> int:
@@ -111,125 +155,219 @@ class EventTimeProcessor(StatefulProcessor):
         return -(-(slot + 1) * self.slot_us // 1000)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        by_slot: dict[int, list] = {}
+        names, read, some = [name for name, _ in _fields(self.fields)], None, []
+        pieces = self._index()
+        first = min((lo for _, lo in pieces), default=None)
         for r in rows:
-            slot = r.ts // self.slot_us
-            by_slot.setdefault(slot, []).append(tuple(getattr(r, n) for n in self.names))
-            if len(by_slot[slot]) == PIECE_ROWS:
-                self._wait(slot, by_slot.pop(slot))
-        for slot, some in by_slot.items():
-            self._wait(slot, some)
+            if read is None:
+                of = hasattr(r, "of")
+                wanted = [*names, "of"] if of else names
+                read = itemgetter(*map(r.__fields__.index, wanted)) if isinstance(r, Row) else attrgetter(*wanted)
+            some.append(read(r) if of else (*read(r), key[0]))
+            if len(some) == SORT_ROWS:
+                self._wait(some, pieces)
+                some = []
+        self._wait(some, pieces)
+        self.pieces.update(_columns(pieces))
+        earliest = min(lo for _, lo in pieces)
+        if first is None or earliest < first:
+            self.handle.registerTimer(self._end_ms(earliest))
         return iter(())
 
-    def _wait(self, slot: int, rows: list) -> None:
-        had = self.pieces.getValue((slot,))
-        n = had[0] if had else 0
-        self.waiting.updateValue((slot, n), (rows,))
-        self.pieces.updateValue((slot,), (n + 1,))
-        if not n:
-            self.handle.registerTimer(self._end_ms(slot))
+    def _index(self) -> list:
+        """``(number, first slot)`` of the pieces that wait."""
+        had = self.pieces.get()
+        return list(zip(*had)) if had else []
+
+    def _wait(self, rows: list, pieces: list) -> None:
+        rows.sort(key=itemgetter(1))
+        n = 1 + max((n for n, _ in pieces), default=-1)
+        for at in range(0, len(rows), PIECE_ROWS):
+            piece = rows[at:at + PIECE_ROWS]
+            self.waiting.updateValue((n,), _columns(piece))
+            pieces.append((n, piece[0][1] // self.slot_us))
+            n += 1
 
     def _take(self, slot: int) -> list:
-        had = self.pieces.getValue((slot,))
-        rows = []
-        for n in range(had[0] if had else 0):
-            rows += [tuple(r) for r in self.waiting.getValue((slot, n))[0]]
-            self.waiting.removeKey((slot, n))
-        if had:
-            self.pieces.removeKey((slot,))
-        return sorted(rows, key=self.order)
+        """The rows of ``slot``, the earliest that waits."""
+        while self.unread and self.unread[0][0] <= slot:
+            n = heapq.heappop(self.unread)[1]
+            for r in zip(*self.waiting.getValue((n,))):
+                at = r[1] // self.slot_us
+                if at not in self.read:
+                    self.read[at] = []
+                    heapq.heappush(self.slots, at)
+                self.read[at].append(r)
+            self.waiting.removeKey((n,))
+        while self.slots and self.slots[0] <= slot:
+            heapq.heappop(self.slots)
+        return sorted(self.read.pop(slot, ()), key=self.order)
+
+    def _states(self) -> dict:
+        items: dict = {}
+        self.blocks = n = 0
+        while self.item and (n == 0 or n < self.blocks):
+            had = self.values.getValue((n,))
+            if not had:
+                break
+            self.blocks = had[-1]
+            for r in zip(*had[:-1]):
+                items.setdefault(r[-1], []).append(r[:-1])
+            n += 1
+        return {of: self.unpack(of, some) for of, some in items.items()}
+
+    def _put_states(self, states: dict) -> None:
+        items = [(*i, of) for of, state in states.items() for i in self.pack(state)]
+        blocks = -(-len(items) // PIECE_ROWS)
+        for n in range(blocks):
+            self.values.updateValue((n,), (*_columns(items[n * PIECE_ROWS:(n + 1) * PIECE_ROWS]), blocks))
+        for n in range(blocks, self.blocks):
+            self.values.removeKey((n,))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        # timers are slot ends, and those of a key fire in order of time
-        end_us = expiredTimerInfo.getExpiryTimeInMs() * 1000
-        slot = end_us // self.slot_us - 1
+        # a timer set here for a time that has passed would not fire in this batch, so
+        # the first firing of a batch does all that is due; others find nothing
+        upto = timerValues.getCurrentWatermarkInMs() * 1000 // self.slot_us
+        pieces, deadline = self._index(), (self.runs_out.get() or (None,))[0] if self.timed else None
+        due = [p for p in pieces if p[1] < upto]
+        if not due and (deadline is None or deadline >= upto * self.slot_us):
+            return
         self.load()
-        for r in self._take(slot):
-            yield from self._rows(self.expire(key, r[1]))
-            yield from self._rows(self.step(key, r))
-        yield from self._rows(self.expire(key, (slot + 1) * self.slot_us))
-        deadline, mark = self.deadline_us(), timerValues.getCurrentWatermarkInMs()
-        if deadline is not None and self._end_ms(deadline // self.slot_us) <= mark:
-            # a timer set now for a time that has passed would not fire in this batch:
-            # a later firing of this batch sees to the deadline, or this one does
-            if not any(end_us < t * 1000 <= mark * 1000 for t in self.handle.listTimers()):
-                yield from self._rows(self.expire(key, mark * 1000 // self.slot_us * self.slot_us))
-            deadline = self.deadline_us()
+        states = self._states()
+        self.unread, self.slots, self.read = [(lo, n) for n, lo in due], [], {}
+        heapq.heapify(self.unread)
+        while self.unread or self.slots:
+            slot = min(heap[0] if heap is self.slots else heap[0][0] for heap in (self.unread, self.slots) if heap)
+            if slot >= upto:
+                break
+            rows = self._take(slot)
+            self.begin(slot)
+            for r in rows:
+                of = r[-1]
+                if of not in states:
+                    states[of] = self.unpack(of, [])
+                state = states[of]
+                if self.timed:
+                    yield from self._rows(self.expire(of, state, r[1]))
+                yield from self._rows(self.step(of, state, r))
+        if due:
+            left = [p for p in pieces if p[1] >= upto]
+            self._wait([r for rows in self.read.values() for r in rows], left)
+            if left:
+                self.pieces.update(_columns(left))
+            else:
+                self.pieces.clear()
+            pieces = left
+        ends = [lo for _, lo in pieces]
+        if self.timed:
+            for of, state in states.items():
+                yield from self._rows(self.expire(of, state, upto * self.slot_us))
+            before, deadline = deadline, min((d for d in map(self.deadline_us, states.values()) if d is not None), default=None)
+            if deadline is not None:
+                self.runs_out.update((deadline,))
+                ends.append(deadline // self.slot_us)
+            elif before is not None:
+                self.runs_out.clear()
+        if self.item:
+            self._put_states(states)
         self.store()
-        if deadline is not None and self._end_ms(deadline // self.slot_us) > mark:
-            self.handle.registerTimer(self._end_ms(deadline // self.slot_us))
+        if ends:
+            self.handle.registerTimer(self._end_ms(min(ends)))
 
     def _rows(self, found: Iterable[dict]) -> Iterator[Row]:
         for d in found:
-            yield Row(**{c: d.get(c) for c in self.columns})
+            yield self.output(*[d.get(c) for c in self.columns])
 
     def close(self) -> None:
         pass
 
 
-class StateQueue:
-    """First in, first out, in map state: numbered entries and the numbers of both
-    ends.  Nothing but the entries asked for is read."""
+class KeyQueue:
+    """First in, first out: ``(id, ts)`` of a key.  Both ends are in memory, what is
+    between them in numbered pages of map state.  Nothing but the ends is read."""
 
-    def __init__(self, handle, name: str, fields: str):
-        self.ends = handle.getValueState(f"{name}_ends", "head long, tail long")
-        self.entries = handle.getMapState(f"{name}_entries", "n long", fields)
+    #: Schema of an entry of either end, and of a page and its number.
+    item, page_key, page = "queue string, at long, id long, ts long", "of long, no_key boolean, queue string, at long", "id long, ts long"
 
-    def load(self) -> None:
-        at = self.ends.get()
-        self.head, self.tail = self.before = tuple(at) if at else (0, 0)
-        self.first = None
+    def __init__(self, pages, of, name: str, items: list):
+        self.pages, self.name = pages, name
+        self.key = (of or 0, of is None, name)
+        self.first, self.last = (min(i[1] for i in items), max(i[1] for i in items)) if items else (0, 0)
+        ahead = sum(i[1] == self.first for i in items) if self.first < self.last else PIECE_ROWS
+        self.head, self.tail = deque(i[2:] for i in items[:ahead]), [i[2:] for i in items[ahead:]]
 
-    def store(self) -> None:
-        if (self.head, self.tail) != self.before:
-            self.ends.update((self.head, self.tail))
+    def items(self) -> list:
+        """Both ends with the numbers of the pages next to them.  While there are pages,
+        neither end is empty, so their numbers are known."""
+        if self:
+            self.peek()
+        return ([(self.name, self.first, *e) for e in self.head] + [(self.name, self.last, *e) for e in self.tail])
 
-    def __len__(self) -> int:
-        return self.tail - self.head
+    def __bool__(self) -> bool:
+        return bool(self.head or self.tail)
 
     def push(self, entry: tuple) -> None:
-        self.entries.updateValue((self.tail,), entry)
-        self.tail += 1
+        if len(self.tail) == PIECE_ROWS:
+            self.pages.updateValue((*self.key, self.last), _columns(self.tail))
+            self.last += 1
+            self.tail = []
+        # entries go to the head as long as nothing is behind it
+        if self.tail or self.first < self.last or len(self.head) >= PIECE_ROWS:
+            self.tail.append(entry)
+        else:
+            self.head.append(entry)
 
     def peek(self) -> tuple:
-        if self.first is None:
-            self.first = tuple(self.entries.getValue((self.head,)))
-        return self.first
+        if not self.head:
+            if self.first < self.last:
+                self.head = deque(zip(*self.pages.getValue((*self.key, self.first))))
+                self.pages.removeKey((*self.key, self.first))
+                self.first += 1
+            else:
+                self.head, self.tail = deque(self.tail), []
+        return self.head[0]
 
     def pop(self) -> tuple:
         entry = self.peek()
-        self.entries.removeKey((self.head,))
-        self.head += 1
-        self.first = None
+        self.head.popleft()
         return entry
 
 
-class _OneValue(EventTimeProcessor):
-    """State is one value, ``initial`` until the first row."""
+class _Queues(EventTimeProcessor):
+    """State is queues, by name."""
 
-    state_schema, initial = "", ()
+    item, timed = KeyQueue.item, True
+    queues: tuple[str, ...] = ()
 
     def open_state(self, handle) -> None:
-        self.value = handle.getValueState("value", self.state_schema)
+        self.pages = handle.getMapState("pages", KeyQueue.page_key, _arrays(KeyQueue.page))
 
-    def load(self) -> None:
-        v = self.value.get()
-        self.now = tuple(v) if v else self.initial
+    def unpack(self, of, items):
+        return {q: KeyQueue(self.pages, of, q, [i for i in items if i[0] == q]) for q in self.queues}
 
-    def store(self) -> None:
-        self.value.update(self.now)
+    def pack(self, state):
+        return [i for queue in state.values() for i in queue.items()]
+
+
+class _OneValue(EventTimeProcessor):
+    """State is one value, ``initial`` until the first row."""
+
+    initial = ()
+
+    def unpack(self, of, items):
+        return items or [self.initial]
 
 
 # ------------------------------------------------------------------ A1
 class RunningCountProcessor(_OneValue):
     """A1 exact: one output row per input row with the key's running count."""
 
-    state_schema, initial = "n long", (0,)
+    item, initial = "n long", (0,)
     columns = ["key", "id", "ts", "running_count"]
 
-    def step(self, key, row):
-        self.now = (self.now[0] + 1,)
-        return [{"key": key[0], "id": row[0], "ts": row[1], "running_count": self.now[0]}]
+    def step(self, of, state, row):
+        state[0] = (state[0][0] + 1,)
+        return [{"key": of, "id": row[0], "ts": row[1], "running_count": state[0][0]}]
 
 
 def running_count_exact(stream: DataFrame, key: str, id_col: str, et: str, delay=0) -> DataFrame:
@@ -243,13 +381,13 @@ class PreviousEventProcessor(_OneValue):
     """Emit each event with the key's previous event, then remember it."""
 
     fields = "id long, ts long, type string"
-    state_schema, initial = "id long, type string", (None, None)
+    item, initial = "id long, type string", (None, None)
     columns = ["key", "id", "ts", "type", "prev_id", "prev_type"]
 
-    def step(self, key, row):
-        out = {"key": key[0], "id": row[0], "ts": row[1], "type": row[2],
-               "prev_id": self.now[0], "prev_type": self.now[1]}
-        self.now = (row[0], row[2])
+    def step(self, of, state, row):
+        out = {"key": of, "id": row[0], "ts": row[1], "type": row[2],
+               "prev_id": state[0][0], "prev_type": state[0][1]}
+        state[0] = (row[0], row[2])
         return [out]
 
 
@@ -262,47 +400,37 @@ def previous_event(stream: DataFrame, key: str, id_col: str, et: str, type_col:
 
 
 # ------------------------------------------------------------------ J4
-class ReconcileProcessor(EventTimeProcessor):
+class ReconcileProcessor(_Queues):
     """J4 exact, one-to-one: a row takes the oldest waiting row of the other side
     that is at most ``within`` older, otherwise it waits; a row that nothing took
     until ``within`` after its time is reported as ``left_only`` / ``right_only``."""
 
     fields = "id long, ts long, side string"
     columns = ["key", "l_id", "l_ts", "r_id", "r_ts", "status"]
+    queues = ("left", "right")
 
     def __init__(self, within_us: int):
         self.within = within_us
 
-    def open_state(self, handle) -> None:
-        self.open = {s: StateQueue(handle, s, "id long, ts long") for s in ("left", "right")}
-
-    def load(self) -> None:
-        for queue in self.open.values():
-            queue.load()
-
-    def store(self) -> None:
-        for queue in self.open.values():
-            queue.store()
-
-    def expire(self, key, upto_us):
-        for side, queue in self.open.items():
-            while len(queue) and queue.peek()[1] + self.within < upto_us:
+    def expire(self, of, state, upto_us):
+        for side, queue in state.items():
+            while queue and queue.peek()[1] + self.within < upto_us:
                 vid, vts = queue.pop()
                 mine = side[0]
-                yield {"key": key[0], f"{mine}_id": vid, f"{mine}_ts": vts, "status": f"{side}_only"}
+                yield {"key": of, f"{mine}_id": vid, f"{mine}_ts": vts, "status": f"{side}_only"}
 
-    def step(self, key, row):
-        vid, vts, side = row
+    def step(self, of, state, row):
+        vid, vts, side = row[:3]
         other = "right" if side == "left" else "left"
-        if not len(self.open[other]):
-            self.open[side].push((vid, vts))
+        if not state[other]:
+            state[side].push((vid, vts))
             return
-        oid, ots = self.open[other].pop()
-        yield {"key": key[0], f"{side[0]}_id": vid, f"{side[0]}_ts": vts, f"{other[0]}_id": oid,
+        oid, ots = state[other].pop()
+        yield {"key": of, f"{side[0]}_id": vid, f"{side[0]}_ts": vts, f"{other[0]}_id": oid,
                f"{other[0]}_ts": ots, "status": "matched"}
 
-    def deadline_us(self):
-        heads = [queue.peek()[1] for queue in self.open.values() if len(queue)]
+    def deadline_us(self, state):
+        heads = [queue.peek()[1] for queue in state.values() if queue]
         return min(heads) + self.within + 1 if heads else None
 
 
@@ -317,41 +445,35 @@ def reconcile_exact(left: DataFrame, right: DataFrame, key: str, id_col: str, et
 
 
 # ------------------------------------------------------------------ C1/C4
-class FollowedByProcessor(EventTimeProcessor):
+class FollowedByProcessor(_Queues):
     """C1/C4 exact: open ``first`` rows wait for a ``then`` row, which completes
     every open one that is less than ``within`` older (no skip).  A ``first`` row
     still open ``within`` after its time times out."""
 
     fields = "id long, ts long, is_first boolean, is_then boolean"
     columns = ["key", "first_id", "first_ts", "then_id", "then_ts", "kind"]
+    queues = ("open",)
 
     def __init__(self, within_us: int):
         self.within = within_us
 
-    def open_state(self, handle) -> None:
-        self.open = StateQueue(handle, "open", "id long, ts long")
-
-    def load(self) -> None:
-        self.open.load()
-
-    def store(self) -> None:
-        self.open.store()
-
-    def expire(self, key, upto_us):
-        while len(self.open) and self.open.peek()[1] + self.within <= upto_us:
-            oid, ots = self.open.pop()
-            yield {"key": key[0], "first_id": oid, "first_ts": ots, "then_ts": ots + self.within, "kind": "timeout"}
-
-    def step(self, key, row):
-        vid, vts, is_first, is_then = row
-        while is_then and len(self.open):
-            oid, ots = self.open.pop()
-            yield {"key": key[0], "first_id": oid, "first_ts": ots, "then_id": vid, "then_ts": vts, "kind": "match"}
+    def expire(self, of, state, upto_us):
+        queue = state["open"]
+        while queue and queue.peek()[1] + self.within <= upto_us:
+            oid, ots = queue.pop()
+            yield {"key": of, "first_id": oid, "first_ts": ots, "then_ts": ots + self.within, "kind": "timeout"}
+
+    def step(self, of, state, row):
+        vid, vts, is_first, is_then = row[:4]
+        queue = state["open"]
+        while is_then and queue:
+            oid, ots = queue.pop()
+            yield {"key": of, "first_id": oid, "first_ts": ots, "then_id": vid, "then_ts": vts, "kind": "match"}
         if is_first:
-            self.open.push((vid, vts))
+            queue.push((vid, vts))
 
-    def deadline_us(self):
-        return self.open.peek()[1] + self.within if len(self.open) else None
+    def deadline_us(self, state):
+        return state["open"].peek()[1] + self.within if state["open"] else None
 
 
 def followed_by_exact(stream: DataFrame, key: str, id_col: str, et: str, first, then,
@@ -368,16 +490,16 @@ class StateMachineProcessor(_OneValue):
     """C5 exact: the key's current state in value state; one row per event."""
 
     fields = "id long, ts long, ev int"
-    state_schema = "s int"
+    item = "s int"
     columns = ["key", "id", "ts", "state", "accepted"]
 
     def __init__(self, fsm: StateMachine):
         self.fsm, self.initial = fsm, (fsm.sid[fsm.start],)
 
-    def step(self, key, row):
-        self.now = (int(self.fsm.table[row[2], self.now[0]]),)
-        name = self.fsm.states[self.now[0]]
-        return [{"key": key[0], "id": row[0], "ts": row[1], "state": name, "accepted": name in self.fsm.accept}]
+    def step(self, of, state, row):
+        state[0] = (int(self.fsm.table[row[2], state[0][0]]),)
+        name = self.fsm.states[state[0][0]]
+        return [{"key": of, "id": row[0], "ts": row[1], "state": name, "accepted": name in self.fsm.accept}]
 
 
 def state_machine_exact(stream: DataFrame, key: str, id_col: str, et: str, event_col: str,
@@ -397,13 +519,13 @@ class BufferFlushProcessor(EventTimeProcessor):
     def __init__(self, every_us: int):
         self.slot_us = every_us
 
-    def load(self) -> None:
-        self.position = 0
+    def begin(self, slot: int) -> None:
+        self.position: dict = {}
 
-    def step(self, key, row):
-        self.position += 1
+    def step(self, of, state, row):
+        self.position[of] = position = self.position.get(of, 0) + 1
         flush = (row[1] // self.slot_us + 1) * self.slot_us
-        yield {"key": key[0], "id": row[0], "ts": row[1], "flush_ts": flush, "position": self.position}
+        return [{"key": of, "id": row[0], "ts": row[1], "flush_ts": flush, "position": position}]
 
 
 def buffer_flush_exact(stream: DataFrame, key: str, id_col: str, et: str, every,
@@ -415,30 +537,31 @@ def buffer_flush_exact(stream: DataFrame, key: str, id_col: str, et: str, every,
 
 
 # ------------------------------------------------------------------ V3
-class RuleJoinProcessor(EventTimeProcessor):
+class RuleJoinProcessor(_OneValue):
     """Events of many keys with their key's previous event and the rule in force.
 
-    A Spark key here is a bucket of event keys; rules come to all buckets.  Events and
-    rules wait in the same slots until the watermark of both streams has passed them
-    and are taken in order of time, rules first, so an event meets the latest rule
-    that starts at or before it, however late that rule arrived.  Of rules with equal
-    start the greatest counts.  The log of rules is what waits plus the one in force."""
+    Rules come to all buckets.  Events and rules wait together until the watermark of both
+    streams has passed them and are taken in order of time, rules first, so an event meets
+    the latest rule that starts at or before it, however late that rule arrived.  Of rules
+    with equal start the greatest counts.  The log of rules is what waits plus the one in
+    force."""
+
+    item, initial = "id long, type string", (None, None)
 
     def __init__(self, rule_fields: list[str]):
         self.rule_fields = rule_fields
         rules = "".join(f", {f} string" for f in rule_fields)
-        self.fields = f"id long, ts long, is_rule boolean, of long, no_key boolean, type string{rules}"
+        self.fields = f"id long, ts long, is_rule boolean, type string{rules}"
         self.rule_schema = "since long" + rules
         self.columns = ["id", "key", "ts", "type", "prev_id", "prev_type", "rule_since", *rule_fields]
 
     def order(self, row):
         # None sorts before any text
         return (row[1], not row[2], row[0] or 0,
-                tuple((v is not None, v or "") for v in row[6:]) if row[2] else ())
+                tuple((v is not None, v or "") for v in row[4:-1]) if row[2] else ())
 
     def open_state(self, handle) -> None:
         self.rule = handle.getValueState("rule", self.rule_schema)
-        self.previous = handle.getMapState("previous", "of long, no_key boolean", "id long, type string")
 
     def load(self) -> None:
         v = self.rule.get()
@@ -448,17 +571,15 @@ class RuleJoinProcessor(EventTimeProcessor):
         if self.now != self.before:
             self.rule.update(self.now)
 
-    def step(self, key, row):
-        rid, ts, is_rule, of, no_key, kind = row[:6]
+    def step(self, of, state, row):
+        rid, ts, is_rule, kind = row[:4]
         if is_rule:
-            self.now = (ts, *row[6:])
+            self.now = (ts, *row[4:-1])
             return
-        last = self.previous.getValue((of, no_key))
         since, *rule = self.now or [None] * (1 + len(self.rule_fields))
-        yield {"id": rid, "key": None if no_key else of, "ts": ts, "type": kind,
-               "prev_id": last[0] if last else None, "prev_type": last[1] if last else None,
+        yield {"id": rid, "key": of, "ts": ts, "type": kind, "prev_id": state[0][0], "prev_type": state[0][1],
                "rule_since": since, **dict(zip(self.rule_fields, rule))}
-        self.previous.updateValue((of, no_key), (rid, kind))
+        state[0] = (rid, kind)
 
 
 def rule_join(events: DataFrame, rules: DataFrame, key: str, id_col: str, et: str, type_col: str,
@@ -470,14 +591,13 @@ def rule_join(events: DataFrame, rules: DataFrame, key: str, id_col: str, et: st
     them (choose about as many as there are shuffle partitions).  The query's watermark
     is the smaller of the two streams' watermarks, so events wait for the rules."""
     no_rule = [F.lit(None).cast("string").alias(f) for f in rule_fields]
-    ev = (events.withWatermark(et, W.duration(delay or 0))
-          .select(F.pmod(F.xxhash64(key), F.lit(buckets)).alias("key"), F.col(id_col).cast("long").alias("id"),
-                  _us(et).alias("ts"), F.lit(False).alias("is_rule"), F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("of"),
-                  F.col(key).isNull().alias("no_key"), F.col(type_col).alias("type"), *no_rule, F.col(et).alias("et")))
+    ev = (_source(events.withWatermark(et, W.duration(delay or 0)), key, id_col, et, F.lit(False).alias("is_rule"),
+                  F.col(type_col).alias("type"), *no_rule, buckets=buckets)
+          .withColumns({"of": F.col("of").cast("long"), "id": F.col("id").cast("long")}).withColumnRenamed(et, "et"))
     ru = (rules.withWatermark(et, W.duration(rule_delay or 0))
-          .select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long"))).alias("key"), F.lit(None).cast("long").alias("id"),
-                  _us(et).alias("ts"), F.lit(True).alias("is_rule"), F.lit(0).cast("long").alias("of"),
-                  F.lit(False).alias("no_key"), F.lit(None).cast("string").alias("type"), *rule_fields, F.col(et).alias("et")))
+          .select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long"))).alias("key"),
+                  F.lit(None).cast("long").alias("of"), F.lit(None).cast("long").alias("id"), _us(et).alias("ts"),
+                  F.lit(True).alias("is_rule"), F.lit(None).cast("string").alias("type"), *rule_fields, F.col(et).alias("et")))
     out = ("id long, key long, ts long, type string, prev_id long, prev_type string, rule_since long"
            + "".join(f", {f} string" for f in rule_fields))
     return (ev.unionByName(ru).groupBy("key")
@@ -518,55 +638,42 @@ def ttl_previous(stream: DataFrame, key: str, id_col: str, et: str, ttl) -> Data
 
 
 class TtlEventTimeProcessor(EventTimeProcessor):
-    """V4 in event time: map state per ``entry`` of a key; a value lives ``ttl`` from its
-    last write and each write refreshes it.  Expired entries are removed by the timer
+    """V4 in event time: a value per ``entry`` of a key, which lives ``ttl`` from its
+    last write; each write refreshes it.  Expired entries are removed at the end
     of the slot in which they run out; until then their age is checked on reading."""
 
     fields = "id long, ts long, entry string"
+    item = "entry string, id long, ts long"
     columns = ["key", "id", "ts", "entry", "alive_id"]
+    timed = True
 
     def __init__(self, ttl_us: int):
         self.ttl = ttl_us
 
-    def open_state(self, handle) -> None:
-        self.values = handle.getMapState("values", "entry string, none boolean", "id long, ts long")
-        self.runs_out = handle.getMapState("runs_out", "slot long", "entries array<struct<entry:string,none:boolean>>")
-        self.next_slot = None
+    def unpack(self, of, items):
+        return {entry: (rid, ts) for entry, rid, ts in items}
 
-    def load(self) -> None:
-        self.touched, self.next_slot = set(), None
+    def pack(self, state):
+        return [(entry, *last) for entry, last in state.items()]
 
-    def step(self, key, row):
-        rid, ts, entry = row
-        name = (entry or "", entry is None)
-        last = self.values.getValue(name)
-        yield {"key": key[0], "id": rid, "ts": ts, "entry": entry,
+    def step(self, of, state, row):
+        rid, ts, entry = row[:3]
+        # in order of time: the entries stand in the order in which they run out
+        last = state.pop(entry, None)
+        state[entry] = (rid, ts)
+        yield {"key": of, "id": rid, "ts": ts, "entry": entry,
                "alive_id": last[0] if last and last[1] + self.ttl >= ts else None}
-        self.values.updateValue(name, (rid, ts))
-        self.touched.add((name, (ts + self.ttl + 1) // self.slot_us))
-
-    def expire(self, key, upto_us):
-        # entries that were due in the slot ending here and were not written again
-        if upto_us % self.slot_us == 0:
-            slot = upto_us // self.slot_us - 1
-            due = self.runs_out.getValue((slot,))
-            if due:
-                for e in due[0]:
-                    last = self.values.getValue(tuple(e))
-                    if last and last[1] + self.ttl < upto_us:
-                        self.values.removeKey(tuple(e))
-                self.runs_out.removeKey((slot,))
+
+    def expire(self, of, state, upto_us):
+        while state:
+            entry, last = next(iter(state.items()))
+            if last[1] + self.ttl >= upto_us:
+                break
+            del state[entry]
         return ()
 
-    def store(self) -> None:
-        by_slot: dict[int, list] = {}
-        for name, slot in sorted(self.touched):
-            by_slot.setdefault(slot, []).append(name)
-        for slot, names in by_slot.items():
-            had = self.runs_out.getValue((slot,))
-            known = [tuple(e) for e in had[0]] if had else []
-            self.runs_out.updateValue((slot,), (known + [n for n in names if n not in set(known)],))
-            self.handle.registerTimer(self._end_ms(slot))
+    def deadline_us(self, state):
+        return next(iter(state.values()))[1] + self.ttl + 1 if state else None
 
 
 def ttl_previous_event_time(stream: DataFrame, key: str, id_col: str, et: str, ttl, entry=None, delay=0) -> DataFrame:
@@ -579,31 +686,21 @@ def ttl_previous_event_time(stream: DataFrame, key: str, id_col: str, et: str, t
 
 # ------------------------------------------------------------------ C2/C3
 class StrictSequenceProcessor(EventTimeProcessor):
-    """C2/C3 exact: the last ``n - 1`` rows of the key (list state, bounded)
+    """C2/C3 exact: the last ``n - 1`` rows of the key (bounded)
     and, per new row, whether it ends ``cond_0 .. cond_{n-1}`` on consecutive
     rows."""
 
     def __init__(self, n: int):
         self.n = n
-        self.fields = "id long, ts long, " + ", ".join(f"c{j} boolean" for j in range(n))
+        self.fields = self.item = "id long, ts long, " + ", ".join(f"c{j} boolean" for j in range(n))
         self.columns = ["key"] + [f"e{j + 1}_{c}" for j in range(n) for c in ("id", "ts")]
 
-    def open_state(self, handle) -> None:
-        self.list = handle.getListState("last", self.fields)
-
-    def load(self) -> None:
-        self.last = [tuple(v) for v in self.list.get()]
-
-    def store(self) -> None:
-        if self.last:
-            self.list.put(self.last)
-
-    def step(self, key, row):
-        window = (self.last + [row])[-self.n:]
-        self.last = window[1:] if len(window) == self.n else window
+    def step(self, of, state, row):
+        window = [*state, row[:-1]][-self.n:]
+        state[:] = window[1:] if len(window) == self.n else window
         if len(window) < self.n or not all(w[2 + j] for j, w in enumerate(window)):
             return ()
-        out = {"key": key[0]}
+        out = {"key": of}
         for j, w in enumerate(window, 1):
             out[f"e{j}_id"], out[f"e{j}_ts"] = w[0], w[1]
         return [out]
