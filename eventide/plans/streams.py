@@ -31,7 +31,8 @@ from . import joined, patterns
 from .registry import ORACLE, query
 
 MIN_BATCHES = 4                  # a small table still crosses micro-batch borders
-ROWS_PER_TRIGGER = 1_000_000     # of one replay file, and so of a micro-batch
+ROWS_PER_TRIGGER = 1_000_000     # of a micro-batch
+ROWS_PER_FILE = 50_000           # a file is a task: a larger micro-batch is read by many
 ORDER = ["ts", "event_id"]
 ARRIVAL = ["arrival_ts", "event_id"]
 DELAY = "2 hours"                # arrivals are at most one hour late
@@ -48,15 +49,26 @@ def _closing(source: DataFrame) -> DataFrame:
                          else kinds.alias(f.name) for f in source.schema])
 
 
+def _cut(*n_rows: int) -> tuple[int, int]:
+    """How many micro-batches sources of so many rows make, and files of each."""
+    most = max(n_rows)
+    batches = max(MIN_BATCHES, math.ceil(most / ROWS_PER_TRIGGER))
+    return batches, max(1, math.ceil(most / batches / ROWS_PER_FILE))
+
+
+def _replayed(spark: SparkSession, source: DataFrame, path: str, order: list[str], batches: int, files: int,
+              close: bool = True) -> DataFrame:
+    """``source`` (with closing rows if ``close``) as a stream of so many micro-batches."""
+    rows = source.unionByName(_closing(source)) if close else source
+    return replay(spark, write_replay_files(rows, path, batches * files, order), source.schema, files)
+
+
 def _run(spark: SparkSession, name: str, source: DataFrame, order: list[str], build,
          mode: str = "append", batch_fn=None, close: bool = True) -> DataFrame:
     """Replay ``source`` (with closing rows if ``close``), apply ``build`` to the
     stream, run it to the end of the input and return what the sink holds."""
     base = state_location(spark, name)
-    n_files = max(MIN_BATCHES, math.ceil(source.count() / ROWS_PER_TRIGGER))
-    rows = source.unionByName(_closing(source)) if close else source
-    src = write_replay_files(rows, os.path.join(base, "in"), n_files, order)
-    stream = replay(spark, src, source.schema)
+    stream = _replayed(spark, source, os.path.join(base, "in"), order, *_cut(source.count()), close)
     out_path = os.path.join(base, "out")
     out = build(stream)
     where = {"trigger": {"availableNow": True}, "checkpoint": os.path.join(base, "ckpt")}
@@ -70,11 +82,9 @@ def _run(spark: SparkSession, name: str, source: DataFrame, order: list[str], bu
 def _run_two(spark: SparkSession, name: str, sources: list[tuple[DataFrame, list[str]]], build) -> DataFrame:
     """Like :func:`_run` with a replayed stream per source, all closed."""
     base = state_location(spark, name)
-    streams = []
-    for i, (source, order) in enumerate(sources):
-        rows = source.unionByName(_closing(source))
-        src = write_replay_files(rows, os.path.join(base, f"in{i}"), MIN_BATCHES, order)
-        streams.append(replay(spark, src, source.schema))
+    cut = _cut(*[source.count() for source, _ in sources])
+    streams = [_replayed(spark, source, os.path.join(base, f"in{i}"), order, *cut)
+               for i, (source, order) in enumerate(sources)]
     out, path = build(*streams), os.path.join(base, "out")
     K.start(out, "parquet", name, "append", path=path, trigger={"availableNow": True},
             checkpoint=os.path.join(base, "ckpt")).awaitTermination()
