@@ -8,7 +8,11 @@ order of arrival (within the watermark delay) nor on micro-batch borders.
 
 A Spark key is a bucket of keys, by a hash: rows, timers and state are handled per
 bucket and micro-batch, not per row, as each access to state is a call out of the
-Python worker.  Rows wait in map state in pieces of bounded size, cut in order of time;
+Python worker.  Rows cross the border to Python in packs, as each one that crosses it alone
+costs more than all that is done with it: the tasks that read a micro-batch pack the rows of a
+bucket into one (:func:`_packed`), a firing hands its rows back as columns.  A pack stands at
+its latest time; rows of a slot that a bucket has gone through are late and dropped.
+Rows wait in map state in pieces of bounded size, cut in order of time;
 an index has the first slot (of ``slot_us``) of each piece.  One timer stands at the
 end of the earliest slot or deadline.  A firing goes through all slots that the watermark
 has passed, in order; it reads the pieces as their slots come up, removes them, and puts
@@ -27,11 +31,16 @@ epoch milliseconds.  A null key is a key of its own.
 from __future__ import annotations
 
 import heapq
+import pickle
 import sys
 from collections import deque
 from collections.abc import Iterable, Iterator
+from itertools import islice
 from operator import attrgetter, itemgetter
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -54,8 +63,45 @@ def _us(col: str):
 
 def _stateful(stream: DataFrame, et: str, delay, processor, out: str) -> DataFrame:
     """``stream`` comes from :func:`_source`; the processor travels by value (see above)."""
-    return (stream.withWatermark(et, W.duration(delay or 0)).groupBy("key")
-            .transformWithState(processor, out, "Append", "EventTime"))
+    return _stepped(_packed(stream, et, processor).withWatermark("et", W.duration(delay or 0)), processor, out)
+
+
+def _stepped(packs: DataFrame, processor, out: str) -> DataFrame:
+    """The output rows of ``processor`` over ``packs``, which have their watermark."""
+    found = packs.groupBy("key").transformWithState(PackedProcessor(processor), _arrays(out), "Append", "EventTime")
+    return found.select(F.inline(F.arrays_zip(*found.columns)))
+
+
+def _packed(stream: DataFrame, et: str, processor) -> DataFrame:
+    """``key``, ``rows`` (of a bucket, as :meth:`EventTimeProcessor._read` takes them) and
+    ``et``, the latest event time among them.  A task packs up to ``PACK_ROWS`` rows at a time."""
+    names = [*[name for name, _ in _fields(processor.fields)], "of"]
+
+    def packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            held.append(batch)
+            n += batch.num_rows
+            if n >= PACK_ROWS:
+                yield _pack(pa.Table.from_batches(held), names, et)
+                held, n = [], 0
+        if n:
+            yield _pack(pa.Table.from_batches(held), names, et)
+    return stream.mapInArrow(packs, "key long, rows binary, et timestamp")
+
+
+def _pack(rows: pa.Table, names: list[str], et: str) -> pa.RecordBatch:
+    rows = rows.take(pc.sort_indices(rows, sort_keys=[("key", "ascending"), (et, "ascending")]))
+    keys = rows["key"].to_numpy()
+    ends = [*(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+    columns = [rows[name].to_pylist() for name in names]
+    packs, start = [], 0
+    for end in ends:
+        packs.append(pickle.dumps([c[start:end] for c in columns], pickle.HIGHEST_PROTOCOL))
+        start = end
+    last = pa.array([end - 1 for end in ends])
+    return pa.RecordBatch.from_arrays([rows["key"].take(last).combine_chunks(), pa.array(packs, pa.binary()),
+                                       rows[et].take(last).combine_chunks()], names=["key", "rows", "et"])
 
 
 def _source(stream: DataFrame, key: str, id_col: str, et: str, *cols, buckets: int | None = None) -> DataFrame:
@@ -68,10 +114,13 @@ def _micros(d) -> int:
     return int(round(W.seconds(d) * 1_000_000))
 
 
-#: Width of a slot, rows of one state entry, rows put in order at once, and buckets.
+#: Width of a slot, rows of one state entry, rows put in order at once, rows that a task packs
+#: at once, rows handed back at once, and buckets.
 SLOT_US = 60_000_000
 PIECE_ROWS = 500
 SORT_ROWS = 20_000
+PACK_ROWS = 100_000
+OUT_ROWS = 5_000
 BUCKETS = 1024
 
 
@@ -106,7 +155,8 @@ class EventTimeProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.pieces = handle.getValueState("pieces", "n array<long>, lo array<long>")
-        self.waiting = handle.getMapState("waiting", "n long", _arrays(self.fields + ", of long"))
+        self.passed = handle.getValueState("passed", "upto long")
+        self.waiting = handle.getMapState("waiting", "n long", "rows binary")
         if self.item:
             self.values = handle.getMapState("values", "block int", _arrays(self.item + ", of long") + ", blocks int")
         if self.timed:
@@ -155,25 +205,35 @@ class EventTimeProcessor(StatefulProcessor):
         return -(-(slot + 1) * self.slot_us // 1000)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        names, read, some = [name for name, _ in _fields(self.fields)], None, []
-        pieces = self._index()
-        first = min((lo for _, lo in pieces), default=None)
-        for r in rows:
-            if read is None:
-                of = hasattr(r, "of")
-                wanted = [*names, "of"] if of else names
-                read = itemgetter(*map(r.__fields__.index, wanted)) if isinstance(r, Row) else attrgetter(*wanted)
-            some.append(read(r) if of else (*read(r), key[0]))
-            if len(some) == SORT_ROWS:
+        pieces, some = self._index(), []
+        first, passed = min((lo for _, lo in pieces), default=None), self.passed.get()
+        for found in self._read(key, rows):
+            some += found if passed is None else [r for r in found if r[1] >= passed[0]]
+            if len(some) >= SORT_ROWS:
                 self._wait(some, pieces)
                 some = []
         self._wait(some, pieces)
-        self.pieces.update(_columns(pieces))
-        earliest = min(lo for _, lo in pieces)
-        if first is None or earliest < first:
-            self.handle.registerTimer(self._end_ms(earliest))
+        if pieces:
+            self.pieces.update(_columns(pieces))
+            earliest = min(lo for _, lo in pieces)
+            if first is None or earliest < first:
+                self.handle.registerTimer(self._end_ms(earliest))
         return iter(())
 
+    def _read(self, key, rows) -> Iterator[list]:
+        """Lists of waiting rows ``(id, ts, ..., of)`` out of packs or of plain rows."""
+        names, rows = [name for name, _ in _fields(self.fields)], iter(rows)
+        for r in rows:
+            if isinstance(r, Row) and "rows" in r.__fields__:
+                yield list(zip(*pickle.loads(r["rows"])))
+                continue
+            of = hasattr(r, "of")
+            wanted = [*names, "of"] if of else names
+            read = itemgetter(*map(r.__fields__.index, wanted)) if isinstance(r, Row) else attrgetter(*wanted)
+            while r is not None:
+                yield [read(x) if of else (*read(x), key[0]) for x in [r, *islice(rows, PIECE_ROWS - 1)]]
+                r = next(rows, None)
+
     def _index(self) -> list:
         """``(number, first slot)`` of the pieces that wait."""
         had = self.pieces.get()
@@ -184,7 +244,7 @@ class EventTimeProcessor(StatefulProcessor):
         n = 1 + max((n for n, _ in pieces), default=-1)
         for at in range(0, len(rows), PIECE_ROWS):
             piece = rows[at:at + PIECE_ROWS]
-            self.waiting.updateValue((n,), _columns(piece))
+            self.waiting.updateValue((n,), (pickle.dumps(_columns(piece), pickle.HIGHEST_PROTOCOL),))
             pieces.append((n, piece[0][1] // self.slot_us))
             n += 1
 
@@ -192,7 +252,7 @@ class EventTimeProcessor(StatefulProcessor):
         """The rows of ``slot``, the earliest that waits."""
         while self.unread and self.unread[0][0] <= slot:
             n = heapq.heappop(self.unread)[1]
-            for r in zip(*self.waiting.getValue((n,))):
+            for r in zip(*pickle.loads(self.waiting.getValue((n,))[0])):
                 at = r[1] // self.slot_us
                 if at not in self.read:
                     self.read[at] = []
@@ -258,6 +318,7 @@ class EventTimeProcessor(StatefulProcessor):
             else:
                 self.pieces.clear()
             pieces = left
+        self.passed.update((upto * self.slot_us,))
         ends = [lo for _, lo in pieces]
         if self.timed:
             for of, state in states.items():
@@ -282,6 +343,29 @@ class EventTimeProcessor(StatefulProcessor):
         pass
 
 
+class PackedProcessor(StatefulProcessor):
+    """A processor on packs (:func:`_packed`), whose output rows leave as columns, many at once."""
+
+    def __init__(self, processor: EventTimeProcessor):
+        self.processor = processor
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.processor.init(handle)
+        self.processor.output = lambda *values: values
+        self.output = Row(*self.processor.columns)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        return self.processor.handleInputRows(key, rows, timerValues)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        found = iter(self.processor.handleExpiredTimer(key, timerValues, expiredTimerInfo))
+        while some := list(islice(found, OUT_ROWS)):
+            yield self.output(*_columns(some))
+
+    def close(self) -> None:
+        self.processor.close()
+
+
 class KeyQueue:
     """First in, first out: ``(id, ts)`` of a key.  Both ends are in memory, what is
     between them in numbered pages of map state.  Nothing but the ends is read."""
@@ -591,17 +675,16 @@ def rule_join(events: DataFrame, rules: DataFrame, key: str, id_col: str, et: st
     them (choose about as many as there are shuffle partitions).  The query's watermark
     is the smaller of the two streams' watermarks, so events wait for the rules."""
     no_rule = [F.lit(None).cast("string").alias(f) for f in rule_fields]
-    ev = (_source(events.withWatermark(et, W.duration(delay or 0)), key, id_col, et, F.lit(False).alias("is_rule"),
-                  F.col(type_col).alias("type"), *no_rule, buckets=buckets)
-          .withColumns({"of": F.col("of").cast("long"), "id": F.col("id").cast("long")}).withColumnRenamed(et, "et"))
-    ru = (rules.withWatermark(et, W.duration(rule_delay or 0))
-          .select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long"))).alias("key"),
-                  F.lit(None).cast("long").alias("of"), F.lit(None).cast("long").alias("id"), _us(et).alias("ts"),
-                  F.lit(True).alias("is_rule"), F.lit(None).cast("string").alias("type"), *rule_fields, F.col(et).alias("et")))
+    processor = RuleJoinProcessor(rule_fields)
+    ev = _source(events, key, id_col, et, F.lit(False).alias("is_rule"), F.col(type_col).alias("type"), *no_rule, buckets=buckets)
+    ru = rules.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long"))).alias("key"),
+                      F.lit(None).cast("long").alias("of"), F.lit(None).cast("long").alias("id"), _us(et).alias("ts"),
+                      F.lit(True).alias("is_rule"), F.lit(None).cast("string").alias("type"), *rule_fields, F.col(et))
     out = ("id long, key long, ts long, type string, prev_id long, prev_type string, rule_since long"
            + "".join(f", {f} string" for f in rule_fields))
-    return (ev.unionByName(ru).groupBy("key")
-            .transformWithState(RuleJoinProcessor(rule_fields), out, "Append", "EventTime"))
+    both = (_packed(ev, et, processor).withWatermark("et", W.duration(delay or 0))
+            .unionByName(_packed(ru, et, processor).withWatermark("et", W.duration(rule_delay or 0))))
+    return _stepped(both, processor, out)
 
 
 # ------------------------------------------------------------------ V4
