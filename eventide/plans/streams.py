@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..operators import joins as J
 from ..operators import patterns as P
-from ..session import state_location
+from ..session import num_partitions, state_location
 from ..sources.stored_stream import stored_rows
 from ..sources.tables import events, table_path
 from ..streaming import operators as S
@@ -56,6 +56,13 @@ def _cut(*n_rows: int) -> tuple[int, int]:
     return batches, max(1, math.ceil(most / batches / ROWS_PER_FILE))
 
 
+def _state_partitions(spark: SparkSession, batches: int, files: int) -> int:
+    """Tasks of a micro-batch on state: whole waves of the cores, enough for its files and one
+    per ``ROWS_PER_TRIGGER`` rows of the table, whose keys are in state; at most those of the session."""
+    cores = max(1, spark.sparkContext.defaultParallelism)
+    return min(num_partitions(spark), math.ceil(max(batches, files) / cores) * cores)
+
+
 def _replayed(spark: SparkSession, source: DataFrame, path: str, order: list[str], batches: int, files: int,
               close: bool = True) -> DataFrame:
     """``source`` (with closing rows if ``close``) as a stream of so many micro-batches."""
@@ -67,16 +74,17 @@ def _run(spark: SparkSession, name: str, source: DataFrame, order: list[str], bu
          mode: str = "append", batch_fn=None, close: bool = True) -> DataFrame:
     """Replay ``source`` (with closing rows if ``close``), apply ``build`` to the
     stream, run it to the end of the input and return what the sink holds."""
-    base = state_location(spark, name)
-    stream = _replayed(spark, source, os.path.join(base, "in"), order, *_cut(source.count()), close)
+    base, cut = state_location(spark, name), _cut(source.count())
+    stream = _replayed(spark, source, os.path.join(base, "in"), order, *cut, close)
     out_path = os.path.join(base, "out")
-    out = build(stream)
     where = {"trigger": {"availableNow": True}, "checkpoint": os.path.join(base, "ckpt")}
-    if batch_fn is None:
-        K.start(out, "parquet", name, mode, path=out_path, **where).awaitTermination()
-        return spark.read.schema(out.schema).parquet(out_path)
-    K.start_batches(out, batch_fn(out_path), name, mode, **where).awaitTermination()
-    return spark.read.parquet(out_path)
+    with K.state_partitions(spark, _state_partitions(spark, *cut)):
+        out = build(stream)
+        q = (K.start(out, "parquet", name, mode, path=out_path, **where) if batch_fn is None
+             else K.start_batches(out, batch_fn(out_path), name, mode, **where))
+    q.awaitTermination()
+    read = spark.read.schema(out.schema) if batch_fn is None else spark.read
+    return read.parquet(out_path)
 
 
 def _run_two(spark: SparkSession, name: str, sources: list[tuple[DataFrame, list[str]]], build) -> DataFrame:
@@ -85,9 +93,12 @@ def _run_two(spark: SparkSession, name: str, sources: list[tuple[DataFrame, list
     cut = _cut(*[source.count() for source, _ in sources])
     streams = [_replayed(spark, source, os.path.join(base, f"in{i}"), order, *cut)
                for i, (source, order) in enumerate(sources)]
-    out, path = build(*streams), os.path.join(base, "out")
-    K.start(out, "parquet", name, "append", path=path, trigger={"availableNow": True},
-            checkpoint=os.path.join(base, "ckpt")).awaitTermination()
+    path = os.path.join(base, "out")
+    with K.state_partitions(spark, _state_partitions(spark, *cut)):
+        out = build(*streams)
+        q = K.start(out, "parquet", name, "append", path=path, trigger={"availableNow": True},
+                    checkpoint=os.path.join(base, "ckpt"))
+    q.awaitTermination()
     return spark.read.schema(out.schema).parquet(path)
 
 
@@ -106,7 +117,7 @@ def stream_running_count(spark, sf_dir):
     """A1 exact on a stream (value state): one row per event."""
     ev = _arrivals(spark, sf_dir, "event_id", "user_id", "ts")
     out = _run(spark, "running_count", ev, ARRIVAL,
-               lambda s: ST.running_count_exact(with_event_time(s), "user_id", "event_id", "et", DELAY))
+               lambda s: ST.running_count_exact(with_event_time(s), "user_id", "event_id", "et", DELAY, ST.buckets_for(spark)))
     return out.select(F.col("id").alias("event_id"), F.col("key").alias("user_id"), _ts("ts").alias("ts"),
                       "running_count")
 
@@ -128,7 +139,7 @@ def stream_fsm(spark, sf_dir):
     fsm = P.StateMachine(patterns.FSM_TRANSITIONS, patterns.FSM_START, patterns.FSM_ACCEPT)
     ev = _arrivals(spark, sf_dir, "event_id", "user_id", "ts", "event_type")
     out = _run(spark, "fsm", ev, ARRIVAL, lambda s: ST.state_machine_exact(
-        with_event_time(s), "user_id", "event_id", "et", "event_type", fsm, DELAY))
+        with_event_time(s), "user_id", "event_id", "et", "event_type", fsm, DELAY, ST.buckets_for(spark)))
     return out.select(F.col("key").alias("user_id"), F.col("id").alias("event_id"), _ts("ts").alias("ts"),
                       "state", "accepted")
 
@@ -144,7 +155,7 @@ def stream_prev_event_rule(spark, sf_dir):
         return lambda df, i: write(J.with_rule(
             df.withColumn("ts", _ts("ts")), joined.rules_frame(df.sparkSession), "ts", order=["id"]), i)
     out = _run(spark, "prev_event_rule", ev, ARRIVAL, lambda s: ST.previous_event(
-        with_event_time(s), "user_id", "event_id", "et", "event_type", DELAY), batch_fn=writer)
+        with_event_time(s), "user_id", "event_id", "et", "event_type", DELAY, ST.buckets_for(spark)), batch_fn=writer)
     rule_prev, rule_next = F.col("rule.rule_prev"), F.col("rule.rule_next")
     return out.select(
         F.col("id").alias("event_id"), F.col("key").alias("user_id"), "ts", F.col("type").alias("event_type"),
@@ -187,7 +198,7 @@ def _followed(spark, sf_dir):
     ev = _arrivals(spark, sf_dir, "event_id", "user_id", "ts", "event_type")
     return _run(spark, "followed_by", ev, ARRIVAL, lambda s: ST.followed_by_exact(
         with_event_time(s), "user_id", "event_id", "et", F.col("event_type") == "view",
-        F.col("event_type") == "purchase", "1 hour", DELAY))
+        F.col("event_type") == "purchase", "1 hour", DELAY, ST.buckets_for(spark)))
 
 
 @query("stream_followed_by", ORACLE["cep_followed_by"])
@@ -299,7 +310,7 @@ def stream_buffer_flush(spark, sf_dir):
     timers (flushed buffers, i.e. flush times the watermark has passed)."""
     ev = _arrivals(spark, sf_dir, "event_id", "user_id", "ts")
     out = _run(spark, "buffer", ev, ARRIVAL, lambda s: ST.buffer_flush_exact(
-        with_event_time(s), "user_id", "event_id", "et", "1 hour", DELAY))
+        with_event_time(s), "user_id", "event_id", "et", "1 hour", DELAY, ST.buckets_for(spark)))
     return out.select(F.col("key").alias("user_id"), F.col("id").alias("event_id"), _ts("ts").alias("ts"),
                       _ts("flush_ts").alias("flush_ts"), "position")
 
@@ -314,7 +325,7 @@ def stream_reconcile(spark, sf_dir):
     def build(s):
         s = with_event_time(s)
         return ST.reconcile_exact(s.filter("event_type = 'view'"), s.filter("event_type = 'purchase'"),
-                                  "user_id", "event_id", "et", "5 hours", DELAY)
+                                  "user_id", "event_id", "et", "5 hours", DELAY, ST.buckets_for(spark))
     out = _run(spark, "reconcile", ev, ARRIVAL, build)
     return out.select(F.col("key").alias("user_id"), F.col("l_id").alias("l_event_id"),
                       _ts("l_ts").alias("l_ts"), F.col("r_id").alias("r_event_id"),
@@ -380,7 +391,7 @@ def stream_update_log(spark, sf_dir):
     ev = _arrivals(spark, sf_dir, "event_id", "user_id", "ts")
 
     def build(s):
-        rc = ST.running_count_exact(with_event_time(s), "user_id", "event_id", "et", DELAY)
+        rc = ST.running_count_exact(with_event_time(s), "user_id", "event_id", "et", DELAY, ST.buckets_for(spark))
         rc = rc.select(F.col("id").alias("event_id"), F.col("key").alias("user_id"),
                        F.col("ts").alias("ts_us"), "running_count")
         return A.update_log(rc, ["user_id"])
@@ -391,7 +402,7 @@ def stream_update_log(spark, sf_dir):
 def _sequence(spark, sf_dir, name, conds):
     ev = _arrivals(spark, sf_dir, "event_id", "user_id", "ts", "value")
     out = _run(spark, name, ev, ARRIVAL, lambda s: ST.strict_sequence_exact(
-        with_event_time(s), "user_id", "event_id", "et", conds, DELAY))
+        with_event_time(s), "user_id", "event_id", "et", conds, DELAY, ST.buckets_for(spark)))
     cols = [F.col("key").alias("user_id")]
     for j in range(1, len(conds) + 1):
         cols += [F.col(f"e{j}_id").alias(f"e{j}_event_id"), _ts(f"e{j}_ts").alias(f"e{j}_ts")]
@@ -418,7 +429,7 @@ def stream_running_max_count(spark, sf_dir):
     ev = _arrivals(spark, sf_dir, "event_id", "user_id", "ts")
 
     def build(s):
-        rc = ST.running_count_exact(with_event_time(s), "user_id", "event_id", "et", DELAY)
+        rc = ST.running_count_exact(with_event_time(s), "user_id", "event_id", "et", DELAY, ST.buckets_for(spark))
         return rc.select(F.col("id").alias("event_id"), F.col("key").alias("user_id"),
                          F.col("ts").alias("ts_us"), "running_count")
     writer = lambda path: K.RunningMaxWriter("running_count", ["ts_us", "event_id"],
@@ -470,7 +481,7 @@ def stream_rule_stream(spark, sf_dir):
         F.expr("CASE event_id % 2 WHEN 0 THEN 'purchase' ELSE 'view' END").alias("rule_next"))
     out = _run_two(spark, "rule_stream", [(ev, ARRIVAL), (rules, ["arrival_ts", "ts"])], lambda e, r: ST.rule_join(
         with_event_time(e), with_event_time(r), "user_id", "event_id", "et", "event_type", ["rule_prev", "rule_next"],
-        buckets=2 * int(spark.conf.get("spark.sql.shuffle.partitions")), delay=DELAY, rule_delay=DELAY))
+        buckets=2 * num_partitions(spark), delay=DELAY, rule_delay=DELAY))
     matched = (F.col("prev_type") == F.col("rule_prev")) & (F.col("type") == F.col("rule_next"))
     return out.select(
         F.col("id").alias("event_id"), F.col("key").alias("user_id"), _ts("ts").alias("ts"), F.col("type").alias("event_type"),
@@ -490,7 +501,7 @@ def stream_ttl_previous(spark, sf_dir):
     (each write refreshes the entry)."""
     ev = _arrivals(spark, sf_dir, "event_id", "user_id", "ts", "event_type")
     out = _run(spark, "ttl", ev, ARRIVAL, lambda s: ST.ttl_previous_event_time(
-        with_event_time(s), "user_id", "event_id", "et", "6 hours", F.col("event_type"), DELAY))
+        with_event_time(s), "user_id", "event_id", "et", "6 hours", F.col("event_type"), DELAY, ST.buckets_for(spark)))
     return out.select(F.col("id").alias("event_id"), F.col("key").alias("user_id"), _ts("ts").alias("ts"),
                       F.col("entry").alias("event_type"), F.col("alive_id").alias("alive_event_id"))
 

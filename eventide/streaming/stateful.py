@@ -42,12 +42,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators import windows as W
 from ..operators.patterns import StateMachine
+from ..session import num_partitions
 
 
 # Functions and classes of this module run in Python workers (and in the
@@ -110,14 +111,22 @@ def _source(stream: DataFrame, key: str, id_col: str, et: str, *cols, buckets: i
                          F.col(id_col).alias("id"), _us(et).alias("ts"), *cols, F.col(et))
 
 
+def buckets_for(spark: SparkSession) -> int:
+    """Buckets enough for an even spread over the state partitions, each costing its calls to
+    state.  They stay for the life of a checkpoint, as its partitions do."""
+    return 8 * num_partitions(spark)
+
+
 def _micros(d) -> int:
     return int(round(W.seconds(d) * 1_000_000))
 
 
-#: Width of a slot, rows of one state entry, rows put in order at once, rows that a task packs
-#: at once, rows handed back at once, and buckets.
+#: Width of a slot, rows of one state entry, rows of a page of a queue, rows put in order at once,
+#: rows that a task packs at once, rows handed back at once, and buckets.  Each state entry is a call
+#: out of the Python worker, which costs more than reading a few hundred rows.
 SLOT_US = 60_000_000
-PIECE_ROWS = 500
+PIECE_ROWS = 2_000
+PAGE_ROWS = 500
 SORT_ROWS = 20_000
 PACK_ROWS = 100_000
 OUT_ROWS = 5_000
@@ -249,7 +258,8 @@ class EventTimeProcessor(StatefulProcessor):
             n += 1
 
     def _take(self, slot: int) -> list:
-        """The rows of ``slot``, the earliest that waits."""
+        """The rows of ``slot``, the earliest that waits, and of those after it that are due and
+        read whole, as long as they are few."""
         while self.unread and self.unread[0][0] <= slot:
             n = heapq.heappop(self.unread)[1]
             for r in zip(*pickle.loads(self.waiting.getValue((n,))[0])):
@@ -259,9 +269,12 @@ class EventTimeProcessor(StatefulProcessor):
                     heapq.heappush(self.slots, at)
                 self.read[at].append(r)
             self.waiting.removeKey((n,))
-        while self.slots and self.slots[0] <= slot:
-            heapq.heappop(self.slots)
-        return sorted(self.read.pop(slot, ()), key=self.order)
+        rows, whole = self.read.pop(slot, []), self.upto
+        if self.unread:
+            whole = min(whole, self.unread[0][0])
+        while self.slots and (self.slots[0] <= slot or self.slots[0] < whole and len(rows) < PIECE_ROWS):
+            rows += self.read.pop(heapq.heappop(self.slots), ())
+        return sorted(rows, key=self.order)
 
     def _states(self) -> dict:
         items: dict = {}
@@ -287,7 +300,7 @@ class EventTimeProcessor(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         # a timer set here for a time that has passed would not fire in this batch, so
         # the first firing of a batch does all that is due; others find nothing
-        upto = timerValues.getCurrentWatermarkInMs() * 1000 // self.slot_us
+        self.upto = upto = timerValues.getCurrentWatermarkInMs() * 1000 // self.slot_us
         pieces, deadline = self._index(), (self.runs_out.get() or (None,))[0] if self.timed else None
         due = [p for p in pieces if p[1] < upto]
         if not due and (deadline is None or deadline >= upto * self.slot_us):
@@ -300,10 +313,11 @@ class EventTimeProcessor(StatefulProcessor):
             slot = min(heap[0] if heap is self.slots else heap[0][0] for heap in (self.unread, self.slots) if heap)
             if slot >= upto:
                 break
-            rows = self._take(slot)
-            self.begin(slot)
+            rows, begun = self._take(slot), None
             for r in rows:
-                of = r[-1]
+                of, at = r[-1], r[1] // self.slot_us
+                if at != begun:
+                    self.begin(begun := at)
                 if of not in states:
                     states[of] = self.unpack(of, [])
                 state = states[of]
@@ -337,7 +351,7 @@ class EventTimeProcessor(StatefulProcessor):
 
     def _rows(self, found: Iterable[dict]) -> Iterator[Row]:
         for d in found:
-            yield self.output(*[d.get(c) for c in self.columns])
+            yield self.output(*map(d.get, self.columns))
 
     def close(self) -> None:
         pass
@@ -360,7 +374,7 @@ class PackedProcessor(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         found = iter(self.processor.handleExpiredTimer(key, timerValues, expiredTimerInfo))
         while some := list(islice(found, OUT_ROWS)):
-            yield self.output(*_columns(some))
+            yield self.output(*zip(*some))  # PySpark copies lists of a row item by item, tuples not
 
     def close(self) -> None:
         self.processor.close()
@@ -377,7 +391,7 @@ class KeyQueue:
         self.pages, self.name = pages, name
         self.key = (of or 0, of is None, name)
         self.first, self.last = (min(i[1] for i in items), max(i[1] for i in items)) if items else (0, 0)
-        ahead = sum(i[1] == self.first for i in items) if self.first < self.last else PIECE_ROWS
+        ahead = sum(i[1] == self.first for i in items) if self.first < self.last else PAGE_ROWS
         self.head, self.tail = deque(i[2:] for i in items[:ahead]), [i[2:] for i in items[ahead:]]
 
     def items(self) -> list:
@@ -391,12 +405,12 @@ class KeyQueue:
         return bool(self.head or self.tail)
 
     def push(self, entry: tuple) -> None:
-        if len(self.tail) == PIECE_ROWS:
+        if len(self.tail) == PAGE_ROWS:
             self.pages.updateValue((*self.key, self.last), _columns(self.tail))
             self.last += 1
             self.tail = []
         # entries go to the head as long as nothing is behind it
-        if self.tail or self.first < self.last or len(self.head) >= PIECE_ROWS:
+        if self.tail or self.first < self.last or len(self.head) >= PAGE_ROWS:
             self.tail.append(entry)
         else:
             self.head.append(entry)
@@ -454,9 +468,10 @@ class RunningCountProcessor(_OneValue):
         return [{"key": of, "id": row[0], "ts": row[1], "running_count": state[0][0]}]
 
 
-def running_count_exact(stream: DataFrame, key: str, id_col: str, et: str, delay=0) -> DataFrame:
+def running_count_exact(stream: DataFrame, key: str, id_col: str, et: str, delay=0,
+                        buckets: int | None = None) -> DataFrame:
     """A1 per row on a stream (append mode)."""
-    return _stateful(_source(stream, key, id_col, et), et, delay, RunningCountProcessor(),
+    return _stateful(_source(stream, key, id_col, et, buckets=buckets), et, delay, RunningCountProcessor(),
                      "key long, id long, ts long, running_count long")
 
 
@@ -475,10 +490,11 @@ class PreviousEventProcessor(_OneValue):
         return [out]
 
 
-def previous_event(stream: DataFrame, key: str, id_col: str, et: str, type_col: str, delay=0) -> DataFrame:
+def previous_event(stream: DataFrame, key: str, id_col: str, et: str, type_col: str, delay=0,
+                   buckets: int | None = None) -> DataFrame:
     """J5 stream half: previous event per key (append mode); the rule in force is
     added per micro-batch by :func:`eventide.operators.joins.with_rule`."""
-    return _stateful(_source(stream, key, id_col, et, F.col(type_col).alias("type")), et, delay,
+    return _stateful(_source(stream, key, id_col, et, F.col(type_col).alias("type"), buckets=buckets), et, delay,
                      PreviousEventProcessor(),
                      "key long, id long, ts long, type string, prev_id long, prev_type string")
 
@@ -519,11 +535,11 @@ class ReconcileProcessor(_Queues):
 
 
 def reconcile_exact(left: DataFrame, right: DataFrame, key: str, id_col: str, et: str,
-                    within, delay=0) -> DataFrame:
+                    within, delay=0, buckets: int | None = None) -> DataFrame:
     """J4 on two streams (append mode); both carry ``key``, ``id_col`` and the
     event-time column ``et``."""
-    both = _source(left, key, id_col, et, F.lit("left").alias("side")).unionByName(
-        _source(right, key, id_col, et, F.lit("right").alias("side")))
+    both = _source(left, key, id_col, et, F.lit("left").alias("side"), buckets=buckets).unionByName(
+        _source(right, key, id_col, et, F.lit("right").alias("side"), buckets=buckets))
     return _stateful(both, et, delay, ReconcileProcessor(_micros(within)),
                      "key long, l_id long, l_ts long, r_id long, r_ts long, status string")
 
@@ -561,11 +577,12 @@ class FollowedByProcessor(_Queues):
 
 
 def followed_by_exact(stream: DataFrame, key: str, id_col: str, et: str, first, then,
-                      within, delay=0) -> DataFrame:
+                      within, delay=0, buckets: int | None = None) -> DataFrame:
     """C1 + C4 on a stream; ``kind`` is ``match`` (then_ts = the completing
     row) or ``timeout`` (then_ts = the timeout time).  Append mode."""
     flags = (F.coalesce(first, F.lit(False)).alias("is_first"), F.coalesce(then, F.lit(False)).alias("is_then"))
-    return _stateful(_source(stream, key, id_col, et, *flags), et, delay, FollowedByProcessor(_micros(within)),
+    return _stateful(_source(stream, key, id_col, et, *flags, buckets=buckets), et, delay,
+                     FollowedByProcessor(_micros(within)),
                      "key long, first_id long, first_ts long, then_id long, then_ts long, kind string")
 
 
@@ -587,8 +604,8 @@ class StateMachineProcessor(_OneValue):
 
 
 def state_machine_exact(stream: DataFrame, key: str, id_col: str, et: str, event_col: str,
-                        fsm: StateMachine, delay=0) -> DataFrame:
-    return _stateful(_source(stream, key, id_col, et, fsm.event_index(event_col).alias("ev")), et, delay,
+                        fsm: StateMachine, delay=0, buckets: int | None = None) -> DataFrame:
+    return _stateful(_source(stream, key, id_col, et, fsm.event_index(event_col).alias("ev"), buckets=buckets), et, delay,
                      StateMachineProcessor(fsm), "key long, id long, ts long, state string, accepted boolean")
 
 
@@ -613,10 +630,10 @@ class BufferFlushProcessor(EventTimeProcessor):
 
 
 def buffer_flush_exact(stream: DataFrame, key: str, id_col: str, et: str, every,
-                       delay=0) -> DataFrame:
+                       delay=0, buckets: int | None = None) -> DataFrame:
     if _micros(every) % 1000:
         raise ValueError("timers have milliseconds")
-    return _stateful(_source(stream, key, id_col, et), et, delay, BufferFlushProcessor(_micros(every)),
+    return _stateful(_source(stream, key, id_col, et, buckets=buckets), et, delay, BufferFlushProcessor(_micros(every)),
                      "key long, id long, ts long, flush_ts long, position long")
 
 
@@ -759,10 +776,12 @@ class TtlEventTimeProcessor(EventTimeProcessor):
         return next(iter(state.values()))[1] + self.ttl + 1 if state else None
 
 
-def ttl_previous_event_time(stream: DataFrame, key: str, id_col: str, et: str, ttl, entry=None, delay=0) -> DataFrame:
+def ttl_previous_event_time(stream: DataFrame, key: str, id_col: str, et: str, ttl, entry=None, delay=0,
+                            buckets: int | None = None) -> DataFrame:
     """V4 in event time (append mode): each row with the id of the value that is still
     alive for its key and entry: written at most ``ttl`` before."""
-    source = _source(stream, key, id_col, et, (F.lit("") if entry is None else entry).cast("string").alias("entry"))
+    source = _source(stream, key, id_col, et, (F.lit("") if entry is None else entry).cast("string").alias("entry"),
+                     buckets=buckets)
     return _stateful(source, et, delay, TtlEventTimeProcessor(_micros(ttl)),
                      "key long, id long, ts long, entry string, alive_id long")
 
@@ -789,11 +808,12 @@ class StrictSequenceProcessor(EventTimeProcessor):
         return [out]
 
 
-def strict_sequence_exact(stream: DataFrame, key: str, id_col: str, et: str, conds, delay=0) -> DataFrame:
+def strict_sequence_exact(stream: DataFrame, key: str, id_col: str, et: str, conds, delay=0,
+                          buckets: int | None = None) -> DataFrame:
     """C2/C3 on a stream (append mode): one row per match, ``e{j}_id`` and
     ``e{j}_ts`` for the j-th row of the match."""
     n = len(conds)
     flags = [F.coalesce(c, F.lit(False)).alias(f"c{j}") for j, c in enumerate(conds)]
     cols = ", ".join(f"e{j + 1}_id long, e{j + 1}_ts long" for j in range(n))
-    return _stateful(_source(stream, key, id_col, et, *flags), et, delay, StrictSequenceProcessor(n),
+    return _stateful(_source(stream, key, id_col, et, *flags, buckets=buckets), et, delay, StrictSequenceProcessor(n),
                      f"key long, {cols}")
